@@ -197,9 +197,9 @@ def answer_requests(requests: DataFrame, prefix: str = DEFAULT_KEY_PREFIX,
 
 
 def unwrap_body(body: Column | str) -> Column:
-    """``{"schema": doc}`` → doc as JSON text (PRJ-13)."""
+    """``{"schema": doc}`` → doc as JSON text, key order kept (PRJ-13)."""
     b = F.col(body) if isinstance(body, str) else body
-    return F.to_json(F.try_variant_get(F.try_parse_json(b), "$.schema", "variant"))
+    return F.get_json_object(b, "$.schema")
 
 
 def lookup(registry: DataFrame, name: str, version: str) -> DataFrame:

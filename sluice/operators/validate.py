@@ -129,8 +129,22 @@ def validate_compiled(messages: DataFrame, compiled: dict) -> DataFrame:
     checked = staged.select(*cols, u, v, F.when(known & ~unresolved & v.isNotNull(), case).alias("__errors"))
     errors = F.col("__errors")
     status, reason = _status(F.col("__uri"), known, unresolved, v, errors)
-    return checked.select(*cols, status.alias("status"), reason.alias("reason"),
-                          F.when(reason.isin("ok", "schema_violation"), errors).alias("errors"))
+    return emit_outcome(checked, cols, status, reason,
+                        F.when(reason.isin("ok", "schema_violation"), errors))
+
+
+def emit_outcome(checked: DataFrame, cols: list[str], status: Column, reason: Column,
+                 errors: Column) -> DataFrame:
+    """Attach the outcome columns through a one-row generator.
+
+    A filter on ``status`` above a plain projection would be pushed below it
+    with every alias substituted, copying the payload parse and all checks
+    into the filter (one parse per check).  Predicates cannot be pushed past
+    a generator's own output, while predicates on the envelope columns still
+    reach the scan.
+    """
+    res = F.struct(status.alias("status"), reason.alias("reason"), errors.alias("errors"))
+    return checked.select(*cols, F.inline(F.array(res)))
 
 
 # -- routing and summaries ----------------------------------------------------

@@ -8,34 +8,448 @@ text so both engines produce identical values.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import try_json
+from ..functions.routes import schema_uri, topic_of, uri_name, uri_version
+from ..functions.semver import parse_semver, registry_key, semver_text
+from ..functions.timefmt import parse_rfc3339, rfc3339
+from ..operators import buffer as buf
 from ..operators import envelope as env
+from ..operators import persist as per
 from ..operators import registry as reg
 from ..operators import validate as val
+from ..operators.compile import struct_type_of, type_matches, vtype
 from ..session import configure
 from ..sources import testdata as td
 
+FIXTURE_SCHEMAS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "fixtures", "schemas")
 
-def _joined(c) -> F.Column:
+
+def _joined(c: Column) -> Column:
     return F.coalesce(F.array_join(F.array_sort(c), ","), F.lit(""))
 
 
-def corpus_registry(spark: SparkSession) -> DataFrame:
-    return reg.registry_from_corpus(spark)
+def corpus_registry(spark: SparkSession, with_fixtures: bool = False) -> DataFrame:
+    """Registry of the bundled corpus (plus the test fixtures when asked)."""
+    r = reg.registry_from_corpus(spark)
+    if with_fixtures:
+        r = r.unionByName(reg.registry_from_corpus(spark, FIXTURE_SCHEMAS))
+    return r
+
+
+def _outcome(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, "status", "reason", _joined(F.col("errors")).alias("errors"))
+
+
+# -- envelope and naming ------------------------------------------------------
+
+def q01_record_to_envelope(spark, sf_dir):
+    """Kafka records -> envelope: first schemaURI header wins, RFC3339 time."""
+    configure(spark)
+    e = env.to_envelope(td.event_records(spark, sf_dir))
+    return e.select("offset", "partition", "origin", "schemaURI",
+                    rfc3339("timestamp").alias("timestamp"), "data")
+
+
+def q02_route_names(spark, sf_dir):
+    """Topic and URI naming and their inverse, including malformed URIs."""
+    e = td.table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    ver = F.concat((F.col("user_id") % 5).cast("string"), F.lit("."), (i % 7).cast("string"))
+    uri = (F.when(i % 3 == 0, schema_uri(F.col("event_type"), F.lit("1.0.0")))
+           .when(i % 3 == 1, F.concat(F.lit("http://schema-repository:8080/schemas/"), F.col("event_type")))
+           .otherwise(schema_uri(F.col("event_type"), ver)))
+    return e.select("event_id", topic_of("event_type").alias("topic"), uri.alias("uri")).select(
+        "event_id", "topic", "uri",
+        F.coalesce(uri_name("uri"), F.lit("")).alias("name"),
+        F.coalesce(uri_version("uri"), F.lit("")).alias("version"))
+
+
+def q03_semver_parse(spark, sf_dir):
+    """Version text parsing, normalisation and registry keys, good and bad forms."""
+    p = td.table(spark, sf_dir, "part")
+    k, s = F.col("p_partkey"), F.col("p_size").cast("string")
+    r = k % 8
+    text = (F.when(r == 0, s)
+            .when(r == 1, F.concat(s, F.lit("."), (k % 1030).cast("string")))
+            .when(r == 2, F.concat(F.lit("0"), s, F.lit(".0."), (k % 7).cast("string")))
+            .when(r == 3, F.concat(s, F.lit(".")))
+            .when(r == 4, F.concat(s, F.lit(".1.2.3")))
+            .when(r == 5, F.concat(F.lit("-"), s))
+            .when(r == 6, (k * 3).cast("string"))
+            .otherwise(F.concat(s, F.lit("_0"))))
+    v = parse_semver(text)
+    return p.select(k.alias("p_partkey"), text.alias("version_in"), v.alias("v")).select(
+        "p_partkey", "version_in",
+        F.col("v").isNotNull().cast("int").alias("ok"),
+        F.coalesce(F.col("v.major"), F.lit(-1)).alias("major"),
+        F.coalesce(F.col("v.minor"), F.lit(-1)).alias("minor"),
+        F.coalesce(F.col("v.patch"), F.lit(-1)).alias("patch"),
+        F.coalesce(semver_text("v"), F.lit("")).alias("version"),
+        F.coalesce(F.when(F.col("v").isNotNull(), registry_key(F.lit("part"), F.col("v"))), F.lit("")).alias("key"))
+
+
+# -- registry -----------------------------------------------------------------
+
+def q04_registry_fold(spark, sf_dir):
+    """Registry state of a set/del change log (last writer wins, delete removes)."""
+    state = reg.fold_log(td.registry_change_log(spark, sf_dir))
+    return state.select("key", "name", semver_text("version").alias("version"), "schemaURI", "schema")
+
+
+def _requests(spark, sf_dir) -> DataFrame:
+    """Registry requests from ``orders``: F→add, O→get, P→del; bad documents
+    when ``o_orderkey % 97 = 0``, bad versions when ``% 89 = 0``."""
+    log = td.registry_change_log(spark, sf_dir)
+    k = F.col("seq")
+    op = F.when(F.col("op") == "del", "del").when(F.col("seq") % 2 == 0, "add").otherwise("get")
+    schema = (F.when(k % 97 == 0, F.lit('{"type":"object"'))
+              .when(k % 97 == 1, F.lit('{"type":"objekt"}'))
+              .otherwise(F.col("schema")))
+    version = F.when(k % 89 == 0, F.lit("invalid")).otherwise(F.col("version"))
+    return log.select("seq", op.alias("op"), "name", version.alias("version"), schema.alias("schema"))
+
+
+def q05_registry_requests(spark, sf_dir):
+    """add/get/del outcomes (created, ok, deleted, not_found, bad_request)."""
+    out = reg.answer_requests(_requests(spark, sf_dir), bucket_width=1024)
+    return out.select("seq", "op", F.coalesce("key", F.lit("")).alias("key"), "outcome",
+                      F.coalesce(reg.unwrap_body("body"), F.lit("")).alias("schema"))
+
+
+# -- validation ---------------------------------------------------------------
+
+def _order_messages(spark, sf_dir):
+    return env.to_envelope(td.order_records(spark, sf_dir))
 
 
 def q06_validate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: order records -> envelope -> lookup + validate -> per-record outcome."""
     configure(spark)
-    msgs = env.to_envelope(td.order_records(spark, sf_dir))
-    out = val.validate(msgs, corpus_registry(spark))
+    out = val.validate(_order_messages(spark, sf_dir), corpus_registry(spark))
+    return out.select("offset", "schemaURI", "status", "reason", _joined(F.col("errors")).alias("errors"))
+
+
+def q07_validate_errors(spark, sf_dir):
+    """Frequency of each violated keyword over the order messages."""
+    configure(spark)
+    out = val.validate(_order_messages(spark, sf_dir), corpus_registry(spark))
+    return val.violation_counts(out)
+
+
+def q08_type_matrix(spark, sf_dir):
+    """JSON values of every kind against the seven JSON types."""
+    configure(spark)
+    e = td.table(spark, sf_dir, "events")
+    i, u = F.col("event_id"), F.col("user_id").cast("string")
+    r = i % 10
+    text = (F.when(r == 0, u)
+            .when(r == 1, F.concat(u, F.lit(".0")))
+            .when(r == 2, F.concat(u, F.lit(".5")))
+            .when(r == 3, F.concat(u, F.lit("e2")))
+            .when(r == 4, F.concat(F.lit('"'), u, F.lit('"')))
+            .when(r == 5, F.lit("null"))
+            .when(r == 6, F.when(i % 20 == 6, F.lit("true")).otherwise(F.lit("false")))
+            .when(r == 7, F.concat(F.lit("["), u, F.lit("]")))
+            .when(r == 8, F.concat(F.lit('{"k":'), u, F.lit("}")))
+            .otherwise(F.concat(F.lit("-"), u)))
+    x = F.col("x")
+    t = vtype(x)
+    staged = e.select("event_id", text.alias("json"), try_json(text).alias("x"))
+    return staged.select("event_id", "json", *[
+        type_matches(t, x, n).cast("int").alias(f"is_{n}")
+        for n in ("string", "integer", "number", "boolean", "null", "array", "object")])
+
+
+def _payment_messages(spark, sf_dir):
+    """``orders`` -> payment/2.0.0 envelopes; status from ``o_orderpriority``."""
+    o = td.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    pr = F.col("o_orderpriority")
+    status = (F.when(k % 13 == 0, F.lit(',"status":null'))
+              .when(pr == "1-URGENT", F.lit(',"status":"pending"'))
+              .when(pr == "2-HIGH", F.lit(',"status":"completed"'))
+              .when(pr == "3-MEDIUM", F.lit(',"status":"failed"'))
+              .when(pr == "4-NOT SPECIFIED", F.lit(',"status":"unknown"'))
+              .otherwise(F.lit("")))
+    data = F.concat(F.lit('{"paymentId":'), (k * 10).cast("string"), F.lit(',"orderId":'), k.cast("string"),
+                    F.lit(',"amount":'), F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+                    F.lit(',"method":"card"'), status, F.lit("}"))
+    return o.select(
+        k.alias("o_orderkey"), F.lit("payment-topic").alias("origin"),
+        (k % 10).cast("int").alias("partition"),
+        F.lit("http://schema-repository:8080/schemas/payment/2").alias("schemaURI"),
+        F.col("o_orderdate").cast("timestamp").alias("timestamp"), data.alias("data"))
+
+
+def q09_enum_status(spark, sf_dir):
+    """payment/2.0.0: status enum, null status, absent status; URI with short version."""
+    configure(spark)
+    out = val.validate(_payment_messages(spark, sf_dir), corpus_registry(spark))
+    return _outcome(out, "o_orderkey")
+
+
+def q10_required_null(spark, sf_dir):
+    """product/1.0.0: required vs null vs absent, wrong types."""
+    configure(spark)
+    out = val.validate(td.product_records(spark, sf_dir, 1), corpus_registry(spark))
+    return _outcome(out, "p_partkey")
+
+
+def _order_doc() -> dict:
+    import json
+    with open(os.path.join(reg.corpus_dir(), "order-2.0.0.json")) as f:
+        return json.load(f)
+
+
+def q11_typed_projection(spark, sf_dir):
+    """Valid order payloads read into the record type compiled from their schema."""
+    configure(spark)
+    out = val.valid_only(val.validate(_order_messages(spark, sf_dir), corpus_registry(spark)))
+    typed = out.select("offset", F.from_json("data", struct_type_of(_order_doc())).alias("r"))
+    return typed.select("offset", F.col("r.orderId").alias("orderId"), F.col("r.userId").alias("userId"),
+                        F.array_join(F.col("r.productIds").cast("array<string>"), ",").alias("productIds"),
+                        F.col("r.total").alias("total"), F.col("r.status").alias("status"))
+
+
+def q12_encode_omit_null(spark, sf_dir):
+    """Typed product rows -> JSON with null optionals omitted -> fields re-read."""
+    p = td.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    row = F.struct(
+        k.alias("id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"),
+        F.when(k % 3 == 2, F.col("p_type")).alias("category"),
+        F.when(k % 4 != 0, F.array(F.col("p_brand"), F.col("p_size").cast("string"))).alias("tags"))
+    j = p.select(k.alias("p_partkey"), F.to_json(row).alias("json"))
+    return j.select(
+        "p_partkey",
+        F.size(F.json_object_keys("json")).alias("n_keys"),
+        F.coalesce(F.get_json_object("json", "$.category"), F.lit("")).alias("category"),
+        F.coalesce(F.array_join(F.from_json(F.get_json_object("json", "$.tags"), "array<string>"), ","),
+                   F.lit("")).alias("tags"),
+        F.get_json_object("json", "$.name").alias("name"))
+
+
+# -- envelope forms -----------------------------------------------------------
+
+def q13_field_list(spark, sf_dir):
+    """Envelope -> 8-string field list -> decoded back."""
+    configure(spark)
+    e = td.event_envelopes(spark, sf_dir)
+    fl = e.select("event_id", env.field_list(e).alias("fl"))
+    dec = fl.select("event_id", "fl", F.struct(*env.from_field_map(env.from_field_list("fl"))).alias("m"))
+    return dec.select("event_id", F.array_join("fl", "|").alias("fields"), F.size("fl").alias("n"),
+                      rfc3339("m.timestamp").alias("decoded_timestamp"),
+                      F.col("m.schemaURI").alias("decoded_schema_uri"))
+
+
+def q14_field_pairs(spark, sf_dir):
+    """Envelope -> (name, value) rows."""
+    configure(spark)
+    return env.field_pairs(td.event_envelopes(spark, sf_dir), "event_id")
+
+
+def q15_rfc3339_parse(spark, sf_dir):
+    """RFC3339 text variants -> timestamp (zero time when not RFC3339)."""
+    configure(spark)
+    e = td.table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    base = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss")
+    r = i % 6
+    text = (F.when(r == 0, F.concat(base, F.lit("Z")))
+            .when(r == 1, F.concat(base, F.lit("+02:00")))
+            .when(r == 2, F.concat(base, F.lit(".123Z")))
+            .when(r == 3, F.date_format(F.col("ts"), "yyyy-MM-dd"))
+            .when(r == 4, F.lit("nope"))
+            .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")))
+    return e.select("event_id", text.alias("text")).select(
+        "event_id", "text", rfc3339(parse_rfc3339("text")).alias("parsed"))
+
+
+def q16_envelope_required(spark, sf_dir):
+    """Stored field maps with missing fields -> envelope -> required check."""
+    configure(spark)
+    e = td.event_envelopes(spark, sf_dir)
+    i = F.col("event_id")
+    r = i % 5
+    names = F.array(*[F.lit(n) for n in env.FIELD_NAMES])
+    data = F.when(i % 7 == 0, F.lit("not json")).otherwise(F.col("data"))
+    vals = F.array(F.col("origin"), F.col("schemaURI"), rfc3339("timestamp"), data)
+    m = F.map_from_arrays(names, vals)
+    m = F.map_filter(m, lambda kk, vv: ~((r == 0) & (kk == "origin")) & ~((r == 1) & (kk == "schemaURI"))
+                     & ~((r == 2) & (kk == "data")) & ~((r == 3) & (kk == "timestamp")))
+    dec = e.select("event_id", F.struct(*env.from_field_map(m)).alias("m")).select("event_id", "m.*")
+    return dec.select("event_id", "origin", "schemaURI", rfc3339("timestamp").alias("timestamp"),
+                      env.envelope_ok().cast("int").alias("ok"))
+
+
+def q17_item_projection(spark, sf_dir):
+    """Buffer entries -> target items of five strings."""
+    configure(spark)
+    return env.item(td.buffer_entries(spark, sf_dir))
+
+
+# -- buffer and persistence ---------------------------------------------------
+
+def _new_pending(spark, sf_dir):
+    b = td.buffer_entries(spark, sf_dir)
+    return b.where(F.col("seq") % 2 == 0), b.where(F.col("seq") % 3 == 0)
+
+
+def q18_read_group(spark, sf_dir):
+    """New (even seq) plus pending (seq % 3 = 0) entries, unique by id."""
+    configure(spark)
+    new, pending = _new_pending(spark, sf_dir)
+    g = buf.read_group(new, pending)
+    return g.select("id", "seq", "origin", "schemaURI", rfc3339("timestamp").alias("timestamp"), "data")
+
+
+def q19_write_outcome(spark, sf_dir):
+    """Batches of 100 events; ids with ``event_id % 7 = 0`` fail, batch 3 fails whole."""
+    b = td.buffer_entries(spark, sf_dir).select(
+        (F.col("seq") / 100).cast("bigint").alias("batch_id"), "id", "seq")
+    failed = b.where((F.col("seq") % 7 == 0) | (F.col("batch_id") == 3))
+    return per.batch_outcome(b, failed)
+
+
+def q20_ack_pending(spark, sf_dir):
+    """Pending entries left after acknowledging what persisted."""
+    configure(spark)
+    _, pending = _new_pending(spark, sf_dir)
+    acked = pending.where(F.col("seq") % 7 != 0).select("id")
+    return buf.ack(pending, acked).select("id", "seq")
+
+
+def q21_delete(spark, sf_dir):
+    """Buffer minus deleted ids (``seq % 5 = 0``)."""
+    configure(spark)
+    b = td.buffer_entries(spark, sf_dir)
+    return buf.delete(b, b.where(F.col("seq") % 5 == 0)).select("id", "seq", "origin")
+
+
+def _upsert_items(spark, sf_dir) -> DataFrame:
+    """Items keyed ``(u<user_id>, <day>)`` from events: many writes per key."""
+    e = td.table(spark, sf_dir, "events")
+    return e.select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
+        rfc3339(F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("timestamp"),
+        F.concat(F.col("event_type"), F.lit("-topic")).alias("origin"),
+        F.lit("http://schema-repository:8080/schemas/event/1.0.0").alias("schemaURI"),
+        F.col("props").alias("data"),
+        F.col("event_id").alias("seq"))
+
+
+def q22_upsert_latest(spark, sf_dir):
+    """Upsert keyed by (id, timestamp): the latest write per key remains."""
+    configure(spark)
+    items = _upsert_items(spark, sf_dir)
+    first = items.where(F.col("seq") % 2 == 0)
+    second = items.where(F.col("seq") % 2 == 1)
+    state = per.upsert(per.upsert(None, first), second)
+    return state.select(*per.ITEM_COLUMNS, "seq")
+
+
+def q23_rejects_by_reason(spark, sf_dir):
+    """Reject side output summarised by status and reason."""
+    configure(spark)
+    out = val.rejects(val.validate(_order_messages(spark, sf_dir), corpus_registry(spark)))
+    return out.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q24_topic_partition_counts(spark, sf_dir):
+    """Order, payment and product topics in one flow; counts per (topic, partition)."""
+    configure(spark)
+    cols = ["origin", "partition", "schemaURI", "timestamp", "data"]
+    orders = _order_messages(spark, sf_dir).select(*cols)
+    pays = _payment_messages(spark, sf_dir).select(*cols)
+    prods = td.product_records(spark, sf_dir, 2).withColumn(
+        "partition", (F.col("p_partkey") % 10).cast("int")).select(*cols)
+    flow = orders.unionByName(pays).unionByName(prods)
+    return val.partition_counts(val.validate(flow, corpus_registry(spark)))
+
+
+def q25_schema_admission(spark, sf_dir):
+    """Candidate schema documents derived from ``part`` -> admitted or refused."""
+    p = td.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    t = F.lower(F.col("p_type"))
+    r = k % 8
+    doc = (F.when(r == 0, F.concat(F.lit('{"type":"object","properties":{"n":{"type":"string"}},"required":["n"]}')))
+           .when(r == 1, F.concat(F.lit('{"type":"'), t, F.lit('"}')))
+           .when(r == 2, F.lit('{"type":"object","properties":[1]}'))
+           .when(r == 3, F.lit('{"type":"object","required":[1,2]}'))
+           .when(r == 4, F.lit('{"type":"object"'))
+           .when(r == 5, F.lit("true"))
+           .when(r == 6, F.lit('{"type":["string","null"],"enum":["a",null]}'))
+           .otherwise(F.lit('{"type":"array","items":3}')))
+    d = p.select(k.alias("p_partkey"), doc.alias("schema"))
+    return d.select("p_partkey", "schema", reg.schema_admissible("schema").cast("int").alias("admitted"))
+
+
+def q26_generator(spark, sf_dir):
+    """Typed records generated from ``events`` seeds, validated; faithful mode."""
+    from ..sources.generator import generate
+    configure(spark)
+    seeds = td.table(spark, sf_dir, "events").select(F.col("event_id").alias("seed"))
+    recs = generate(seeds, zero_values=True)
+    out = val.validate(recs, corpus_registry(spark))
+    return (out.groupBy("origin", "schemaURI")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "valid").alias("n_valid")))
+
+
+def q29_rules_as_rows(spark, sf_dir):
+    """The flagship through design B (registry flattened to rule rows)."""
+    configure(spark)
+    out = val.validate(_order_messages(spark, sf_dir), corpus_registry(spark), design="rules")
     return out.select("offset", "schemaURI", "status", "reason", _joined(F.col("errors")).alias("errors"))
 
 
+def q30_minimum_ref(spark, sf_dir):
+    """customer -> account schema with ``minimum`` and a ``$ref`` to owner."""
+    configure(spark)
+    out = val.validate(td.account_records(spark, sf_dir), corpus_registry(spark, with_fixtures=True))
+    return _outcome(out, "c_custkey")
+
+
+def q31_read_group_capped(spark, sf_dir):
+    """Group read with a per-list read count of 25 (the persist service's cap)."""
+    configure(spark)
+    new, pending = _new_pending(spark, sf_dir)
+    return buf.read_group(new, pending, count=25).select("id", "seq")
+
+
 QUERIES = {
+    "q01_record_to_envelope": q01_record_to_envelope,
+    "q02_route_names": q02_route_names,
+    "q03_semver_parse": q03_semver_parse,
+    "q04_registry_fold": q04_registry_fold,
+    "q05_registry_requests": q05_registry_requests,
     "q06_validate_status": q06_validate_status,
+    "q07_validate_errors": q07_validate_errors,
+    "q08_type_matrix": q08_type_matrix,
+    "q09_enum_status": q09_enum_status,
+    "q10_required_null": q10_required_null,
+    "q11_typed_projection": q11_typed_projection,
+    "q12_encode_omit_null": q12_encode_omit_null,
+    "q13_field_list": q13_field_list,
+    "q14_field_pairs": q14_field_pairs,
+    "q15_rfc3339_parse": q15_rfc3339_parse,
+    "q16_envelope_required": q16_envelope_required,
+    "q17_item_projection": q17_item_projection,
+    "q18_read_group": q18_read_group,
+    "q19_write_outcome": q19_write_outcome,
+    "q20_ack_pending": q20_ack_pending,
+    "q21_delete": q21_delete,
+    "q22_upsert_latest": q22_upsert_latest,
+    "q23_rejects_by_reason": q23_rejects_by_reason,
+    "q24_topic_partition_counts": q24_topic_partition_counts,
+    "q25_schema_admission": q25_schema_admission,
+    "q26_generator": q26_generator,
+    "q29_rules_as_rows": q29_rules_as_rows,
+    "q30_minimum_ref": q30_minimum_ref,
+    "q31_read_group_capped": q31_read_group_capped,
 }
