@@ -91,7 +91,11 @@ def _required_rules(objs: DataFrame) -> DataFrame:
 
 def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFrame:
     """Registry ``(schemaURI, schema)`` -> rule rows (a Spark job, no driver work)."""
-    docs = registry.select("schemaURI", F.try_parse_json("schema").alias("doc")).where(F.col("doc").isNotNull())
+    from ..session import checkpoint_root
+    checkpoint_root(registry.sparkSession)
+    # one row per schema; materialised so the branches below share one read
+    docs = (registry.select("schemaURI", F.try_parse_json("schema").alias("doc"))
+            .where(F.col("doc").isNotNull()).checkpoint(eager=True))
     root = docs.select("schemaURI", F.array().cast("array<string>").alias("parts"), F.col("doc").alias("node"))
 
     def children(nodes: DataFrame) -> DataFrame:
@@ -119,7 +123,9 @@ def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFra
             .unionByName(_required_rules(root.unionByName(lvl1))))
 
 
-# SQL for one rule ``r`` against payload ``__v``; TRUE when satisfied.
+# SQL for one rule against the payload ``__v``; TRUE when satisfied.  Each rule
+# is first bound to its value ``x``, type text ``t`` and numeric value ``d``
+# (one path lookup and one type probe per rule), then checked.
 _MATCH = """(CASE {n}
   WHEN 'string' THEN {t} = 'STRING'
   WHEN 'boolean' THEN {t} = 'BOOLEAN'
@@ -128,58 +134,80 @@ _MATCH = """(CASE {n}
   WHEN 'object' THEN {t} LIKE 'OBJECT%'
   WHEN 'number' THEN {t} IN ('BIGINT','DOUBLE','FLOAT') OR {t} LIKE 'DECIMAL%'
   WHEN 'integer' THEN {t} = 'BIGINT' OR {t} RLIKE '^DECIMAL\\\\([0-9]+,0\\\\)$'
-       OR ({t} = 'DOUBLE' AND NOT isnan(try_variant_get({x}, '$', 'double'))
-           AND abs(try_variant_get({x}, '$', 'double')) != double('infinity')
-           AND try_variant_get({x}, '$', 'double') = floor(try_variant_get({x}, '$', 'double')))
+       OR ({t} = 'DOUBLE' AND NOT isnan({d}) AND abs({d}) != double('infinity') AND {d} = floor({d}))
   ELSE false END)"""
 
-_X = "(CASE WHEN r.path = '$' THEN __v ELSE try_variant_get(__v, r.path, 'variant') END)"
-_NUM = "(schema_of_variant({x}) IN ('BIGINT','DOUBLE','FLOAT') OR schema_of_variant({x}) LIKE 'DECIMAL%')"
+_BIND = """transform(coalesce(__rules, array()), r -> named_struct(
+  'r', r,
+  'x', CASE WHEN r.path = '$' THEN __v ELSE try_variant_get(__v, r.path, 'variant') END,
+  'p', CASE WHEN r.kind <> 'required' THEN true WHEN r.types[0] = '$' THEN __root_obj
+            ELSE schema_of_variant(try_variant_get(__v, r.types[0], 'variant')) LIKE 'OBJECT%' END))"""
+
+_TYPED = """transform({bound}, b -> named_struct(
+  'r', b.r, 'x', b.x, 'p', b.p, 't', schema_of_variant(b.x), 'd', try_variant_get(b.x, '$', 'double')))"""
 
 
 def _rule_ok_sql() -> str:
-    x = _X
-    t = f"schema_of_variant({x})"
-    parent = ("(CASE WHEN r.types[0] = '$' THEN __root_obj "
-              "ELSE schema_of_variant(try_variant_get(__v, r.types[0], 'variant')) LIKE 'OBJECT%' END)")
-    num = _NUM.format(x=x)
-    dbl = f"try_variant_get({x}, '$', 'double')"
-    return f"""(CASE r.kind
-  WHEN 'type' THEN {x} IS NULL OR (CASE WHEN r.path = '$' AND r.types = array('object') THEN __root_obj
-                   ELSE exists(r.types, n -> {_MATCH.format(n='n', t=t, x=x)}) END)
-  WHEN 'required' THEN NOT {parent} OR {x} IS NOT NULL
-  WHEN 'enum' THEN {x} IS NULL OR array_contains(r.enum_json, to_json({x}))
+    t, x, d = "s.t", "s.x", "s.d"
+    num = f"({t} IN ('BIGINT','DOUBLE','FLOAT') OR {t} LIKE 'DECIMAL%')"
+    elem = _MATCH.format(n="n", t="schema_of_variant(e)", d="try_variant_get(e, '$', 'double')")
+    return f"""(CASE s.r.kind
+  WHEN 'type' THEN {x} IS NULL OR (CASE WHEN s.r.path = '$' AND s.r.types = array('object') THEN __root_obj
+                   ELSE exists(s.r.types, n -> {_MATCH.format(n='n', t=t, d=d)}) END)
+  WHEN 'required' THEN NOT s.p OR {x} IS NOT NULL
+  WHEN 'enum' THEN {x} IS NULL OR array_contains(s.r.enum_json, to_json({x}))
   WHEN 'items_type' THEN coalesce(forall(try_variant_get({x}, '$', 'array<variant>'),
-                   e -> exists(r.types, n -> {_MATCH.format(n='n', t='schema_of_variant(e)', x='e')})), true)
-  WHEN 'minimum' THEN {x} IS NULL OR NOT {num} OR {dbl} >= r.bound
-  WHEN 'maximum' THEN {x} IS NULL OR NOT {num} OR {dbl} <= r.bound
-  WHEN 'exclusiveMinimum' THEN {x} IS NULL OR NOT {num} OR {dbl} > r.bound
-  WHEN 'exclusiveMaximum' THEN {x} IS NULL OR NOT {num} OR {dbl} < r.bound
-  WHEN 'email' THEN {x} IS NULL OR schema_of_variant({x}) <> 'STRING'
+                   e -> exists(s.r.types, n -> {elem})), true)
+  WHEN 'minimum' THEN {x} IS NULL OR NOT {num} OR {d} >= s.r.bound
+  WHEN 'maximum' THEN {x} IS NULL OR NOT {num} OR {d} <= s.r.bound
+  WHEN 'exclusiveMinimum' THEN {x} IS NULL OR NOT {num} OR {d} > s.r.bound
+  WHEN 'exclusiveMaximum' THEN {x} IS NULL OR NOT {num} OR {d} < s.r.bound
+  WHEN 'email' THEN {x} IS NULL OR {t} <> 'STRING'
                    OR try_variant_get({x}, '$', 'string') RLIKE '^[^@\\\\s]+@[^@\\\\s]+\\\\.[^@\\\\s]+$'
   ELSE true END)"""
 
 
-def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool = False,
-                   broadcast: bool | None = None) -> DataFrame:
-    """Design B: same output as ``validate_compiled``."""
+def _errors_sql() -> str:
+    typed = _TYPED.format(bound=_BIND)
+    return (f"filter(transform({typed}, s -> CASE WHEN NOT coalesce({_rule_ok_sql()}, true) "
+            "THEN s.r.label END), x -> x IS NOT NULL)")
+
+
+def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataFrame, int]:
+    """(per-URI rule arrays, rule count), materialised once.
+
+    The rule table is a handful of rows per schema; it is checkpointed into
+    the shared checkpoint folder so the registry is flattened once, not once
+    per branch of the union, and survives executor loss.
+    """
+    from ..session import checkpoint_root
     rules = flatten_registry(registry, assert_email)
     per_uri = (rules.groupBy("schemaURI")
-               .agg(F.collect_list(F.struct("label", "path", "kind", "types", "enum_json", "bound")).alias("__rules"))
-               .select(normalise_uri("schemaURI").alias("__uri"), "__rules"))
+               .agg(F.collect_list(F.struct("label", "path", "kind", "types", "enum_json", "bound")).alias("__rules"),
+                    F.count(F.lit(1)).alias("__n"))
+               .select(normalise_uri("schemaURI").alias("__uri"), "__rules", "__n"))
     # every registered schema is known, even one without rules
     known = registry.select(normalise_uri("schemaURI").alias("__uri")).distinct()
     per_uri = known.join(per_uri, "__uri", "left").withColumn("__known", F.lit(True))
+    checkpoint_root(registry.sparkSession)
+    per_uri = per_uri.checkpoint(eager=True)
+    n = per_uri.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    return per_uri.drop("__n"), int(n)
+
+
+def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool = False,
+                   broadcast: bool | None = None) -> DataFrame:
+    """Design B: same output as ``validate_compiled``."""
+    per_uri, n_rules = rules_by_uri(registry, assert_email)
     if broadcast is None:
-        broadcast = rules.count() <= BROADCAST_MAX_RULES
+        broadcast = n_rules <= BROADCAST_MAX_RULES
     side = F.broadcast(per_uri) if broadcast else per_uri
     cols = messages.columns
     m = messages.select(*cols, normalise_uri(F.coalesce("schemaURI", F.lit(""))).alias("__uri"),
                         F.try_parse_json("data").alias("__v"),
                         F.col("data").rlike(r"^[ \t\n\r]*\{").alias("__root_obj"))
     j = m.join(side, "__uri", "left")
-    errs = F.expr(f"filter(transform(coalesce(__rules, array()), r -> CASE WHEN NOT coalesce({_rule_ok_sql()}, true) "
-                  "THEN r.label END), x -> x IS NOT NULL)")
+    errs = F.expr(_errors_sql())
     known_c = F.coalesce(F.col("__known"), F.lit(False))
     checked = j.select(*cols, "__uri", "__v", known_c.alias("__known"),
                        F.when(known_c & F.col("__v").isNotNull(), errs).alias("__errors"))
