@@ -108,14 +108,15 @@ def from_field_list(values: Column | str) -> Column:
     return F.map_from_arrays(names, vals)
 
 
-def item(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """Envelope + id -> target item of 5 strings (PRJ-7)."""
+def item(df: DataFrame, id_col: str = "id", keep: list[str] | None = None) -> DataFrame:
+    """Envelope + id -> target item of 5 strings (PRJ-7), plus ``keep`` columns."""
     return df.select(
         F.col(id_col).cast("string").alias("id"),
         rfc3339("timestamp").alias("timestamp"),
         F.coalesce(F.col("origin"), F.lit("")).alias("origin"),
         F.coalesce(F.col("schemaURI"), F.lit("")).alias("schemaURI"),
         F.coalesce(F.col("data"), F.lit("")).alias("data"),
+        *(keep or []),
     )
 
 

@@ -21,6 +21,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fs_exists
+
 ITEM_COLUMNS = ["id", "timestamp", "origin", "schemaURI", "data"]
 KEY = ["id", "timestamp"]
 
@@ -55,8 +57,7 @@ def upsert_table(spark: SparkSession, items: DataFrame, path: str, staging_root:
     3. overwrite just those buckets from staging (dynamic partition overwrite).
     """
     b = items.withColumn("bucket", key_bucket(n_buckets))
-    exists = os.path.exists(path) if "://" not in path else _exists(spark, path)
-    if exists:
+    if fs_exists(spark, path):
         old = spark.read.parquet(path)
         touched = b.select("bucket").distinct()
         old = old.join(F.broadcast(touched), "bucket", "left_semi")  # ≤ n_buckets rows
@@ -65,19 +66,9 @@ def upsert_table(spark: SparkSession, items: DataFrame, path: str, staging_root:
         merged = latest_per_key(b)
     stage = os.path.join(staging_root, f"merge-{uuid.uuid4().hex}")
     merged.write.mode("overwrite").partitionBy("bucket").parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (spark.read.parquet(stage).write.mode("overwrite")
-         .partitionBy("bucket").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    (spark.read.parquet(stage).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
 
 
 # -- outcome of a write ------------------------------------------------------

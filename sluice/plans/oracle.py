@@ -504,3 +504,7 @@ WITH b AS ({BUFFER_ENTRIES})
 SELECT id, seq FROM (SELECT id, seq FROM b WHERE seq % 2 = 0 ORDER BY seq LIMIT 25)
 UNION
 SELECT id, seq FROM (SELECT id, seq FROM b WHERE seq % 3 = 0 ORDER BY seq LIMIT 25)"""
+
+ORACLE["q27_stream_ingest"] = validated_orders_sql()
+ORACLE["q28_stream_persist_replay"] = f"""
+SELECT id, {_ts('ts')} AS "timestamp", origin, schemaURI, data, seq FROM ({BUFFER_ENTRIES})"""

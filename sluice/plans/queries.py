@@ -453,3 +453,57 @@ QUERIES = {
     "q30_minimum_ref": q30_minimum_ref,
     "q31_read_group_capped": q31_read_group_capped,
 }
+
+
+# -- streaming ----------------------------------------------------------------
+
+def _replay_files(df: DataFrame, path: str, files: int, order: str) -> None:
+    """Store a derived frame as ``files`` parquet files in ``order`` ranges."""
+    df.repartitionByRange(files, order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)
+
+
+def q27_stream_ingest(spark, sf_dir):
+    """Order records replayed as a stream (4 micro-batches) through the ingest flow."""
+    import os
+    from ..session import new_run_dir
+    from ..sources.kafka import read_replay_stream
+    from ..streaming.ingest import read_outcomes, start_ingest
+    configure(spark)
+    run = new_run_dir(spark, "ingest")
+    src = os.path.join(run, "source")
+    _replay_files(td.order_records(spark, sf_dir), src, 4, "offset")
+    q = start_ingest(read_replay_stream(spark, src, max_files_per_trigger=1),
+                     lambda: corpus_registry(spark), os.path.join(run, "out"),
+                     os.path.join(run, "checkpoint"), trigger={"availableNow": True})
+    q.awaitTermination()
+    out = read_outcomes(spark, os.path.join(run, "out"))
+    return out.select("offset", "schemaURI", "status", "reason", _joined(F.col("errors")).alias("errors"))
+
+
+def q28_stream_persist_replay(spark, sf_dir):
+    """Buffer entries through the persist flow with at-least-once delivery:
+    entries with ``seq % 3 = 0`` arrive twice (the copy in a later file) and
+    ``seq % 7 = 0`` fails on its first delivery and comes back from pending.
+    The target must end with exactly one item per entry."""
+    import os
+    from ..session import new_run_dir
+    from ..streaming.persist import PersistFlow
+    configure(spark)
+    run = new_run_dir(spark, "persist")
+    src = os.path.join(run, "source")
+    entries = td.buffer_entries(spark, sf_dir)
+    once = entries.withColumn("__order", F.col("seq"))
+    again = entries.where(F.col("seq") % 3 == 0).withColumn("__order", F.col("seq") + 2500)
+    _replay_files(once.unionByName(again), src, 4, "__order")
+    flow = PersistFlow(spark, os.path.join(run, "state"),
+                       fail=lambda g: g.where((F.col("seq") % 7 == 0) & (F.col("attempts") == 1)))
+    stream = (spark.readStream.schema(once.schema).option("maxFilesPerTrigger", "1").parquet(src)
+              .drop("__order"))
+    q = flow.start(stream, os.path.join(run, "checkpoint"), trigger={"availableNow": True})
+    q.awaitTermination()
+    flow.drain()
+    return flow.target_frame().select(*per.ITEM_COLUMNS, "seq")
+
+
+QUERIES["q27_stream_ingest"] = q27_stream_ingest
+QUERIES["q28_stream_persist_replay"] = q28_stream_persist_replay

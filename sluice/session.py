@@ -78,3 +78,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+# -- shared-storage helpers (Hadoop FileSystem: local, HDFS, object stores) --
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def fs_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def fs_children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` ([] when it does not exist)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def new_run_dir(spark: SparkSession, prefix: str) -> str:
+    """A fresh folder name under the shared checkpoint root."""
+    import uuid
+    return scratch_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
