@@ -52,13 +52,14 @@ def compile_registry(registry: DataFrame, assert_email: bool = False):
     rows = registry.select("schemaURI", "schema").collect()
     docs = {}
     for r in rows:
+        key = _normalise_text(r["schemaURI"])  # messages are matched on the same form
         try:
-            docs[r["schemaURI"]] = json.loads(r["schema"])
+            docs[key] = json.loads(r["schema"])
         except (TypeError, ValueError):
-            docs[r["schemaURI"]] = None  # refused by admission; never matches
+            docs[key] = None  # refused by admission; never matches
 
     def resolve(uri: str):
-        return docs.get(uri) if uri in docs else docs.get(_normalise_text(uri))
+        return docs.get(_normalise_text(uri))
 
     comp = SchemaCompiler(resolve=resolve, assert_email=assert_email)
     return {u: comp.compile(u, d) for u, d in docs.items() if d is not None}
