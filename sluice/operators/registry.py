@@ -28,6 +28,9 @@ SCHEMA_TYPE_NAMES = ("string", "integer", "number", "boolean", "null", "array",
 
 REGISTRY_COLUMNS = ["key", "name", "version", "schemaURI", "schema"]
 
+_PART = r"(0|[1-9][0-9]{0,2}|10[01][0-9]|102[0-3])"
+CANONICAL_TAIL = rf"/schemas/[^/]+/{_PART}\.{_PART}\.{_PART}$"
+
 
 def corpus_dir() -> str:
     """Folder of the bundled schema documents."""
@@ -122,9 +125,11 @@ def normalise_uri(uri: Column | str) -> Column:
     u = F.col(uri) if isinstance(uri, str) else uri
     ver = parse_semver(uri_version(u))
     head = F.regexp_replace(u, URI_TAIL, "")
-    return F.when(ver.isNotNull(),
+    slow = F.when(ver.isNotNull(),
                   F.concat(head, F.lit(URI_SEGMENT), uri_name(u), F.lit("/"), semver_text(ver))
                   ).otherwise(u)
+    # fast path: a tail that is already M.m.p without leading zeros, each part <= 1023
+    return F.when(u.rlike(CANONICAL_TAIL), u).otherwise(slow)
 
 
 def corpus_to_log(corpus: DataFrame) -> DataFrame:

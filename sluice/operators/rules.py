@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .registry import normalise_uri
 from .validate import _status, emit_outcome
 
@@ -203,6 +204,7 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
         broadcast = n_rules <= BROADCAST_MAX_RULES
     side = F.broadcast(per_uri) if broadcast else per_uri
     cols = messages.columns
+    messages = spread(messages)
     m = messages.select(*cols, normalise_uri(F.coalesce("schemaURI", F.lit(""))).alias("__uri"),
                         F.try_parse_json("data").alias("__v"),
                         F.col("data").rlike(r"^[ \t\n\r]*\{").alias("__root_obj"))

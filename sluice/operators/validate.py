@@ -28,6 +28,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .compile import SchemaCompiler
 from .registry import normalise_uri
 
@@ -106,11 +107,15 @@ def validate(messages: DataFrame, registry: DataFrame, design: str = "auto",
 
 def validate_compiled(messages: DataFrame, compiled: dict) -> DataFrame:
     cols = messages.columns
+    messages = spread(messages)
     uri = F.coalesce(F.col("schemaURI"), F.lit(""))
     # Stage 1: canonical URI and the parsed payload (parsed once per row).
+    # URIs that name a registry entry exactly skip the normalisation.
+    exact = list(compiled)
+    canon = F.when(uri.isin(exact), uri).otherwise(normalise_uri(uri)) if exact else normalise_uri(uri)
     staged = messages.select(
         *cols,
-        normalise_uri(uri).alias("__uri"),
+        canon.alias("__uri"),
         F.try_parse_json(F.col("data")).alias("__v"))
     u, v, d = F.col("__uri"), F.col("__v"), F.col("data")
     uris = list(compiled)

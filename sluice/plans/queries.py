@@ -33,11 +33,24 @@ def _joined(c: Column) -> Column:
     return F.coalesce(F.array_join(F.array_sort(c), ","), F.lit(""))
 
 
+_REGISTRY_MEMO: dict = {}
+
+
 def corpus_registry(spark: SparkSession, with_fixtures: bool = False) -> DataFrame:
-    """Registry of the bundled corpus (plus the test fixtures when asked)."""
+    """Registry of the bundled corpus (plus the test fixtures when asked).
+
+    Memoised per session: the registry is a few rows, cached once instead of
+    re-reading and re-folding the corpus for every query.
+    """
+    key = (spark.sparkContext.applicationId, with_fixtures)
+    hit = _REGISTRY_MEMO.get(key)
+    if hit is not None and hit.sparkSession is spark:
+        return hit
     r = reg.registry_from_corpus(spark)
     if with_fixtures:
         r = r.unionByName(reg.registry_from_corpus(spark, FIXTURE_SCHEMAS))
+    r = r.cache()
+    _REGISTRY_MEMO[key] = r
     return r
 
 
