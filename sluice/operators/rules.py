@@ -1,14 +1,13 @@
 """Validation with rules as rows (design B, for registries of any size).
 
-The registry is flattened *by Spark* into rule rows
-``(schemaURI, label, path, parent, kind, types, enum_json, bound)``:
-
-* root ``type``; for every property (two levels, ``$ref`` of a first-level
-  property resolved by a join on the registry) its ``type``, ``enum``,
-  ``items.type`` and numeric bounds; every ``required`` name.
-
-Rules are gathered per schema URI into one array and joined to the messages
-on the normalised URI.  When the rule table is under ``BROADCAST_MAX_RULES``
+The registry is flattened *by Spark* into rules ``(label, path, kind, types,
+enum_json, bound)``: the root ``type``; for every property (two levels, a
+``$ref`` of a first-level property resolved by a join on the registry) its
+``type``, ``enum``, ``items.type`` and numeric bounds; every ``required``
+name.  Each document becomes its rule array in one projection of
+higher-order functions (no union, no explode/regroup).
+
+The rule arrays are joined to the messages on the normalised URI.  When the rule table is under ``BROADCAST_MAX_RULES``
 rows it is broadcast (a map-side join: no shuffle of the messages); above
 that the join shuffles and AQE splits the partitions of hot URIs.  Each rule
 is evaluated with higher-order functions over the parsed payload, so there is
@@ -26,102 +25,112 @@ from .validate import _status, emit_outcome
 
 BROADCAST_MAX_RULES = 1_000_000
 
-_TYPES = "CASE WHEN schema_of_variant({n}) = 'STRING' THEN array(variant_get({n}, '$', 'string')) " \
-         "ELSE try_variant_get({n}, '$', 'array<string>') END"
-
-
-def _node_rules(nodes: DataFrame, assert_email: bool) -> DataFrame:
-    """Keyword rules of property nodes ``(schemaURI, parts, node)``."""
-    path = F.concat(F.lit("$"), F.array_join(F.transform("parts", lambda p: F.concat(F.lit('["'), p, F.lit('"]'))), ""))
-    lbl = F.array_join("parts", ".")
-    n = F.col("node")
-
-    def kw(k: str) -> Column:
-        return F.try_variant_get(n, f"$['{k}']", "variant")
-
-    base = nodes.select("schemaURI", path.alias("path"), lbl.alias("lbl"), "node",
-                        F.expr(_TYPES.format(n="node:type")).alias("types"),
-                        F.transform(F.try_variant_get(kw("enum"), "$", "array<variant>"),
-                                    lambda e: F.to_json(e)).alias("enum_json"),
-                        F.expr(_TYPES.format(n="node:items:type")).alias("item_types"))
-    empty = F.lit(None).cast("array<string>")
-    rules = [
-        base.where(F.col("types").isNotNull()).select(
-            "schemaURI", F.concat(F.lit("type:"), "lbl").alias("label"), "path",
-            F.lit("type").alias("kind"), "types", empty.alias("enum_json"),
-            F.lit(None).cast("double").alias("bound")),
-        base.where(F.col("enum_json").isNotNull()).select(
-            "schemaURI", F.concat(F.lit("enum:"), "lbl").alias("label"), "path",
-            F.lit("enum").alias("kind"), empty.alias("types"), "enum_json",
-            F.lit(None).cast("double").alias("bound")),
-        base.where(F.col("item_types").isNotNull()).select(
-            "schemaURI", F.concat(F.lit("type:"), "lbl", F.lit("[]")).alias("label"), "path",
-            F.lit("items_type").alias("kind"), F.col("item_types").alias("types"),
-            empty.alias("enum_json"), F.lit(None).cast("double").alias("bound")),
+_NULL_ARR = "CAST(NULL AS ARRAY<STRING>)"
+_NULL_DBL = "CAST(NULL AS DOUBLE)"
+_NODE_T = "STRUCT<parts: ARRAY<STRING>, node: VARIANT>"
+
+
+def _types(n: str, key: str = "$.type") -> str:
+    """JSON ``type`` (a name or a list of names) of node ``n`` as ARRAY<STRING>."""
+    return (f"CASE WHEN schema_of_variant(try_variant_get({n}, '{key}', 'variant')) = 'STRING' "
+            f"THEN array(try_variant_get({n}, '{key}', 'string')) "
+            f"ELSE try_variant_get({n}, '{key}', 'array<string>') END")
+
+
+def _path(parts: str) -> str:
+    return f"concat('$', array_join(transform({parts}, q -> concat('[\"', q, '\"]')), ''))"
+
+
+def _rule(label: str, path: str, kind: str, types: str = _NULL_ARR, enum: str = _NULL_ARR,
+          bound: str = _NULL_DBL) -> str:
+    return (f"named_struct('label', {label}, 'path', {path}, 'kind', '{kind}', 'types', {types}, "
+            f"'enum_json', {enum}, 'bound', {bound})")
+
+
+def _is_num(x: str) -> str:
+    t = f"schema_of_variant({x})"
+    return f"({t} IN ('BIGINT','DOUBLE','FLOAT') OR {t} LIKE 'DECIMAL%')"
+
+
+def _node_rules(x: str, assert_email: bool) -> str:
+    """Keyword rules of one property node ``x`` (struct of parts and node)."""
+    n, lbl, path = f"{x}.node", f"array_join({x}.parts, '.')", _path(f"{x}.parts")
+    enum = f"transform(try_variant_get({n}, '$.enum', 'array<variant>'), e -> to_json(e))"
+    items = _types(n, "$.items.type")
+    parts = [
+        f"CASE WHEN {_types(n)} IS NOT NULL THEN "
+        f"{_rule(f'concat(\'type:\', {lbl})', path, 'type', types=_types(n))} END",
+        f"CASE WHEN {enum} IS NOT NULL THEN {_rule(f'concat(\'enum:\', {lbl})', path, 'enum', enum=enum)} END",
+        f"CASE WHEN {items} IS NOT NULL THEN "
+        f"{_rule(f'concat(\'type:\', {lbl}, \'[]\')', path, 'items_type', types=items)} END",
     ]
     for k in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
-        rules.append(base.where(F.try_variant_get(kw(k), "$", "double").isNotNull()).select(
-            "schemaURI", F.concat(F.lit(f"{k}:"), "lbl").alias("label"), "path",
-            F.lit(k).alias("kind"), empty.alias("types"), empty.alias("enum_json"),
-            F.try_variant_get(kw(k), "$", "double").alias("bound")))
+        b = f"try_variant_get({n}, '$.{k}', 'variant')"
+        parts.append(f"CASE WHEN {_is_num(b)} THEN {_rule(f'concat(\'{k}:\', {lbl})', path, k, bound=f'try_variant_get({b}, \'$\', \'double\')')} END")
     if assert_email:
-        rules.append(base.where(F.try_variant_get(kw("format"), "$", "string") == "email").select(
-            "schemaURI", F.concat(F.lit("format:"), "lbl").alias("label"), "path",
-            F.lit("email").alias("kind"), empty.alias("types"), empty.alias("enum_json"),
-            F.lit(None).cast("double").alias("bound")))
-    out = rules[0]
-    for r in rules[1:]:
-        out = out.unionByName(r)
-    return out
-
-
-def _required_rules(objs: DataFrame) -> DataFrame:
-    """``required`` names of object nodes ``(schemaURI, parts, node)``."""
-    names = F.try_variant_get(F.col("node"), "$.required", "array<string>")
-    ex = objs.select("schemaURI", "parts", F.explode(names).alias("name"))
-    child = F.concat("parts", F.array("name"))
-    parent_path = F.concat(F.lit("$"), F.array_join(F.transform("parts", lambda p: F.concat(F.lit('["'), p, F.lit('"]'))), ""))
-    return ex.select(
-        "schemaURI", F.concat(F.lit("required:"), F.array_join(child, ".")).alias("label"),
-        F.concat(parent_path, F.lit('["'), F.col("name"), F.lit('"]')).alias("path"),
-        F.lit("required").alias("kind"),
-        F.array(parent_path).alias("types"),  # parent path rides in `types`
-        F.lit(None).cast("array<string>").alias("enum_json"),
-        F.lit(None).cast("double").alias("bound"))
+        parts.append(f"CASE WHEN try_variant_get({n}, '$.format', 'string') = 'email' THEN "
+                     f"{_rule(f'concat(\'format:\', {lbl})', path, 'email')} END")
+    return f"filter(array({', '.join(parts)}), r -> r IS NOT NULL)"
+
+
+def _required_rules(x: str) -> str:
+    """``required`` rules of one object node ``x``; the parent path rides in ``types``."""
+    parent = _path(f"{x}.parts")
+    label = f"concat('required:', array_join(concat({x}.parts, array(nm)), '.'))"
+    path = f"concat({parent}, '[\"', nm, '\"]')"
+    return (f"transform(coalesce(try_variant_get({x}.node, '$.required', 'array<string>'), {_NULL_ARR.replace('NULL', 'array()')}), "
+            f"nm -> {_rule(label, path, 'required', types=f'array({parent})')})")
+
+
+def _children(x: str) -> str:
+    """Property nodes directly under node ``x``."""
+    return (f"transform(coalesce(map_entries(try_variant_get({x}.node, '$.properties', 'map<string,variant>')), "
+            f"CAST(array() AS ARRAY<STRUCT<key: STRING, value: VARIANT>>)), "
+            f"e -> named_struct('parts', concat({x}.parts, array(e.key)), 'node', e.value))")
+
+
+def _rules_sql(assert_email: bool) -> tuple[str, str, str, str]:
+    """SQL pieces: root node, first- and second-level property nodes, root type rule."""
+    root = f"named_struct('parts', CAST(array() AS ARRAY<STRING>), 'node', doc)"
+    # first-level properties, a ``$ref`` replaced by the registry document it names
+    lvl1 = (f"transform({_children('__root')}, c -> named_struct('parts', c.parts, 'node', "
+            f"coalesce(parse_json(__refs[try_variant_get(c.node, '$[\"$ref\"]', 'string')]), c.node)))")
+    lvl2 = f"flatten(transform(__lvl1, p -> {_children('p')}))"
+    root_rule = (f"CASE WHEN {_types('doc')} IS NOT NULL THEN "
+                 f"{_rule(repr('type:$'), repr('$'), 'type', types=_types('doc'))} END")
+    return root, lvl1, lvl2, root_rule
 
 
 def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFrame:
-    """Registry ``(schemaURI, schema)`` -> rule rows (a Spark job, no driver work)."""
-    from ..session import checkpoint_root
-    checkpoint_root(registry.sparkSession)
-    # one row per schema; materialised so the branches below share one read
-    docs = (registry.select("schemaURI", F.try_parse_json("schema").alias("doc"))
-            .where(F.col("doc").isNotNull()).checkpoint(eager=True))
-    root = docs.select("schemaURI", F.array().cast("array<string>").alias("parts"), F.col("doc").alias("node"))
-
-    def children(nodes: DataFrame) -> DataFrame:
-        props = nodes.select("schemaURI", "parts", F.try_variant_get("node", "$.properties", "variant").alias("p"))
-        kv = F.try_variant_get("p", "$", "map<string,variant>")
-        return props.select("schemaURI", "parts", F.explode(kv).alias("key", "value")) \
-            .select("schemaURI", F.concat("parts", F.array("key")).alias("parts"), F.col("value").alias("node"))
-
-    lvl1 = children(root)
-    # resolve ``$ref`` of first-level properties against the registry
-    refs = docs.select(normalise_uri("schemaURI").alias("__ref"), F.col("doc").alias("__target"))
-    lvl1 = (lvl1.withColumn("__ref", normalise_uri(F.try_variant_get("node", "$['$ref']", "string")))
-            .join(F.broadcast(refs), "__ref", "left")
-            .select("schemaURI", "parts", F.coalesce("__target", "node").alias("node")))
-    lvl2 = children(lvl1)
-
-    root_type = root.select(
-        "schemaURI", F.lit("type:$").alias("label"), F.lit("$").alias("path"), F.lit("type").alias("kind"),
-        F.expr(_TYPES.format(n="node:type")).alias("types"),
-        F.lit(None).cast("array<string>").alias("enum_json"), F.lit(None).cast("double").alias("bound")
-    ).where(F.col("types").isNotNull())
-    nodes = lvl1.unionByName(lvl2)
-    return (root_type
-            .unionByName(_node_rules(nodes, assert_email))
-            .unionByName(_required_rules(root.unionByName(lvl1))))
+    """Registry ``(schemaURI, schema)`` -> one row per schema with its rule array.
+
+    Each document is turned into rules by one projection of higher-order
+    functions; only ``$ref`` targets need a (small) join.  Output:
+    ``(schemaURI, __rules ARRAY<rule>, __unresolved BOOLEAN)``.
+    """
+    docs = registry.select("schemaURI", F.try_parse_json("schema").alias("doc"))
+    root, lvl1, lvl2, root_rule = _rules_sql(assert_email)
+    # $ref targets of first-level properties, resolved against the registry itself
+    props = docs.select("schemaURI", F.explode(F.map_values(
+        F.try_variant_get("doc", "$.properties", "map<string,variant>"))).alias("node"))
+    refs = (props.select("schemaURI", F.try_variant_get("node", "$['$ref']", "string").alias("ref"))
+            .where(F.col("ref").isNotNull()).distinct())
+    targets = registry.select(normalise_uri("schemaURI").alias("__target_uri"), F.col("schema").alias("__target"))
+    resolved = (refs.join(targets, normalise_uri("ref") == F.col("__target_uri"), "left")
+                .groupBy("schemaURI")
+                .agg(F.map_from_entries(F.collect_list(F.when(F.col("__target").isNotNull(),
+                                                              F.struct("ref", "__target")))).alias("__refs"),
+                     F.bool_or(F.col("__target").isNull()).alias("__unresolved")))
+    d = docs.join(resolved, "schemaURI", "left")
+    staged = d.select("schemaURI", "doc", "__refs", F.coalesce("__unresolved", F.lit(False)).alias("__unresolved"),
+                      F.expr(root).alias("__root"))
+    staged = staged.select("*", F.expr(lvl1).alias("__lvl1"))
+    staged = staged.select("*", F.expr(lvl2).alias("__lvl2"))
+    rules = F.expr(
+        f"concat(filter(array({root_rule}), r -> r IS NOT NULL), "
+        f"flatten(transform(concat(__lvl1, __lvl2), x -> {_node_rules('x', assert_email)})), "
+        f"flatten(transform(concat(array(__root), __lvl1), x -> {_required_rules('x')})))")
+    return staged.select("schemaURI", F.when(F.col("doc").isNotNull(), rules).alias("__rules"), "__unresolved")
 
 
 # SQL for one rule against the payload ``__v``; TRUE when satisfied.  Each rule
@@ -177,19 +186,13 @@ def _errors_sql() -> str:
 def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataFrame, int]:
     """(per-URI rule arrays, rule count), materialised once.
 
-    The rule table is a handful of rows per schema; it is checkpointed into
-    the shared checkpoint folder so the registry is flattened once, not once
-    per branch of the union, and survives executor loss.
+    One row per schema; checkpointed into the shared checkpoint folder so the
+    flattening runs once and the table survives executor loss.
     """
     from ..session import checkpoint_root
-    rules = flatten_registry(registry, assert_email)
-    per_uri = (rules.groupBy("schemaURI")
-               .agg(F.collect_list(F.struct("label", "path", "kind", "types", "enum_json", "bound")).alias("__rules"),
-                    F.count(F.lit(1)).alias("__n"))
-               .select(normalise_uri("schemaURI").alias("__uri"), "__rules", "__n"))
-    # every registered schema is known, even one without rules
-    known = registry.select(normalise_uri("schemaURI").alias("__uri")).distinct()
-    per_uri = known.join(per_uri, "__uri", "left").withColumn("__known", F.lit(True))
+    per_uri = (flatten_registry(registry, assert_email)
+               .select(normalise_uri("schemaURI").alias("__uri"), "__rules", "__unresolved",
+                       F.coalesce(F.size("__rules"), F.lit(0)).alias("__n"), F.lit(True).alias("__known")))
     checkpoint_root(registry.sparkSession)
     per_uri = per_uri.checkpoint(eager=True)
     n = per_uri.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
@@ -212,7 +215,8 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
     errs = F.expr(_errors_sql())
     known_c = F.coalesce(F.col("__known"), F.lit(False))
     checked = j.select(*cols, "__uri", "__v", known_c.alias("__known"),
+                       F.coalesce(F.col("__unresolved"), F.lit(False)).alias("__unres"),
                        F.when(known_c & F.col("__v").isNotNull(), errs).alias("__errors"))
-    status, reason = _status(F.col("__uri"), F.col("__known"), F.lit(False), F.col("__v"), F.col("__errors"))
+    status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unres"), F.col("__v"), F.col("__errors"))
     return emit_outcome(checked, cols, status, reason,
                         F.when(reason.isin("ok", "schema_violation"), F.array_sort("__errors")))
