@@ -160,6 +160,23 @@ def fold_log(log: DataFrame, prefix: str = DEFAULT_KEY_PREFIX,
                     F.col("s.schema").alias("schema")))
 
 
+class RegistrationError(ValueError):
+    """A corpus document was refused; nothing was registered."""
+
+
+def register_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Bulk registration (SNK-5): refuse the whole corpus if any document is
+    refused, naming the first one in path order; otherwise the registry state.
+
+    The corpus is one row per document, so the refusal list is small.
+    """
+    corpus = load_corpus(spark, path)
+    first = reject_documents(corpus).orderBy("path").select("path").first()
+    if first is not None:
+        raise RegistrationError(f"schema document refused: {first['path']}")
+    return fold_log(corpus_to_log(corpus))
+
+
 def registry_from_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Registry state after registering every admissible corpus document."""
     corpus = load_corpus(spark, path)

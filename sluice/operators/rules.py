@@ -24,6 +24,7 @@ from .registry import normalise_uri
 from .validate import _status, emit_outcome
 
 BROADCAST_MAX_RULES = 1_000_000
+SALT_BUCKETS = 64
 
 _NULL_ARR = "CAST(NULL AS ARRAY<STRING>)"
 _NULL_DBL = "CAST(NULL AS DOUBLE)"
@@ -194,7 +195,8 @@ def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataF
                .select(normalise_uri("schemaURI").alias("__uri"), "__rules", "__unresolved",
                        F.coalesce(F.size("__rules"), F.lit(0)).alias("__n"), F.lit(True).alias("__known")))
     checkpoint_root(registry.sparkSession)
-    per_uri = per_uri.checkpoint(eager=True)
+    # one row per URI: a duplicated registry row must not duplicate messages
+    per_uri = per_uri.dropDuplicates(["__uri"]).checkpoint(eager=True)
     n = per_uri.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     return per_uri.drop("__n"), int(n)
 
@@ -205,13 +207,19 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
     per_uri, n_rules = rules_by_uri(registry, assert_email)
     if broadcast is None:
         broadcast = n_rules <= BROADCAST_MAX_RULES
-    side = F.broadcast(per_uri) if broadcast else per_uri
     cols = messages.columns
     messages = spread(messages)
     m = messages.select(*cols, normalise_uri(F.coalesce("schemaURI", F.lit(""))).alias("__uri"),
                         F.try_parse_json("data").alias("__v"),
                         F.col("data").rlike(r"^[ \t\n\r]*\{").alias("__root_obj"))
-    j = m.join(side, "__uri", "left")
+    if broadcast:
+        j = m.join(F.broadcast(per_uri), "__uri", "left")
+    else:
+        # A hot schema URI may carry a third of all messages: salt the message
+        # side and replicate each URI's (small) rule row once per salt.
+        m = m.withColumn("__salt", F.pmod(F.xxhash64("data", "__uri"), F.lit(SALT_BUCKETS)))
+        salted = per_uri.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
+        j = m.join(salted, ["__uri", "__salt"], "left")
     errs = F.expr(_errors_sql())
     known_c = F.coalesce(F.col("__known"), F.lit(False))
     checked = j.select(*cols, "__uri", "__v", known_c.alias("__known"),

@@ -91,3 +91,27 @@ def test_last_before_matches_plain_window(spark):
     want = df.withColumn("prev", F.last("v", ignorenulls=True).over(w))
     assert got.select("k", "seq", "prev").exceptAll(want.select("k", "seq", "prev")).count() == 0
     assert got.count() == 3000
+
+
+def test_register_corpus_all_or_nothing(spark, tmp_path):
+    from sluice.operators.registry import RegistrationError, register_corpus
+    good = register_corpus(spark)
+    assert good.count() == 9
+    d = tmp_path / "corpus"
+    d.mkdir()
+    (d / "a-1.0.0.json").write_text('{"$id":"http://r/schemas/a/1.0.0","type":"object"}')
+    (d / "b-1.0.0.json").write_text('{"$id":"http://r/schemas/b/1.0.0","type":"objekt"}')
+    try:
+        register_corpus(spark, str(d))
+        raise AssertionError("expected a refusal")
+    except RegistrationError as e:
+        assert "b-1.0.0.json" in str(e)
+
+
+def test_named_checks(spark):
+    from sluice.functions.checks import check, register_check, registered
+    assert "json_schema" in registered()
+    df = spark.createDataFrame([('{"type":"string"}',), ("{invalid}",), (None,)], "s string")
+    assert [r[0] for r in df.select(check("json_schema", "s")).collect()] == [True, False, False]
+    register_check("short", lambda c: F.length(c) < 10, replace=True)
+    assert [r[0] for r in df.select(check("short", "s")).collect()] == [False, True, False]

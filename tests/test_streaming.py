@@ -71,3 +71,26 @@ def test_all_failed_batch_acks_nothing(spark):
     o = flow.outcome_frame().first()
     assert o["verdict"] == "failed" and o["persisted_count"] == 0
     assert flow.pending_frame().count() == 50
+
+
+def test_progress_log_records_batches(spark):
+    from sluice.streaming.progress import ProgressLog
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        run = new_run_dir(spark, "t-progress")
+        src = os.path.join(run, "src")
+        _replay_files(td.order_records(spark, SF), src, 2, "offset")
+        q = start_ingest(read_replay_stream(spark, src, 1), lambda: corpus_registry(spark),
+                         os.path.join(run, "out"), os.path.join(run, "ck"), trigger={"availableNow": True})
+        q.awaitTermination()
+        import time
+        for _ in range(50):
+            if sum(b["input_rows"] for b in log.batches if b["id"] == str(q.id)) >= 1500:
+                break
+            time.sleep(0.1)
+        rows = sum(b["input_rows"] for b in log.batches if b["id"] == str(q.id))
+        assert rows == td.order_records(spark, SF).count()
+        assert log.failures == []
+    finally:
+        spark.streams.removeListener(log)

@@ -143,3 +143,15 @@ def test_status_filter_stays_above_the_checks(spark, registry):
         .optimizedPlan().toString()
     filt = plan[:plan.index("Generate")]
     assert "try_parse_json" not in filt and "schema_of_variant" not in filt
+
+
+def test_salted_join_matches_broadcast(spark, registry):
+    from sluice.operators import envelope as env
+    from sluice.operators.rules import validate_rules
+    from sluice.sources import testdata as td
+    msgs = env.to_envelope(td.order_records(spark, "/root/testdata/sf0.001"))
+    key = ["offset", "status", "reason", F.array_join("errors", ",").alias("e")]
+    a = validate_rules(msgs, registry, broadcast=True).select(*key)
+    b = validate_rules(msgs, registry, broadcast=False).select(*key)
+    assert a.count() == b.count() == msgs.count()
+    assert a.exceptAll(b).count() == 0
