@@ -41,7 +41,10 @@ KAFKA_SCHEMA = T.StructType([
 def first_header(headers: Column | str, name: str = SCHEMA_HEADER) -> Column:
     """Text of the first header whose key equals ``name`` (case-sensitive); '' if none (PRJ-1)."""
     h = F.col(headers) if isinstance(headers, str) else headers
-    hit = F.get(F.filter(h, lambda x: x["key"] == F.lit(name)), 0)
+    # array_position is 1-based (0 when absent); get() is NULL out of range.
+    # No lambda, so the projection stays in whole-stage codegen.
+    pos = F.array_position(h.getField("key"), F.lit(name))
+    hit = F.get(h, (pos - 1).cast("int"))
     return F.coalesce(hit["value"].cast("string"), F.lit(""))
 
 

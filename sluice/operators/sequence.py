@@ -8,8 +8,9 @@ width instead:
 1. inside each ``(key, bucket)`` a window gives the last value seen earlier
    in the same bucket (groups are bounded by the bucket width);
 2. a per-``(key, bucket)`` summary (last value of the bucket, a partial
-   aggregate) is carried forward across buckets with a window over the
-   summaries only — one row per bucket, tiny next to the data;
+   aggregate over the key/order/value columns only) is carried forward
+   across buckets with a window over the summaries — one row per bucket,
+   tiny next to the data;
 3. the two are combined with a join on ``(key, bucket)``, which reuses the
    partitioning of step 1.
 """
@@ -34,16 +35,21 @@ def last_before(df: DataFrame, keys: list[str], order: str, value: Column | str,
     v = "__val"
     d = df.withColumn(b, F.floor(F.col(order) / F.lit(bucket_width))).withColumn(v, val)
 
+    # Bucket summaries come from the raw rows with a partial aggregate: the
+    # branch reads only the key, order and value columns, and each map task
+    # ships one row per (key, bucket), so its shuffle is tiny.
+    summary = (d.groupBy(*keys, b)
+               .agg(F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(order))).alias("__last")))
     w_in = (Window.partitionBy(*keys, b).orderBy(order)
             .rangeBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("__prev_in", F.last(v, ignorenulls=True).over(w_in))
-
-    summary = (d.groupBy(*keys, b)
-               .agg(F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(order))).alias("__last")))
     w_b = (Window.partitionBy(*keys).orderBy(b)
            .rowsBetween(Window.unboundedPreceding, -1))
-    summary = summary.select(*keys, b, F.last("__last", ignorenulls=True).over(w_b).alias("__carry"))
+    summary = summary.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col(b).alias("__s_b"),
+                             F.last("__last", ignorenulls=True).over(w_b).alias("__carry"))
 
-    return (d.join(summary, on=[*keys, b], how="left")
+    # Null-safe equality: NULL keys form one group, as in a window.
+    cond = [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys] + [F.col(b) == F.col("__s_b")]
+    return (d.join(summary, on=cond, how="left")
             .withColumn(out, F.coalesce(F.col("__prev_in"), F.col("__carry")))
-            .drop(b, v, "__prev_in", "__carry"))
+            .drop(b, v, "__prev_in", "__carry", "__s_b", *[f"__s_{k}" for k in keys]))
