@@ -44,18 +44,24 @@ def load_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
     they are NULL for a document that does not parse or has no usable ``$id``
     (the load-error row replaces an exception).
     """
-    path = path or corpus_dir()
+    if path is None:
+        # The bundled corpus lives inside the package on the driver only; it is
+        # nine small fixed documents, so it is handed to Spark as rows.
+        base = resources.files("sluice") / "schemas"
+        docs = sorted((f"file://{base / n.name}", (base / n.name).read_text())
+                      for n in base.iterdir() if n.name.endswith(".json"))
+        return corpus_from_texts(spark, docs)
     raw = (spark.read.option("pathGlobFilter", "*.json")
            .text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("schema")))
+    return _with_ids(raw)
+
+
+def _with_ids(raw: DataFrame) -> DataFrame:
+    """``(path, schema)`` -> corpus columns; URI, name and version from ``$id``."""
     sid = F.get_json_object("schema", "$['$id']")
-    return raw.select(
-        "path",
-        sid.alias("schemaURI"),
-        uri_name(sid).alias("name"),
-        uri_version(sid).alias("version"),
-        "schema",
-    )
+    return raw.select("path", sid.alias("schemaURI"), uri_name(sid).alias("name"),
+                      uri_version(sid).alias("version"), "schema")
 
 
 # -- admission ---------------------------------------------------------
@@ -177,14 +183,23 @@ def register_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
     return fold_log(corpus_to_log(corpus))
 
 
-def registry_from_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Registry state after registering every admissible corpus document."""
-    corpus = load_corpus(spark, path)
+def registry_of(corpus: DataFrame) -> DataFrame:
+    """Registry state after registering every admissible document of a corpus frame."""
     ok = corpus.where(schema_admissible("schema") & request_ok(
         F.coalesce("name", F.lit("")), F.coalesce("version", F.lit(""))))
     return fold_log(corpus_to_log(ok))
 
 
+def corpus_from_texts(spark: SparkSession, docs: list[tuple[str, str]]) -> DataFrame:
+    """Corpus frame from ``(path, text)`` pairs held on the driver (small, fixed sets)."""
+    return _with_ids(spark.createDataFrame(docs, "path string, schema string"))
+
+
+def registry_from_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Registry state after registering every admissible corpus document."""
+    return registry_of(load_corpus(spark, path))
+
+
 # -- requests ----------------------------------------------------------
 
 def answer_requests(requests: DataFrame, prefix: str = DEFAULT_KEY_PREFIX,

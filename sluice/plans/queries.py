@@ -29,6 +29,13 @@ from ..sources import testdata as td
 FIXTURE_SCHEMAS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "fixtures", "schemas")
 
 
+def _fixture_corpus(spark: SparkSession) -> DataFrame:
+    """The two fixture schemas as a registry (driver-side files, handed over as rows)."""
+    import glob
+    docs = sorted((p, open(p).read()) for p in glob.glob(os.path.join(FIXTURE_SCHEMAS, "*.json")))
+    return reg.registry_of(reg.corpus_from_texts(spark, docs))
+
+
 def _joined(c: Column) -> Column:
     return F.coalesce(F.array_join(F.array_sort(c), ","), F.lit(""))
 
@@ -48,7 +55,7 @@ def corpus_registry(spark: SparkSession, with_fixtures: bool = False) -> DataFra
         return hit
     r = reg.registry_from_corpus(spark)
     if with_fixtures:
-        r = r.unionByName(reg.registry_from_corpus(spark, FIXTURE_SCHEMAS))
+        r = r.unionByName(_fixture_corpus(spark))
     r = r.cache()
     _REGISTRY_MEMO[key] = r
     return r
