@@ -4,13 +4,17 @@ A schema document is compiled once, on the driver, into Column expressions
 over the parsed payload (a VARIANT).  The validation then runs entirely in the
 JVM inside whole-stage codegen; no payload row ever reaches Python.
 
-Supported keywords (draft 2020-12, those the corpus and its tests use):
-``type`` (single or list), ``properties``, ``required``, ``items`` (schema
-form), ``enum``, ``const``, ``minimum``/``maximum`` and their exclusive forms,
-``$ref`` (resolved through the registry at compile time), boolean schemas and,
-opt-in, ``format: email``.  Annotations (``title``, ``description``,
-``$schema``, ``$id``, ``format`` when not asserted) and unknown keywords are
-ignored, as the draft prescribes for unknown keywords.
+Supported keywords (draft 2020-12): ``type`` (single or list),
+``properties``, ``required``, ``items`` (schema form, scalar keywords per
+element), ``enum``, ``const``, ``minimum``/``maximum`` and their exclusive
+forms, ``multipleOf``, ``minLength``/``maxLength``, ``pattern``,
+``minItems``/``maxItems``, ``uniqueItems``, ``minProperties``/
+``maxProperties``, ``additionalProperties: false``, ``dependentRequired``,
+``allOf``/``anyOf``/``oneOf``/``not``, ``if``/``then``/``else``, ``$ref``
+(resolved through the registry at compile time), boolean schemas and, opt-in,
+``format: email``.  Annotations (``title``, ``description``, ``$schema``,
+``$id``, ``format`` when not asserted) and unknown keywords are ignored, as
+the draft prescribes for unknown keywords.
 
 Each check is a pair ``(label, ok)``; ``label`` is ``keyword:path`` with the
 dotted property path (``$`` for the root, ``[]`` for array elements).
@@ -217,6 +221,77 @@ class SchemaCompiler:
                 return (vtype(x) != "STRING") | s.rlike(EMAIL_SHAPE)
             out.checks.append((f"format:{lbl}", guard(email_ok)))
 
+        def num_kw(k):
+            x = node.get(k)
+            return x if isinstance(x, (int, float)) and not isinstance(x, bool) else None
+
+        # string length (code points) and pattern (unanchored search)
+        for kw, op in (("minLength", "ge"), ("maxLength", "le")):
+            if num_kw(kw) is not None:
+                out.checks.append((f"{kw}:{lbl}", guard(_sized(at, "string", float(node[kw]), op))))
+        if isinstance(node.get("pattern"), str):
+            pat = node["pattern"]
+            out.checks.append((f"pattern:{lbl}", guard(
+                lambda v, d, pat=pat: (vtype(at(v)) != "STRING")
+                | F.try_variant_get(at(v), "$", "string").rlike(pat))))
+        # array and object sizes
+        for kw, kind, op in (("minItems", "array", "ge"), ("maxItems", "array", "le"),
+                             ("minProperties", "object", "ge"), ("maxProperties", "object", "le")):
+            if num_kw(kw) is not None:
+                out.checks.append((f"{kw}:{lbl}", guard(_sized(at, kind, float(node[kw]), op))))
+        if node.get("uniqueItems") is True:
+            out.checks.append((f"uniqueItems:{lbl}", guard(lambda v, d: F.coalesce(
+                F.size(F.array_distinct(F.transform(F.try_variant_get(at(v), "$", "array<variant>"),
+                                                    _canonical_json)))
+                == F.size(F.try_variant_get(at(v), "$", "array<variant>")), F.lit(True)))))
+        if num_kw("multipleOf") is not None and node["multipleOf"] > 0:
+            m = float(node["multipleOf"])
+
+            def multiple_ok(v, d, m=m):
+                x = at(v)
+                q = F.try_variant_get(x, "$", "double") / F.lit(m)
+                return (~type_matches(vtype(x), x, "number")) | (F.abs(q - F.round(q)) < F.lit(1e-9))
+            out.checks.append((f"multipleOf:{lbl}", guard(multiple_ok)))
+        props_decl = node.get("properties") if isinstance(node.get("properties"), dict) else {}
+        if node.get("additionalProperties") is False:
+            allowed = list(props_decl)
+
+            def no_extra(v, d, allowed=allowed):
+                keys = F.map_keys(F.try_variant_get(at(v), "$", "map<string,variant>"))
+                extra = F.array_except(keys, F.array(*[F.lit(a) for a in allowed]).cast("array<string>"))
+                return F.coalesce(F.size(extra) == 0, F.lit(True))
+            out.checks.append((f"additionalProperties:{lbl}", guard(no_extra)))
+        if isinstance(node.get("dependentRequired"), dict):
+            for trigger, needed in node["dependentRequired"].items():
+                for name in needed if isinstance(needed, list) else []:
+                    tp, np_ = variant_path(parts + [trigger]), variant_path(parts + [name])
+                    out.checks.append((
+                        f"dependentRequired:{label_path(parts + [name])}",
+                        lambda v, d, tp=tp, np_=np_: F.try_variant_get(v, tp, "variant").isNull()
+                        | F.try_variant_get(v, np_, "variant").isNotNull()))
+
+        # combinators: each subschema is compiled at the same path into a
+        # validity flag; allOf simply adds the subschemas' own checks
+        all_of = node.get("allOf")
+        for sub in all_of if isinstance(all_of, list) else []:
+            self._node(sub, parts, out, depth)
+        if isinstance(node.get("anyOf"), list) and node["anyOf"]:
+            flags = [self._valid_flag(sub, parts, out, depth) for sub in node["anyOf"]]
+            out.checks.append((f"anyOf:{lbl}", guard(lambda v, d, flags=flags: _any(f(v, d) for f in flags))))
+        if isinstance(node.get("oneOf"), list) and node["oneOf"]:
+            flags = [self._valid_flag(sub, parts, out, depth) for sub in node["oneOf"]]
+            out.checks.append((f"oneOf:{lbl}", guard(lambda v, d, flags=flags: _count_true(
+                [f(v, d) for f in flags]) == 1)))
+        if "not" in node:
+            flag = self._valid_flag(node["not"], parts, out, depth)
+            out.checks.append((f"not:{lbl}", guard(lambda v, d, flag=flag: ~flag(v, d))))
+        if "if" in node and ("then" in node or "else" in node):
+            cond = self._valid_flag(node["if"], parts, out, depth)
+            then_f = self._valid_flag(node.get("then", True), parts, out, depth)
+            else_f = self._valid_flag(node.get("else", True), parts, out, depth)
+            out.checks.append((f"if:{lbl}", guard(lambda v, d, c=cond, t=then_f, e=else_f:
+                               F.when(c(v, d), t(v, d)).otherwise(e(v, d)))))
+
         items = node.get("items")
         if isinstance(items, dict) or items is False:
             self._items(items, parts, at, out)
@@ -240,6 +315,16 @@ class SchemaCompiler:
                 for name, sub in props.items():
                     self._node(sub, parts + [name], out, depth)
 
+    def _valid_flag(self, sub, parts, out: CompiledSchema, depth: int):
+        """Compile ``sub`` at ``parts`` into one flag: TRUE when all its checks pass."""
+        tmp = CompiledSchema(uri=out.uri)
+        self._node(sub, parts, tmp, depth)
+        out.unresolved.extend(tmp.unresolved)
+        checks = [ok for _, ok in tmp.checks]
+        if not checks:
+            return lambda v, d: F.lit(True)
+        return lambda v, d: _all(F.coalesce(ok(v, d), F.lit(True)) for ok in checks)
+
     def _items(self, items, parts, at, out: CompiledSchema) -> None:
         """``items`` with scalar keywords, evaluated per element with forall."""
         lbl = label_path(parts) + "[]"
@@ -262,6 +347,50 @@ class SchemaCompiler:
             out.checks.append((label, _forall_check(at, check)))
 
 
+def _all(cols) -> Column:
+    cols = list(cols)
+    out = cols[0]
+    for c in cols[1:]:
+        out = out & c
+    return out
+
+
+def _any(cols) -> Column:
+    cols = list(cols)
+    out = cols[0]
+    for c in cols[1:]:
+        out = out | c
+    return out
+
+
+def _count_true(cols: list[Column]) -> Column:
+    out = F.lit(0)
+    for c in cols:
+        out = out + F.when(c, 1).otherwise(0)
+    return out
+
+
+def _canonical_json(e: Column) -> Column:
+    return F.to_json(e)
+
+
+def _sized(at, kind: str, bound: float, op: str):
+    """Length / item count / property count bound; other types pass."""
+    def check(v, d):
+        x = at(v)
+        if kind == "string":
+            n = F.length(F.try_variant_get(x, "$", "string"))
+            applies = vtype(x) == "STRING"
+        elif kind == "array":
+            n = F.size(F.try_variant_get(x, "$", "array<variant>"))
+            applies = vtype(x).startswith("ARRAY")
+        else:
+            n = F.size(F.try_variant_get(x, "$", "map<string,variant>"))
+            applies = vtype(x).startswith("OBJECT")
+        return (~applies) | _compare(n.cast("double"), bound, op)
+    return check
+
+
 # Element checks are built by factories: ``F.forall`` passes an index to any
 # lambda with a second parameter, so they must take exactly one argument.
 

@@ -55,7 +55,8 @@ def _is_num(x: str) -> str:
 
 def _node_rules(x: str, assert_email: bool) -> str:
     """Keyword rules of one property node ``x`` (struct of parts and node)."""
-    n, lbl, path = f"{x}.node", f"array_join({x}.parts, '.')", _path(f"{x}.parts")
+    n, path = f"{x}.node", _path(f"{x}.parts")
+    lbl = f"CASE WHEN size({x}.parts) = 0 THEN '$' ELSE array_join({x}.parts, '.') END"
     enum = f"transform(try_variant_get({n}, '$.enum', 'array<variant>'), e -> to_json(e))"
     items = _types(n, "$.items.type")
     parts = [
@@ -65,9 +66,13 @@ def _node_rules(x: str, assert_email: bool) -> str:
         f"CASE WHEN {items} IS NOT NULL THEN "
         f"{_rule(f'concat(\'type:\', {lbl}, \'[]\')', path, 'items_type', types=items)} END",
     ]
-    for k in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
+    for k in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf",
+              "minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties"):
         b = f"try_variant_get({n}, '$.{k}', 'variant')"
         parts.append(f"CASE WHEN {_is_num(b)} THEN {_rule(f'concat(\'{k}:\', {lbl})', path, k, bound=f'try_variant_get({b}, \'$\', \'double\')')} END")
+    pat = f"try_variant_get({n}, '$.pattern', 'string')"
+    parts.append(f"CASE WHEN {pat} IS NOT NULL THEN "
+                 f"{_rule(f'concat(\'pattern:\', {lbl})', path, 'pattern', enum=f'array({pat})')} END")
     if assert_email:
         parts.append(f"CASE WHEN try_variant_get({n}, '$.format', 'string') = 'email' THEN "
                      f"{_rule(f'concat(\'format:\', {lbl})', path, 'email')} END")
@@ -83,6 +88,28 @@ def _required_rules(x: str) -> str:
             f"nm -> {_rule(label, path, 'required', types=f'array({parent})')})")
 
 
+# Keywords the rules design does not evaluate; a schema using any of them is
+# reported as ``unsupported_schema`` (use the compiled design for it).
+_UNSUPPORTED = ("allOf", "anyOf", "oneOf", "not", "if", "dependentRequired", "prefixItems",
+                "contains", "patternProperties", "propertyNames", "dependentSchemas",
+                "unevaluatedProperties", "unevaluatedItems")
+
+
+def _unsupported(x: str, ref_ok: bool) -> str:
+    n = f"{x}.node"
+    conds = [f"try_variant_get({n}, '$[\"{k}\"]', 'variant') IS NOT NULL" for k in _UNSUPPORTED]
+    conds.append(f"try_variant_get({n}, '$.uniqueItems', 'boolean') = true")
+    conds.append(f"schema_of_variant(try_variant_get({n}, '$.additionalProperties', 'variant')) "
+                 f"IN ('BOOLEAN', 'OBJECT<>') AND NOT coalesce(try_variant_get({n}, '$.additionalProperties', 'boolean'), false)")
+    conds.append(f"schema_of_variant(try_variant_get({n}, '$.additionalProperties', 'variant')) LIKE 'OBJECT<_%'")
+    # element schemas: only ``type`` is evaluated per element
+    conds.append(f"size(array_except(coalesce(map_keys(try_variant_get({n}, '$.items', 'map<string,variant>')), "
+                 f"array()), array('type', 'title', 'description', '$comment'))) > 0")
+    if not ref_ok:
+        conds.append(f"try_variant_get({n}, '$[\"$ref\"]', 'variant') IS NOT NULL")
+    return "(" + " OR ".join(conds) + ")"
+
+
 def _children(x: str) -> str:
     """Property nodes directly under node ``x``."""
     return (f"transform(coalesce(map_entries(try_variant_get({x}.node, '$.properties', 'map<string,variant>')), "
@@ -90,16 +117,14 @@ def _children(x: str) -> str:
             f"e -> named_struct('parts', concat({x}.parts, array(e.key)), 'node', e.value))")
 
 
-def _rules_sql(assert_email: bool) -> tuple[str, str, str, str]:
-    """SQL pieces: root node, first- and second-level property nodes, root type rule."""
+def _rules_sql(assert_email: bool) -> tuple[str, str, str]:
+    """SQL pieces: root node, first- and second-level property nodes."""
     root = f"named_struct('parts', CAST(array() AS ARRAY<STRING>), 'node', doc)"
     # first-level properties, a ``$ref`` replaced by the registry document it names
     lvl1 = (f"transform({_children('__root')}, c -> named_struct('parts', c.parts, 'node', "
             f"coalesce(parse_json(__refs[try_variant_get(c.node, '$[\"$ref\"]', 'string')]), c.node)))")
     lvl2 = f"flatten(transform(__lvl1, p -> {_children('p')}))"
-    root_rule = (f"CASE WHEN {_types('doc')} IS NOT NULL THEN "
-                 f"{_rule(repr('type:$'), repr('$'), 'type', types=_types('doc'))} END")
-    return root, lvl1, lvl2, root_rule
+    return root, lvl1, lvl2
 
 
 def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFrame:
@@ -110,7 +135,7 @@ def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFra
     ``(schemaURI, __rules ARRAY<rule>, __unresolved BOOLEAN)``.
     """
     docs = registry.select("schemaURI", F.try_parse_json("schema").alias("doc"))
-    root, lvl1, lvl2, root_rule = _rules_sql(assert_email)
+    root, lvl1, lvl2 = _rules_sql(assert_email)
     # $ref targets of first-level properties, resolved against the registry itself
     props = docs.select("schemaURI", F.explode(F.map_values(
         F.try_variant_get("doc", "$.properties", "map<string,variant>"))).alias("node"))
@@ -128,10 +153,13 @@ def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFra
     staged = staged.select("*", F.expr(lvl1).alias("__lvl1"))
     staged = staged.select("*", F.expr(lvl2).alias("__lvl2"))
     rules = F.expr(
-        f"concat(filter(array({root_rule}), r -> r IS NOT NULL), "
-        f"flatten(transform(concat(__lvl1, __lvl2), x -> {_node_rules('x', assert_email)})), "
+        f"concat(flatten(transform(concat(array(__root), __lvl1, __lvl2), x -> {_node_rules('x', assert_email)})), "
         f"flatten(transform(concat(array(__root), __lvl1), x -> {_required_rules('x')})))")
-    return staged.select("schemaURI", F.when(F.col("doc").isNotNull(), rules).alias("__rules"), "__unresolved")
+    unsupported = F.expr(
+        f"exists(concat(array(__root), __lvl2), x -> {_unsupported('x', False)}) "
+        f"OR exists(__lvl1, x -> {_unsupported('x', True)})")
+    return staged.select("schemaURI", F.when(F.col("doc").isNotNull(), rules).alias("__rules"), "__unresolved",
+                         F.coalesce(unsupported, F.lit(False)).alias("__unsupported"))
 
 
 # SQL for one rule against the payload ``__v``; TRUE when satisfied.  Each rule
@@ -173,6 +201,14 @@ def _rule_ok_sql() -> str:
   WHEN 'maximum' THEN {x} IS NULL OR NOT {num} OR {d} <= s.r.bound
   WHEN 'exclusiveMinimum' THEN {x} IS NULL OR NOT {num} OR {d} > s.r.bound
   WHEN 'exclusiveMaximum' THEN {x} IS NULL OR NOT {num} OR {d} < s.r.bound
+  WHEN 'multipleOf' THEN {x} IS NULL OR NOT {num} OR abs({d} / s.r.bound - round({d} / s.r.bound)) < 1e-9
+  WHEN 'minLength' THEN {x} IS NULL OR {t} <> 'STRING' OR length(try_variant_get({x}, '$', 'string')) >= s.r.bound
+  WHEN 'maxLength' THEN {x} IS NULL OR {t} <> 'STRING' OR length(try_variant_get({x}, '$', 'string')) <= s.r.bound
+  WHEN 'minItems' THEN {x} IS NULL OR {t} NOT LIKE 'ARRAY%' OR size(try_variant_get({x}, '$', 'array<variant>')) >= s.r.bound
+  WHEN 'maxItems' THEN {x} IS NULL OR {t} NOT LIKE 'ARRAY%' OR size(try_variant_get({x}, '$', 'array<variant>')) <= s.r.bound
+  WHEN 'minProperties' THEN {x} IS NULL OR {t} NOT LIKE 'OBJECT%' OR size(try_variant_get({x}, '$', 'map<string,variant>')) >= s.r.bound
+  WHEN 'maxProperties' THEN {x} IS NULL OR {t} NOT LIKE 'OBJECT%' OR size(try_variant_get({x}, '$', 'map<string,variant>')) <= s.r.bound
+  WHEN 'pattern' THEN {x} IS NULL OR {t} <> 'STRING' OR try_variant_get({x}, '$', 'string') RLIKE s.r.enum_json[0]
   WHEN 'email' THEN {x} IS NULL OR {t} <> 'STRING'
                    OR try_variant_get({x}, '$', 'string') RLIKE '^[^@\\\\s]+@[^@\\\\s]+\\\\.[^@\\\\s]+$'
   ELSE true END)"""
@@ -192,7 +228,7 @@ def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataF
     """
     from ..session import checkpoint_root
     per_uri = (flatten_registry(registry, assert_email)
-               .select(normalise_uri("schemaURI").alias("__uri"), "__rules", "__unresolved",
+               .select(normalise_uri("schemaURI").alias("__uri"), "__rules", "__unresolved", "__unsupported",
                        F.coalesce(F.size("__rules"), F.lit(0)).alias("__n"), F.lit(True).alias("__known")))
     checkpoint_root(registry.sparkSession)
     # one row per URI: a duplicated registry row must not duplicate messages
@@ -224,7 +260,9 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
     known_c = F.coalesce(F.col("__known"), F.lit(False))
     checked = j.select(*cols, "__uri", "__v", known_c.alias("__known"),
                        F.coalesce(F.col("__unresolved"), F.lit(False)).alias("__unres"),
+                       F.coalesce(F.col("__unsupported"), F.lit(False)).alias("__unsup"),
                        F.when(known_c & F.col("__v").isNotNull(), errs).alias("__errors"))
-    status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unres"), F.col("__v"), F.col("__errors"))
+    status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unres"), F.col("__v"), F.col("__errors"),
+                             F.col("__unsup"))
     return emit_outcome(checked, cols, status, reason,
                         F.when(reason.isin("ok", "schema_violation"), F.array_sort("__errors")))

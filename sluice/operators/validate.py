@@ -4,7 +4,8 @@
 
 * ``status``  — ``valid`` | ``invalid`` | ``error``
 * ``reason``  — ``ok`` | ``schema_violation`` | ``missing_schema_uri`` |
-  ``schema_not_found`` | ``unresolved_ref`` | ``invalid_json``
+  ``schema_not_found`` | ``unresolved_ref`` | ``unsupported_schema`` (rules
+  design only) | ``invalid_json``
 * ``errors``  — ``ARRAY<STRING>`` of violated ``keyword:path`` labels
   (NULL when ``status = 'error'``)
 
@@ -78,10 +79,13 @@ def _normalise_text(uri: str) -> str:
     return uri[:m.start()] + f"/schemas/{m.group(1)}/{parts[0]}.{parts[1]}.{parts[2]}"
 
 
-def _status(uri: Column, known: Column, unresolved: Column, v: Column, errors: Column):
+def _status(uri: Column, known: Column, unresolved: Column, v: Column, errors: Column,
+            unsupported: Column | None = None):
     reason = (F.when(uri == "", "missing_schema_uri")
               .when(~known, "schema_not_found")
               .when(unresolved, "unresolved_ref")
+              .when(F.coalesce(unsupported, F.lit(False)) if unsupported is not None else F.lit(False),
+                    "unsupported_schema")
               .when(v.isNull(), "invalid_json")
               .when(F.size(errors) > 0, "schema_violation")
               .otherwise("ok"))

@@ -1,0 +1,88 @@
+"""Keywords beyond the corpus (compiled design) and their refusal in the rules design."""
+
+import json
+
+import pytest
+
+from sluice.operators import validate as val
+from tests.conftest import envelopes
+
+U = "http://t/schemas/k/1.0.0"
+
+SCHEMA = {
+    "type": "object",
+    "properties": {
+        "code": {"type": "string", "minLength": 2, "maxLength": 4, "pattern": "^[A-Z]+$"},
+        "tags": {"type": "array", "minItems": 1, "maxItems": 3, "uniqueItems": True},
+        "qty": {"type": "integer", "multipleOf": 5},
+        "meta": {"type": "object", "maxProperties": 1},
+        "kind": {"oneOf": [{"type": "string"}, {"type": "integer"}]},
+        "alt": {"anyOf": [{"type": "string", "maxLength": 1}, {"type": "number", "minimum": 10}]},
+        "nope": {"not": {"type": "null"}},
+        "card": {"type": "string"},
+    },
+    "dependentRequired": {"card": ["cvv"]},
+    "if": {"required": ["qty"], "properties": {"qty": {"minimum": 100}}},
+    "then": {"required": ["approved"]},
+    "additionalProperties": False,
+    "allOf": [{"required": ["code"]}],
+}
+SCHEMA["properties"]["cvv"] = {"type": "string"}
+SCHEMA["properties"]["approved"] = {"type": "boolean"}
+
+CASES = [
+    ("ok", {"code": "AB", "tags": [1, 2], "qty": 10, "meta": {"a": 1}, "kind": "x", "alt": "y"}, []),
+    ("short", {"code": "A"}, ["minLength:code"]),
+    ("long_lower", {"code": "abcde"}, ["maxLength:code", "pattern:code"]),
+    ("tags", {"code": "AB", "tags": []}, ["minItems:tags"]),
+    ("dup_tags", {"code": "AB", "tags": [1, 1]}, ["uniqueItems:tags"]),
+    ("many_tags", {"code": "AB", "tags": [1, 2, 3, 4]}, ["maxItems:tags"]),
+    ("qty", {"code": "AB", "qty": 7}, ["multipleOf:qty"]),
+    ("meta", {"code": "AB", "meta": {"a": 1, "b": 2}}, ["maxProperties:meta"]),
+    ("kind_bad", {"code": "AB", "kind": 1.5}, ["oneOf:kind"]),
+    ("alt_ok_num", {"code": "AB", "alt": 12}, []),
+    ("alt_bad", {"code": "AB", "alt": "long"}, ["anyOf:alt"]),
+    ("not", {"code": "AB", "nope": None}, ["not:nope"]),
+    ("dep", {"code": "AB", "card": "x"}, ["dependentRequired:cvv"]),
+    ("dep_ok", {"code": "AB", "card": "x", "cvv": "1"}, []),
+    ("if_then", {"code": "AB", "qty": 100}, ["if:$"]),
+    ("if_then_ok", {"code": "AB", "qty": 100, "approved": True}, []),
+    ("extra", {"code": "AB", "zzz": 1}, ["additionalProperties:$"]),
+    ("allof", {}, ["required:code"]),
+]
+
+
+def test_extra_keywords_compiled(spark):
+    reg = spark.createDataFrame([(U, json.dumps(SCHEMA))], "schemaURI string, schema string")
+    rows = [(k, U, json.dumps(d)) for k, d, _ in CASES]
+    out = val.validate(envelopes(spark, rows), reg, design="compiled")
+    got = {r["k"]: sorted(r["errors"] or []) for r in out.collect()}
+    for k, _, want in CASES:
+        assert got[k] == sorted(want), k
+
+
+def test_rules_design_refuses_combinators(spark):
+    reg = spark.createDataFrame([(U, json.dumps(SCHEMA))], "schemaURI string, schema string")
+    out = val.validate(envelopes(spark, [("a", U, "{}")]), reg, design="rules").first()
+    assert (out["status"], out["reason"]) == ("error", "unsupported_schema")
+
+
+SIMPLE = {
+    "type": "object",
+    "properties": {k: SCHEMA["properties"][k] for k in ("code", "qty", "meta")},
+    "required": ["code"],
+    "maxProperties": 5,
+}
+SIMPLE["properties"]["tags"] = {"type": "array", "minItems": 1, "maxItems": 3}
+
+
+def test_designs_agree_on_per_node_keywords(spark):
+    reg = spark.createDataFrame([(U, json.dumps(SIMPLE))], "schemaURI string, schema string")
+    docs = [d for _, d, _ in CASES] + [{"code": "AB", "a": 1, "b": 2, "c": 3, "d": 4, "e": 5}]
+    rows = [(str(i), U, json.dumps(d)) for i, d in enumerate(docs)]
+    got = {}
+    for design in ("compiled", "rules"):
+        out = val.validate(envelopes(spark, rows), reg, design=design)
+        got[design] = {r["k"]: (r["status"], sorted(r["errors"] or [])) for r in out.collect()}
+    assert got["compiled"] == got["rules"]
+    assert any(e for _, e in got["rules"].values())
