@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
-from .compile import SchemaCompiler
+from .compile import V, SchemaCompiler, sql_str
 from .registry import normalise_uri
 
 MAX_COMPILED_SCHEMAS = 64
@@ -117,18 +117,13 @@ def validate_compiled(messages: DataFrame, compiled: dict) -> DataFrame:
     # URIs that name a registry entry exactly skip the normalisation.
     exact = list(compiled)
     canon = F.when(uri.isin(exact), uri).otherwise(normalise_uri(uri)) if exact else normalise_uri(uri)
-    staged = messages.select(
-        *cols,
-        canon.alias("__uri"),
-        F.try_parse_json(F.col("data")).alias("__v"))
-    u, v, d = F.col("__uri"), F.col("__v"), F.col("data")
-    uris = list(compiled)
-    if uris:
-        case = None
-        for key in uris:
-            e = compiled[key].errors(v, d)
-            case = F.when(u == key, e) if case is None else case.when(u == key, e)
-        known = u.isin(uris)
+    staged = messages.select(*cols, canon.alias("__uri"), F.try_parse_json(F.col("data")).alias(V))
+    u, v = F.col("__uri"), F.col(V)
+    if exact:
+        # one CASE over the registry, emitted as SQL text and parsed once
+        branches = " ".join(f"WHEN __uri = {sql_str(k)} THEN {c.errors_sql()}" for k, c in compiled.items())
+        case = F.expr(f"CASE {branches} END")
+        known = u.isin(exact)
         bad_refs = [k for k, c in compiled.items() if c.unresolved]
         unresolved = u.isin(bad_refs) if bad_refs else F.lit(False)
     else:

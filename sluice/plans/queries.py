@@ -22,7 +22,7 @@ from ..operators import envelope as env
 from ..operators import persist as per
 from ..operators import registry as reg
 from ..operators import validate as val
-from ..operators.compile import struct_type_of, type_matches, vtype
+from ..operators.compile import struct_type_of, type_matches_col
 from ..session import configure
 from ..sources import testdata as td
 
@@ -177,11 +177,9 @@ def q08_type_matrix(spark, sf_dir):
             .when(r == 7, F.concat(F.lit("["), u, F.lit("]")))
             .when(r == 8, F.concat(F.lit('{"k":'), u, F.lit("}")))
             .otherwise(F.concat(F.lit("-"), u)))
-    x = F.col("x")
-    t = vtype(x)
     staged = e.select("event_id", text.alias("json"), try_json(text).alias("x"))
     return staged.select("event_id", "json", *[
-        type_matches(t, x, n).cast("int").alias(f"is_{n}")
+        type_matches_col("x", n).cast("int").alias(f"is_{n}")
         for n in ("string", "integer", "number", "boolean", "null", "array", "object")])
 
 
