@@ -4,10 +4,10 @@ Target rows are items ``(id, timestamp, origin, schemaURI, data)`` keyed by
 ``(id, timestamp)`` plus ``seq`` (arrival order of the write).  A later write
 of the same key replaces the earlier one.
 
-``upsert_table`` keeps the target as parquet partitioned by a hash bucket of
-the key and rewrites only the buckets a batch touches (dynamic partition
-overwrite), so a micro-batch costs in proportion to its own size, not to the
-size of the table.
+``upsert_table`` keeps the target as parquet partitioned by the item's day
+and a hash bucket of the key, and rewrites only the partitions a batch
+touches (dynamic partition overwrite), so a micro-batch costs in proportion
+to the recent partitions it lands in, not to the size of the table.
 """
 
 from __future__ import annotations
@@ -46,29 +46,46 @@ def key_bucket(n_buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in KEY]), F.lit(n_buckets)).cast("int")
 
 
+PARTITIONS = ["day", "bucket"]
+
+
+def partition_columns(items: DataFrame, n_buckets: int) -> DataFrame:
+    """Target partitions: the item's day (from its RFC3339 timestamp) and a
+    hash bucket of the key inside the day.  Events arrive roughly in time
+    order, so a micro-batch touches the recent days only."""
+    return (items.withColumn("day", F.substring("timestamp", 1, 10))
+            .withColumn("bucket", key_bucket(n_buckets)))
+
+
 def upsert_table(spark: SparkSession, items: DataFrame, path: str, staging_root: str,
-                 n_buckets: int = 64) -> None:
-    """Merge ``items`` into the bucketed parquet table at ``path``.
-
-    1. bucket the incoming items and read only the touched buckets of the
-       target (a semi join on the partition column; Spark prunes partitions);
-    2. keep the latest row per key and write the merged buckets to a staging
-       folder (the target cannot be overwritten while it is being read);
-    3. overwrite just those buckets from staging (dynamic partition overwrite).
+                 n_buckets: int = 1) -> None:
+    """Merge ``items`` into the parquet table at ``path`` partitioned by
+    ``(day, bucket)``.
+
+    1. find the partitions the batch touches (a few rows) and read only those
+       from the target (a semi join on the partition columns: Spark prunes
+       the partitions it does not need);
+    2. keep the latest row per key and write the merged partitions to a
+       staging folder (the target cannot be overwritten while being read);
+    3. overwrite just those partitions from staging (dynamic partition
+       overwrite); every other partition is left untouched.
+
+    The cost of a batch is the size of the partitions it touches, not the
+    size of the table.  ``n_buckets`` splits a day when days are large.
     """
-    b = items.withColumn("bucket", key_bucket(n_buckets))
+    b = partition_columns(items, n_buckets)
     if fs_exists(spark, path):
         old = spark.read.parquet(path)
-        touched = b.select("bucket").distinct()
-        old = old.join(F.broadcast(touched), "bucket", "left_semi")  # ≤ n_buckets rows
-        merged = latest_per_key(old.unionByName(b))
+        touched = b.select(*PARTITIONS).distinct()
+        old = old.join(F.broadcast(touched), PARTITIONS, "left_semi")  # days x buckets of one batch
+        merged = latest_per_key(old.unionByName(b), key=KEY + PARTITIONS)
     else:
-        merged = latest_per_key(b)
+        merged = latest_per_key(b, key=KEY + PARTITIONS)
     stage = os.path.join(staging_root, f"merge-{uuid.uuid4().hex}")
-    merged.write.mode("overwrite").partitionBy("bucket").parquet(stage)
+    merged.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(stage)
     (spark.read.parquet(stage).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
+     .partitionBy(*PARTITIONS).parquet(path))
 
 
 # -- outcome of a write ------------------------------------------------------

@@ -2,7 +2,7 @@
 
 Layout under ``root`` (a folder in the shared checkpoint location):
 
-* ``target/``          items, bucketed by key hash, merged per batch
+* ``target/``          items, partitioned by (day, key-hash bucket), merged per batch
 * ``pending/v=<n>/``   entries read but not yet persisted (one version per batch)
 * ``outcomes/batch=<n>/`` one outcome row per batch
 
@@ -53,7 +53,7 @@ class PersistFlow:
     """State and per-batch logic of the persist flow."""
 
     def __init__(self, spark: SparkSession, root: str, read_count: int | None = None,
-                 fail: Callable[[DataFrame], DataFrame] | None = None, n_buckets: int = 64):
+                 fail: Callable[[DataFrame], DataFrame] | None = None, n_buckets: int = 1):
         """``fail(items) -> failed ids`` injects write failures (tests, chaos runs)."""
         self.spark = spark
         self.root = root
@@ -124,7 +124,7 @@ class PersistFlow:
         return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
     def target_frame(self) -> DataFrame:
-        return self.spark.read.parquet(self.target).drop("bucket")
+        return self.spark.read.parquet(self.target).drop(*per.PARTITIONS)
 
     def outcome_frame(self) -> DataFrame:
         return self.spark.read.parquet(self.outcomes)

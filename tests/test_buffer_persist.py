@@ -102,6 +102,7 @@ def test_upsert_table_touches_only_its_buckets(spark):
     t = spark.read.parquet(path)
     assert t.count() == 200
     assert t.where("data = 'v2'").count() == 10
+    assert set(t.columns) >= {"day", "bucket"}
 
 
 def test_chunked_writer_retries(spark):
