@@ -508,3 +508,18 @@ SELECT id, seq FROM (SELECT id, seq FROM b WHERE seq % 3 = 0 ORDER BY seq LIMIT
 ORACLE["q27_stream_ingest"] = validated_orders_sql()
 ORACLE["q28_stream_persist_replay"] = f"""
 SELECT id, {_ts('ts')} AS "timestamp", origin, schemaURI, data, seq FROM ({BUFFER_ENTRIES})"""
+
+ORACLE["q32_ingest_to_target"] = f"""
+WITH m AS ({ORDER_MESSAGES})
+SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || '-' || ("offset" % 10) || '-' || "offset" AS id,
+  {_ts('ts')} AS "timestamp", 'order-topic' AS origin, schemaURI, data
+FROM m JOIN orders ON o_orderkey = "offset"
+WHERE "offset" % 20 > 5 AND o_orderstatus IN ('O', 'F')"""
+
+ORACLE["q33_external_write_outcome"] = """
+WITH b AS (SELECT event_id // 1000 AS batch_id, event_id % 11 = 0 AS failed FROM events),
+g AS (SELECT batch_id, count(*) AS n, count(*) FILTER (WHERE NOT failed) AS persisted_count,
+        count(*) FILTER (WHERE failed) AS unpersisted_count FROM b GROUP BY batch_id)
+SELECT *, CASE WHEN n = 0 THEN 'empty' WHEN persisted_count = 0 THEN 'failed'
+               WHEN unpersisted_count > 0 THEN 'partial' ELSE 'ok' END AS verdict
+FROM g"""

@@ -2,7 +2,8 @@
 
 Layout under ``root`` (a folder in the shared checkpoint location):
 
-* ``target/``          items, partitioned by (day, key-hash bucket), merged per batch
+* ``target/deltas/batch=<n>/``  items persisted by batch n (append only)
+* ``target/base/v=<n>/``  compacted state up to batch n (``compact``)
 * ``pending/v=<n>/``   entries read but not yet persisted (one version per batch)
 * ``outcomes/batch=<n>/`` one outcome row per batch
 
@@ -11,8 +12,9 @@ One ``foreachBatch`` call:
 1. read group = new entries ∪ latest pending version, unique by id (pending
    wins), each list optionally capped;
 2. empty read → no-op;
-3. write the items; ``write_items`` returns the ids the store left
-   unprocessed (the default merges into ``target/`` and never fails);
+3. write the items; ``fail`` (optional) names ids the store left
+   unprocessed; persisted items are appended as the batch's own delta
+   (merge on read: a batch costs its own size, never a table rewrite);
 4. persisted = read group minus failed ids; nothing persisted → the batch is
    ``failed`` and nothing is acknowledged;
 5. pending ``v=<batch>`` = the unpersisted entries with ``attempts + 1``;
@@ -53,17 +55,15 @@ class PersistFlow:
     """State and per-batch logic of the persist flow."""
 
     def __init__(self, spark: SparkSession, root: str, read_count: int | None = None,
-                 fail: Callable[[DataFrame], DataFrame] | None = None, n_buckets: int = 1):
+                 fail: Callable[[DataFrame], DataFrame] | None = None):
         """``fail(items) -> failed ids`` injects write failures (tests, chaos runs)."""
         self.spark = spark
         self.root = root
         self.read_count = read_count
         self.fail = fail
-        self.n_buckets = n_buckets
         self.target = os.path.join(root, "target")
         self.pending = os.path.join(root, "pending")
         self.outcomes = os.path.join(root, "outcomes")
-        self.staging = os.path.join(root, "staging")
         checkpoint_root(spark)
 
     # -- state ----------------------------------------------------------
@@ -96,8 +96,7 @@ class PersistFlow:
         failed = failed.select("id").checkpoint(eager=True)
         persisted, unpersisted = per.split_by_failures(group, failed)
         if not persisted.isEmpty():
-            per.upsert_table(self.spark, items.join(persisted.select("id"), "id", "left_semi"),
-                             self.target, self.staging, self.n_buckets)
+            per.append_items(items.join(persisted.select("id"), "id", "left_semi"), self.target, batch_id)
         (unpersisted.withColumn("attempts", F.col("attempts") + 1)
          .write.mode("overwrite").parquet(os.path.join(self.pending, f"v={batch_id}")))
         outcome = per.batch_outcome(group.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"),
@@ -124,7 +123,16 @@ class PersistFlow:
         return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
     def target_frame(self) -> DataFrame:
-        return self.spark.read.parquet(self.target).drop(*per.PARTITIONS)
+        """Current target state (merge on read)."""
+        state = per.merged_state(self.spark, self.target)
+        if state is None:
+            return self.spark.createDataFrame([], "id string, timestamp string, origin string, "
+                                                  "schemaURI string, data string, seq bigint")
+        return state
+
+    def compact(self) -> int | None:
+        """Fold deltas into a new base version (run between batches or as a job)."""
+        return per.compact(self.spark, self.target)
 
     def outcome_frame(self) -> DataFrame:
         return self.spark.read.parquet(self.outcomes)

@@ -94,3 +94,18 @@ def test_progress_log_records_batches(spark):
         assert log.failures == []
     finally:
         spark.streams.removeListener(log)
+
+
+def test_compaction_keeps_state(spark):
+    run = new_run_dir(spark, "t-compact")
+    entries = td.buffer_entries(spark, SF)
+    flow = PersistFlow(spark, os.path.join(run, "state"))
+    flow.run_batch(entries.where("seq < 400"), 0)
+    flow.run_batch(entries.where("seq >= 300"), 1)  # overlap: redelivered entries
+    before = flow.target_frame()
+    assert before.count() == entries.count()
+    assert flow.compact() == 1
+    flow.run_batch(entries.where("seq < 10"), 2)
+    after = flow.target_frame()
+    assert after.count() == entries.count()
+    assert before.select("id", "data").exceptAll(after.select("id", "data")).count() == 0
