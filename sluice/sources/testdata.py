@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.routes import DEFAULT_REGISTRY_BASE
+from ..session import spread
 
 ORDER_V2_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/order/2.0.0"
 PRODUCT_V1_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/product/1.0.0"
@@ -22,7 +23,10 @@ OWNER_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/owner/1.0.0"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table.  The test files hold one row group each (one input
+    split), so a table is spread over the default parallelism; real inputs
+    have many splits and are left as read (see ``session.spread``)."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _s(c: Column) -> Column:
