@@ -117,3 +117,16 @@ def test_chunked_writer_retries(spark):
     import pandas as pd
     out = list(run(iter([pd.DataFrame({"id": ["a1", "a2", "a3", "stuck"]})])))
     assert sorted(out[0]["id"]) == ["stuck"]
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """A key holding a third of the rows is reduced map-side (partial aggregate)."""
+    rows = [("hot" if i % 3 == 0 else f"k{i}", i) for i in range(3000)]
+    df = _entries(spark, rows)
+    out = buf.dedupe_last(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+    got = {r["id"]: r["seq"] for r in out.collect()}
+    assert got["hot"] == 2997 and len(got) == 2001
+    up = per.upsert(None, env.item(df, keep=["seq"]))
+    assert "partial_max_by" in up._jdf.queryExecution().executedPlan().toString()
