@@ -115,7 +115,10 @@ def spread(df, min_partitions: int | None = None):
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view of the frame (e.g. a remote session): leave it
         return df
     return df.repartition(target)
