@@ -73,12 +73,19 @@ def read_group(new: DataFrame, pending: DataFrame, count: int | None = None) ->
     return dedupe_last(tagged, ["__src", "seq"]).drop("__src")
 
 
+def unique_ids(ids: DataFrame) -> DataFrame:
+    """Distinct ids.  The distinct is a partial aggregate: copies of one id
+    (even a third of the list) collapse map-side, so the id side of the anti
+    join below is never skewed — a skew split can only cut the *left* side of
+    an anti/semi join."""
+    return ids.select("id").distinct()
+
+
 def ack(pending: DataFrame, acked_ids: DataFrame) -> DataFrame:
     """Pending entries minus acknowledged ids (JOIN-3)."""
-    # an anti join ignores duplicate ids on the right; no distinct needed
-    return pending.join(acked_ids.select("id"), "id", "left_anti")
+    return pending.join(unique_ids(acked_ids), "id", "left_anti")
 
 
 def delete(buffer: DataFrame, ids: DataFrame) -> DataFrame:
     """Buffer minus deleted ids (JOIN-4)."""
-    return buffer.join(ids.select("id"), "id", "left_anti")
+    return buffer.join(unique_ids(ids), "id", "left_anti")

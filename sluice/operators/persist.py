@@ -148,7 +148,7 @@ def compact(spark: SparkSession, path: str) -> int | None:
 
 def split_by_failures(batch: DataFrame, failed_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(persisted, unpersisted) rows of a batch given the ids that failed (JOIN-2)."""
-    f = failed_ids.select("id")
+    f = failed_ids.select("id").distinct()  # copies collapse map-side; see buffer.unique_ids
     return batch.join(f, "id", "left_anti"), batch.join(f, "id", "left_semi")
 
 
