@@ -123,3 +123,12 @@ def generate(seeds: DataFrame, zero_values: bool = False,
         schema_uri(F.col("name"), F.col("version"), base).alias("schemaURI"),
         F.timestamp_seconds(F.lit(1_704_067_200) + F.col("seed")).alias("timestamp"),
         "data")
+
+
+def generate_stream(spark, rows_per_second: int = 10, zero_values: bool = False,
+                    base: str = DEFAULT_REGISTRY_BASE) -> DataFrame:
+    """Streaming generator: a ``rate`` source supplies the seeds (the producer's
+    fixed cadence, 10 records/s by default)."""
+    seeds = (spark.readStream.format("rate").option("rowsPerSecond", str(rows_per_second)).load()
+             .select(F.col("value").alias("seed")))
+    return generate(seeds, zero_values=zero_values, base=base)

@@ -38,3 +38,13 @@ class ProgressLog(StreamingQueryListener):
         if event.exception:
             with self._lock:
                 self.failures.append({"id": str(event.id), "error": event.exception})
+
+
+def stop_after_current_batch(query, poll: float = 0.1, timeout: float = 60.0) -> None:
+    """Graceful stop (STR-8): wait until no trigger is running, then stop, so
+    the batch in flight commits its offsets before the query ends."""
+    import time
+    deadline = time.time() + timeout
+    while query.isActive and query.status.get("isTriggerActive") and time.time() < deadline:
+        time.sleep(poll)
+    query.stop()

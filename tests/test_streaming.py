@@ -109,3 +109,48 @@ def test_compaction_keeps_state(spark):
     after = flow.target_frame()
     assert after.count() == entries.count()
     assert before.select("id", "data").exceptAll(after.select("id", "data")).count() == 0
+
+
+def test_registry_refresh_between_batches(spark):
+    """A schema registered while the stream runs is used from the next batch on."""
+    import json as _json
+    from sluice.operators import registry as reg_ops
+    run = new_run_dir(spark, "t-refresh")
+    src, out = os.path.join(run, "src"), os.path.join(run, "out")
+    uri = "http://schema-repository:8080/schemas/late/1.0.0"
+    rows = [(None, b'{"a":1}', "late-topic", 0, i, None, 0, [("schemaURI", uri.encode())]) for i in range(4)]
+    from sluice.operators.envelope import KAFKA_SCHEMA
+    recs = spark.createDataFrame(rows, KAFKA_SCHEMA)
+    recs.where("offset < 2").write.parquet(os.path.join(src, "f1"))
+    docs = [corpus_registry(spark)]
+    q = start_ingest(read_replay_stream(spark, os.path.join(src, "*"), 1), lambda: docs[0], out,
+                     os.path.join(run, "ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    late = reg_ops.registry_of(reg_ops.corpus_from_texts(spark, [("late.json", _json.dumps(
+        {"$id": uri, "type": "object", "required": ["a"]}))]))
+    docs[0] = corpus_registry(spark).unionByName(late)
+    recs.where("offset >= 2").write.parquet(os.path.join(src, "f2"))
+    q = start_ingest(read_replay_stream(spark, os.path.join(src, "*"), 1), lambda: docs[0], out,
+                     os.path.join(run, "ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    got = {r["offset"]: r["reason"] for r in read_outcomes(spark, out).collect()}
+    assert got == {0: "schema_not_found", 1: "schema_not_found", 2: "ok", 3: "ok"}
+
+
+def test_generator_stream_and_graceful_stop(spark):
+    from sluice.sources.generator import generate_stream
+    from sluice.streaming.progress import stop_after_current_batch
+    name = "gen_stream_test"
+    q = (generate_stream(spark, rows_per_second=50).writeStream.format("memory").queryName(name)
+         .trigger(processingTime="200 milliseconds").start())
+    try:
+        import time
+        for _ in range(100):
+            if spark.table(name).count() >= 9:
+                break
+            time.sleep(0.2)
+    finally:
+        stop_after_current_batch(q)
+    assert not q.isActive
+    got = spark.table(name)
+    assert got.count() >= 9 and got.select("schemaURI").distinct().count() >= 2
