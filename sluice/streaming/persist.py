@@ -87,13 +87,20 @@ class PersistFlow:
         if pending is None:
             pending = new.limit(0)
         group = buf.read_group(new, pending, self.read_count)
-        # the read group is used four times below; materialise it once
-        group = group.checkpoint(eager=True)
+        # The read group is used four times below: write it once as a table in
+        # the shared state folder (cuts the lineage, computed once, survives
+        # executor loss) and read it back.
+        gpath = os.path.join(self.root, "groups", f"batch={batch_id}")
+        group.write.mode("overwrite").parquet(gpath)
+        group = self.spark.read.parquet(gpath)
         if group.isEmpty():
             return
         items = env.item(group, keep=["seq"])
+        # the store's answer must be taken once (writes have side effects)
         failed = self.fail(group) if self.fail else group.limit(0).select("id")
-        failed = failed.select("id").checkpoint(eager=True)
+        fpath = os.path.join(self.root, "failed", f"batch={batch_id}")
+        failed.select("id").write.mode("overwrite").parquet(fpath)
+        failed = self.spark.read.parquet(fpath)
         persisted, unpersisted = per.split_by_failures(group, failed)
         if not persisted.isEmpty():
             per.append_items(items.join(persisted.select("id"), "id", "left_semi"), self.target, batch_id)
