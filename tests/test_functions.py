@@ -62,3 +62,15 @@ def test_routes(spark):
     u = spark.createDataFrame([(r["u"],), ("http://x/schemas/only",), ("http://x/other/a/b",)], "u string")
     got = [(x[0], x[1]) for x in u.select(uri_name("u"), uri_version("u")).collect()]
     assert got == [("order", "2.0.0"), (None, None), (None, None)]
+
+
+def test_json_text_helpers(spark):
+    from sluice.functions import split_csv, text_of_bytes, try_json, valid_utf8
+    df = spark.createDataFrame([(bytearray(b'{"a":1}'), "b1:9092,b2:9092", '{"x":'),
+                                (bytearray(b"\xff\xfe"), "t", "[1]")], "b binary, csv string, j string")
+    rows = df.select(text_of_bytes("b").alias("t"), valid_utf8("b").alias("u"), split_csv("csv").alias("s"),
+                     try_json("j").isNotNull().alias("ok")).collect()
+    assert rows[0]["t"] == '{"a":1}' and rows[0]["u"] == '{"a":1}'
+    assert rows[1]["u"] is None
+    assert rows[0]["s"] == ["b1:9092", "b2:9092"] and rows[1]["s"] == ["t"]
+    assert [r["ok"] for r in rows] == [False, True]
