@@ -70,6 +70,9 @@ def _node_rules(x: str, assert_email: bool) -> str:
               "minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties"):
         b = f"try_variant_get({n}, '$.{k}', 'variant')"
         parts.append(f"CASE WHEN {_is_num(b)} THEN {_rule(f'concat(\'{k}:\', {lbl})', path, k, bound=f'try_variant_get({b}, \'$\', \'double\')')} END")
+    const = f"try_variant_get({n}, '$.const', 'variant')"
+    parts.append(f"CASE WHEN {const} IS NOT NULL THEN "
+                 f"{_rule(f'concat(\'const:\', {lbl})', path, 'enum', enum=f'array(to_json({const}))')} END")
     pat = f"try_variant_get({n}, '$.pattern', 'string')"
     parts.append(f"CASE WHEN {pat} IS NOT NULL THEN "
                  f"{_rule(f'concat(\'pattern:\', {lbl})', path, 'pattern', enum=f'array({pat})')} END")
@@ -110,6 +113,14 @@ def _unsupported(x: str, ref_ok: bool) -> str:
     return "(" + " OR ".join(conds) + ")"
 
 
+def _too_deep(x: str) -> str:
+    """Object keywords on a second-level node would need a third level."""
+    n = f"{x}.node"
+    return (f"(try_variant_get({n}, '$.properties', 'variant') IS NOT NULL "
+            f"OR try_variant_get({n}, '$.required', 'variant') IS NOT NULL "
+            f"OR try_variant_get({n}, '$.additionalProperties', 'variant') IS NOT NULL)")
+
+
 def _children(x: str) -> str:
     """Property nodes directly under node ``x``."""
     return (f"transform(coalesce(map_entries(try_variant_get({x}.node, '$.properties', 'map<string,variant>')), "
@@ -157,7 +168,8 @@ def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFra
         f"flatten(transform(concat(array(__root), __lvl1), x -> {_required_rules('x')})))")
     unsupported = F.expr(
         f"exists(concat(array(__root), __lvl2), x -> {_unsupported('x', False)}) "
-        f"OR exists(__lvl1, x -> {_unsupported('x', True)})")
+        f"OR exists(__lvl1, x -> {_unsupported('x', True)}) "
+        f"OR exists(__lvl2, x -> {_too_deep('x')})")
     return staged.select("schemaURI", F.when(F.col("doc").isNotNull(), rules).alias("__rules"), "__unresolved",
                          F.coalesce(unsupported, F.lit(False)).alias("__unsupported"))
 

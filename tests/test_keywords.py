@@ -86,3 +86,23 @@ def test_designs_agree_on_per_node_keywords(spark):
         got[design] = {r["k"]: (r["status"], sorted(r["errors"] or [])) for r in out.collect()}
     assert got["compiled"] == got["rules"]
     assert any(e for _, e in got["rules"].values())
+
+
+def test_rules_const_and_depth(spark):
+    deep = {"type": "object", "properties": {"a": {"type": "object", "properties": {
+        "b": {"type": "object", "properties": {"c": {"type": "string"}}}}}}}
+    flat = {"type": "object", "properties": {"v": {"const": "x"}}}
+    reg = spark.createDataFrame([("http://t/schemas/deep/1.0.0", json.dumps(deep)),
+                                 ("http://t/schemas/flat/1.0.0", json.dumps(flat))],
+                                "schemaURI string, schema string")
+    rows = [("deep", "http://t/schemas/deep/1.0.0", '{"a":{"b":{"c":1}}}'),
+            ("const_ok", "http://t/schemas/flat/1.0.0", '{"v":"x"}'),
+            ("const_bad", "http://t/schemas/flat/1.0.0", '{"v":"y"}')]
+    rules = {r["k"]: (r["reason"], r["errors"]) for r in
+             val.validate(envelopes(spark, rows), reg, design="rules").collect()}
+    comp = {r["k"]: (r["reason"], r["errors"]) for r in
+            val.validate(envelopes(spark, rows), reg, design="compiled").collect()}
+    assert rules["deep"][0] == "unsupported_schema"
+    assert comp["deep"] == ("schema_violation", ["type:a.b.c"])
+    assert rules["const_ok"][0] == comp["const_ok"][0] == "ok"
+    assert rules["const_bad"][1] == comp["const_bad"][1] == ["const:v"]
