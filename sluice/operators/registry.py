@@ -12,7 +12,6 @@ state-changing op before it, computed with the skew-safe ``last_before``.
 
 from __future__ import annotations
 
-import os
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +20,9 @@ from pyspark.sql import functions as F
 from ..functions.routes import (DEFAULT_REGISTRY_BASE, URI_SEGMENT, URI_TAIL,
                                 uri_name, uri_version)
 from ..functions.semver import DEFAULT_KEY_PREFIX, parse_semver, registry_key, semver_text
+from .compile import TYPE_NAMES
 from .sequence import last_before
 
-# The seven type names a schema may declare.
-SCHEMA_TYPE_NAMES = ("string", "integer", "number", "boolean", "null", "array", "object")
-
-REGISTRY_COLUMNS = ["key", "name", "version", "schemaURI", "schema"]
 
 _PART = r"(0|[1-9][0-9]{0,2}|10[01][0-9]|102[0-3])"
 CANONICAL_TAIL = rf"/schemas/[^/]+/{_PART}\.{_PART}\.{_PART}$"
@@ -83,7 +79,7 @@ def schema_admissible(schema: Column | str) -> Column:
     def kw_t(name: str) -> Column:
         return F.schema_of_variant(kw(name))
 
-    names = F.array(*[F.lit(n) for n in SCHEMA_TYPE_NAMES])
+    names = F.array(*[F.lit(n) for n in TYPE_NAMES])
     type_t = kw_t("type")
     type_ok = (type_t.isNull()
                | ((type_t == "STRING") & F.array_contains(names, F.try_variant_get(kw("type"), "$", "string")))

@@ -19,7 +19,6 @@ PRODUCT_V1_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/product/1.0.0"
 PRODUCT_V2_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/product/2.0.0"
 UNKNOWN_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/nope/1.0.0"
 ACCOUNT_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/account/1.0.0"
-OWNER_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/owner/1.0.0"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,9 +39,6 @@ from ..operators import envelope as env
 from ..operators import persist as per
 from ..session import checkpoint_root, fs_children, fs_exists
 
-ENTRY_WITH_ATTEMPTS = buf.ENTRY_COLUMNS + ["attempts"]
-
-
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions (``v=<n>`` folders holding ``_SUCCESS``)."""
     out = []
