@@ -26,13 +26,18 @@ def last_before(df: DataFrame, keys: list[str], order: str, value: Column | str,
     """Add column ``out``: the last non-null ``value`` among rows with the
     same ``keys`` and a strictly smaller ``order`` (ties: none counted).
 
-    ``order`` must be an integral column (a sequence number or epoch micros);
-    ``bucket_width`` bounds the rows any one window group holds for a key with
-    unique order values.
+    ``order`` is an integral column (a sequence number) or a timestamp (taken
+    as epoch microseconds); ``bucket_width`` bounds the rows any one window
+    group holds for a key with unique order values.
     """
     val = F.col(value) if isinstance(value, str) else value
     b = "__bucket"
     v = "__val"
+    if dict(df.dtypes).get(order, "").startswith("timestamp"):
+        # time order: bucket and compare on epoch microseconds
+        df = df.withColumn("__order", F.unix_micros(F.col(order).cast("timestamp")))
+        out_df = last_before(df, keys, "__order", val, out, bucket_width)
+        return out_df.drop("__order")
     d = df.withColumn(b, F.floor(F.col(order) / F.lit(bucket_width))).withColumn(v, val)
 
     # Bucket summaries come from the raw rows with a partial aggregate: the

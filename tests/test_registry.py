@@ -115,3 +115,12 @@ def test_named_checks(spark):
     assert [r[0] for r in df.select(check("json_schema", "s")).collect()] == [True, False, False]
     register_check("short", lambda c: F.length(c) < 10, replace=True)
     assert [r[0] for r in df.select(check("short", "s")).collect()] == [False, True, False]
+
+
+def test_last_before_with_timestamp_order(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    rows = [("k", base + dt.timedelta(seconds=i), i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, v int")
+    got = {r["v"]: r["prev"] for r in last_before(df, ["k"], "ts", "v", "prev", bucket_width=7_000_000).collect()}
+    assert got[0] is None and all(got[i] == i - 1 for i in range(1, 50))
