@@ -28,6 +28,7 @@ stream stops are redelivered by ``drain``.
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Callable
 
@@ -39,6 +40,8 @@ from ..operators import envelope as env
 from ..operators import persist as per
 from ..session import checkpoint_root, fs_children, fs_exists
 
+log = logging.getLogger(__name__)
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions (``v=<n>`` folders holding ``_SUCCESS``)."""
     out = []
@@ -93,10 +96,16 @@ class PersistFlow:
         if group.isEmpty():
             return
         items = env.item(group, keep=["seq"])
-        # the store's answer must be taken once (writes have side effects)
-        failed = self.fail(group) if self.fail else group.limit(0).select("id")
+        # The store's answer is taken once (writes have side effects).  A store
+        # error is a write without a response: every id counts as unpersisted,
+        # nothing is acknowledged, and the stream carries on (failure isolation).
         fpath = os.path.join(self.root, "failed", f"batch={batch_id}")
-        failed.select("id").write.mode("overwrite").parquet(fpath)
+        try:
+            failed = self.fail(group) if self.fail else group.limit(0).select("id")
+            failed.select("id").write.mode("overwrite").parquet(fpath)
+        except Exception as exc:  # noqa: BLE001 - any store failure fails the batch, not the stream
+            log.warning("persist batch %s: store write failed, nothing persisted: %s", batch_id, exc)
+            group.select("id").write.mode("overwrite").parquet(fpath)
         failed = self.spark.read.parquet(fpath)
         persisted, unpersisted = per.split_by_failures(group, failed)
         if not persisted.isEmpty():

@@ -154,3 +154,19 @@ def test_generator_stream_and_graceful_stop(spark):
     assert not q.isActive
     got = spark.table(name)
     assert got.count() >= 9 and got.select("schemaURI").distinct().count() >= 2
+
+
+def test_store_error_fails_the_batch_not_the_stream(spark):
+    run = new_run_dir(spark, "t-store-error")
+    entries = td.buffer_entries(spark, SF).where("seq < 40")
+
+    def broken(group):
+        raise RuntimeError("store unavailable")
+    flow = PersistFlow(spark, os.path.join(run, "state"), fail=broken)
+    flow.run_batch(entries, 0)
+    o = flow.outcome_frame().first()
+    assert o["verdict"] == "failed" and o["unpersisted_count"] == 40
+    assert flow.pending_frame().count() == 40
+    flow.fail = None  # the store is back: the next delivery persists everything
+    flow.drain()
+    assert flow.target_frame().count() == 40
