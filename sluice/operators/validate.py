@@ -46,9 +46,10 @@ def registry_size(registry: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"])
 
 
-def compile_registry(registry: DataFrame, assert_email: bool = False):
+def compile_registry(registry: DataFrame, assert_email: bool = False,
+                     size: tuple[int, int] | None = None):
     """Driver-side compile of a size-checked registry: {uri: CompiledSchema}."""
-    n, b = registry_size(registry)
+    n, b = size or registry_size(registry)
     if n > MAX_COMPILED_SCHEMAS or b > MAX_COMPILED_BYTES:
         raise ValueError(f"registry too large to compile ({n} docs, {b} bytes); use design='rules'")
     rows = registry.select("schemaURI", "schema").collect()
@@ -98,15 +99,17 @@ def _status(uri: Column, known: Column, unresolved: Column, v: Column, errors: C
 def validate(messages: DataFrame, registry: DataFrame, design: str = "auto",
              assert_email: bool = False) -> DataFrame:
     """Envelope frame -> same frame + ``status``, ``reason``, ``errors``."""
+    size = None
     if design == "auto":
-        n, b = registry_size(registry)
+        size = registry_size(registry)
+        n, b = size
         design = "compiled" if (n <= MAX_COMPILED_SCHEMAS and b <= MAX_COMPILED_BYTES) else "rules"
     if design == "rules":
         from .rules import validate_rules
         return validate_rules(messages, registry, assert_email=assert_email)
     if design != "compiled":
         raise ValueError(f"unknown design {design!r}")
-    return validate_compiled(messages, compile_registry(registry, assert_email))
+    return validate_compiled(messages, compile_registry(registry, assert_email, size))
 
 
 def validate_compiled(messages: DataFrame, compiled: dict) -> DataFrame:

@@ -44,10 +44,11 @@ class RegistryCache:
         fp = tuple(self.fingerprint(reg))
         if fp != self._fp:
             self._fp, self._frame = fp, reg
-            n, b = val.registry_size(reg)
+            size = val.registry_size(reg)
+            n, b = size
             use_compiled = self.design == "compiled" or (
                 self.design == "auto" and n <= val.MAX_COMPILED_SCHEMAS and b <= val.MAX_COMPILED_BYTES)
-            self._compiled = val.compile_registry(reg) if use_compiled else None
+            self._compiled = val.compile_registry(reg, size=size) if use_compiled else None
         if self._compiled is not None:
             return val.validate_compiled(messages, self._compiled)
         return val.validate(messages, self._frame, design="rules")
