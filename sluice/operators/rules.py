@@ -250,9 +250,13 @@ def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataF
 
 
 def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool = False,
-                   broadcast: bool | None = None) -> DataFrame:
-    """Design B: same output as ``validate_compiled``."""
-    per_uri, n_rules = rules_by_uri(registry, assert_email)
+                   broadcast: bool | None = None,
+                   rules: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """Design B: same output as ``validate_compiled``.
+
+    ``rules`` takes a ``rules_by_uri`` result to reuse across micro-batches.
+    """
+    per_uri, n_rules = rules or rules_by_uri(registry, assert_email)
     if broadcast is None:
         broadcast = n_rules <= BROADCAST_MAX_RULES
     cols = messages.columns

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..operators import buffer as buf
 from ..operators import envelope as env
 from ..operators import validate as val
+from ..operators.rules import rules_by_uri, validate_rules
 
 
 class RegistryCache:
@@ -35,6 +36,7 @@ class RegistryCache:
         self._fp = None
         self._compiled = None
         self._frame = None
+        self._rules = None
 
     def fingerprint(self, reg: DataFrame):
         return reg.agg(F.count(F.lit(1)), F.sum(F.xxhash64("schemaURI", "schema"))).first()
@@ -49,9 +51,10 @@ class RegistryCache:
             use_compiled = self.design == "compiled" or (
                 self.design == "auto" and n <= val.MAX_COMPILED_SCHEMAS and b <= val.MAX_COMPILED_BYTES)
             self._compiled = val.compile_registry(reg, size=size) if use_compiled else None
+            self._rules = None if use_compiled else rules_by_uri(reg)
         if self._compiled is not None:
             return val.validate_compiled(messages, self._compiled)
-        return val.validate(messages, self._frame, design="rules")
+        return validate_rules(messages, self._frame, rules=self._rules)
 
 
 def ingest_batch(records: DataFrame, batch_id: int, registry: RegistryCache, out: str) -> None:

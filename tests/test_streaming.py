@@ -170,3 +170,16 @@ def test_store_error_fails_the_batch_not_the_stream(spark):
     flow.fail = None  # the store is back: the next delivery persists everything
     flow.drain()
     assert flow.target_frame().count() == 40
+
+
+def test_ingest_with_rules_design_equals_batch(spark):
+    run = new_run_dir(spark, "t-ingest-rules")
+    src, out, ck = (os.path.join(run, p) for p in ("src", "out", "ck"))
+    recs = td.order_records(spark, SF)
+    _replay_files(recs, src, 3, "offset")
+    q = start_ingest(read_replay_stream(spark, src, 1), lambda: corpus_registry(spark), out, ck,
+                     trigger={"availableNow": True}, design="rules")
+    q.awaitTermination()
+    streamed = read_outcomes(spark, out).select("offset", "status", "reason")
+    batch = val.validate(env.to_envelope(recs), corpus_registry(spark)).select("offset", "status", "reason")
+    assert streamed.exceptAll(batch).count() == 0 and streamed.count() == batch.count()
