@@ -48,7 +48,6 @@ def test_sink_frame_round_trips_through_replay(spark):
     import os
     from sluice.operators import envelope as env
     from sluice.session import new_run_dir
-    from sluice.sources import testdata as td
     from sluice.sources.kafka import read_replay_stream
     recs = generate(_seeds(spark, 90))
     sink = to_kafka_frame(recs)
@@ -66,4 +65,3 @@ def test_sink_frame_round_trips_through_replay(spark):
     back = spark.table("kafka_rt").select("origin", "schemaURI", "data")
     assert back.exceptAll(recs.select("origin", "schemaURI", "data")).count() == 0
     assert back.count() == 90
-    del td
