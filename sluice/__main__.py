@@ -60,8 +60,18 @@ def cmd_persist(args) -> int:
     spark = _session()
     # the buffer's folders carry ``batch`` and ``status`` partitions; the file
     # stream adds them as columns, so only valid entries are selected
-    entries = (spark.readStream.schema(read_buffer(spark, args.buffer).schema).parquet(args.buffer)
-               .where(F.col("status") == "valid").select(*ENTRY_COLUMNS))
+    reader = spark.readStream.schema(read_buffer(spark, args.buffer).schema)
+    if args.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(args.max_files_per_trigger))
+    if args.clean_source:
+        # Retention: files of committed batches are deleted by the source (a
+        # batch's files go once the next batch starts).
+        # Unacknowledged entries live on in the flow's pending tables, and only
+        # the valid folders are read, so reject files stay for inspection.
+        entries = (reader.option("cleanSource", "delete")
+                   .parquet(f"{args.buffer}/*/status=valid").select(*ENTRY_COLUMNS))
+    else:
+        entries = reader.parquet(args.buffer).where(F.col("status") == "valid").select(*ENTRY_COLUMNS)
     flow = PersistFlow(spark, args.state, read_count=args.read_count)
     ck = args.checkpoint or scratch_path(spark, "persist-checkpoint")
     q = flow.start(entries, ck, trigger=_trigger(args))
@@ -95,13 +105,14 @@ def build_parser() -> argparse.ArgumentParser:
     i.add_argument("--registry", help="folder of schema documents (default: bundled corpus)")
     i.add_argument("--out", required=True, help="buffer/outcome folder")
     i.add_argument("--max-poll-records", type=int, default=None, help="maxOffsetsPerTrigger")
-    i.add_argument("--max-files-per-trigger", type=int, default=None)
     i.set_defaults(func=cmd_ingest)
 
     s = sub.add_parser("persist", help="buffer -> target table, acknowledging what persisted")
     s.add_argument("--buffer", required=True)
     s.add_argument("--state", required=True, help="target / pending / outcomes folder")
     s.add_argument("--read-count", type=int, default=None, help="cap per list and read (None: no cap)")
+    s.add_argument("--clean-source", action="store_true",
+                   help="delete buffer files once their batch has committed (valid folders only)")
     s.set_defaults(func=cmd_persist)
 
     r = sub.add_parser("register", help="check and list a schema corpus")
@@ -109,6 +120,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.set_defaults(func=cmd_register)
 
     for sp in (i, s):
+        sp.add_argument("--max-files-per-trigger", type=int, default=None)
         sp.add_argument("--checkpoint")
         sp.add_argument("--tick", default="1 second")
         sp.add_argument("--once", action="store_true", help="process what is available, then stop")

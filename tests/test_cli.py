@@ -24,3 +24,22 @@ def test_register_ingest_persist(spark, capsys):
                  "--checkpoint", os.path.join(run, "ck2")]) == 0
     n_valid = spark.read.parquet(out).where("status = 'valid'").count()
     assert PersistFlow(spark, state).target_frame().count() == n_valid > 0
+
+
+def test_persist_with_clean_source(spark):
+    run = new_run_dir(spark, "t-cli-clean")
+    src, out, state = (os.path.join(run, p) for p in ("src", "buffer", "state"))
+    _replay_files(td.order_records(spark, SF), src, 2, "offset")
+    assert main(["ingest", "--replay", src, "--out", out, "--once", "--max-files-per-trigger", "1",
+                 "--checkpoint", os.path.join(run, "ck1")]) == 0
+    n_valid = spark.read.parquet(out).where("status = 'valid'").count()
+    import glob
+    first = sorted(glob.glob(os.path.join(out, "batch=0", "status=valid", "*.parquet")))
+    assert first
+    assert main(["persist", "--buffer", out, "--state", state, "--once", "--clean-source",
+                 "--max-files-per-trigger", str(len(first)),
+                 "--checkpoint", os.path.join(run, "ck2")]) == 0
+    assert PersistFlow(spark, state).target_frame().count() == n_valid
+    # files of the first (committed) batch are gone, reject files are kept
+    assert not any(os.path.exists(f) for f in first)
+    assert glob.glob(os.path.join(out, "*", "status=invalid", "*.parquet"))
