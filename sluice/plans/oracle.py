@@ -523,3 +523,44 @@ g AS (SELECT batch_id, count(*) AS n, count(*) FILTER (WHERE NOT failed) AS pers
 SELECT *, CASE WHEN n = 0 THEN 'empty' WHEN persisted_count = 0 THEN 'failed'
                WHEN unpersisted_count > 0 THEN 'partial' ELSE 'ok' END AS verdict
 FROM g"""
+
+ADDRESS_MESSAGES = f"""
+  SELECT c_custkey,
+    '{BASE}/address/' || CASE WHEN c_custkey % 2 = 0 THEN '1.0.0' ELSE '2.0.0' END AS schemaURI,
+    '{{"street":"Street ' || c_custkey || '"'
+    || CASE WHEN c_custkey % 7 = 0 THEN '' ELSE ',"city":"' || n_name || '"' END
+    || CASE WHEN c_custkey % 5 = 0 THEN ',"postalCode":' || c_custkey ELSE ',"postalCode":"P' || c_custkey || '"' END
+    || CASE WHEN c_custkey % 2 = 1 THEN
+         CASE WHEN c_custkey % 11 = 0 THEN ',"country":' || c_custkey ELSE ',"country":"' || r_name || '"' END
+       ELSE '' END || '}}' AS data
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
+
+_ADDR_COMMON = [ROOT_OBJ, _str_prop("street"), _str_prop("city"), _str_prop("postalCode"),
+                _req("street"), _req("city"), _req("postalCode")]
+_ADDR_V2 = _ADDR_COMMON + [_str_prop("country")]
+
+ORACLE["q34_address_versions"] = f"""
+WITH p AS (SELECT *, CASE WHEN json_valid(data) THEN data END AS j FROM ({ADDRESS_MESSAGES})),
+e AS (SELECT c_custkey, schemaURI, j,
+        CASE WHEN schemaURI LIKE '%/1.0.0' THEN {_errors('j', _ADDR_COMMON)} ELSE {_errors('j', _ADDR_V2)} END AS errors
+      FROM p)
+SELECT c_custkey, schemaURI,
+  CASE WHEN errors <> '' THEN 'invalid' ELSE 'valid' END AS status,
+  CASE WHEN errors <> '' THEN 'schema_violation' ELSE 'ok' END AS reason, errors
+FROM e"""
+
+USER_MESSAGES = """
+  SELECT c_custkey, '{"id":' || c_custkey || ',"name":"' || c_name || '"'
+    || CASE WHEN c_custkey % 13 = 0 THEN ''
+            WHEN c_custkey % 9 = 0 THEN ',"email":"c' || c_custkey || '.example.com"'
+            ELSE ',"email":"c' || c_custkey || '@example.com"' END || '}' AS data
+  FROM customer"""
+
+USER_CHECKS = [
+    ROOT_OBJ, _int_prop("id"), _str_prop("name"), _str_prop("email"),
+    ("format:email", _opt("j", "$.email", "(NOT " + _is_str("j", "$.email")
+                          + r" OR regexp_full_match(json_extract_string(j, '$.email'), '[^@\s]+@[^@\s]+\.[^@\s]+'))")),
+    _req("id"), _req("name"), _req("email"),
+]
+
+ORACLE["q35_user_email"] = _status_sql("", USER_CHECKS, "c_custkey", USER_MESSAGES)

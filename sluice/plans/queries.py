@@ -581,3 +581,59 @@ def q33_external_write_outcome(spark, sf_dir):
 
 QUERIES["q32_ingest_to_target"] = q32_ingest_to_target
 QUERIES["q33_external_write_outcome"] = q33_external_write_outcome
+
+
+def _address_messages(spark, sf_dir):
+    """``customer`` joined to ``nation`` and ``region`` -> address v1/v2 messages.
+
+    v1 for even keys, v2 (with ``country``) for odd keys; faults: ``city``
+    missing when ``c_custkey % 7 = 0``, ``postalCode`` a number when
+    ``% 5 = 0``, ``country`` a number when ``% 11 = 0``.  The dimension joins
+    are left to the optimizer (both sides are tiny and size-checked by it).
+    """
+    c = td.table(spark, sf_dir, "customer")
+    n = td.table(spark, sf_dir, "nation")
+    r = td.table(spark, sf_dir, "region")
+    j = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
+         .join(r, n.n_regionkey == r.r_regionkey, "left"))
+    k = F.col("c_custkey")
+    s = lambda x: x.cast("string")
+    street = F.concat(F.lit('{"street":"Street '), s(k), F.lit('"'))
+    city = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(',"city":"'), F.col("n_name"), F.lit('"')))
+    postal = F.when(k % 5 == 0, F.concat(F.lit(',"postalCode":'), s(k))) \
+        .otherwise(F.concat(F.lit(',"postalCode":"P'), s(k), F.lit('"')))
+    country = F.when(k % 11 == 0, F.concat(F.lit(',"country":'), s(k))) \
+        .otherwise(F.concat(F.lit(',"country":"'), F.col("r_name"), F.lit('"')))
+    version = F.when(k % 2 == 0, F.lit("1.0.0")).otherwise(F.lit("2.0.0"))
+    data = F.concat(street, city, postal, F.when(k % 2 == 1, country).otherwise(F.lit("")), F.lit("}"))
+    return j.select(k.alias("c_custkey"), F.lit("address-topic").alias("origin"),
+                    F.concat(F.lit("http://schema-repository:8080/schemas/address/"), version).alias("schemaURI"),
+                    F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), data.alias("data"))
+
+
+def q34_address_versions(spark, sf_dir):
+    """Address messages of both versions (joined from three tables) validated."""
+    configure(spark)
+    out = val.validate(_address_messages(spark, sf_dir), corpus_registry(spark))
+    return out.select("c_custkey", "schemaURI", "status", "reason", _joined(F.col("errors")).alias("errors"))
+
+
+def q35_user_email(spark, sf_dir):
+    """``customer`` -> user/1.0.0 messages validated with ``format: email`` asserted."""
+    configure(spark)
+    c = td.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    email = (F.when(k % 13 == 0, F.lit(""))
+             .when(k % 9 == 0, F.concat(F.lit(',"email":"c'), k.cast("string"), F.lit('.example.com"')))
+             .otherwise(F.concat(F.lit(',"email":"c'), k.cast("string"), F.lit('@example.com"'))))
+    data = F.concat(F.lit('{"id":'), k.cast("string"), F.lit(',"name":"'), F.col("c_name"), F.lit('"'), email,
+                    F.lit("}"))
+    msgs = c.select(k.alias("c_custkey"), F.lit("user-topic").alias("origin"),
+                    F.lit("http://schema-repository:8080/schemas/user/1.0.0").alias("schemaURI"),
+                    F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"), data.alias("data"))
+    out = val.validate(msgs, corpus_registry(spark), assert_email=True)
+    return _outcome(out, "c_custkey")
+
+
+QUERIES["q34_address_versions"] = q34_address_versions
+QUERIES["q35_user_email"] = q35_user_email

@@ -21,11 +21,16 @@ UNKNOWN_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/nope/1.0.0"
 ACCOUNT_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/account/1.0.0"
 
 
+# Fixed-size dimension tables: broadcast as read, never spread.
+DIMENSIONS = {"nation", "region"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table.  The test files hold one row group each (one input
-    split), so a table is spread over the default parallelism; real inputs
-    have many splits and are left as read (see ``session.spread``)."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    split), so a fact table is spread over the default parallelism; real
+    inputs have many splits and are left as read (see ``session.spread``)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if name in DIMENSIONS else spread(df)
 
 
 def _s(c: Column) -> Column:
