@@ -249,6 +249,47 @@ def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataF
     return per_uri.drop("__n"), int(n)
 
 
+def compile_fallback(registry: DataFrame, per_uri: DataFrame, assert_email: bool = False) -> dict:
+    """Compiled checks for the schemas the rules cannot express (combinators).
+
+    Only used when their number and text size stay within the compiled
+    design's bounds (checked before anything is read on the driver); beyond
+    that those schemas keep the ``unsupported_schema`` outcome.  ``$ref``
+    targets are fetched from the registry by URI, one small lookup each.
+    """
+    import json as _json
+
+    from .compile import SchemaCompiler
+    from .validate import MAX_COMPILED_BYTES, MAX_COMPILED_SCHEMAS, _normalise_text
+    flagged = per_uri.where(F.col("__unsupported")).select("__uri")
+    docs = (registry.select(normalise_uri("schemaURI").alias("__uri"), "schema")
+            .join(flagged, "__uri", "left_semi"))
+    row = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("schema")), F.lit(0)).alias("b")).first()
+    if row["n"] == 0 or row["n"] > MAX_COMPILED_SCHEMAS or row["b"] > MAX_COMPILED_BYTES:
+        return {}
+    texts = {r["__uri"]: r["schema"] for r in docs.collect()}
+    own = set(texts)  # the flagged schemas; ``texts`` also gains $ref targets below
+
+    def resolve(uri: str):
+        key = _normalise_text(uri)
+        if key not in texts:
+            hit = (registry.where(normalise_uri("schemaURI") == F.lit(key)).select("schema").first())
+            texts[key] = hit["schema"] if hit else None
+        try:
+            return _json.loads(texts[key]) if texts[key] else None
+        except ValueError:
+            return None
+
+    comp = SchemaCompiler(resolve=resolve, assert_email=assert_email)
+    out = {}
+    for u in own:
+        try:
+            out[u] = comp.compile(u, _json.loads(texts[u]))
+        except (TypeError, ValueError):
+            continue  # not JSON: refused by admission, never matched
+    return out
+
+
 def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool = False,
                    broadcast: bool | None = None,
                    rules: tuple[DataFrame, int] | None = None) -> DataFrame:
@@ -273,10 +314,23 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
         salted = per_uri.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
         j = m.join(salted, ["__uri", "__salt"], "left")
     errs = F.expr(_errors_sql())
+    unres = F.coalesce(F.col("__unresolved"), F.lit(False))
+    unsup = F.coalesce(F.col("__unsupported"), F.lit(False))
+    fallback = compile_fallback(registry, per_uri, assert_email)
+    if fallback:
+        # schemas the rules cannot express are checked by their compiled form
+        from .compile import sql_str
+        uris = list(fallback)
+        branches = " ".join(f"WHEN __uri = {sql_str(u)} THEN {c.errors_sql()}" for u, c in fallback.items())
+        in_fb = F.col("__uri").isin(uris)
+        errs = F.when(in_fb, F.expr(f"CASE {branches} END")).otherwise(errs)
+        unsup = unsup & ~in_fb
+        bad = [u for u, c in fallback.items() if c.unresolved]
+        if bad:
+            unres = unres | F.col("__uri").isin(bad)
     known_c = F.coalesce(F.col("__known"), F.lit(False))
-    checked = j.select(*cols, "__uri", "__v", known_c.alias("__known"),
-                       F.coalesce(F.col("__unresolved"), F.lit(False)).alias("__unres"),
-                       F.coalesce(F.col("__unsupported"), F.lit(False)).alias("__unsup"),
+    checked = j.select(*cols, "__uri", "__v", known_c.alias("__known"), unres.alias("__unres"),
+                       unsup.alias("__unsup"),
                        F.when(known_c & F.col("__v").isNotNull(), errs).alias("__errors"))
     status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unres"), F.col("__v"), F.col("__errors"),
                              F.col("__unsup"))

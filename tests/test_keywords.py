@@ -61,7 +61,20 @@ def test_extra_keywords_compiled(spark):
         assert got[k] == sorted(want), k
 
 
-def test_rules_design_refuses_combinators(spark):
+def test_rules_design_compiles_what_rules_cannot_express(spark):
+    """Combinators under the rules design: the schema falls back to its compiled
+    checks (within the compiled bounds) and gives the compiled result."""
+    reg = spark.createDataFrame([(U, json.dumps(SCHEMA))], "schemaURI string, schema string")
+    rows = [(k, U, json.dumps(d)) for k, d, _ in CASES]
+    out = val.validate(envelopes(spark, rows), reg, design="rules")
+    got = {r["k"]: sorted(r["errors"] or []) for r in out.collect()}
+    for k, _, want in CASES:
+        assert got[k] == sorted(want), k
+
+
+def test_rules_design_refuses_combinators_beyond_the_bound(spark, monkeypatch):
+    from sluice.operators import validate as v
+    monkeypatch.setattr(v, "MAX_COMPILED_SCHEMAS", 0)
     reg = spark.createDataFrame([(U, json.dumps(SCHEMA))], "schemaURI string, schema string")
     out = val.validate(envelopes(spark, [("a", U, "{}")]), reg, design="rules").first()
     assert (out["status"], out["reason"]) == ("error", "unsupported_schema")
@@ -102,7 +115,7 @@ def test_rules_const_and_depth(spark):
              val.validate(envelopes(spark, rows), reg, design="rules").collect()}
     comp = {r["k"]: (r["reason"], r["errors"]) for r in
             val.validate(envelopes(spark, rows), reg, design="compiled").collect()}
-    assert rules["deep"][0] == "unsupported_schema"
-    assert comp["deep"] == ("schema_violation", ["type:a.b.c"])
+    # three levels are beyond the rule arrays: the schema falls back to its compiled checks
+    assert rules["deep"] == comp["deep"] == ("schema_violation", ["type:a.b.c"])
     assert rules["const_ok"][0] == comp["const_ok"][0] == "ok"
     assert rules["const_bad"][1] == comp["const_bad"][1] == ["const:v"]
