@@ -10,7 +10,7 @@ Layout under ``root`` (a folder in the shared checkpoint location):
 One ``foreachBatch`` call:
 
 1. read group = new entries ∪ latest pending version, unique by id (pending
-   wins), each list optionally capped;
+   wins), each list optionally capped (entries beyond the cap stay pending);
 2. empty read → no-op;
 3. write the items; ``fail`` (optional) names ids the store left
    unprocessed; persisted items are appended as the batch's own delta
@@ -110,8 +110,14 @@ class PersistFlow:
         persisted, unpersisted = per.split_by_failures(group, failed)
         if not persisted.isEmpty():
             per.append_items(items.join(persisted.select("id"), "id", "left_semi"), self.target, batch_id)
-        (unpersisted.withColumn("attempts", F.col("attempts") + 1)
-         .write.mode("overwrite").parquet(os.path.join(self.pending, f"v={batch_id}")))
+        next_pending = unpersisted.withColumn("attempts", F.col("attempts") + 1)
+        if self.read_count is not None:
+            # Entries beyond the read cap were not read this time; they stay
+            # pending (unchanged attempts) so the next read picks them up.
+            unread = (new.unionByName(pending).join(group.select("id"), "id", "left_anti")
+                      .dropDuplicates(["id"]))
+            next_pending = next_pending.unionByName(unread)
+        next_pending.write.mode("overwrite").parquet(os.path.join(self.pending, f"v={batch_id}"))
         outcome = per.batch_outcome(group.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"),
                                     failed.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"))
         outcome.write.mode("overwrite").parquet(os.path.join(self.outcomes, f"batch={batch_id}"))

@@ -183,3 +183,16 @@ def test_ingest_with_rules_design_equals_batch(spark):
     streamed = read_outcomes(spark, out).select("offset", "status", "reason")
     batch = val.validate(env.to_envelope(recs), corpus_registry(spark)).select("offset", "status", "reason")
     assert streamed.exceptAll(batch).count() == 0 and streamed.count() == batch.count()
+
+
+def test_read_cap_defers_instead_of_dropping(spark):
+    run = new_run_dir(spark, "t-cap")
+    entries = td.buffer_entries(spark, SF).where("seq < 50")
+    flow = PersistFlow(spark, os.path.join(run, "state"), read_count=10)
+    flow.run_batch(entries, 0)
+    o = flow.outcome_frame().first()
+    assert o["n"] == 10
+    assert flow.pending_frame().count() == 40
+    rounds = flow.drain(max_rounds=20)
+    assert rounds >= 4
+    assert flow.target_frame().count() == 50
