@@ -110,20 +110,38 @@ def append_items(items: DataFrame, path: str, batch_id: int) -> None:
     items.write.mode("overwrite").parquet(os.path.join(path, "deltas", f"batch={batch_id}"))
 
 
+def _deltas(spark: SparkSession, path: str) -> list[str]:
+    """Committed delta folder names (``batch=<id>``)."""
+    from ..session import fs_children
+    root = os.path.join(path, "deltas")
+    return sorted(n for n in fs_children(spark, root)
+                  if n.startswith("batch=") and fs_exists(spark, os.path.join(root, n, "_SUCCESS")))
+
+
+def _latest_base(spark: SparkSession, path: str) -> tuple[int, set[str]] | None:
+    """Newest base version whose list of covered deltas is committed."""
+    for v in reversed(_committed(spark, os.path.join(path, "base"), "v=")):
+        cov = os.path.join(path, "covered", f"v={v}")
+        if fs_exists(spark, os.path.join(cov, "_SUCCESS")):
+            return v, {r["delta"] for r in spark.read.parquet(cov).collect()}  # folder names only
+    return None
+
+
 def merged_state(spark: SparkSession, path: str) -> DataFrame | None:
-    """Current target: latest base version ∪ later deltas, latest row per key.
+    """Current target: latest base version ∪ the deltas it does not cover,
+    latest row per key.
 
     ``max_by`` per key is a partial aggregate, so duplicate deliveries of one
     key are combined map-side.
     """
-    bases = _committed(spark, os.path.join(path, "base"), "v=")
-    base_v = bases[-1] if bases else -1
+    base = _latest_base(spark, path)
+    covered = base[1] if base else set()
     parts = []
-    if bases:
-        parts.append(spark.read.parquet(os.path.join(path, "base", f"v={base_v}")))
-    deltas = [b for b in _committed(spark, os.path.join(path, "deltas"), "batch=") if b > base_v]
+    if base:
+        parts.append(spark.read.parquet(os.path.join(path, "base", f"v={base[0]}")))
+    deltas = [d for d in _deltas(spark, path) if d not in covered]
     if deltas:
-        parts.append(spark.read.parquet(*[os.path.join(path, "deltas", f"batch={b}") for b in deltas]))
+        parts.append(spark.read.parquet(*[os.path.join(path, "deltas", d) for d in deltas]))
     if not parts:
         return None
     allrows = parts[0]
@@ -133,14 +151,18 @@ def merged_state(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def compact(spark: SparkSession, path: str) -> int | None:
-    """Fold the base and all committed deltas into a new base version,
-    numbered by the last delta it includes; later reads skip older deltas."""
-    deltas = _committed(spark, os.path.join(path, "deltas"), "batch=")
-    if not deltas:
+    """Fold the base and all committed deltas into a new base version and
+    record exactly which delta folders it covers; later reads skip those."""
+    deltas = _deltas(spark, path)
+    base = _latest_base(spark, path)
+    if not deltas or (base and set(deltas) <= base[1]):
         return None
     state = merged_state(spark, path)
-    v = deltas[-1]
+    versions = _committed(spark, os.path.join(path, "base"), "v=")
+    v = (versions[-1] + 1) if versions else 0
     state.write.mode("overwrite").parquet(os.path.join(path, "base", f"v={v}"))
+    (spark.createDataFrame([(d,) for d in deltas], "delta string").coalesce(1)
+     .write.mode("overwrite").parquet(os.path.join(path, "covered", f"v={v}")))
     return v
 
 

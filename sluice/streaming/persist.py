@@ -4,7 +4,7 @@ Layout under ``root`` (a folder in the shared checkpoint location):
 
 * ``target/deltas/batch=<n>/``  items persisted by batch n (append only)
 * ``target/base/v=<n>/``  compacted state up to batch n (``compact``)
-* ``pending/v=<n>/``   entries read but not yet persisted (one version per batch)
+* ``pending/v=<seq>_b=<batch>/``  entries read but not yet persisted (one version per batch)
 * ``outcomes/batch=<n>/`` one outcome row per batch
 
 One ``foreachBatch`` call:
@@ -17,8 +17,9 @@ One ``foreachBatch`` call:
    (merge on read: a batch costs its own size, never a table rewrite);
 4. persisted = read group minus failed ids; nothing persisted → the batch is
    ``failed`` and nothing is acknowledged;
-5. pending ``v=<batch>`` = the unpersisted entries with ``attempts + 1``;
-   written as a new version, never over the version being read;
+5. a new pending version = the unpersisted entries with ``attempts + 1``;
+   written as a new version (``seq`` orders versions in time), never over the
+   version being read;
 6. one outcome row.
 
 A batch id already present in ``outcomes/`` is skipped, so a re-run of a
@@ -42,12 +43,14 @@ from ..session import checkpoint_root, fs_children, fs_exists
 
 log = logging.getLogger(__name__)
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions (``v=<n>`` folders holding ``_SUCCESS``)."""
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
+    """Committed pending versions ``v=<seq>_b=<batch>`` as (seq, batch, name),
+    oldest first.  ``seq`` orders versions in time, whatever the batch ids."""
     out = []
     for name in fs_children(spark, path):
-        if name.startswith("v=") and fs_exists(spark, os.path.join(path, name, "_SUCCESS")):
-            out.append(int(name[2:]))
+        if name.startswith("v=") and "_b=" in name and fs_exists(spark, os.path.join(path, name, "_SUCCESS")):
+            seq, batch = name[2:].split("_b=")
+            out.append((int(seq), int(batch), name))
     return sorted(out)
 
 
@@ -67,13 +70,17 @@ class PersistFlow:
         checkpoint_root(spark)
 
     # -- state ----------------------------------------------------------
-    def pending_frame(self, before: int | None = None) -> DataFrame | None:
-        """Latest committed pending version (older than ``before`` when given:
-        a re-run of batch n must not read the version it wrote itself)."""
-        vs = [v for v in _versions(self.spark, self.pending) if before is None or v < before]
+    def pending_frame(self, exclude_batch: int | None = None) -> DataFrame | None:
+        """Latest committed pending version; a re-run of batch n skips the
+        version batch n wrote itself and reads the one before it."""
+        vs = [v for v in _versions(self.spark, self.pending) if v[1] != exclude_batch]
         if not vs:
             return None
-        return self.spark.read.parquet(os.path.join(self.pending, f"v={vs[-1]}"))
+        return self.spark.read.parquet(os.path.join(self.pending, vs[-1][2]))
+
+    def _next_pending_name(self, batch_id: int) -> str:
+        vs = _versions(self.spark, self.pending)
+        return f"v={(vs[-1][0] + 1) if vs else 0}_b={batch_id}"
 
     def done(self, batch_id: int) -> bool:
         return fs_exists(self.spark, os.path.join(self.outcomes, f"batch={batch_id}", "_SUCCESS"))
@@ -83,7 +90,7 @@ class PersistFlow:
         if self.done(batch_id):
             return  # replayed batch: its effect is already recorded
         new = new.select(*buf.ENTRY_COLUMNS).withColumn("attempts", F.lit(1))
-        pending = self.pending_frame(before=batch_id)
+        pending = self.pending_frame(exclude_batch=batch_id)
         if pending is None:
             pending = new.limit(0)
         group = buf.read_group(new, pending, self.read_count)
@@ -117,13 +124,25 @@ class PersistFlow:
             unread = (new.unionByName(pending).join(group.select("id"), "id", "left_anti")
                       .dropDuplicates(["id"]))
             next_pending = next_pending.unionByName(unread)
-        next_pending.write.mode("overwrite").parquet(os.path.join(self.pending, f"v={batch_id}"))
+        next_pending.write.mode("overwrite").parquet(os.path.join(self.pending, self._next_pending_name(batch_id)))
         outcome = per.batch_outcome(group.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"),
                                     failed.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"))
         outcome.write.mode("overwrite").parquet(os.path.join(self.outcomes, f"batch={batch_id}"))
 
-    def drain(self, max_rounds: int = 10, first_id: int = 1 << 40) -> int:
-        """Redeliver pending entries with no new input until none are left."""
+    DRAIN_BASE = 1 << 40  # drain rounds get ids far above any stream batch id
+
+    def _next_drain_id(self) -> int:
+        from ..session import fs_children
+        used = [int(n.split("=", 1)[1]) for n in fs_children(self.spark, self.outcomes)
+                if n.startswith("batch=") and int(n.split("=", 1)[1]) >= self.DRAIN_BASE]
+        pend = [v[1] for v in _versions(self.spark, self.pending) if v[1] >= self.DRAIN_BASE]
+        return max(used + pend + [self.DRAIN_BASE - 1]) + 1
+
+    def drain(self, max_rounds: int = 10) -> int:
+        """Redeliver pending entries with no new input until none are left.
+
+        Rounds are numbered after the last round ever run, so a later drain
+        never mistakes its rounds for ones already done."""
         empty = self.spark.createDataFrame([], env.ENVELOPE_SCHEMA).select(
             F.lit(None).cast("string").alias("id"), F.lit(None).cast("bigint").alias("seq"),
             "origin", "schemaURI", "timestamp", "data").limit(0)
@@ -132,7 +151,7 @@ class PersistFlow:
             p = self.pending_frame()
             if p is None or p.isEmpty():
                 break
-            self.run_batch(empty, first_id + rounds)
+            self.run_batch(empty, self._next_drain_id())
             rounds += 1
         return rounds
 
