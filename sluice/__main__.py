@@ -69,7 +69,7 @@ def cmd_persist(args) -> int:
         # Unacknowledged entries live on in the flow's pending tables, and only
         # the valid folders are read, so reject files stay for inspection.
         entries = (reader.option("cleanSource", "delete")
-                   .parquet(f"{args.buffer}/*/status=valid").select(*ENTRY_COLUMNS))
+                   .parquet(f"{args.buffer}/*/*/status=valid").select(*ENTRY_COLUMNS))
     else:
         entries = reader.parquet(args.buffer).where(F.col("status") == "valid").select(*ENTRY_COLUMNS)
     flow = PersistFlow(spark, args.state, read_count=args.read_count)

@@ -6,9 +6,10 @@ One ``foreachBatch`` per micro-batch:
   fingerprint changes (a long-running stream picks up new schemas);
 * the batch is validated once and written once, partitioned by ``status``:
   ``status=valid`` is the buffer, the other partitions are the reject
-  output.  Each batch writes its own ``batch=<id>`` folder with overwrite, so
-  a batch Spark re-runs after a failure replaces its own files instead of
-  appending duplicates;
+  output.  Each batch writes its own ``run=<stream id>/batch=<id>`` folder
+  with overwrite, so a batch Spark re-runs after a failure replaces its own
+  files instead of appending duplicates, and a fresh checkpoint starts a new
+  run folder;
 * the stream's offsets are committed only after this function returns
   (at-least-once delivery, exactly-once effect on the output).
 """
@@ -57,8 +58,15 @@ class RegistryCache:
         return validate_rules(messages, self._frame, rules=self._rules)
 
 
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's id, kept in its checkpoint (stable across restarts of the
+    same checkpoint, new for a fresh one)."""
+    return spark.read.json(os.path.join(checkpoint, "metadata")).first()["id"]
+
+
 def ingest_batch(records: DataFrame, batch_id: int, registry: RegistryCache, out: str) -> None:
-    """Validate one micro-batch of Kafka records and write it under ``out``."""
+    """Validate one micro-batch of Kafka records and write it under ``out``
+    (``out`` already names the run: ``<root>/run=<stream id>``)."""
     envelopes = env.to_envelope(records)
     checked = registry.validate(envelopes)
     entries = checked.select(
@@ -74,9 +82,17 @@ def start_ingest(records: DataFrame, registry_loader: Callable[[], DataFrame], o
                  checkpoint: str, trigger: dict | None = None, design: str = "auto"):
     """Start the ingest stream; ``trigger`` defaults to a 1 s processing interval."""
     cache = RegistryCache(registry_loader, design)
-    w = (records.writeStream
-         .foreachBatch(lambda df, bid: ingest_batch(df, bid, cache, out))
-         .option("checkpointLocation", checkpoint))
+    run: dict = {}
+
+    def per_batch(df: DataFrame, bid: int) -> None:
+        # Output goes to run=<stream id>/batch=<id>: a re-run of a batch
+        # replaces its own folder, and a fresh checkpoint on the same folder
+        # starts a new run instead of overwriting earlier batches.
+        if "dir" not in run:
+            run["dir"] = os.path.join(out, f"run={_run_id(df.sparkSession, checkpoint)}")
+        ingest_batch(df, bid, cache, run["dir"])
+
+    w = (records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
     w = w.trigger(**(trigger or {"processingTime": "1 second"}))
     return w.start()
 

@@ -34,7 +34,7 @@ def test_persist_with_clean_source(spark):
                  "--checkpoint", os.path.join(run, "ck1")]) == 0
     n_valid = spark.read.parquet(out).where("status = 'valid'").count()
     import glob
-    first = sorted(glob.glob(os.path.join(out, "batch=0", "status=valid", "*.parquet")))
+    first = sorted(glob.glob(os.path.join(out, "run=*", "batch=0", "status=valid", "*.parquet")))
     assert first
     assert main(["persist", "--buffer", out, "--state", state, "--once", "--clean-source",
                  "--max-files-per-trigger", str(len(first)),
@@ -42,4 +42,4 @@ def test_persist_with_clean_source(spark):
     assert PersistFlow(spark, state).target_frame().count() == n_valid
     # files of the first (committed) batch are gone, reject files are kept
     assert not any(os.path.exists(f) for f in first)
-    assert glob.glob(os.path.join(out, "*", "status=invalid", "*.parquet"))
+    assert glob.glob(os.path.join(out, "*", "*", "status=invalid", "*.parquet"))

@@ -36,9 +36,11 @@ def test_ingest_stream_equals_batch_and_restart_adds_nothing(spark):
     assert streamed.exceptAll(batch).count() == 0
     n_valid = read_buffer(spark, out).count()
     assert n_valid == batch.where("status = 'valid'").count()
-    before = sorted(os.listdir(out))
+    def files():
+        return sorted(os.path.join(d, f) for d, _, fs in os.walk(out) for f in fs)
+    before = files()
     go()  # same checkpoint: nothing new to read
-    assert sorted(os.listdir(out)) == before
+    assert files() == before
     assert read_outcomes(spark, out).count() == streamed.count()
 
 
@@ -215,3 +217,18 @@ def test_repeated_drains_and_compaction_with_later_batches(spark):
     assert flow.target_frame().count() == entries.count()
     assert flow.compact() is not None
     assert flow.target_frame().count() == entries.count()
+
+
+def test_fresh_checkpoint_starts_a_new_run_folder(spark):
+    run = new_run_dir(spark, "t-ingest-fresh")
+    src, out = os.path.join(run, "src"), os.path.join(run, "out")
+    _replay_files(td.order_records(spark, SF), src, 2, "offset")
+    for ck in ("ck1", "ck2"):
+        q = start_ingest(read_replay_stream(spark, src, 1), lambda: corpus_registry(spark), out,
+                         os.path.join(run, ck), trigger={"availableNow": True})
+        q.awaitTermination()
+    runs = [d for d in os.listdir(out) if d.startswith("run=")]
+    assert len(runs) == 2
+    o = read_outcomes(spark, out)
+    n = td.order_records(spark, SF).count()
+    assert o.count() == 2 * n and o.select("id").distinct().count() == n
