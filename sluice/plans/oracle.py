@@ -412,7 +412,7 @@ SELECT id, {_ts('ts')} AS "timestamp", origin, schemaURI, data FROM ({BUFFER_ENT
 
 ORACLE["q18_read_group"] = f"""
 SELECT id, seq, origin, schemaURI, {_ts('ts')} AS "timestamp", data
-FROM ({BUFFER_ENTRIES}) WHERE seq % 2 = 0 OR seq % 3 = 0"""
+FROM ({BUFFER_ENTRIES})"""
 
 ORACLE["q19_write_outcome"] = """
 WITH b AS (SELECT event_id // 100 AS batch_id, (event_id % 7 = 0 OR event_id // 100 = 3) AS failed FROM events),
@@ -423,7 +423,7 @@ SELECT *, CASE WHEN n = 0 THEN 'empty' WHEN persisted_count = 0 THEN 'failed'
 FROM g"""
 
 ORACLE["q20_ack_pending"] = f"""
-SELECT id, seq FROM ({BUFFER_ENTRIES}) WHERE seq % 3 = 0 AND seq % 7 = 0"""
+SELECT id, seq FROM ({BUFFER_ENTRIES}) WHERE seq % 7 = 0"""
 
 ORACLE["q21_delete"] = f"""
 SELECT id, seq, origin FROM ({BUFFER_ENTRIES}) WHERE seq % 5 <> 0"""
@@ -501,7 +501,7 @@ ORACLE["q30_minimum_ref"] = _status_sql("", ACCOUNT_CHECKS, "c_custkey", ACCOUNT
 
 ORACLE["q31_read_group_capped"] = f"""
 WITH b AS ({BUFFER_ENTRIES})
-SELECT id, seq FROM (SELECT id, seq FROM b WHERE seq % 2 = 0 ORDER BY seq LIMIT 25)
+SELECT id, seq FROM (SELECT id, seq FROM b ORDER BY seq LIMIT 25)
 UNION
 SELECT id, seq FROM (SELECT id, seq FROM b WHERE seq % 3 = 0 ORDER BY seq LIMIT 25)"""
 

@@ -314,12 +314,14 @@ def q17_item_projection(spark, sf_dir):
 # -- buffer and persistence ---------------------------------------------------
 
 def _new_pending(spark, sf_dir):
+    """Every entry arrives as new; a third (``seq % 3 = 0``) is also still
+    pending from an earlier read, so the two lists overlap."""
     b = td.buffer_entries(spark, sf_dir)
-    return b.where(F.col("seq") % 2 == 0), b.where(F.col("seq") % 3 == 0)
+    return b, b.where(F.col("seq") % 3 == 0)
 
 
 def q18_read_group(spark, sf_dir):
-    """New (even seq) plus pending (seq % 3 = 0) entries, unique by id."""
+    """All entries new, a third also pending: one row per id."""
     configure(spark)
     new, pending = _new_pending(spark, sf_dir)
     g = buf.read_group(new, pending)
@@ -335,10 +337,12 @@ def q19_write_outcome(spark, sf_dir):
 
 
 def q20_ack_pending(spark, sf_dir):
-    """Pending entries left after acknowledging what persisted."""
+    """Every entry pending; all but ``seq % 7 = 0`` acknowledged (with
+    duplicate acks for ``seq % 3 = 0``): what stays pending."""
     configure(spark)
-    _, pending = _new_pending(spark, sf_dir)
-    acked = pending.where(F.col("seq") % 7 != 0).select("id")
+    pending = td.buffer_entries(spark, sf_dir)
+    acks = pending.where(F.col("seq") % 7 != 0).select("id")
+    acked = acks.unionByName(acks.where(F.col("id").endswith("0")))
     return buf.ack(pending, acked).select("id", "seq")
 
 
