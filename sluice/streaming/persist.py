@@ -33,6 +33,7 @@ import logging
 import os
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,26 +95,33 @@ class PersistFlow:
         if pending is None:
             pending = new.limit(0)
         group = buf.read_group(new, pending, self.read_count)
-        # The read group is used four times below: write it once as a table in
-        # the shared state folder (cuts the lineage, computed once, survives
-        # executor loss) and read it back.
-        gpath = os.path.join(self.root, "groups", f"batch={batch_id}")
-        group.write.mode("overwrite").parquet(gpath)
-        group = self.spark.read.parquet(gpath)
+        # The read group is used several times below: keep it for this batch.
+        # If an executor is lost, Spark recomputes it deterministically from
+        # the batch's source files and the pending table.
+        group = group.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._finish_batch(new, pending, group, batch_id)
+        finally:
+            group.unpersist()
+
+    def _finish_batch(self, new: DataFrame, pending: DataFrame, group: DataFrame, batch_id: int) -> None:
         if group.isEmpty():
             return
         items = env.item(group, keep=["seq"])
-        # The store's answer is taken once (writes have side effects).  A store
-        # error is a write without a response: every id counts as unpersisted,
-        # nothing is acknowledged, and the stream carries on (failure isolation).
-        fpath = os.path.join(self.root, "failed", f"batch={batch_id}")
-        try:
-            failed = self.fail(group) if self.fail else group.limit(0).select("id")
-            failed.select("id").write.mode("overwrite").parquet(fpath)
-        except Exception as exc:  # noqa: BLE001 - any store failure fails the batch, not the stream
-            log.warning("persist batch %s: store write failed, nothing persisted: %s", batch_id, exc)
-            group.select("id").write.mode("overwrite").parquet(fpath)
-        failed = self.spark.read.parquet(fpath)
+        if self.fail is None:
+            failed = group.limit(0).select("id")
+        else:
+            # The store's answer is taken once and recorded (writes have side
+            # effects).  A store error is a write without a response: every id
+            # counts as unpersisted, nothing is acknowledged, and the stream
+            # carries on (failure isolation).
+            fpath = os.path.join(self.root, "failed", f"batch={batch_id}")
+            try:
+                self.fail(group).select("id").write.mode("overwrite").parquet(fpath)
+            except Exception as exc:  # noqa: BLE001 - any store failure fails the batch, not the stream
+                log.warning("persist batch %s: store write failed, nothing persisted: %s", batch_id, exc)
+                group.select("id").write.mode("overwrite").parquet(fpath)
+            failed = self.spark.read.parquet(fpath)
         persisted, unpersisted = per.split_by_failures(group, failed)
         if not persisted.isEmpty():
             per.append_items(items.join(persisted.select("id"), "id", "left_semi"), self.target, batch_id)
