@@ -44,3 +44,13 @@ def test_filter_on_envelope_column_reaches_the_scan(spark, registry):
     out = val.validate(msgs, registry, design="compiled").where("offset < 100")
     scan = [line for line in _plan(out).splitlines() if "FileScan parquet" in line][0]
     assert "PushedFilters: [IsNotNull(o_orderkey), LessThan(o_orderkey,100)]" in scan
+
+
+def test_spread_is_a_no_op_on_multi_split_inputs(spark):
+    from sluice.session import spread
+    many = spark.range(0, 1000, 1, numPartitions=spark.sparkContext.defaultParallelism)
+    assert spread(many) is many
+    one = spark.range(0, 1000, 1, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    stream = spark.readStream.format("rate").load()
+    assert spread(stream) is stream
