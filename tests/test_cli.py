@@ -43,3 +43,12 @@ def test_persist_with_clean_source(spark):
     # files of the first (committed) batch are gone, reject files are kept
     assert not any(os.path.exists(f) for f in first)
     assert glob.glob(os.path.join(out, "*", "*", "status=invalid", "*.parquet"))
+
+
+def test_register_refuses_a_bad_corpus(spark, tmp_path, capsys):
+    d = tmp_path / "corpus"
+    d.mkdir()
+    (d / "good-1.0.0.json").write_text('{"$id":"http://r/schemas/good/1.0.0","type":"object"}')
+    (d / "bad-1.0.0.json").write_text('{"$id":"http://r/schemas/bad/1.0.0","type":"objekt"}')
+    assert main(["register", "--registry", str(d)]) == 1
+    assert "bad-1.0.0.json" in capsys.readouterr().err
