@@ -1,17 +1,22 @@
 """Validation with rules as rows (design B, for registries of any size).
 
 The registry is flattened *by Spark* into rules ``(label, path, kind, types,
-enum_json, bound)``: the root ``type``; for every property (two levels, a
-``$ref`` of a first-level property resolved by a join on the registry) its
-``type``, ``enum``, ``items.type`` and numeric bounds; every ``required``
-name.  Each document becomes its rule array in one projection of
-higher-order functions (no union, no explode/regroup).
-
-The rule arrays are joined to the messages on the normalised URI.  When the rule table is under ``BROADCAST_MAX_RULES``
-rows it is broadcast (a map-side join: no shuffle of the messages); above
-that the join shuffles and AQE splits the partitions of hot URIs.  Each rule
-is evaluated with higher-order functions over the parsed payload, so there is
-no Python on the data path and no per-message explode/regroup.
+enum_json, bound)``: for the root and every property (two levels, a ``$ref``
+of a first-level property resolved by a join on the registry) its ``type``,
+``enum``/``const``, ``items.type``, numeric bounds, ``multipleOf``, string
+length and ``pattern``, array/object sizes; every ``required`` name.  Each
+document becomes its rule array in one projection of higher-order functions
+(no union, no explode/regroup).
+
+The rule arrays are joined to the messages on the normalised URI.  When the
+rule table is under ``BROADCAST_MAX_RULES`` rows it is broadcast (a map-side
+join: no shuffle of the messages); above that the join is salted so a hot URI
+is split over ``SALT_BUCKETS`` tasks.  Each rule is evaluated with
+higher-order functions over the parsed payload, so there is no Python on the
+data path and no per-message explode/regroup.  Schemas the rule arrays cannot
+express (combinators, deeper nesting) are compiled instead and evaluated in
+the same projection (``compile_fallback``), within the compiled design's
+bounds; beyond them they report ``unsupported_schema``.
 """
 
 from __future__ import annotations
