@@ -92,9 +92,11 @@ def type_sql(t: str, x: str, name: str) -> str:
     if name == "number":
         return f"({t} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {t} LIKE 'DECIMAL%')"
     if name == "integer":
+        # integral double: ``% 1.0`` is exact for every finite double, whereas
+        # floor() returns a BIGINT that saturates above 2^63
         d = get(x, "double")
         return (f"({t} = 'BIGINT' OR {t} RLIKE '^DECIMAL\\\\([0-9]+,0\\\\)$' OR ({t} = 'DOUBLE' "
-                f"AND NOT isnan({d}) AND abs({d}) != double('infinity') AND {d} = floor({d})))")
+                f"AND NOT isnan({d}) AND abs({d}) != double('infinity') AND {d} % 1.0 = 0.0))")
     raise ValueError(f"unknown JSON type {name!r}")
 
 

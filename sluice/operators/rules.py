@@ -190,7 +190,7 @@ _MATCH = """(CASE {n}
   WHEN 'object' THEN {t} LIKE 'OBJECT%'
   WHEN 'number' THEN {t} IN ('BIGINT','DOUBLE','FLOAT') OR {t} LIKE 'DECIMAL%'
   WHEN 'integer' THEN {t} = 'BIGINT' OR {t} RLIKE '^DECIMAL\\\\([0-9]+,0\\\\)$'
-       OR ({t} = 'DOUBLE' AND NOT isnan({d}) AND abs({d}) != double('infinity') AND {d} = floor({d}))
+       OR ({t} = 'DOUBLE' AND NOT isnan({d}) AND abs({d}) != double('infinity') AND {d} % 1.0 = 0.0)
   ELSE false END)"""
 
 _BIND = """transform(coalesce(__rules, array()), r -> named_struct(
@@ -297,7 +297,8 @@ def compile_fallback(registry: DataFrame, per_uri: DataFrame, assert_email: bool
 
 def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool = False,
                    broadcast: bool | None = None,
-                   rules: tuple[DataFrame, int] | None = None) -> DataFrame:
+                   rules: tuple[DataFrame, int] | None = None,
+                   fallback: dict | None = None) -> DataFrame:
     """Design B: same output as ``validate_compiled``.
 
     ``rules`` takes a ``rules_by_uri`` result to reuse across micro-batches.
@@ -321,7 +322,8 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
     errs = F.expr(_errors_sql())
     unres = F.coalesce(F.col("__unresolved"), F.lit(False))
     unsup = F.coalesce(F.col("__unsupported"), F.lit(False))
-    fallback = compile_fallback(registry, per_uri, assert_email)
+    if fallback is None:
+        fallback = compile_fallback(registry, per_uri, assert_email)
     if fallback:
         # schemas the rules cannot express are checked by their compiled form
         from .compile import sql_str

@@ -39,6 +39,25 @@ MAX_COMPILED_BYTES = 4 << 20
 STATUS_VALID, STATUS_INVALID, STATUS_ERROR = "valid", "invalid", "error"
 
 
+_MEMO: dict = {}
+
+
+def registry_fingerprint(registry: DataFrame) -> tuple:
+    """Content fingerprint of a registry (count, bytes, hash of URIs and
+    documents) — one tiny aggregate; a changed document changes it."""
+    r = registry.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("schema")), F.lit(0)),
+                     F.coalesce(F.sum(F.xxhash64("schemaURI", "schema")), F.lit(0))).first()
+    return (registry.sparkSession.sparkContext.applicationId, int(r[0]), int(r[1]), int(r[2]))
+
+
+def memoised(kind: str, registry: DataFrame, build, *extra):
+    """Reuse a registry compilation while the registry's content is unchanged."""
+    key = (kind, registry_fingerprint(registry)) + extra
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def registry_size(registry: DataFrame) -> tuple[int, int]:
     """(documents, bytes of schema text) — one small aggregate job."""
     row = registry.agg(F.count(F.lit(1)).alias("n"),
@@ -105,11 +124,17 @@ def validate(messages: DataFrame, registry: DataFrame, design: str = "auto",
         n, b = size
         design = "compiled" if (n <= MAX_COMPILED_SCHEMAS and b <= MAX_COMPILED_BYTES) else "rules"
     if design == "rules":
-        from .rules import validate_rules
-        return validate_rules(messages, registry, assert_email=assert_email)
+        from .rules import compile_fallback, rules_by_uri, validate_rules
+
+        def build():
+            per_uri, n = rules_by_uri(registry, assert_email)
+            return (per_uri, n), compile_fallback(registry, per_uri, assert_email)
+        rules, fallback = memoised("rules", registry, build, assert_email)
+        return validate_rules(messages, registry, assert_email=assert_email, rules=rules, fallback=fallback)
     if design != "compiled":
         raise ValueError(f"unknown design {design!r}")
-    return validate_compiled(messages, compile_registry(registry, assert_email, size))
+    compiled = memoised("compiled", registry, lambda: compile_registry(registry, assert_email, size), assert_email)
+    return validate_compiled(messages, compiled)
 
 
 def validate_compiled(messages: DataFrame, compiled: dict) -> DataFrame:

@@ -75,6 +75,7 @@ def test_rules_design_compiles_what_rules_cannot_express(spark):
 def test_rules_design_refuses_combinators_beyond_the_bound(spark, monkeypatch):
     from sluice.operators import validate as v
     monkeypatch.setattr(v, "MAX_COMPILED_SCHEMAS", 0)
+    monkeypatch.setattr(v, "_MEMO", {})  # compilations are memoised per registry content
     reg = spark.createDataFrame([(U, json.dumps(SCHEMA))], "schemaURI string, schema string")
     out = val.validate(envelopes(spark, [("a", U, "{}")]), reg, design="rules").first()
     assert (out["status"], out["reason"]) == ("error", "unsupported_schema")
