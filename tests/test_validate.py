@@ -155,3 +155,15 @@ def test_salted_join_matches_broadcast(spark, registry):
     b = validate_rules(msgs, registry, broadcast=False).select(*key)
     assert a.count() == b.count() == msgs.count()
     assert a.exceptAll(b).count() == 0
+
+
+@pytest.mark.parametrize("design", DESIGNS)
+def test_memo_follows_registry_content(spark, design):
+    """Compilations are reused per registry content; a changed document is recompiled."""
+    u = "http://t/schemas/memo/1.0.0"
+    loose = _reg(spark, {u: {"type": "object"}})
+    strict = _reg(spark, {u: {"type": "object", "required": ["a"]}})
+    rows = [("x", u, '{"b":1}')]
+    assert _run(spark, loose, rows, design)["x"][0] == "valid"
+    assert _run(spark, strict, rows, design)["x"] == ("invalid", "schema_violation", ["required:a"])
+    assert _run(spark, loose, rows, design)["x"][0] == "valid"
