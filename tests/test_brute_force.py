@@ -65,7 +65,7 @@ PAYLOADS = st.one_of(
     st.lists(SCALARS, max_size=2))
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(PAYLOADS, min_size=20, max_size=40))
 def test_designs_match_brute_force(spark, registry, docs):
     rows = [(str(i), ORDER, json.dumps(d)) for i, d in enumerate(docs)]
