@@ -5,17 +5,80 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.llm import pii
 from sluice.llm.common import table
 from sluice.llm.jaccard_join import similar_components
+from sluice.llm.licenses import scan, scan_sql
+from sluice.llm.mixing import mix
+from sluice.llm.packing import pack
+from sluice.llm.syncmers import edit_fingerprints
+from sluice.llm.url_rules import judge, mine
+from sluice.llm.vptree import nearest
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
+             ("allow", "org", "/fr/")]
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
 
 
+def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *pii.counts(F.col("base")),
+                        F.sha2(pii.as_string(F.col("base")), 256).alias("base_sha256"),
+                        pii.as_string(F.col("spans")).alias("spans"))
+
+
+def op4_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels name the page of the same number; bad: low quality or toxic."""
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    mined = mine(pages.select("page_id", "url").join(labels, "page_id").select("url", "bad"))
+    return judge(pages, mined, URL_RULES)
+
+
+def op10_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target",
+                        (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
+    "op3_pii": op3_pii,
+    "op4_vantage_point_trees": op4_vantage_point_trees,
+    "op5_sum_of_squares_packing": op5_sum_of_squares_packing,
+    "op6_license_scan": op6_license_scan,
+    "op9_url_rules": op9_url_rules,
+    "op10_subset_sum_mixing": op10_subset_sum_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_license_scan": scan_sql(),
+}
