@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import pii
 from sluice.llm.common import table
+from sluice.llm.html_extract import extract
 from sluice.llm.jaccard_join import similar_components
 from sluice.llm.licenses import scan, scan_sql
 from sluice.llm.mixing import mix
@@ -53,6 +54,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels name the page of the same number; bad: low quality or toxic."""
     pages = table(spark, sf_dir, "pages")
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_vantage_point_trees": op4_vantage_point_trees,
     "op5_sum_of_squares_packing": op5_sum_of_squares_packing,
     "op6_license_scan": op6_license_scan,
+    "op8_wrapper_extraction": op8_wrapper_extraction,
     "op9_url_rules": op9_url_rules,
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
 }
