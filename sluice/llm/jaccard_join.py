@@ -17,11 +17,12 @@ Documents are sets of word shingles.  Two link when
    decides exactly.
 4. **Candidates.**  Pairs come from inverted lists of each set's leading
    shingles (prefix rule).  A list is not expanded into its pairs: each member
-   meets one pivot member of its list, the verified links give components, and
-   lists that still hold several components meet another pivot.  Last, only
-   pairs of one list that are *still in different components* and whose sizes
-   allow a link are checked, so every link between different components is
-   found and none is checked inside one.
+   meets one pivot of its list, the member with the smallest share of shingles
+   of its own, and the verified links give components (further rounds meet
+   other pivots).  Last, only pairs of one list that are *still in different
+   components*, and whose sizes and places in the order allow a link, are
+   checked, so every link between different components is found and none is
+   checked inside one.
 
 Results cover all rows; there is no cap on list lengths or partners.
 """
@@ -29,6 +30,7 @@ Results cover all rows; there is no cap on list lengths or partners.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,23 +50,29 @@ def _free(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n_words: int, percent: int,
-          depth: float) -> Iterator[pa.RecordBatch]:
+def _lists(columns: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate(columns) if columns else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in columns])].astype(np.int32)),
+                                    pa.array(flat.view(np.int64)))
+
+
+def _sets(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
+    """Size and digest of every row's set."""
     for batch in batches:
-        ns, keys, lead = [], [], []
-        for data in batch.column("data").to_pylist():
-            s = shingle_set(data or b"", n_words)
-            n = len(s)
-            ns.append(n)
-            keys.append(_digest(s))
-            d = min(n, int(np.ceil(_free(n, percent) * depth))) if n else 0
-            lead.append(s[:d].view(np.int64))
-        flat = np.concatenate(lead) if lead else np.empty(0, np.int64)
-        offsets = np.r_[0, np.cumsum([len(x) for x in lead])].astype(np.int32)
+        sets = [shingle_set(x or b"", n_words) for x in batch.column("data").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(map(_digest, sets), pa.binary())],
+            names=["id", "n", "key"])
+
+
+def _leads(batches: Iterator[pa.RecordBatch], n_words: int, percent: int, depth: float) -> Iterator[pa.RecordBatch]:
+    """Digest and leading stretch (smallest hashes) of every row's set."""
+    for batch in batches:
+        sets = [shingle_set(x or b"", n_words) for x in batch.column("data").to_pylist()]
+        sets = [s for s in sets if len(s)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-            names=["id", "n", "key", "lead"])
+            [pa.array(map(_digest, sets), pa.binary()),
+             _lists([s[:math.ceil(_free(len(s), percent) * depth)] for s in sets])], names=["key", "lead"])
 
 
 def _matching(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
@@ -75,12 +83,8 @@ def _matching(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.Re
             s = shingle_set(data or b"", n_words)
             if _digest(s) == key:
                 nodes.append(node)
-                sets.append(s.view(np.int64))
-        flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-        offsets = np.r_[0, np.cumsum([len(x) for x in sets])].astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-            names=["node", "tokens"])
+                sets.append(s)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), _lists(sets)], names=["node", "tokens"])
 
 
 def _free_col(n: Column, percent: int) -> Column:
@@ -91,6 +95,28 @@ def _can_link(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _may_share(left: Column, sizes: Column, percent: int) -> Column:
+    """Whether two sets of ``sizes`` shingles together can still link when their
+    first common shingle leaves ``left``, itself included, in the shorter rest."""
+    return left * (100 + percent) >= sizes * percent
+
+
+def _across(live: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(x, y)`` of one list, in different components, that can link by
+    size and position.  Sizes of a pair differ by a factor of at most
+    ``100 / percent``, so each row meets its own class of sizes and the next."""
+    step = math.log(100 / percent)
+    small = live.withColumn("class", F.explode(F.array(
+        F.floor(F.log("n") / step + 1e-9), F.floor(F.log("n") / step + 1e-9) + 1)))
+    large = live.select("t", F.floor(F.log("n") / step + 1e-9).alias("class"),
+                        *[F.col(c).alias(f"{c}2") for c in ("node", "n", "left", "comp")])
+    return (small.join(large, ["t", "class"])
+            .where("comp != comp2 and (n < n2 or n = n2 and node < node2)")
+            .where(_can_link(F.col("n"), F.col("n2"), percent))
+            .where(_may_share(F.least("left", "left2"), F.col("n") + F.col("n2"), percent))
+            .select(F.col("node").alias("x"), F.col("node2").alias("y")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, cuts: list[int], percent: int) -> DataFrame:
     """Links ``(a, b)`` among ``pairs(a, b)``: every fragment of the order counts
     its partial overlap of a pair, and the partial counts are summed per pair."""
@@ -110,8 +136,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, cuts: list[int], percent: int)
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       n_words: int = 5, percent: int = 80, depth: float = 1.25,
-                       fragments: int = 4, pivot_rounds: int = 2,
+                       n_words: int = 5, percent: int = 80, depth: float = 1.5,
+                       fragments: int = 4, pivot_rounds: int = 1,
                        broadcast_rows: int = 250_000) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_shingles``, ``component_id``.
 
@@ -126,14 +152,17 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     length are broadcast; longer ones are joined by a shuffle.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"))
-    sets = cut(src.mapInArrow(lambda it: _sets(it, n_words, percent, depth),
-                              f"id {src.schema['id'].dataType.simpleString()}, n bigint, key binary, "
-                              "lead array<bigint>"))
+    sets = cut(src.mapInArrow(lambda it: _sets(it, n_words),
+                              f"id {src.schema['id'].dataType.simpleString()}, n bigint, key binary"))
     full = sets.where("n > 0 and id is not null")
 
     # Screening: a shingle that only one set has in its leading stretch is free.
+    # The stretches are hashed anew rather than kept: they would be the largest
+    # thing on disk.
     node = F.xxhash64("key")
-    alone = (full.select(node.alias("k"), F.explode("lead").alias("token"))
+    leads = src.where("id is not null").select("data").mapInArrow(
+        lambda it: _leads(it, n_words, percent, depth), "key binary, lead array<bigint>")
+    alone = (leads.select(node.alias("k"), F.explode("lead").alias("token"))
              .groupBy("token").agg(F.min("k").alias("node"), F.max("k").alias("other"))
              .where("node = other").groupBy("node").agg(F.count("*").alias("alone")))
     nodes = cut(full.groupBy("key").agg(F.min("id").alias("id"), F.min("n").alias("n"))
@@ -164,8 +193,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.percentile_approx("t", [i / fragments for i in range(1, fragments)], 1000)).first()[0]
     cuts = sorted(set(at or []))
 
-    # Inverted lists over the prefixes.
-    lists = cut(ordered.select("node", "n", F.explode(F.expr("slice(tokens, 1, cast(free as int))")).alias("t")))
+    # Inverted lists over the prefixes; left: shared shingles from here on.
+    lists = ordered.select("node", "n", F.size("tokens").alias("m"),
+                           F.posexplode(F.expr("slice(tokens, 1, cast(free as int))")).alias("i", "t")) \
+                   .select("node", "n", "t", (F.col("m") - F.col("i")).alias("left"),
+                           ((F.col("n") - F.col("m")) / F.col("n")).alias("odd"))
     several = lists.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t")
     lists = cut(lists.join(several, "t", "left_semi"))
     labels = lists.select("node", F.col("node").alias("comp")).distinct()
@@ -173,18 +205,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         live = lists.join(labels, "node")
         mixed = (live.groupBy("t").agg(
             F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-            F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(turn))).alias("pivot"))
-            .where("c1 != c2"))
+            F.min(F.struct(F.col("odd") if turn == 0 else F.xxhash64("node", F.lit(turn)), "node", "n", "left", "comp"))
+            .alias("pivot")).where("c1 != c2"))
         if turn < pivot_rounds:
             met = (live.join(mixed.select("t", "pivot"), "t").where("comp != pivot.comp")
                    .where(_can_link(F.col("n"), F.col("pivot.n"), percent))
+                   .where(_may_share(F.least("left", "pivot.left"), F.col("n") + F.col("pivot.n"), percent))
                    .select(F.col("node").alias("x"), F.col("pivot.node").alias("y")))
         else:
-            live = live.join(mixed.select("t"), "t", "left_semi")
-            two = live.select("t", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "comp")])
-            met = (live.join(two, "t").where("comp < comp2")
-                   .where(_can_link(F.col("n"), F.col("n2"), percent))
-                   .select(F.col("node").alias("x"), F.col("node2").alias("y")))
+            met = _across(live.join(mixed.select("t"), "t", "left_semi"), percent)
         pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         links = _verified(pairs, ordered, cuts, percent)
         joined = (links.join(labels.select(F.col("node").alias("a"), F.col("comp").alias("u")), "a")
@@ -200,3 +229,24 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return (sets.join(by_key, "key", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 250_000,
+                **how) -> DataFrame:
+    """``docs`` with one document of each component: the one of smallest id.
+
+    Rows whose id is null, and empty documents, stay; of rows equal in id and
+    text one stays.  All columns stay.  Ids to drop are broadcast up to
+    ``broadcast_rows``, joined by a shuffle beyond.
+    """
+    found = cut(similar_components(docs, id_col, text_col, **how).where(F.col(id_col).isNotNull()))
+    per_id = found.groupBy(F.col(id_col).alias("id to judge")).agg(
+        F.max(F.col("component_id") == F.col(id_col)).alias("stays"), F.count("*").alias("rows"))
+    odd = cut(per_id.where("not stays or rows > 1"))
+    if odd.count() <= broadcast_rows:
+        odd = F.broadcast(odd)
+    joined = docs.join(odd, F.col(id_col) == F.col("id to judge"), "left").where("stays is null or stays")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    again = joined.where("rows > 1").dropDuplicates([id_col, text_col]) if odd.where("rows > 1").limit(1).count() else None
+    kept = joined.where("rows is null or rows = 1").select(*names)
+    return kept if again is None else kept.unionByName(again.select(*names))
