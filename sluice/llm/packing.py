@@ -13,7 +13,11 @@ no padding either.
 
 from __future__ import annotations
 
+import os
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,52 +27,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-class WordEncoder:
-    """Ids of a text as the tokenizer gives them, word by word.
+_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    For a tokenizer that drops white space and never joins characters across
-    it, a text's ids are those of its words in turn, so each distinct word is
-    encoded once and looked up after that.  About ``limit`` words are kept, or
-    those of one text.
+
+class WordEncoder(dict):
+    """Ids of texts as the tokenizer gives them (little-endian unsigned 32-bit), word by word.
+
+    For a tokenizer that lower-cases, drops white space, never joins characters
+    across it, and hands lower-case ASCII words to its model as they are, a
+    text's ids are those of its words in turn.  Each distinct word is encoded
+    once and looked up after that; about ``limit`` words are kept.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 900_000):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all there is
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.starts, self.sizes, self.ids, self.used = (
-            np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32), 0)
-
-    def _learn(self, new: list[bytes]) -> None:
-        got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        for w, e in zip(new, got):
-            i, ids = len(self.index), e.ids
-            if i >= len(self.starts):
-                self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.starts[i], self.sizes[i] = self.used, len(ids)
-            self.used += len(ids)
-            self.index[w] = i
-
-    def encode(self, data: bytes) -> np.ndarray:
-        words = data.split()
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if len(self.index) + len(new) > self.limit:
-            self._clear()
-            new = list(dict.fromkeys(words))
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        if not len(ends) or not ends[-1]:
-            return np.empty(0, np.uint32)
-        return self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1])]
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_PUNCTUATION)
+        if word.isalpha() and word.islower():
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word.decode())]).tobytes()
+        elif core != word and core[-1:].isalpha() and b"<|" not in word:
+            # Punctuation after a letter is a token run of its own: "word," is
+            # "word" and ",".  Special tokens are left whole.
+            ids = self[core] + self[word[len(core):]]
+        else:
+            ids = array("I", self.tokenizer.encode(word.decode("utf-8", "replace"),
+                                                   add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def encode(self, text: bytes) -> bytes:
+        if len(self) > self.limit:
+            self.clear()
+        # Special tokens are matched before lower-casing, so texts that may
+        # hold one keep their case.
+        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
 
 
 class Packer:
@@ -84,17 +80,17 @@ class Packer:
     def close(self, window: list[tuple]) -> None:
         at = 0
         for doc, start, ids, total in window:
-            self.done.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, self.next, at))
+            self.done.append((doc, start, len(ids), zlib.crc32(ids), total, self.next, at))
             at += len(ids)
         self.next += 1
 
-    def add(self, doc, ids: np.ndarray) -> None:
+    def add(self, doc, ids: memoryview) -> None:
         cap, total = self.capacity, len(ids)
         whole = total - total % cap
         for start in range(0, whole, cap):
             self.close([(doc, start, ids[start:start + cap], total)])
         if whole < total:
-            self.place((doc, whole, ids[whole:], total))
+            self.place((doc, whole, memoryview(ids[whole:].tobytes()).cast("I"), total))
         if self.n_open >= self.open_limit:
             self.finish(last=False)
 
@@ -163,9 +159,17 @@ class Packer:
             self.close(window)
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which keeps its words from task to task."""
+    kept = sys.modules.setdefault("sluice_worker_encoders", types.ModuleType("sluice_worker_encoders")).__dict__
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
+
+
 def _pack(batches: Iterator[pa.RecordBatch], schema: pa.Schema, path: str, end_id: int, capacity: int,
           open_limit: int) -> Iterator[pa.RecordBatch]:
-    encoder = WordEncoder(path)
+    encoder = worker_encoder(path)
     packer = Packer(capacity, TaskContext.get().partitionId() << 40, open_limit)
 
     def rows() -> pa.RecordBatch:
@@ -173,9 +177,10 @@ def _pack(batches: Iterator[pa.RecordBatch], schema: pa.Schema, path: str, end_i
         return pa.RecordBatch.from_arrays(
             [pa.array(x, t) for x, t in zip(zip(*done), schema.types)], schema=schema)
 
+    last = array("I", [end_id]).tobytes()
     for batch in batches:
         for doc, data in zip(batch.column("id").to_pylist(), batch.column("data")):
-            packer.add(doc, np.append(encoder.encode(data.as_py() or b""), np.uint32(end_id)))
+            packer.add(doc, memoryview(encoder.encode(data.as_py() or b"") + last).cast("I"))
             if len(packer.done) >= 20_000:
                 yield rows()
     packer.finish()
