@@ -192,6 +192,39 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
             .select(*out, F.col("spans").alias("base"), F.array_sort(F.concat("spans", extra)).alias("spans")))
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """The text with every span, or run of overlapping ones, replaced by ``<kind>``."""
+    names = F.array(*map(F.lit, KINDS))
+    order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                                               s["kind"].alias("kind"))))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+    folded = F.aggregate(order, start, lambda a, s: F.struct(
+        F.greatest(a["at"], s["end"]).alias("at"),
+        F.when(s["start"] >= a["at"], F.concat(a["done"], F.substring(text, a["at"] + 1, s["start"] - a["at"]),
+                                               F.lit("<"), F.get(names, s["kind"]), F.lit(">")))
+        .otherwise(a["done"]).alias("done")))
+    return _let(folded, lambda a: F.concat(a["done"], F.substring(text, a["at"] + 1, F.char_length(text))))
+
+
+def mask(docs: DataFrame, text_col: str = "text", broadcast_rows: int = 250_000, **how) -> DataFrame:
+    """``docs`` with the spans found in each text masked; all columns stay.
+
+    Null texts stay null.  Spans depend on the text alone, so they are joined
+    by its digest: broadcast up to ``broadcast_rows`` texts that have any,
+    by a shuffle beyond.
+    """
+    digest = F.sha2(F.col(text_col).cast("binary"), 256)
+    found = find(docs.select(F.col(text_col), digest.alias("d")), id_col="d", text_col=text_col, **how)
+    some = cut(found.where((F.size("spans") > 0) & F.col("d").isNotNull())
+               .groupBy(F.col("d").alias("digest of the text")).agg(F.first("spans").alias("spans of the text")))
+    if some.count() <= broadcast_rows:
+        some = F.broadcast(some)
+    new = F.when(F.col("spans of the text").isNull(), F.col(text_col)).otherwise(
+        masked(F.col(text_col), F.col("spans of the text")))
+    return (docs.join(some, digest == F.col("digest of the text"), "left")
+            .select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]))
+
+
 def as_string(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
     names = F.array(*map(F.lit, KINDS))

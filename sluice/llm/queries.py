@@ -14,6 +14,7 @@ from sluice.llm.jaccard_join import similar_components
 from sluice.llm.licenses import scan, scan_sql
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
+from sluice.llm.quality import classify
 from sluice.llm.syncmers import edit_fingerprints
 from sluice.llm.url_rules import judge, mine
 from sluice.llm.vptree import nearest
@@ -54,6 +55,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "quality_key.*")
+
+
 def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_vantage_point_trees": op4_vantage_point_trees,
     "op5_sum_of_squares_packing": op5_sum_of_squares_packing,
     "op6_license_scan": op6_license_scan,
+    "op7_importance_resampling": op7_importance_resampling,
     "op8_wrapper_extraction": op8_wrapper_extraction,
     "op9_url_rules": op9_url_rules,
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
