@@ -7,7 +7,7 @@ The checks are emitted as SQL text and parsed once (``F.expr``), rather than
 assembled from thousands of ``Column`` objects, so building the plan costs a
 parse, not thousands of driver round trips — this matters per micro-batch.
 
-Supported keywords (draft 2020-12): ``type`` (single or list),
+Keywords as SQL checks (draft 2020-12): ``type`` (single or list),
 ``properties``, ``required``, ``items`` (schema form, scalar keywords per
 element), ``enum``, ``const``, ``minimum``/``maximum`` and their exclusive
 forms, ``multipleOf``, ``minLength``/``maxLength``, ``pattern``,
@@ -15,7 +15,10 @@ forms, ``multipleOf``, ``minLength``/``maxLength``, ``pattern``,
 ``maxProperties``, ``additionalProperties: false``, ``dependentRequired``,
 ``allOf``/``anyOf``/``oneOf``/``not``, ``if``/``then``/``else``, ``$ref``
 (resolved through the registry at compile time), boolean schemas and, opt-in,
-``format: email``.  Annotations (``title``, ``description``, ``$schema``,
+``format: email``.  Schemas with anything further (element schemas of any depth,
+``contains``, ``prefixItems``, ``patternProperties``, ``propertyNames``,
+``dependentSchemas``, local and recursive references, ``enum``/``const`` of arrays
+and objects, exact decimals) go to ``sluice.functions.jsonschema`` whole.  Annotations (``title``, ``description``, ``$schema``,
 ``$id``, ``format`` when not asserted) and unknown keywords are ignored, as
 the draft prescribes for unknown keywords.
 
@@ -25,7 +28,6 @@ the dotted property path (``$`` for the root, ``[]`` for array elements).
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -33,10 +35,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The seven JSON Schema type names.
-TYPE_NAMES = ("string", "integer", "number", "boolean", "null", "array", "object")
-# Opt-in email assertion (a plain local@domain shape).
-EMAIL_SHAPE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+from ..functions import jsonschema as js
+
+EMAIL_SHAPE = js.EMAIL_SHAPE  # opt-in email assertion (a plain local@domain shape)
 # A JSON text whose first non-blank character is '{' and that parses is an object.
 OBJECT_TEXT = r"^[ \t\n\r]*\{"
 
@@ -123,8 +124,7 @@ def _literal_sql(t: str, x: str, value) -> str:
         return f"({type_sql(t, x, 'number')} AND {get(x, 'double')} = double({float(value)!r}))"
     if isinstance(value, str):
         return f"({t} = 'STRING' AND {get(x, 'string')} = {sql_str(value)})"
-    # arrays / objects: compare canonical JSON text
-    return f"(to_json({x}) = {sql_str(json.dumps(value, separators=(',', ':')))})"
+    raise ValueError("arrays and objects are compared by the evaluator")
 
 
 def _enum_sql(t: str, x: str, values: list) -> str:
@@ -157,6 +157,9 @@ class CompiledSchema:
     uri: str
     checks: list[tuple[str, str]] = field(default_factory=list)
     unresolved: list[str] = field(default_factory=list)
+    # Beyond SQL checks: the document and those it refers to, for the evaluator.
+    bundle: dict | None = None
+    broken: bool = False
 
     def errors_sql(self) -> str:
         """SQL for the ARRAY<STRING> of violated labels (empty when valid)."""
@@ -174,18 +177,41 @@ class SchemaCompiler:
     """Compile schema documents; ``resolve(uri) -> dict | None`` serves ``$ref``."""
 
     def __init__(self, resolve: Callable[[str], object | None] | None = None,
-                 assert_email: bool = False, max_ref_depth: int = 8):
+                 assert_email: bool = False):
         self.resolve = resolve or (lambda uri: None)
         self.assert_email = assert_email
-        self.max_ref_depth = max_ref_depth
 
     def compile(self, uri: str, doc) -> CompiledSchema:
+        """SQL checks of ``doc`` where they cover it exactly; otherwise the
+        bundle for the evaluator.  A document that is no schema is ``broken``."""
         out = CompiledSchema(uri=uri)
-        self._node(doc, [], out, depth=0)
+        try:
+            if not js.well_formed(doc):
+                out.broken = True
+            elif self._in_sql(doc, ()):
+                self._node(doc, [], out, ())
+            else:
+                out.bundle = bundle_of(doc, self.resolve)
+                out.unresolved = [uri] if js.Evaluator(doc, out.bundle["refs"].get).unresolved else []
+        except RecursionError:
+            out.broken = True
         return out
 
+    def _in_sql(self, doc, chain: tuple[str, ...]) -> bool:
+        """SQL covers the document and, without a cycle, all it refers to.
+        References that lead nowhere are reported by the compilation itself."""
+        if not js.expressible(doc):
+            return False
+        for ref in js.references(doc):
+            if "#" in ref or ref in chain:
+                return False
+            target = self.resolve(ref)
+            if target is not None and not self._in_sql(target, (*chain, ref)):
+                return False
+        return True
+
     # -- node compilation ------------------------------------------------
-    def _node(self, node, parts: list[str], out: CompiledSchema, depth: int) -> None:
+    def _node(self, node, parts: list[str], out: CompiledSchema, chain: tuple[str, ...]) -> None:
         lbl = label_path(parts)
         root = not parts
         x = V if root else f"try_variant_get({V}, {sql_str(variant_path(parts))}, 'variant')"
@@ -205,11 +231,11 @@ class SchemaCompiler:
 
         if "$ref" in node:
             ref = node["$ref"]
-            target = self.resolve(ref) if depth < self.max_ref_depth else None
+            target = None if ref in chain else self.resolve(ref)
             if target is None:
                 out.unresolved.append(ref)
             else:
-                self._node(target, parts, out, depth + 1)
+                self._node(target, parts, out, (*chain, ref))
 
         types = node.get("type")
         if types is not None:
@@ -230,8 +256,7 @@ class SchemaCompiler:
                 add(kw, f"(NOT {num} OR {_cmp(get(x, 'double'), _num(node, kw), op)})")
         m = _num(node, "multipleOf")
         if m is not None and m > 0:
-            q = f"({get(x, 'double')} / double({m!r}))"
-            add("multipleOf", f"(NOT {num} OR abs({q} - round({q})) < 1e-9)")
+            add("multipleOf", f"(NOT {num} OR {get(x, 'double')} % double({m!r}) = 0)")
 
         if self.assert_email and node.get("format") == "email":
             add("format", f"({t} <> 'STRING' OR {get(x, 'string')} RLIKE {sql_str(EMAIL_SHAPE)})")
@@ -273,19 +298,19 @@ class SchemaCompiler:
         # validity flag; allOf simply adds the subschemas' own checks
         all_of = node.get("allOf")
         for sub in all_of if isinstance(all_of, list) else []:
-            self._node(sub, parts, out, depth)
+            self._node(sub, parts, out, chain)
         if isinstance(node.get("anyOf"), list) and node["anyOf"]:
-            flags = [self._valid_flag(s, parts, out, depth) for s in node["anyOf"]]
+            flags = [self._valid_flag(s, parts, out, chain) for s in node["anyOf"]]
             add("anyOf", "(" + " OR ".join(flags) + ")")
         if isinstance(node.get("oneOf"), list) and node["oneOf"]:
-            flags = [self._valid_flag(s, parts, out, depth) for s in node["oneOf"]]
+            flags = [self._valid_flag(s, parts, out, chain) for s in node["oneOf"]]
             add("oneOf", "((" + " + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in flags) + ") = 1)")
         if "not" in node:
-            add("not", f"(NOT {self._valid_flag(node['not'], parts, out, depth)})")
+            add("not", f"(NOT {self._valid_flag(node['not'], parts, out, chain)})")
         if "if" in node and ("then" in node or "else" in node):
-            c = self._valid_flag(node["if"], parts, out, depth)
-            th = self._valid_flag(node.get("then", True), parts, out, depth)
-            el = self._valid_flag(node.get("else", True), parts, out, depth)
+            c = self._valid_flag(node["if"], parts, out, chain)
+            th = self._valid_flag(node.get("then", True), parts, out, chain)
+            el = self._valid_flag(node.get("else", True), parts, out, chain)
             add("if", f"(CASE WHEN {c} THEN {th} ELSE {el} END)")
 
         items = node.get("items")
@@ -302,12 +327,12 @@ class SchemaCompiler:
             # A property path only resolves inside an object parent, so the
             # child's own presence guard covers the non-object case.
             for name, sub in props.items():
-                self._node(sub, parts + [name], out, depth)
+                self._node(sub, parts + [name], out, chain)
 
-    def _valid_flag(self, sub, parts, out: CompiledSchema, depth: int) -> str:
+    def _valid_flag(self, sub, parts, out: CompiledSchema, chain: tuple[str, ...]) -> str:
         """Compile ``sub`` at ``parts`` into one flag: TRUE when all its checks pass."""
         tmp = CompiledSchema(uri=out.uri)
-        self._node(sub, parts, tmp, depth)
+        self._node(sub, parts, tmp, chain)
         out.unresolved.extend(tmp.unresolved)
         if not tmp.checks:
             return "true"
@@ -336,6 +361,19 @@ class SchemaCompiler:
             out.checks.append((label, f"coalesce(forall({arr}, e -> {check}), true)"))
 
 
+def bundle_of(doc, resolve: Callable[[str], object | None]) -> dict:
+    """``{"doc": ..., "refs": {uri: document}}``: a schema and all it refers to."""
+    refs: dict[str, object] = {}
+    todo = [doc]
+    while todo:
+        for ref in js.references(todo.pop()):
+            uri = ref.partition("#")[0]
+            if uri and uri not in refs and (target := resolve(uri)) is not None:
+                refs[uri] = target
+                todo.append(target)
+    return {"doc": doc, "refs": refs}
+
+
 # -- schema document -> Spark type (PRJ-12) -------------------------------
 
 def struct_type_of(doc, resolve: Callable[[str], object | None] | None = None) -> T.DataType:
@@ -347,11 +385,11 @@ def struct_type_of(doc, resolve: Callable[[str], object | None] | None = None) -
     """
     resolve = resolve or (lambda uri: None)
 
-    def conv(node, depth=0) -> T.DataType:
-        if isinstance(node, dict) and "$ref" in node and depth < 8:
+    def conv(node, chain=()) -> T.DataType:
+        if isinstance(node, dict) and "$ref" in node and node["$ref"] not in chain:
             tgt = resolve(node["$ref"])
             if tgt is not None:
-                return conv(tgt, depth + 1)
+                return conv(tgt, (*chain, node["$ref"]))
         if not isinstance(node, dict):
             return T.StringType()
         t = node.get("type")
@@ -367,11 +405,11 @@ def struct_type_of(doc, resolve: Callable[[str], object | None] | None = None) -
         if t == "string":
             return T.StringType()
         if t == "array":
-            return T.ArrayType(conv(node.get("items", {}), depth))
+            return T.ArrayType(conv(node.get("items", {}), chain))
         if t == "object" or "properties" in node:
             req = set(node.get("required", []) or [])
             return T.StructType([
-                T.StructField(k, conv(v, depth), nullable=k not in req)
+                T.StructField(k, conv(v, chain), nullable=k not in req)
                 for k, v in (node.get("properties") or {}).items()])
         return T.StringType()  # untyped: keep the JSON text
 

@@ -14,16 +14,17 @@ from __future__ import annotations
 
 from importlib import resources
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.routes import (DEFAULT_REGISTRY_BASE, URI_SEGMENT, URI_TAIL,
                                 uri_name, uri_version)
 from ..functions.semver import DEFAULT_KEY_PREFIX, parse_semver, registry_key, semver_text
-from .compile import TYPE_NAMES
+from ..functions import jsonschema as js
 from .sequence import last_before
 
-
 _PART = r"(0|[1-9][0-9]{0,2}|10[01][0-9]|102[0-3])"
 CANONICAL_TAIL = rf"/schemas/[^/]+/{_PART}\.{_PART}\.{_PART}$"
 
@@ -62,40 +63,19 @@ def _with_ids(raw: DataFrame) -> DataFrame:
 
 # -- admission ---------------------------------------------------------
 
+@F.pandas_udf(T.BooleanType())
+def _admissible(schemas: pd.Series) -> pd.Series:
+    return pd.Series([js.admissible_text(t) for t in schemas], dtype=bool)
+
+
 def schema_admissible(schema: Column | str) -> Column:
     """Does the text compile as a JSON Schema (well-formedness, PRD-3/PRD-7).
 
-    Root is an object or a boolean; ``type`` is one of the seven names or an
-    array of them; ``properties`` an object; ``required`` an array of strings;
-    ``enum`` an array; ``items`` an object or boolean.
+    The whole document is walked: every subschema is an object or a boolean,
+    every keyword has a value of its kind, patterns compile, and keywords that
+    would change validity but are evaluated nowhere are refused.
     """
-    s = F.col(schema) if isinstance(schema, str) else schema
-    v = F.try_parse_json(s)
-    root_t = F.schema_of_variant(v)
-
-    def kw(name: str) -> Column:
-        return F.try_variant_get(v, f"$['{name}']", "variant")
-
-    def kw_t(name: str) -> Column:
-        return F.schema_of_variant(kw(name))
-
-    names = F.array(*[F.lit(n) for n in TYPE_NAMES])
-    type_t = kw_t("type")
-    type_ok = (type_t.isNull()
-               | ((type_t == "STRING") & F.array_contains(names, F.try_variant_get(kw("type"), "$", "string")))
-               | (type_t.startswith("ARRAY") & F.coalesce(F.forall(
-                   F.try_variant_get(kw("type"), "$", "array<variant>"),
-                   lambda e: (F.schema_of_variant(e) == "STRING")
-                   & F.array_contains(names, F.try_variant_get(e, "$", "string"))), F.lit(False))))
-    props_ok = kw_t("properties").isNull() | kw_t("properties").startswith("OBJECT")
-    req_ok = kw_t("required").isNull() | F.coalesce(F.forall(
-        F.try_variant_get(kw("required"), "$", "array<variant>"),
-        lambda e: F.schema_of_variant(e) == "STRING"), F.lit(False))
-    enum_ok = kw_t("enum").isNull() | kw_t("enum").startswith("ARRAY")
-    items_ok = kw_t("items").isNull() | kw_t("items").startswith("OBJECT") | (kw_t("items") == "BOOLEAN")
-    root_ok = root_t.startswith("OBJECT") | (root_t == "BOOLEAN")
-    return F.coalesce(v.isNotNull() & root_ok & (
-        (root_t == "BOOLEAN") | (type_ok & props_ok & req_ok & enum_ok & items_ok)), F.lit(False))
+    return _admissible(F.col(schema) if isinstance(schema, str) else schema)
 
 
 def request_ok(name: Column | str, version: Column | str) -> Column:
@@ -113,9 +93,10 @@ def reject_documents(corpus: DataFrame) -> DataFrame:
 
 # -- change log --------------------------------------------------------
 
-def canonical_uri(name: Column, version: Column, base: str = DEFAULT_REGISTRY_BASE) -> Column:
-    """URI of a registry entry from name and parsed version struct."""
-    return F.concat(F.lit(base + URI_SEGMENT), name, F.lit("/"), semver_text(version))
+def canonical_uri(name: Column, version: Column, base: str | Column = DEFAULT_REGISTRY_BASE) -> Column:
+    """URI of a registry entry from its base, name and parsed version struct."""
+    head = F.lit(base) if isinstance(base, str) else base
+    return F.concat(head, F.lit(URI_SEGMENT), name, F.lit("/"), semver_text(version))
 
 
 def normalise_uri(uri: Column | str) -> Column:
@@ -135,30 +116,36 @@ def normalise_uri(uri: Column | str) -> Column:
 
 
 def corpus_to_log(corpus: DataFrame) -> DataFrame:
-    """Bulk registration (SNK-5) as a change log of ``set`` ops."""
+    """Bulk registration (SNK-5) as a change log of ``set`` ops, in path order.
+
+    Each op carries the base of the document's own ``$id``.  The window ranks
+    the documents of one bulk load, not messages."""
     return corpus.select(
-        F.monotonically_increasing_id().alias("seq"), F.lit("set").alias("op"),
-        "name", "version", "schema")
+        (F.row_number().over(Window.orderBy("path", "schema")) - 1).cast("bigint").alias("seq"),
+        F.lit("set").alias("op"), "name", "version", "schema",
+        F.regexp_replace("schemaURI", URI_TAIL, "").alias("base"))
 
 
 def fold_log(log: DataFrame, prefix: str = DEFAULT_KEY_PREFIX,
              base: str = DEFAULT_REGISTRY_BASE) -> DataFrame:
     """Registry state from a change log (AGG-6).
 
-    Input ``(seq, op, name, version text, schema)``; ops with a bad key are
-    ignored (they would be refused).  Output one row per live key:
+    Input ``(seq, op, name, version text, schema)`` and optionally ``base``, the
+    URI before ``/schemas/`` (null: ``base`` of the call); ops with a bad key
+    are ignored (they would be refused).  Output one row per live key:
     ``key, name, version struct, schemaURI, schema``.  ``max_by`` is a partial
     aggregate, so a hot key is combined map-side before the shuffle.
     """
     ver = parse_semver("version")
+    own = F.coalesce(F.col("base"), F.lit(base)) if "base" in log.columns else F.lit(base)
     keyed = (log.where(request_ok("name", "version"))
-             .withColumn("v", ver)
+             .withColumn("v", ver).withColumn("base", own)
              .withColumn("key", registry_key("name", F.col("v"), prefix)))
     last = (keyed.groupBy("key")
-            .agg(F.max_by(F.struct("op", "name", "v", "schema"), "seq").alias("s")))
+            .agg(F.max_by(F.struct("op", "name", "v", "schema", "base"), "seq").alias("s")))
     return (last.where(F.col("s.op") == "set")
             .select("key", F.col("s.name").alias("name"), F.col("s.v").alias("version"),
-                    canonical_uri(F.col("s.name"), F.col("s.v"), base).alias("schemaURI"),
+                    canonical_uri(F.col("s.name"), F.col("s.v"), F.col("s.base")).alias("schemaURI"),
                     F.col("s.schema").alias("schema")))
 
 
@@ -209,7 +196,8 @@ def answer_requests(requests: DataFrame, prefix: str = DEFAULT_KEY_PREFIX,
     """
     ver = parse_semver("version")
     key_ok = request_ok("name", "version")
-    good_add = (F.col("op") == "add") & key_ok & schema_admissible("schema")
+    # only what an add brings is walked
+    good_add = (F.col("op") == "add") & key_ok & schema_admissible(F.when(F.col("op") == "add", F.col("schema")))
     r = (requests
          .withColumn("key", F.when(key_ok, registry_key("name", ver, prefix)))
          .withColumn("_good", F.when(key_ok, F.lit(True)).otherwise(F.lit(False)))

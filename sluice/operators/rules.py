@@ -1,34 +1,38 @@
 """Validation with rules as rows (design B, for registries of any size).
 
 The registry is flattened *by Spark* into rules ``(label, path, kind, types,
-enum_json, bound)``: for the root and every property (two levels, a ``$ref``
-of a first-level property resolved by a join on the registry) its ``type``,
-``enum``/``const``, ``items.type``, numeric bounds, ``multipleOf``, string
-length and ``pattern``, array/object sizes; every ``required`` name.  Each
-document becomes its rule array in one projection of higher-order functions
+enum_json, bound)``: for the root and every property (two levels) its
+``type``, ``enum``/``const``, ``items.type``, numeric bounds, ``multipleOf``,
+string length and ``pattern``, array/object sizes; every ``required`` name.
+Each document becomes its rule array in one projection of higher-order functions
 (no union, no explode/regroup).
 
-The rule arrays are joined to the messages on the normalised URI.  When the
-rule table is under ``BROADCAST_MAX_RULES`` rows it is broadcast (a map-side
-join: no shuffle of the messages); above that the join is salted so a hot URI
-is split over ``SALT_BUCKETS`` tasks.  Each rule is evaluated with
-higher-order functions over the parsed payload, so there is no Python on the
-data path and no per-message explode/regroup.  Schemas the rule arrays cannot
-express (combinators, deeper nesting) are compiled instead and evaluated in
-the same projection (``compile_fallback``), within the compiled design's
-bounds; beyond them they report ``unsupported_schema``.
+Documents that rules do not express (references, combinators, deeper nesting
+and so on) keep no rules but a *bundle*: the document and, found by joins of the
+registry with itself until nothing is added, all it refers to.  Their messages
+are checked by the Arrow-batched evaluator, so there is no bound on the number,
+size or depth of schemas and the outcome never depends on the registry's size.
+
+The arrays are joined to the messages on the normalised URI.  When the table is
+under ``BROADCAST_MAX_BYTES`` it is broadcast (a map-side join: no shuffle of
+the messages); above that the join is salted so a hot URI is split over
+``SALT_BUCKETS`` tasks.  Each rule is evaluated with higher-order functions over
+the parsed payload.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import spread
+import pandas as pd
+
+from ..functions import jsonschema as js
 from .registry import normalise_uri
-from .validate import _status, emit_outcome
+from .validate import _normalise_text, _status, emit_outcome, evaluate_udf
 
-BROADCAST_MAX_RULES = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 SALT_BUCKETS = 64
 
 _NULL_ARR = "CAST(NULL AS ARRAY<STRING>)"
@@ -96,25 +100,21 @@ def _required_rules(x: str) -> str:
             f"nm -> {_rule(label, path, 'required', types=f'array({parent})')})")
 
 
-# Keywords the rules design does not evaluate; a schema using any of them is
-# reported as ``unsupported_schema`` (use the compiled design for it).
+# Keywords the rule arrays do not evaluate; the evaluator takes schemas using any.
 _UNSUPPORTED = ("allOf", "anyOf", "oneOf", "not", "if", "dependentRequired", "prefixItems",
                 "contains", "patternProperties", "propertyNames", "dependentSchemas",
                 "unevaluatedProperties", "unevaluatedItems")
 
 
-def _unsupported(x: str, ref_ok: bool) -> str:
+def _unsupported(x: str) -> str:
     n = f"{x}.node"
-    conds = [f"try_variant_get({n}, '$[\"{k}\"]', 'variant') IS NOT NULL" for k in _UNSUPPORTED]
-    conds.append(f"try_variant_get({n}, '$.uniqueItems', 'boolean') = true")
-    conds.append(f"schema_of_variant(try_variant_get({n}, '$.additionalProperties', 'variant')) "
-                 f"IN ('BOOLEAN', 'OBJECT<>') AND NOT coalesce(try_variant_get({n}, '$.additionalProperties', 'boolean'), false)")
-    conds.append(f"schema_of_variant(try_variant_get({n}, '$.additionalProperties', 'variant')) LIKE 'OBJECT<_%'")
+    conds = [f"try_variant_get({n}, '$[\"{k}\"]', 'variant') IS NOT NULL" for k in (*_UNSUPPORTED, "$ref")]
+    conds.append(f"try_variant_get({n}, '$.additionalProperties', 'variant') IS NOT NULL AND NOT "
+                 f"coalesce(try_variant_get({n}, '$.additionalProperties', 'boolean'), false)")
     # element schemas: only ``type`` is evaluated per element
-    conds.append(f"size(array_except(coalesce(map_keys(try_variant_get({n}, '$.items', 'map<string,variant>')), "
-                 f"array()), array('type', 'title', 'description', '$comment'))) > 0")
-    if not ref_ok:
-        conds.append(f"try_variant_get({n}, '$[\"$ref\"]', 'variant') IS NOT NULL")
+    conds.append(f"try_variant_get({n}, '$.items', 'variant') IS NOT NULL AND "
+                 f"size(array_except(coalesce(map_keys(try_variant_get({n}, '$.items', 'map<string,variant>')), "
+                 f"array('?')), array('type', 'title', 'description', '$comment'))) > 0")
     return "(" + " OR ".join(conds) + ")"
 
 
@@ -136,47 +136,91 @@ def _children(x: str) -> str:
 def _rules_sql(assert_email: bool) -> tuple[str, str, str]:
     """SQL pieces: root node, first- and second-level property nodes."""
     root = f"named_struct('parts', CAST(array() AS ARRAY<STRING>), 'node', doc)"
-    # first-level properties, a ``$ref`` replaced by the registry document it names
-    lvl1 = (f"transform({_children('__root')}, c -> named_struct('parts', c.parts, 'node', "
-            f"coalesce(parse_json(__refs[try_variant_get(c.node, '$[\"$ref\"]', 'string')]), c.node)))")
+    lvl1 = _children("__root")
     lvl2 = f"flatten(transform(__lvl1, p -> {_children('p')}))"
     return root, lvl1, lvl2
 
 
-def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFrame:
-    """Registry ``(schemaURI, schema)`` -> one row per schema with its rule array.
+@F.pandas_udf(T.BooleanType())
+def _beyond_rules(schemas: pd.Series) -> pd.Series:
+    """Whether a document needs the evaluator (null: not a schema)."""
+    def beyond(text: str | None) -> bool | None:
+        if not js.admissible_text(text):
+            return None
+        doc = js.loads(text)
+        return isinstance(doc, bool) or not js.expressible(doc) or any(True for _ in js.references(doc))
+    return pd.Series([beyond(t) for t in schemas], dtype=object)
 
-    Each document is turned into rules by one projection of higher-order
-    functions; only ``$ref`` targets need a (small) join.  Output:
-    ``(schemaURI, __rules ARRAY<rule>, __unresolved BOOLEAN)``.
-    """
-    docs = registry.select("schemaURI", F.try_parse_json("schema").alias("doc"))
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _references(schemas: pd.Series) -> pd.Series:
+    """Normalised URIs a document refers to."""
+    def refs(text: str | None) -> list[str]:
+        if not js.admissible_text(text):
+            return []
+        found = (ref.partition("#")[0] for ref in js.references(js.loads(text)))
+        return sorted({_normalise_text(u) for u in found if u})
+    return pd.Series([refs(t) for t in schemas], dtype=object)
+
+
+@F.pandas_udf(T.BooleanType())
+def _is_unresolved(bundles: pd.Series) -> pd.Series:
+    def unresolved(text: str) -> bool:
+        b = js.loads(text)
+        return js.Evaluator(b["doc"], lambda u: b["refs"].get(_normalise_text(u))).unresolved
+    return pd.Series([unresolved(t) for t in bundles], dtype=bool)
+
+
+def bundles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(__uri, __bundle)``: each wanted document with all it refers to, as JSON.
+
+    ``docs`` is ``(__uri, schema)``.  References are followed by joins until no
+    pair is added; the number of rounds is the longest chain of references."""
+    from ..session import checkpoint_root
+    checkpoint_root(docs.sparkSession)
+    edges = docs.select("__uri", F.explode(_references("schema")).alias("__ref")).distinct().checkpoint()
+    pairs = wanted.select("__uri").join(edges, "__uri").distinct().checkpoint()
+    while True:
+        step = pairs.join(edges.select(F.col("__uri").alias("__ref"), F.col("__ref").alias("__next")), "__ref") \
+                    .select("__uri", F.col("__next").alias("__ref"))
+        grown = pairs.union(step).distinct().checkpoint()
+        if grown.count() == pairs.count():
+            break
+        pairs = grown
+    refs = (pairs.join(docs.select(F.col("__uri").alias("__ref"), F.col("schema").alias("__text")), "__ref")
+            .groupBy("__uri").agg(F.array_join(F.array_sort(F.collect_list(F.concat(
+                F.to_json(F.array("__ref")).substr(F.lit(2), F.length(F.to_json(F.array("__ref"))) - 2),
+                F.lit(":"), F.col("__text")))), ",").alias("__refs")))
+    return (docs.join(wanted.select("__uri"), "__uri", "left_semi").join(refs, "__uri", "left")
+            .select("__uri", F.concat(F.lit('{"doc":'), F.col("schema"), F.lit(',"refs":{'),
+                                      F.coalesce("__refs", F.lit("")), F.lit("}}")).alias("__bundle")))
+
+
+def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFrame:
+    """Registry ``(schemaURI, schema)`` -> one row per normalised URI:
+    ``__uri, __rules, __bundle, __unresolved, __broken`` (rules or a bundle)."""
+    # one row per URI: a duplicated registry row must not duplicate messages
+    docs = (registry.select(normalise_uri("schemaURI").alias("__uri"), "schema")
+            .groupBy("__uri").agg(F.max("schema").alias("schema")))
+    staged = docs.select("__uri", "schema", _beyond_rules("schema").alias("__beyond"),
+                         F.try_parse_json("schema").alias("doc"))
     root, lvl1, lvl2 = _rules_sql(assert_email)
-    # $ref targets of first-level properties, resolved against the registry itself
-    props = docs.select("schemaURI", F.explode(F.map_values(
-        F.try_variant_get("doc", "$.properties", "map<string,variant>"))).alias("node"))
-    refs = (props.select("schemaURI", F.try_variant_get("node", "$['$ref']", "string").alias("ref"))
-            .where(F.col("ref").isNotNull()).distinct())
-    targets = registry.select(normalise_uri("schemaURI").alias("__target_uri"), F.col("schema").alias("__target"))
-    resolved = (refs.join(targets, normalise_uri("ref") == F.col("__target_uri"), "left")
-                .groupBy("schemaURI")
-                .agg(F.map_from_entries(F.collect_list(F.when(F.col("__target").isNotNull(),
-                                                              F.struct("ref", "__target")))).alias("__refs"),
-                     F.bool_or(F.col("__target").isNull()).alias("__unresolved")))
-    d = docs.join(resolved, "schemaURI", "left")
-    staged = d.select("schemaURI", "doc", "__refs", F.coalesce("__unresolved", F.lit(False)).alias("__unresolved"),
-                      F.expr(root).alias("__root"))
+    staged = staged.select("*", F.expr(root).alias("__root"))
     staged = staged.select("*", F.expr(lvl1).alias("__lvl1"))
     staged = staged.select("*", F.expr(lvl2).alias("__lvl2"))
     rules = F.expr(
         f"concat(flatten(transform(concat(array(__root), __lvl1, __lvl2), x -> {_node_rules('x', assert_email)})), "
         f"flatten(transform(concat(array(__root), __lvl1), x -> {_required_rules('x')})))")
-    unsupported = F.expr(
-        f"exists(concat(array(__root), __lvl2), x -> {_unsupported('x', False)}) "
-        f"OR exists(__lvl1, x -> {_unsupported('x', True)}) "
-        f"OR exists(__lvl2, x -> {_too_deep('x')})")
-    return staged.select("schemaURI", F.when(F.col("doc").isNotNull(), rules).alias("__rules"), "__unresolved",
-                         F.coalesce(unsupported, F.lit(False)).alias("__unsupported"))
+    native = F.expr(f"exists(concat(array(__root), __lvl1, __lvl2), x -> {_unsupported('x')}) "
+                    f"OR exists(__lvl2, x -> {_too_deep('x')})")
+    broken = F.col("__beyond").isNull() | F.col("doc").isNull()
+    flat = staged.select("__uri", "schema", broken.alias("__broken"),
+                         (~broken & (F.col("__beyond") | F.coalesce(native, F.lit(False)))).alias("__beyond"),
+                         F.when(F.col("doc").isNotNull(), rules).alias("__rules")).checkpoint()
+    bundles = bundles_of(flat.where("not __broken").select("__uri", "schema"), flat.where("__beyond")).select("*", _is_unresolved("__bundle").alias("__unresolved"))
+    return (flat.join(bundles, "__uri", "left")
+            .select("__uri", F.when(~F.col("__broken") & ~F.col("__beyond"), F.col("__rules")).alias("__rules"),
+                    "__bundle", F.coalesce("__unresolved", F.lit(False)).alias("__unresolved"), "__broken"))
 
 
 # SQL for one rule against the payload ``__v``; TRUE when satisfied.  Each rule
@@ -218,7 +262,7 @@ def _rule_ok_sql() -> str:
   WHEN 'maximum' THEN {x} IS NULL OR NOT {num} OR {d} <= s.r.bound
   WHEN 'exclusiveMinimum' THEN {x} IS NULL OR NOT {num} OR {d} > s.r.bound
   WHEN 'exclusiveMaximum' THEN {x} IS NULL OR NOT {num} OR {d} < s.r.bound
-  WHEN 'multipleOf' THEN {x} IS NULL OR NOT {num} OR abs({d} / s.r.bound - round({d} / s.r.bound)) < 1e-9
+  WHEN 'multipleOf' THEN {x} IS NULL OR NOT {num} OR {d} % s.r.bound = 0
   WHEN 'minLength' THEN {x} IS NULL OR {t} <> 'STRING' OR length(try_variant_get({x}, '$', 'string')) >= s.r.bound
   WHEN 'maxLength' THEN {x} IS NULL OR {t} <> 'STRING' OR length(try_variant_get({x}, '$', 'string')) <= s.r.bound
   WHEN 'minItems' THEN {x} IS NULL OR {t} NOT LIKE 'ARRAY%' OR size(try_variant_get({x}, '$', 'array<variant>')) >= s.r.bound
@@ -237,77 +281,34 @@ def _errors_sql() -> str:
             "THEN s.r.label END), x -> x IS NOT NULL)")
 
 
-def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataFrame, int]:
-    """(per-URI rule arrays, rule count), materialised once.
+def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataFrame, int, bool]:
+    """(per-URI rules or bundle, its bytes, whether any URI has a bundle),
+    materialised once.
 
     One row per schema; checkpointed into the shared checkpoint folder so the
     flattening runs once and the table survives executor loss.
     """
     from ..session import checkpoint_root
-    per_uri = (flatten_registry(registry, assert_email)
-               .select(normalise_uri("schemaURI").alias("__uri"), "__rules", "__unresolved", "__unsupported",
-                       F.coalesce(F.size("__rules"), F.lit(0)).alias("__n"), F.lit(True).alias("__known")))
     checkpoint_root(registry.sparkSession)
-    # one row per URI: a duplicated registry row must not duplicate messages
-    per_uri = per_uri.dropDuplicates(["__uri"]).checkpoint(eager=True)
-    n = per_uri.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
-    return per_uri.drop("__n"), int(n)
-
-
-def compile_fallback(registry: DataFrame, per_uri: DataFrame, assert_email: bool = False) -> dict:
-    """Compiled checks for the schemas the rules cannot express (combinators).
-
-    Only used when their number and text size stay within the compiled
-    design's bounds (checked before anything is read on the driver); beyond
-    that those schemas keep the ``unsupported_schema`` outcome.  ``$ref``
-    targets are fetched from the registry by URI, one small lookup each.
-    """
-    import json as _json
-
-    from .compile import SchemaCompiler
-    from .validate import MAX_COMPILED_BYTES, MAX_COMPILED_SCHEMAS, _normalise_text
-    flagged = per_uri.where(F.col("__unsupported")).select("__uri")
-    docs = (registry.select(normalise_uri("schemaURI").alias("__uri"), "schema")
-            .join(flagged, "__uri", "left_semi"))
-    row = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("schema")), F.lit(0)).alias("b")).first()
-    if row["n"] == 0 or row["n"] > MAX_COMPILED_SCHEMAS or row["b"] > MAX_COMPILED_BYTES:
-        return {}
-    texts = {r["__uri"]: r["schema"] for r in docs.collect()}
-    own = set(texts)  # the flagged schemas; ``texts`` also gains $ref targets below
-
-    def resolve(uri: str):
-        key = _normalise_text(uri)
-        if key not in texts:
-            hit = (registry.where(normalise_uri("schemaURI") == F.lit(key)).select("schema").first())
-            texts[key] = hit["schema"] if hit else None
-        try:
-            return _json.loads(texts[key]) if texts[key] else None
-        except ValueError:
-            return None
-
-    comp = SchemaCompiler(resolve=resolve, assert_email=assert_email)
-    out = {}
-    for u in own:
-        try:
-            out[u] = comp.compile(u, _json.loads(texts[u]))
-        except (TypeError, ValueError):
-            continue  # not JSON: refused by admission, never matched
-    return out
+    per_uri = flatten_registry(registry, assert_email).withColumn("__known", F.lit(True)).checkpoint(eager=True)
+    size = F.length(F.to_json("__rules")) + 0
+    n, evaluated = per_uri.agg(
+        F.coalesce(F.sum(F.coalesce(size, F.lit(0)) + F.coalesce(F.length("__bundle"), F.lit(0)) + F.length("__uri")),
+                   F.lit(0)), F.coalesce(F.bool_or(F.col("__bundle").isNotNull()), F.lit(False))).first()
+    return per_uri, int(n), bool(evaluated)
 
 
 def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool = False,
                    broadcast: bool | None = None,
-                   rules: tuple[DataFrame, int] | None = None,
-                   fallback: dict | None = None) -> DataFrame:
+                   rules: tuple[DataFrame, int, bool] | None = None) -> DataFrame:
     """Design B: same output as ``validate_compiled``.
 
     ``rules`` takes a ``rules_by_uri`` result to reuse across micro-batches.
     """
-    per_uri, n_rules = rules or rules_by_uri(registry, assert_email)
+    per_uri, n_bytes, evaluated = rules or rules_by_uri(registry, assert_email)
     if broadcast is None:
-        broadcast = n_rules <= BROADCAST_MAX_RULES
+        broadcast = n_bytes <= BROADCAST_MAX_BYTES
     cols = messages.columns
-    messages = spread(messages)
     m = messages.select(*cols, normalise_uri(F.coalesce("schemaURI", F.lit(""))).alias("__uri"),
                         F.try_parse_json("data").alias("__v"),
                         F.col("data").rlike(r"^[ \t\n\r]*\{").alias("__root_obj"))
@@ -320,26 +321,16 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
         salted = per_uri.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
         j = m.join(salted, ["__uri", "__salt"], "left")
     errs = F.expr(_errors_sql())
-    unres = F.coalesce(F.col("__unresolved"), F.lit(False))
-    unsup = F.coalesce(F.col("__unsupported"), F.lit(False))
-    if fallback is None:
-        fallback = compile_fallback(registry, per_uri, assert_email)
-    if fallback:
-        # schemas the rules cannot express are checked by their compiled form
-        from .compile import sql_str
-        uris = list(fallback)
-        branches = " ".join(f"WHEN __uri = {sql_str(u)} THEN {c.errors_sql()}" for u, c in fallback.items())
-        in_fb = F.col("__uri").isin(uris)
-        errs = F.when(in_fb, F.expr(f"CASE {branches} END")).otherwise(errs)
-        unsup = unsup & ~in_fb
-        bad = [u for u, c in fallback.items() if c.unresolved]
-        if bad:
-            unres = unres | F.col("__uri").isin(bad)
-    known_c = F.coalesce(F.col("__known"), F.lit(False))
-    checked = j.select(*cols, "__uri", "__v", known_c.alias("__known"), unres.alias("__unres"),
-                       unsup.alias("__unsup"),
-                       F.when(known_c & F.col("__v").isNotNull(), errs).alias("__errors"))
-    status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unres"), F.col("__v"), F.col("__errors"),
-                             F.col("__unsup"))
+    if evaluated:
+        errs = F.when(F.col("__bundle").isNotNull(),
+                      evaluate_udf(assert_email)(F.col("__bundle"), F.col("data"))).otherwise(errs)
+
+    def flag(c: str):
+        return F.coalesce(F.col(c), F.lit(False)).alias(c)
+
+    checked = j.select(*cols, "__uri", "__v", flag("__known"), flag("__unresolved"), flag("__broken"),
+                       F.when(F.col("__known") & F.col("__v").isNotNull(), errs).alias("__errors"))
+    status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unresolved"), F.col("__v"), F.col("__errors"),
+                             F.col("__broken"))
     return emit_outcome(checked, cols, status, reason,
                         F.when(reason.isin("ok", "schema_violation"), F.array_sort("__errors")))

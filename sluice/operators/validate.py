@@ -4,12 +4,16 @@
 
 * ``status``  — ``valid`` | ``invalid`` | ``error``
 * ``reason``  — ``ok`` | ``schema_violation`` | ``missing_schema_uri`` |
-  ``schema_not_found`` | ``unresolved_ref`` | ``unsupported_schema`` (rules
-  design only) | ``invalid_json``
+  ``schema_not_found`` | ``unresolved_ref`` | ``invalid_schema`` (a registry
+  document that is no schema; messages of other schemas are unaffected) |
+  ``invalid_json``
 * ``errors``  — ``ARRAY<STRING>`` of violated ``keyword:path`` labels
   (NULL when ``status = 'error'``)
 
-Two physical designs, both free of Python on the data path:
+Two physical designs with the same outcome for every schema.  Schemas that SQL
+checks cannot express exactly (recursion, nested element schemas, see
+``compile``) are checked by an Arrow-batched evaluator in either design; for
+all others there is no Python on the data path:
 
 * **compiled** (default for small registries): every registry document is
   compiled into Catalyst expressions and dispatched with one ``CASE`` on the
@@ -24,15 +28,15 @@ Two physical designs, both free of Python on the data path:
 
 from __future__ import annotations
 
-import json
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..functions import jsonschema as js
 from .compile import V, SchemaCompiler, sql_str
 from .registry import normalise_uri
 
+BROKEN = object()  # stands for a document that does not parse
 MAX_COMPILED_SCHEMAS = 64
 MAX_COMPILED_BYTES = 4 << 20
 
@@ -40,13 +44,15 @@ STATUS_VALID, STATUS_INVALID, STATUS_ERROR = "valid", "invalid", "error"
 
 
 _MEMO: dict = {}
+MEMO_ENTRIES = 16
 
 
 def registry_fingerprint(registry: DataFrame) -> tuple:
     """Content fingerprint of a registry (count, bytes, hash of URIs and
     documents) — one tiny aggregate; a changed document changes it."""
+    # 64-bit hashes overflow a BIGINT sum, so they are added as decimals
     r = registry.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("schema")), F.lit(0)),
-                     F.coalesce(F.sum(F.xxhash64("schemaURI", "schema")), F.lit(0))).first()
+                     F.coalesce(F.sum(F.xxhash64("schemaURI", "schema").cast("decimal(38,0)")), F.lit(0))).first()
     return (registry.sparkSession.sparkContext.applicationId, int(r[0]), int(r[1]), int(r[2]))
 
 
@@ -54,6 +60,8 @@ def memoised(kind: str, registry: DataFrame, build, *extra):
     """Reuse a registry compilation while the registry's content is unchanged."""
     key = (kind, registry_fingerprint(registry)) + extra
     if key not in _MEMO:
+        while len(_MEMO) >= MEMO_ENTRIES:  # the oldest compilation goes first
+            _MEMO.pop(next(iter(_MEMO)))
         _MEMO[key] = build()
     return _MEMO[key]
 
@@ -76,15 +84,16 @@ def compile_registry(registry: DataFrame, assert_email: bool = False,
     for r in rows:
         key = _normalise_text(r["schemaURI"])  # messages are matched on the same form
         try:
-            docs[key] = json.loads(r["schema"])
+            docs[key] = js.loads(r["schema"])
         except (TypeError, ValueError):
-            docs[key] = None  # refused by admission; never matches
+            docs[key] = BROKEN  # refused by admission; its messages are errors
 
     def resolve(uri: str):
-        return docs.get(_normalise_text(uri))
+        found = docs.get(_normalise_text(uri))
+        return None if found is BROKEN else found
 
     comp = SchemaCompiler(resolve=resolve, assert_email=assert_email)
-    return {u: comp.compile(u, d) for u, d in docs.items() if d is not None}
+    return {u: comp.compile(u, d) for u, d in docs.items()}
 
 
 def _normalise_text(uri: str) -> str:
@@ -100,12 +109,11 @@ def _normalise_text(uri: str) -> str:
 
 
 def _status(uri: Column, known: Column, unresolved: Column, v: Column, errors: Column,
-            unsupported: Column | None = None):
+            broken: Column | None = None):
     reason = (F.when(uri == "", "missing_schema_uri")
               .when(~known, "schema_not_found")
+              .when(broken if broken is not None else F.lit(False), "invalid_schema")
               .when(unresolved, "unresolved_ref")
-              .when(F.coalesce(unsupported, F.lit(False)) if unsupported is not None else F.lit(False),
-                    "unsupported_schema")
               .when(v.isNull(), "invalid_json")
               .when(F.size(errors) > 0, "schema_violation")
               .otherwise("ok"))
@@ -124,22 +132,44 @@ def validate(messages: DataFrame, registry: DataFrame, design: str = "auto",
         n, b = size
         design = "compiled" if (n <= MAX_COMPILED_SCHEMAS and b <= MAX_COMPILED_BYTES) else "rules"
     if design == "rules":
-        from .rules import compile_fallback, rules_by_uri, validate_rules
-
-        def build():
-            per_uri, n = rules_by_uri(registry, assert_email)
-            return (per_uri, n), compile_fallback(registry, per_uri, assert_email)
-        rules, fallback = memoised("rules", registry, build, assert_email)
-        return validate_rules(messages, registry, assert_email=assert_email, rules=rules, fallback=fallback)
+        from .rules import rules_by_uri, validate_rules
+        rules = memoised("rules", registry, lambda: rules_by_uri(registry, assert_email), assert_email)
+        return validate_rules(messages, registry, assert_email=assert_email, rules=rules)
     if design != "compiled":
         raise ValueError(f"unknown design {design!r}")
     compiled = memoised("compiled", registry, lambda: compile_registry(registry, assert_email, size), assert_email)
-    return validate_compiled(messages, compiled)
+    return validate_compiled(messages, compiled, assert_email)
+
 
+def evaluate_udf(assert_email: bool = False, bundles: dict[str, dict] | None = None):
+    """UDF ``(schema, payload text) -> violated labels`` for schemas beyond SQL.
 
-def validate_compiled(messages: DataFrame, compiled: dict) -> DataFrame:
+    ``schema`` is a key of ``bundles`` or, without them, a bundle as JSON text;
+    where it is null the result is null and nothing is evaluated.
+    """
+    def errors_of(keys: pd.Series, texts: pd.Series) -> pd.Series:
+        known: dict = {}
+        out = []
+        for key, text in zip(keys, texts):
+            if key is None or text is None:
+                out.append(None)
+                continue
+            if key not in known:
+                bundle = bundles[key] if bundles is not None else js.loads(key)
+                refs = {_normalise_text(u): d for u, d in bundle["refs"].items()}
+                known[key] = js.Evaluator(bundle["doc"], lambda u, refs=refs: refs.get(_normalise_text(u)), assert_email)
+            try:
+                # an unresolved reference, or text that is no JSON, is the reason reported
+                out.append([] if known[key].unresolved else sorted(known[key].errors(js.loads(text))))
+            except ValueError:
+                out.append([])
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(errors_of, "array<string>")
+
+
+def validate_compiled(messages: DataFrame, compiled: dict, assert_email: bool = False) -> DataFrame:
     cols = messages.columns
-    messages = spread(messages)
     uri = F.coalesce(F.col("schemaURI"), F.lit(""))
     # Stage 1: canonical URI and the parsed payload (parsed once per row).
     # URIs that name a registry entry exactly skip the normalisation.
@@ -147,21 +177,26 @@ def validate_compiled(messages: DataFrame, compiled: dict) -> DataFrame:
     canon = F.when(uri.isin(exact), uri).otherwise(normalise_uri(uri)) if exact else normalise_uri(uri)
     staged = messages.select(*cols, canon.alias("__uri"), F.try_parse_json(F.col("data")).alias(V))
     u, v = F.col("__uri"), F.col(V)
-    if exact:
+
+    def named(uris: list[str]) -> Column:
+        return u.isin(uris) if uris else F.lit(False)
+
+    in_sql = {k: c for k, c in compiled.items() if c.bundle is None and not c.broken}
+    bundles = {k: c.bundle for k, c in compiled.items() if c.bundle is not None}
+    case = F.lit(None).cast("array<string>")
+    if in_sql:
         # one CASE over the registry, emitted as SQL text and parsed once
-        branches = " ".join(f"WHEN __uri = {sql_str(k)} THEN {c.errors_sql()}" for k, c in compiled.items())
+        branches = " ".join(f"WHEN __uri = {sql_str(k)} THEN {c.errors_sql()}" for k, c in in_sql.items())
         case = F.expr(f"CASE {branches} END")
-        known = u.isin(exact)
-        bad_refs = [k for k, c in compiled.items() if c.unresolved]
-        unresolved = u.isin(bad_refs) if bad_refs else F.lit(False)
-    else:
-        case = F.lit(None).cast("array<string>")
-        known = F.lit(False)
-        unresolved = F.lit(False)
+    if bundles:
+        evaluated = named(list(bundles))
+        case = F.when(evaluated, evaluate_udf(assert_email, bundles)(F.when(evaluated, u), F.col("data"))).otherwise(case)
+    known, broken = named(exact), named([k for k, c in compiled.items() if c.broken])
+    unresolved = named([k for k, c in compiled.items() if c.unresolved])
     # Stage 2: violated checks of the message's own schema.
-    checked = staged.select(*cols, u, v, F.when(known & ~unresolved & v.isNotNull(), case).alias("__errors"))
+    checked = staged.select(*cols, u, v, F.when(known & ~unresolved & ~broken & v.isNotNull(), case).alias("__errors"))
     errors = F.col("__errors")
-    status, reason = _status(F.col("__uri"), known, unresolved, v, errors)
+    status, reason = _status(F.col("__uri"), known, unresolved, v, errors, broken)
     return emit_outcome(checked, cols, status, reason,
                         F.when(reason.isin("ok", "schema_violation"), errors))
 

@@ -1,4 +1,4 @@
-"""Keywords beyond the corpus (compiled design) and their refusal in the rules design."""
+"""Keywords beyond the corpus, alike in both designs and at every size of the registry."""
 
 import json
 
@@ -62,8 +62,7 @@ def test_extra_keywords_compiled(spark):
 
 
 def test_rules_design_compiles_what_rules_cannot_express(spark):
-    """Combinators under the rules design: the schema falls back to its compiled
-    checks (within the compiled bounds) and gives the compiled result."""
+    """Combinators under the rules design give the compiled result."""
     reg = spark.createDataFrame([(U, json.dumps(SCHEMA))], "schemaURI string, schema string")
     rows = [(k, U, json.dumps(d)) for k, d, _ in CASES]
     out = val.validate(envelopes(spark, rows), reg, design="rules")
@@ -72,13 +71,15 @@ def test_rules_design_compiles_what_rules_cannot_express(spark):
         assert got[k] == sorted(want), k
 
 
-def test_rules_design_refuses_combinators_beyond_the_bound(spark, monkeypatch):
-    from sluice.operators import validate as v
-    monkeypatch.setattr(v, "MAX_COMPILED_SCHEMAS", 0)
-    monkeypatch.setattr(v, "_MEMO", {})  # compilations are memoised per registry content
-    reg = spark.createDataFrame([(U, json.dumps(SCHEMA))], "schemaURI string, schema string")
-    out = val.validate(envelopes(spark, [("a", U, "{}")]), reg, design="rules").first()
-    assert (out["status"], out["reason"]) == ("error", "unsupported_schema")
+@pytest.mark.parametrize("n", [1, 20, 65, 500])
+def test_outcome_does_not_depend_on_the_size_of_the_registry(spark, n):
+    """Combinators, element schemas and depth, past the compiled design's bound."""
+    docs = [(f"http://t/schemas/k{i}/1.0.0", json.dumps(SCHEMA)) for i in range(n)]
+    reg = spark.createDataFrame(docs, "schemaURI string, schema string")
+    rows = [(f"{k}", docs[hash(k) % n][0], json.dumps(d)) for k, d, _ in CASES]
+    for design in ("auto", "rules", *["compiled"] * (n <= val.MAX_COMPILED_SCHEMAS)):
+        got = {r["k"]: sorted(r["errors"] or []) for r in val.validate(envelopes(spark, rows), reg, design=design).collect()}
+        assert got == {k: sorted(want) for k, _, want in CASES}, design
 
 
 SIMPLE = {
@@ -116,7 +117,7 @@ def test_rules_const_and_depth(spark):
              val.validate(envelopes(spark, rows), reg, design="rules").collect()}
     comp = {r["k"]: (r["reason"], r["errors"]) for r in
             val.validate(envelopes(spark, rows), reg, design="compiled").collect()}
-    # three levels are beyond the rule arrays: the schema falls back to its compiled checks
+    # three levels are beyond the rule arrays: the evaluator takes the schema
     assert rules["deep"] == comp["deep"] == ("schema_violation", ["type:a.b.c"])
     assert rules["const_ok"][0] == comp["const_ok"][0] == "ok"
     assert rules["const_bad"][1] == comp["const_bad"][1] == ["const:v"]
