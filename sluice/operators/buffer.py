@@ -5,8 +5,10 @@ timestamp, data)``; ``seq`` is arrival order.  A consumer group's progress is
 the set of entries it has read but not acknowledged (``pending``).  Reading
 returns new entries plus pending ones, unique by id.
 
-Ids are deterministic (``<unix millis>-<partition>-<offset>``) so a replayed
-append writes the same ids and the upsert downstream stays idempotent.
+Ids are deterministic (``<topic>-<unix millis>-<partition>-<offset>``, partition
+and offset zero-padded) so a replayed append writes the same ids and the upsert
+downstream stays idempotent.  Arrival order is ``(seq, id)``: the record's time in
+microseconds, then topic, partition and offset.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ ENTRY_COLUMNS = ["id", "seq", "origin", "schemaURI", "timestamp", "data"]
 
 
 def assign_ids(envelopes: DataFrame) -> DataFrame:
-    """Envelope with Kafka coordinates -> buffer entries (id + seq)."""
-    return envelopes.select(
-        F.concat_ws("-", F.unix_millis("timestamp").cast("string"),
-                    F.col("partition").cast("string"), F.col("offset").cast("string")).alias("id"),
-        F.col("offset").alias("seq"),
-        "origin", "schemaURI", "timestamp", "data")
+    """Envelope with Kafka coordinates -> the same frame with ``id`` and ``seq``."""
+    return envelopes.withColumns({
+        "id": F.concat_ws("-", "origin", F.unix_millis("timestamp").cast("string"),
+                          F.lpad(F.col("partition").cast("string"), 6, "0"),
+                          F.lpad(F.col("offset").cast("string"), 19, "0")),
+        "seq": F.unix_micros("timestamp")})
 
 
 def append(entries: DataFrame, path: str, partition_by: str | None = "origin") -> None:

@@ -106,19 +106,3 @@ def new_run_dir(spark: SparkSession, prefix: str) -> str:
     import uuid
     return scratch_path(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
 
-
-def spread(df, min_partitions: int | None = None):
-    """Spread a batch frame with fewer partitions than the cluster's default
-    parallelism (one small file, one row group) before CPU-heavy per-row
-    work.  On real inputs — thousands of file splits — this is a no-op, so no
-    shuffle is added at scale; streaming frames are returned unchanged.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view of the frame (e.g. a remote session): leave it
-        return df
-    return df.repartition(target)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.routes import DEFAULT_REGISTRY_BASE
-from ..session import spread
 
 ORDER_V2_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/order/2.0.0"
 PRODUCT_V1_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/product/1.0.0"
@@ -21,16 +20,18 @@ UNKNOWN_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/nope/1.0.0"
 ACCOUNT_URI = f"{DEFAULT_REGISTRY_BASE}/schemas/account/1.0.0"
 
 
-# Fixed-size dimension tables: broadcast as read, never spread.
+# Fixed-size dimension tables: broadcast as read.
 DIMENSIONS = {"nation", "region"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  The test files hold one row group each (one input
-    split), so a fact table is spread over the default parallelism; real
-    inputs have many splits and are left as read (see ``session.spread``)."""
+    """A driver table.  The small test tables are one file of one row group,
+    which is one input split, so such a fact table is dealt to the default
+    parallelism; a table of several files is left as read."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df if name in DIMENSIONS else spread(df)
+    if name in DIMENSIONS or len(df.inputFiles()) != 1:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _s(c: Column) -> Column:
@@ -122,7 +123,8 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def buffer_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buffer entries from ``events``: ``id`` = ``<unix millis>-<event_id>``,
-    ``seq`` = ``event_id`` (arrival order), plus the envelope."""
+    ``seq`` = ``event_id`` (arrival order), plus the envelope.  (Entries of
+    Kafka records get theirs from ``buffer.assign_ids``.)"""
     env = event_envelopes(spark, sf_dir)
     return env.select(
         F.concat(_s(F.unix_millis("timestamp")), F.lit("-"), _s(F.col("event_id"))).alias("id"),

@@ -39,12 +39,9 @@ class RegistryCache:
         self._frame = None
         self._rules = None
 
-    def fingerprint(self, reg: DataFrame):
-        return reg.agg(F.count(F.lit(1)), F.sum(F.xxhash64("schemaURI", "schema"))).first()
-
     def validate(self, messages: DataFrame) -> DataFrame:
         reg = self.load()
-        fp = tuple(self.fingerprint(reg))
+        fp = val.registry_fingerprint(reg)
         if fp != self._fp:
             self._fp, self._frame = fp, reg
             size = val.registry_size(reg)
@@ -67,12 +64,10 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
 def ingest_batch(records: DataFrame, batch_id: int, registry: RegistryCache, out: str) -> None:
     """Validate one micro-batch of Kafka records and write it under ``out``
     (``out`` already names the run: ``<root>/run=<stream id>``)."""
-    envelopes = env.to_envelope(records)
+    envelopes = env.to_envelope(env.skip_tombstones(records))
     checked = registry.validate(envelopes)
-    entries = checked.select(
-        F.concat_ws("-", F.unix_millis("timestamp").cast("string"),
-                    F.col("partition").cast("string"), F.col("offset").cast("string")).alias("id"),
-        F.col("offset").alias("seq"), "origin", "partition", "offset", "schemaURI", "timestamp", "data",
+    entries = buf.assign_ids(checked).select(
+        "id", "seq", "origin", "partition", "offset", "schemaURI", "timestamp", "data",
         "status", "reason", "errors")
     (entries.write.mode("overwrite").partitionBy("status")
      .parquet(os.path.join(out, f"batch={batch_id}")))

@@ -129,8 +129,7 @@ class PersistFlow:
         if self.read_count is not None:
             # Entries beyond the read cap were not read this time; they stay
             # pending (unchanged attempts) so the next read picks them up.
-            unread = (new.unionByName(pending).join(group.select("id"), "id", "left_anti")
-                      .dropDuplicates(["id"]))
+            unread = buf.read_group(new, pending).join(group.select("id"), "id", "left_anti")
             next_pending = next_pending.unionByName(unread)
         next_pending.write.mode("overwrite").parquet(os.path.join(self.pending, self._next_pending_name(batch_id)))
         outcome = per.batch_outcome(group.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"),
@@ -146,21 +145,26 @@ class PersistFlow:
         pend = [v[1] for v in _versions(self.spark, self.pending) if v[1] >= self.DRAIN_BASE]
         return max(used + pend + [self.DRAIN_BASE - 1]) + 1
 
-    def drain(self, max_rounds: int = 10) -> int:
+    def drain(self, max_rounds: int | None = None) -> int:
         """Redeliver pending entries with no new input until none are left.
 
-        Rounds are numbered after the last round ever run, so a later drain
-        never mistakes its rounds for ones already done."""
+        A round that persists nothing ends the drain (the store refuses all it
+        was given); what is left stays pending, see ``pending_frame``.  Rounds
+        are numbered after the last round ever run, so a later drain never
+        mistakes its rounds for ones already done."""
         empty = self.spark.createDataFrame([], env.ENVELOPE_SCHEMA).select(
             F.lit(None).cast("string").alias("id"), F.lit(None).cast("bigint").alias("seq"),
             "origin", "schemaURI", "timestamp", "data").limit(0)
         rounds = 0
-        while rounds < max_rounds:
-            p = self.pending_frame()
-            if p is None or p.isEmpty():
-                break
+        p = self.pending_frame()
+        left = p.count() if p is not None else 0
+        while left and (max_rounds is None or rounds < max_rounds):
             self.run_batch(empty, self._next_drain_id())
             rounds += 1
+            before, left = left, self.pending_frame().count()
+            if left >= before:
+                log.warning("drain stopped: a round persisted none of %s pending entries", left)
+                break
         return rounds
 
     def start(self, entries: DataFrame, checkpoint: str, trigger: dict | None = None):

@@ -46,11 +46,30 @@ def test_filter_on_envelope_column_reaches_the_scan(spark, registry):
     assert "PushedFilters: [IsNotNull(o_orderkey), LessThan(o_orderkey,100)]" in scan
 
 
-def test_spread_is_a_no_op_on_multi_split_inputs(spark):
-    from sluice.session import spread
-    many = spark.range(0, 1000, 1, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread(many) is many
-    one = spark.range(0, 1000, 1, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    stream = spark.readStream.format("rate").load()
-    assert spread(stream) is stream
+def test_many_splits_are_not_shuffled(spark, registry):
+    rows = spark.range(0, 1000, 1, numPartitions=50).selectExpr(
+        "cast(id as string) k", "'t' origin", "'http://schema-repository:8080/schemas/order/2.0.0' schemaURI",
+        "timestamp'2024-01-02' timestamp", "'{}' data")
+    for design in ("compiled", "rules"):
+        plan = _plan(val.validate(rows, registry, design=design))
+        assert "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
+def test_building_a_query_runs_only_registry_jobs(spark):
+    from sluice.plans import queries as q
+    q.q06_validate_status(spark, SF)  # the registry is compiled once per content
+    ids = lambda: set(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    spark.sparkContext.setJobGroup("building", "plans")
+    try:
+        for f in (q.q01_record_to_envelope, q.q18_read_group, q.q22_upsert_latest):
+            f(spark, SF)
+        # reading a parquet footer for its schema is the one job a read may start
+        assert len(ids()) <= 6
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_single_file_tables_are_dealt_out_and_larger_ones_left(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    assert "Exchange" not in _plan(td.table(spark, str(tmp_path), "orders"))
+    assert "RoundRobin" in _plan(td.table(spark, SF, "orders"))
