@@ -410,9 +410,22 @@ FROM ({EVENT_ENVELOPES})"""
 ORACLE["q17_item_projection"] = f"""
 SELECT id, {_ts('ts')} AS "timestamp", origin, schemaURI, data FROM ({BUFFER_ENTRIES})"""
 
+NEW_ENTRIES = f"""
+  SELECT * FROM ({BUFFER_ENTRIES})
+  UNION ALL SELECT id, seq + 1000000000, 'late-topic', schemaURI, ts, data FROM ({BUFFER_ENTRIES}) WHERE seq % 5 = 0"""
+PENDING_ENTRIES = f"""
+  SELECT id, seq, 'pending-topic' AS origin, schemaURI, ts, data FROM ({BUFFER_ENTRIES}) WHERE seq % 3 = 0"""
+
+
+def _group(new: str, pending: str) -> str:
+    return f"""
+WITH g AS (SELECT 0 AS src, * FROM ({new}) UNION ALL SELECT 1, * FROM ({pending})),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY src DESC, seq DESC) AS n FROM g)
+SELECT * FROM r WHERE n = 1"""
+
+
 ORACLE["q18_read_group"] = f"""
-SELECT id, seq, origin, schemaURI, {_ts('ts')} AS "timestamp", data
-FROM ({BUFFER_ENTRIES})"""
+SELECT id, seq, origin, schemaURI, {_ts('ts')} AS "timestamp", data FROM ({_group(NEW_ENTRIES, PENDING_ENTRIES)})"""
 
 ORACLE["q19_write_outcome"] = """
 WITH b AS (SELECT event_id // 100 AS batch_id, (event_id % 7 = 0 OR event_id // 100 = 3) AS failed FROM events),
@@ -455,19 +468,20 @@ WITH f AS (
 SELECT origin, "partition", count(*) AS n, count(*) FILTER (WHERE ok) AS n_valid
 FROM f GROUP BY origin, "partition" """
 
+# The answers are known per document; only residue 1 depends on the row (a part
+# type is never the name of a JSON type).
+ADMISSION = [
+    ('{"type":"object","properties":{"n":{"type":"string"}},"required":["n"]}', 1), (None, 0),
+    ('{"type":"object","properties":[1]}', 0), ('{"type":"object","required":[1,2]}', 0), ('{"type":"object"', 0),
+    ("true", 1), ('{"type":["string","null"],"enum":["a",null]}', 1), ('{"type":"array","items":3}', 0),
+    ('{"properties":{"a":{"items":{"type":"objekt"}}}}', 0), ('{"properties":{"a":{"pattern":"["}}}', 0),
+    ('{"allOf":[{"not":{"required":"a"}}]}', 0), ('{"$defs":{"x":{"minItems":-1}}}', 0),
+    ('{"items":{"contains":{"const":1},"prefixItems":[{"enum":[{}]}]},"pattern":"^[a-z]+$"}', 1)]
 ORACLE["q25_schema_admission"] = f"""
-WITH d AS (
-  SELECT p_partkey, CASE p_partkey % 8
-      WHEN 0 THEN '{{"type":"object","properties":{{"n":{{"type":"string"}}}},"required":["n"]}}'
-      WHEN 1 THEN '{{"type":"' || lower(p_type) || '"}}'
-      WHEN 2 THEN '{{"type":"object","properties":[1]}}'
-      WHEN 3 THEN '{{"type":"object","required":[1,2]}}'
-      WHEN 4 THEN '{{"type":"object"'
-      WHEN 5 THEN 'true'
-      WHEN 6 THEN '{{"type":["string","null"],"enum":["a",null]}}'
-      ELSE '{{"type":"array","items":3}}' END AS schema
-  FROM part)
-SELECT p_partkey, schema, CAST({_admissible('schema')} AS INTEGER) AS admitted FROM d"""
+WITH a(r, doc, admitted) AS (VALUES {", ".join(f"({i}, {'NULL' if d is None else repr(d)}, {ok})"
+                                               for i, (d, ok) in enumerate(ADMISSION))})
+SELECT p_partkey, coalesce(doc, '{{"type":"' || lower(p_type) || '"}}') AS schema, CAST(admitted AS INTEGER) AS admitted
+FROM part JOIN a ON p_partkey % 13 = r"""
 
 ORACLE["q26_generator"] = f"""
 WITH s AS (SELECT event_id % 9 AS slot FROM events),
@@ -500,18 +514,23 @@ ACCOUNT_CHECKS = [
 ORACLE["q30_minimum_ref"] = _status_sql("", ACCOUNT_CHECKS, "c_custkey", ACCOUNT_MESSAGES)
 
 ORACLE["q31_read_group_capped"] = f"""
-WITH b AS ({BUFFER_ENTRIES})
-SELECT id, seq FROM (SELECT id, seq FROM b ORDER BY seq LIMIT 25)
-UNION
-SELECT id, seq FROM (SELECT id, seq FROM b WHERE seq % 3 = 0 ORDER BY seq LIMIT 25)"""
+SELECT id, seq, origin FROM ({_group(*(f"SELECT * FROM ({x}) ORDER BY seq, id LIMIT 25"
+                                       for x in (NEW_ENTRIES, PENDING_ENTRIES)))})"""
 
 ORACLE["q27_stream_ingest"] = validated_orders_sql()
 ORACLE["q28_stream_persist_replay"] = f"""
 SELECT id, {_ts('ts')} AS "timestamp", origin, schemaURI, data, seq FROM ({BUFFER_ENTRIES})"""
 
+
+
+def _entry_id(topic: str, partition: str, offset: str) -> str:
+    return (f"{topic} || '-' || epoch_us(ts) // 1000 || '-' || lpad(CAST({partition} AS VARCHAR), 6, '0') || '-' || "
+            f"lpad(CAST({offset} AS VARCHAR), 19, '0')")
+
+
 ORACLE["q32_ingest_to_target"] = f"""
 WITH m AS ({ORDER_MESSAGES})
-SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || '-' || ("offset" % 10) || '-' || "offset" AS id,
+SELECT {_entry_id("'order-topic'", '"offset" % 10', '"offset"')} AS id,
   {_ts('ts')} AS "timestamp", 'order-topic' AS origin, schemaURI, data
 FROM m JOIN orders ON o_orderkey = "offset"
 WHERE "offset" % 20 > 5 AND o_orderstatus IN ('O', 'F')"""
@@ -564,3 +583,35 @@ USER_CHECKS = [
 ]
 
 ORACLE["q35_user_email"] = _status_sql("", USER_CHECKS, "c_custkey", USER_MESSAGES)
+
+
+def _labels(*pairs: tuple[str, str]) -> str:
+    """Violated labels in order, comma-joined."""
+    cases = ", ".join(f"CASE WHEN {cond} THEN '{label}' END" for label, cond in sorted(pairs))
+    return f"concat_ws(',', {cases})"
+
+
+def _verdicts(key: str, src: str) -> str:
+    return f"""
+SELECT {key}, CASE WHEN errors = '' THEN 'valid' ELSE 'invalid' END AS status,
+  CASE WHEN errors = '' THEN 'ok' ELSE 'schema_violation' END AS reason, errors FROM ({src})"""
+
+
+ORACLE["q36_schema_per_supplier"] = _verdicts("l_orderkey, l_linenumber", f"""
+SELECT l_orderkey, l_linenumber, {_labels(
+    ("anyOf:note", "l_linenumber % 3 = 2 OR l_linenumber % 3 = 1 AND l_linenumber * 5 < 10"),
+    ("maximum:lines[].qty", "l_linenumber % 5 <> 0 AND l_quantity > l_suppkey % 41 + 10"),
+    ("minimum:lines[].qty", "l_linenumber % 5 <> 0 AND l_quantity < 1"),
+    ("required:lines[].qty", "l_linenumber % 5 = 0"))} AS errors FROM lineitem""")
+
+ORACLE["q37_order_lines"] = _verdicts("l_orderkey", f"""
+SELECT l_orderkey, {_labels(
+    ("type:*", "l_orderkey % 4 = 0"), ("minItems:lines", "count(*) < 2"),
+    ("contains:lines", "count(*) FILTER (l_linenumber % 5 <> 0 AND l_quantity >= 40) = 0"),
+    ("maximum:lines[].qty", "bool_or(l_linenumber % 5 <> 0 AND l_quantity > 45)"),
+    ("const:lines[].ship", "bool_or(l_linenumber % 2 <> 0 AND l_linenumber % 7 = 3)"),
+    ("required:lines[].qty", "bool_or(l_linenumber % 5 = 0)"))} AS errors FROM lineitem GROUP BY l_orderkey""")
+
+ORACLE["q38_two_topics"] = f"""
+SELECT {_entry_id('t', 'user_id % 10', 'event_id')} AS id, epoch_us(ts) AS seq, t AS origin
+FROM events, (VALUES ('left-topic'), ('right-topic')) AS topics(t)"""

@@ -314,14 +314,19 @@ def q17_item_projection(spark, sf_dir):
 # -- buffer and persistence ---------------------------------------------------
 
 def _new_pending(spark, sf_dir):
-    """Every entry arrives as new; a third (``seq % 3 = 0``) is also still
-    pending from an earlier read, so the two lists overlap."""
+    """Every entry arrives as new, a fifth of them once more with a later
+    ``seq`` and another origin; a third (``seq % 3 = 0``) is also still pending
+    from an earlier read, with an origin of its own, so it shows which copy
+    wins."""
     b = td.buffer_entries(spark, sf_dir)
-    return b, b.where(F.col("seq") % 3 == 0)
+    late = (b.where(F.col("seq") % 5 == 0).withColumn("seq", F.col("seq") + 1_000_000_000)
+            .withColumn("origin", F.lit("late-topic")))
+    return b.unionByName(late), b.where(F.col("seq") % 3 == 0).withColumn("origin", F.lit("pending-topic"))
 
 
 def q18_read_group(spark, sf_dir):
-    """All entries new, a third also pending: one row per id."""
+    """Entries new, some twice, a third also pending: one row per id, pending
+    first, then the last to arrive."""
     configure(spark)
     new, pending = _new_pending(spark, sf_dir)
     g = buf.read_group(new, pending)
@@ -399,7 +404,7 @@ def q25_schema_admission(spark, sf_dir):
     p = td.table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     t = F.lower(F.col("p_type"))
-    r = k % 8
+    r = k % 13
     doc = (F.when(r == 0, F.concat(F.lit('{"type":"object","properties":{"n":{"type":"string"}},"required":["n"]}')))
            .when(r == 1, F.concat(F.lit('{"type":"'), t, F.lit('"}')))
            .when(r == 2, F.lit('{"type":"object","properties":[1]}'))
@@ -407,7 +412,12 @@ def q25_schema_admission(spark, sf_dir):
            .when(r == 4, F.lit('{"type":"object"'))
            .when(r == 5, F.lit("true"))
            .when(r == 6, F.lit('{"type":["string","null"],"enum":["a",null]}'))
-           .otherwise(F.lit('{"type":"array","items":3}')))
+           .when(r == 7, F.lit('{"type":"array","items":3}'))
+           .when(r == 8, F.lit('{"properties":{"a":{"items":{"type":"objekt"}}}}'))
+           .when(r == 9, F.lit('{"properties":{"a":{"pattern":"["}}}'))
+           .when(r == 10, F.lit('{"allOf":[{"not":{"required":"a"}}]}'))
+           .when(r == 11, F.lit('{"$defs":{"x":{"minItems":-1}}}'))
+           .otherwise(F.lit('{"items":{"contains":{"const":1},"prefixItems":[{"enum":[{}]}]},"pattern":"^[a-z]+$"}')))
     d = p.select(k.alias("p_partkey"), doc.alias("schema"))
     return d.select("p_partkey", "schema", reg.schema_admissible("schema").cast("int").alias("admitted"))
 
@@ -441,7 +451,7 @@ def q31_read_group_capped(spark, sf_dir):
     """Group read with a per-list read count of 25 (the persist service's cap)."""
     configure(spark)
     new, pending = _new_pending(spark, sf_dir)
-    return buf.read_group(new, pending, count=25).select("id", "seq")
+    return buf.read_group(new, pending, count=25).select("id", "seq", "origin")
 
 
 QUERIES = {
@@ -504,7 +514,7 @@ def q27_stream_ingest(spark, sf_dir):
 
 def q28_stream_persist_replay(spark, sf_dir):
     """Buffer entries through the persist flow with at-least-once delivery:
-    entries with ``seq % 3 = 0`` arrive twice (the copy in a later file) and
+    entries with ``seq % 3 = 0`` arrive twice (the copy in the next of four files) and
     ``seq % 7 = 0`` fails on its first delivery and comes back from pending.
     The target must end with exactly one item per entry."""
     import os
@@ -514,9 +524,11 @@ def q28_stream_persist_replay(spark, sf_dir):
     run = new_run_dir(spark, "persist")
     src = os.path.join(run, "source")
     entries = td.buffer_entries(spark, sf_dir)
-    once = entries.withColumn("__order", F.col("seq"))
-    again = entries.where(F.col("seq") % 3 == 0).withColumn("__order", F.col("seq") + 2500)
-    _replay_files(once.unionByName(again), src, 4, "__order")
+    once = entries.withColumn("__order", F.pmod(F.xxhash64("id"), F.lit(3)))
+    again = once.where(F.col("seq") % 3 == 0).withColumn("__order", F.col("__order") + 1)
+    # one append per file, so a copy is always delivered by a later one
+    for i in range(4):
+        once.unionByName(again).where(F.col("__order") == i).coalesce(1).write.mode("append").parquet(src)
     flow = PersistFlow(spark, os.path.join(run, "state"),
                        fail=lambda g: g.where((F.col("seq") % 7 == 0) & (F.col("attempts") == 1)))
     stream = (spark.readStream.schema(once.schema).option("maxFilesPerTrigger", "1").parquet(src)
@@ -641,3 +653,82 @@ def q35_user_email(spark, sf_dir):
 
 QUERIES["q34_address_versions"] = q34_address_versions
 QUERIES["q35_user_email"] = q35_user_email
+
+
+def _base() -> str:
+    from ..functions.routes import DEFAULT_REGISTRY_BASE
+    return DEFAULT_REGISTRY_BASE
+
+
+def q36_schema_per_supplier(spark, sf_dir):
+    """One schema per supplier, folded from a change log, and one message per
+    line item: arrays of objects, ``anyOf``, hundreds of schemas (``auto``)."""
+    configure(spark)
+    k = F.col("s_suppkey")
+    log = td.table(spark, sf_dir, "supplier").select(
+        k.alias("seq"), F.lit("set").alias("op"), F.concat(F.lit("supplier"), k.cast("string")).alias("name"),
+        F.lit("1").alias("version"), F.concat(
+            F.lit('{"type":"object","required":["lines"],"properties":{"lines":{"type":"array","items":{"type":"object",'
+                  '"required":["qty"],"properties":{"qty":{"type":"integer","minimum":1,"maximum":'),
+            (k % 41 + 10).cast("string"),
+            F.lit('},"flag":{"enum":["A","N","R"]}}}},"note":{"anyOf":[{"type":"string","maxLength":1},'
+                  '{"type":"number","minimum":10}]}}}')).alias("schema"))
+    i, n = td.table(spark, sf_dir, "lineitem"), F.col("l_linenumber")
+    qty = F.when(n % 5 == 0, F.lit("")).otherwise(
+        F.concat(F.lit('"qty":'), F.col("l_quantity").cast("bigint").cast("string"), F.lit(",")))
+    note = F.when(n % 3 == 0, F.lit('"x"')).when(n % 3 == 1, (n * 5).cast("string")).otherwise(F.lit('"long"'))
+    messages = i.select(
+        "l_orderkey", "l_linenumber", F.lit("lines-topic").alias("origin"),
+        F.concat(F.lit(f"{_base()}/schemas/supplier"), F.col("l_suppkey").cast("string"), F.lit("/1.0")).alias("schemaURI"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+        F.concat(F.lit('{"lines":[{'), qty, F.lit('"flag":"'), F.col("l_returnflag"), F.lit('"}],"note":'), note,
+                 F.lit("}")).alias("data"))
+    out = val.validate(messages, reg.fold_log(log).cache())
+    return out.select("l_orderkey", "l_linenumber", "status", "reason", _joined(F.col("errors")).alias("errors"))
+
+
+ORDER_LINES_SCHEMA = (
+    '{"$defs":{"line":{"type":"object","required":["part","qty"],"properties":{"part":{"type":"integer"},'
+    '"qty":{"maximum":45},"ship":{"const":{"mode":["AIR"],"fee":1.50}}}}},"type":"object","required":["lines"],'
+    '"properties":{"lines":{"type":"array","minItems":2,"items":{"$ref":"#/$defs/line"},'
+    '"contains":{"required":["qty"],"properties":{"qty":{"minimum":40}}}}},"additionalProperties":{"type":"string"}}')
+
+
+def q37_order_lines(spark, sf_dir):
+    """Each order's lines as one array of objects, against local definitions,
+    ``contains``, a constant object and a schema for other properties.  Each
+    design takes the orders of one parity; both must agree with the oracle."""
+    configure(spark)
+    n = F.col("l_linenumber")
+    ship = F.when(n % 2 == 0, F.lit(',"ship":{"fee":1.5,"mode":["AIR"]}')).when(
+        n % 7 == 3, F.lit(',"ship":{"fee":1.5,"mode":["RAIL"]}')).otherwise(F.lit(""))
+    qty = F.when(n % 5 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(',"qty":'), F.col("l_quantity").cast("bigint").cast("string")))
+    lines = td.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", F.concat(F.lit('{"part":'), F.col("l_partkey").cast("string"), qty, ship, F.lit("}")).alias("t")))).alias("l"))
+    other = F.when(F.col("l_orderkey") % 4 == 0, F.lit("5")).otherwise(F.lit('"x"'))
+    messages = lines.select(
+        "l_orderkey", F.lit("lines-topic").alias("origin"), F.lit(f"{_base()}/schemas/lines/1.0.0").alias("schemaURI"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+        F.concat(F.lit('{"lines":['), F.array_join(F.col("l.t"), ","), F.lit('],"other":'), other, F.lit("}")).alias("data"))
+    registry = spark.createDataFrame([(f"{_base()}/schemas/lines/1.0.0", ORDER_LINES_SCHEMA)],
+                                     "schemaURI string, schema string")
+    parts = [val.validate(messages.where(F.col("l_orderkey") % 2 == i), registry, design=d)
+             for i, d in enumerate(("compiled", "rules"))]
+    return _outcome(parts[0].unionByName(parts[1]), "l_orderkey")
+
+
+def q38_two_topics(spark, sf_dir):
+    """Records of two topics that agree in partition, offset and time: every one
+    keeps an entry of its own through ids, group read and arrival order."""
+    configure(spark)
+    e = td.event_records(spark, sf_dir)
+    both = e.withColumn("topic", F.lit("left-topic")).unionByName(e.withColumn("topic", F.lit("right-topic")))
+    entries = buf.assign_ids(env.to_envelope(both)).select(*buf.ENTRY_COLUMNS)
+    group = buf.read_group(entries, entries.where(F.col("seq") % 2 == 0))
+    return group.select("id", "seq", "origin")
+
+
+QUERIES["q36_schema_per_supplier"] = q36_schema_per_supplier
+QUERIES["q37_order_lines"] = q37_order_lines
+QUERIES["q38_two_topics"] = q38_two_topics
