@@ -30,7 +30,7 @@ from sluice.llm.common import cut
 class Tree:
     """Vantage-point tree over the rows of ``points``, in flat node lists."""
 
-    def __init__(self, points: np.ndarray, leaf: int = 64):
+    def __init__(self, points: np.ndarray, leaf: int = 128):
         self.points, self.leaf = points, leaf
         self.nodes: list[tuple] = []  # (vantage, [(child, low, high)...]) or (None, rows)
         self.root = self._build(np.arange(len(points)))
@@ -59,37 +59,53 @@ class Tree:
 
     def search(self, queries: np.ndarray, norms: np.ndarray, keep: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the ``keep`` largest inner products per query (-1:
-        none).  ``queries`` are lifted; ``norms`` holds ``|q|^2 + M^2``."""
-        n = len(queries)
-        rows = np.full((n, keep), -1)
-        best = np.full((n, keep), -np.inf)
+        none), in no order.  ``queries`` are lifted; ``norms`` holds
+        ``|q|^2 + M^2``.
 
-        def visit(at: int, who: np.ndarray) -> None:
+        A first walk takes every query to its nearest leaf only, which bounds
+        its distances; the second visits each node once, with the queries that
+        the bound lets through.
+        """
+        n = len(queries)
+        rows, best = np.full((n, keep), -1), np.full((n, keep), -np.inf)
+        least, home = np.full(n, -np.inf), np.full(n, -1)
+
+        def take(leaf: np.ndarray, who: np.ndarray) -> None:
+            score = queries[who] @ self.points[leaf].T
+            better = score.max(axis=1) > least[who]
+            who, score = who[better], score[better]
+            if len(who):
+                both = np.concatenate([best[who], score], axis=1)
+                ids = np.concatenate([rows[who], np.broadcast_to(leaf, score.shape)], axis=1)
+                top = np.argpartition(both, -keep, axis=1)[:, -keep:]
+                best[who], rows[who] = np.take_along_axis(both, top, 1), np.take_along_axis(ids, top, 1)
+                least[who] = best[who].min(axis=1)
+
+        def visit(at: int, who: np.ndarray, nearest_only: bool) -> None:
             vantage, rest = self.nodes[at]
             if vantage is None:
-                score = queries[who] @ self.points[rest].T
-                better = score.max(axis=1) > best[who, -1]
-                who, score = who[better], score[better]
+                if nearest_only:
+                    home[who] = at
+                else:
+                    who = who[home[who] != at]
                 if len(who):
-                    both = np.concatenate([best[who], score], axis=1)
-                    ids = np.concatenate([rows[who], np.broadcast_to(rest, score.shape)], axis=1)
-                    order = np.argsort(-both, axis=1, kind="stable")[:, :keep]
-                    best[who] = np.take_along_axis(both, order, 1)
-                    rows[who] = np.take_along_axis(ids, order, 1)
+                    take(rest, who)
                 return
-            d = np.sqrt(np.maximum(norms[who] - 2 * queries[who] @ self.points[vantage], 0))
             # Lifted points all have norm M, so |q - p|^2 = |q|^2 + M^2 - 2 q.p
+            d = np.sqrt(np.maximum(norms[who] - 2 * queries[who] @ self.points[vantage], 0))
             inner = d <= (rest[0][2] + rest[1][1]) / 2
-            for turn in (True, False):  # each query takes its nearer child first
-                for i, (child, low, high) in enumerate(rest):
-                    mine = inner == (turn == (i == 0))
+            for i, (child, low, high) in enumerate(rest):
+                if nearest_only:
+                    go = inner == (i == 0)
+                else:
                     lower = np.maximum(np.maximum(d - high, low - d), 0)
-                    reach = np.sqrt(np.maximum(norms[who] - 2 * best[who, -1], 0))
-                    go = mine & (factor * lower <= reach * (1 + 1e-9) + 1e-6)
-                    if go.any():
-                        visit(child, who[go])
+                    reach = np.sqrt(np.maximum(norms[who] - 2 * least[who], 0))
+                    go = factor * lower <= reach * (1 + 1e-9) + 1e-6
+                if go.any():
+                    visit(child, who[go], nearest_only)
 
-        visit(self.root, np.arange(n))
+        for nearest_only in (True, False):
+            visit(self.root, np.arange(n), nearest_only)
         return rows, best
 
 
