@@ -23,6 +23,7 @@ from ..functions.routes import (DEFAULT_REGISTRY_BASE, URI_SEGMENT, URI_TAIL,
                                 uri_name, uri_version)
 from ..functions.semver import DEFAULT_KEY_PREFIX, parse_semver, registry_key, semver_text
 from ..functions import jsonschema as js
+from ..session import fs_exists
 from .sequence import last_before
 
 _PART = r"(0|[1-9][0-9]{0,2}|10[01][0-9]|102[0-3])"
@@ -34,29 +35,32 @@ def corpus_dir() -> str:
     return str(resources.files("sluice") / "schemas")
 
 
-def load_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
+def load_corpus(spark: SparkSession, path: str | None = None, base: str | None = None) -> DataFrame:
     """One row per ``*.json`` file: ``(path, schemaURI, name, version, schema)``.
 
-    ``schemaURI``/``name``/``version`` come from the document's ``$id``;
-    they are NULL for a document that does not parse or has no usable ``$id``
-    (the load-error row replaces an exception).
+    ``schemaURI``/``name``/``version`` come from the document's ``$id``, which
+    may be relative to ``base``; they are NULL for a document that does not
+    parse or has no usable ``$id`` (the load-error row replaces an exception).
     """
     if path is None:
         # The bundled corpus lives inside the package on the driver only; it is
         # nine small fixed documents, so it is handed to Spark as rows.
-        base = resources.files("sluice") / "schemas"
-        docs = sorted((f"file://{base / n.name}", (base / n.name).read_text())
-                      for n in base.iterdir() if n.name.endswith(".json"))
-        return corpus_from_texts(spark, docs)
+        folder = resources.files("sluice") / "schemas"
+        docs = sorted((f"file://{folder / n.name}", (folder / n.name).read_text())
+                      for n in folder.iterdir() if n.name.endswith(".json"))
+        return corpus_from_texts(spark, docs, base)
     raw = (spark.read.option("pathGlobFilter", "*.json")
            .text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("schema")))
-    return _with_ids(raw)
+    return _with_ids(raw, base)
 
 
-def _with_ids(raw: DataFrame) -> DataFrame:
+def _with_ids(raw: DataFrame, base: str | None = None) -> DataFrame:
     """``(path, schema)`` -> corpus columns; URI, name and version from ``$id``."""
     sid = F.get_json_object("schema", "$['$id']")
+    if base is not None:
+        sid = F.when(sid.contains("://"), sid).otherwise(
+            F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(sid, "^/+", "")))
     return raw.select("path", sid.alias("schemaURI"), uri_name(sid).alias("name"),
                       uri_version(sid).alias("version"), "schema")
 
@@ -153,17 +157,58 @@ class RegistrationError(ValueError):
     """A corpus document was refused; nothing was registered."""
 
 
-def register_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
+def register_corpus(spark: SparkSession, path: str | None = None, base: str | None = None,
+                    log: str | None = None) -> DataFrame:
     """Bulk registration (SNK-5): refuse the whole corpus if any document is
     refused, naming the first one in path order; otherwise the registry state.
 
-    The corpus is one row per document, so the refusal list is small.
+    The corpus is one row per document, so the refusal list is small.  With
+    ``log`` the ``set`` ops are appended to that change-log table and the state
+    is that of the whole log.
     """
-    corpus = load_corpus(spark, path)
+    corpus = load_corpus(spark, path, base)
     first = reject_documents(corpus).orderBy("path").select("path").first()
     if first is not None:
         raise RegistrationError(f"schema document refused: {first['path']}")
-    return fold_log(corpus_to_log(corpus))
+    if log is None:
+        return fold_log(corpus_to_log(corpus))
+    append_log(spark, log, corpus_to_log(corpus))
+    return fold_log(read_log(spark, log))
+
+
+# -- durable change log --------------------------------------------------
+
+LOG_SCHEMA = "seq bigint, op string, name string, version string, schema string, base string"
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The change log kept at ``path`` (empty when nothing was ever appended)."""
+    if not fs_exists(spark, path):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
+
+
+def append_log(spark: SparkSession, path: str, ops: DataFrame) -> None:
+    """Append ops ``(seq, op, name, version, schema[, base])``, numbered after
+    all ops the log holds.  One writer at a time, as for any appended table."""
+    last = read_log(spark, path).agg(F.max("seq")).first()[0]
+    if "base" not in ops.columns:
+        ops = ops.withColumn("base", F.lit(None).cast("string"))
+    shifted = F.col("seq") + F.lit(0 if last is None else last + 1) - F.lit(_first_seq(ops))
+    ops.select(shifted.cast("bigint").alias("seq"), "op", "name", "version", "schema", "base").write.mode("append").parquet(path)
+
+
+def _first_seq(ops: DataFrame) -> int:
+    return ops.agg(F.coalesce(F.min("seq"), F.lit(0))).first()[0]
+
+
+def delete_entry(spark: SparkSession, path: str, name: str, version: str) -> bool:
+    """Append a ``del`` op; False (and nothing appended) when there is no such entry."""
+    if lookup(fold_log(read_log(spark, path)), name, version).isEmpty():
+        return False
+    append_log(spark, path, spark.createDataFrame([(0, "del", name, version, None)],
+                                                  "seq bigint, op string, name string, version string, schema string"))
+    return True
 
 
 def registry_of(corpus: DataFrame) -> DataFrame:
@@ -173,14 +218,14 @@ def registry_of(corpus: DataFrame) -> DataFrame:
     return fold_log(corpus_to_log(ok))
 
 
-def corpus_from_texts(spark: SparkSession, docs: list[tuple[str, str]]) -> DataFrame:
+def corpus_from_texts(spark: SparkSession, docs: list[tuple[str, str]], base: str | None = None) -> DataFrame:
     """Corpus frame from ``(path, text)`` pairs held on the driver (small, fixed sets)."""
-    return _with_ids(spark.createDataFrame(docs, "path string, schema string"))
+    return _with_ids(spark.createDataFrame(docs, "path string, schema string"), base)
 
 
-def registry_from_corpus(spark: SparkSession, path: str | None = None) -> DataFrame:
+def registry_from_corpus(spark: SparkSession, path: str | None = None, base: str | None = None) -> DataFrame:
     """Registry state after registering every admissible corpus document."""
-    return registry_of(load_corpus(spark, path))
+    return registry_of(load_corpus(spark, path, base))
 
 
 # -- requests ----------------------------------------------------------

@@ -615,3 +615,13 @@ SELECT l_orderkey, {_labels(
 ORACLE["q38_two_topics"] = f"""
 SELECT {_entry_id('t', 'user_id % 10', 'event_id')} AS id, epoch_us(ts) AS seq, t AS origin
 FROM events, (VALUES ('left-topic'), ('right-topic')) AS topics(t)"""
+
+ORACLE["q39_external_flow"] = """
+WITH b AS (SELECT i AS batch_id, count(*) FILTER (event_id % 3 = i) + count(*) FILTER (event_id % 3 < i AND event_id % 11 = 0) AS n,
+             count(*) FILTER (event_id % 3 <= i AND event_id % 11 = 0) AS unpersisted_count
+           FROM events, range(3) AS r(i) GROUP BY i)
+SELECT batch_id, n, n - unpersisted_count AS persisted_count, unpersisted_count,
+       CASE WHEN unpersisted_count = n THEN 'failed' WHEN unpersisted_count > 0 THEN 'partial' ELSE 'ok' END AS verdict FROM b
+UNION ALL SELECT -1, count(*), 0, count(*), 'pending' FROM events WHERE event_id % 11 = 0"""
+
+ORACLE["q40_registry_log"] = ORACLE["q04_registry_fold"]

@@ -732,3 +732,40 @@ def q38_two_topics(spark, sf_dir):
 QUERIES["q36_schema_per_supplier"] = q36_schema_per_supplier
 QUERIES["q37_order_lines"] = q37_order_lines
 QUERIES["q38_two_topics"] = q38_two_topics
+
+
+def q39_external_flow(spark, sf_dir):
+    """Entries in three batches through the persist flow into an external store
+    that leaves some items unprocessed after retries: outcome per batch, and
+    what is pending at the end (batch -1)."""
+    import os
+    from ..session import new_run_dir
+    from ..streaming.persist import PersistFlow
+    configure(spark)
+    flow = PersistFlow(spark, os.path.join(new_run_dir(spark, "external"), "state"), writer=_flaky_store(),
+                       chunk_size=25, attempts=3, base_backoff=0.0)
+    entries = td.buffer_entries(spark, sf_dir)
+    for i in range(3):
+        flow.run_batch(entries.where(F.col("seq") % 3 == i), i)
+    left = flow.pending_frame().agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(-1).cast("bigint").alias("batch_id"), "n", F.lit(0).cast("bigint").alias("persisted_count"),
+        F.col("n").alias("unpersisted_count"), F.lit("pending").alias("verdict"))
+    return flow.outcome_frame().select(*left.columns).unionByName(left)
+
+
+def q40_registry_log(spark, sf_dir):
+    """The change log appended to a durable table in two runs, and read back."""
+    import os
+    from ..session import new_run_dir
+    configure(spark)
+    path = os.path.join(new_run_dir(spark, "registry-log"), "log")
+    log = td.registry_change_log(spark, sf_dir)
+    half = log.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    for part in (F.col("seq") <= half, F.col("seq") > half):
+        reg.append_log(spark, path, log.where(part))
+    state = reg.fold_log(reg.read_log(spark, path))
+    return state.select("key", "name", semver_text("version").alias("version"), "schemaURI", "schema")
+
+
+QUERIES["q39_external_flow"] = q39_external_flow
+QUERIES["q40_registry_log"] = q40_registry_log

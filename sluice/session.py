@@ -93,6 +93,12 @@ def fs_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def fs_delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote (a superseded version of its state)."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def fs_children(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` ([] when it does not exist)."""
     fs, p = _fs_path(spark, path)

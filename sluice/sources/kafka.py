@@ -55,9 +55,11 @@ def read_replay_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     return r.parquet(path)
 
 
-def to_kafka_frame(envelopes: DataFrame, topic_col: str = "origin") -> DataFrame:
-    """Envelope -> sink frame: topic, JSON value, ``schemaURI`` header, null key (SNK-3)."""
+def to_kafka_frame(envelopes: DataFrame, topic_col: str = "origin", keep: list[str] | None = None) -> DataFrame:
+    """Envelope -> sink frame: topic, JSON value, ``schemaURI`` header, null key
+    (SNK-3), and the ``keep`` columns."""
     return envelopes.select(
+        *(keep or []),
         F.col(topic_col).alias("topic"),
         F.col("data").cast("binary").alias("value"),
         F.array(F.struct(F.lit(SCHEMA_HEADER).alias("key"),

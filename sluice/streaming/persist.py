@@ -4,7 +4,8 @@ Layout under ``root`` (a folder in the shared checkpoint location):
 
 * ``target/deltas/batch=<n>/``  items persisted by batch n (append only)
 * ``target/base/v=<n>/``  compacted state up to batch n (``compact``)
-* ``pending/v=<seq>_b=<batch>/``  entries read but not yet persisted (one version per batch)
+* ``pending/v=<seq>_b=<batch>/``  entries read but not yet persisted (one version per
+  batch; the last two are kept)
 * ``outcomes/batch=<n>/`` one outcome row per batch
 
 One ``foreachBatch`` call:
@@ -12,8 +13,8 @@ One ``foreachBatch`` call:
 1. read group = new entries ∪ latest pending version, unique by id (pending
    wins), each list optionally capped (entries beyond the cap stay pending);
 2. empty read → no-op;
-3. write the items; ``fail`` (optional) names ids the store left
-   unprocessed; persisted items are appended as the batch's own delta
+3. write the items; the store's ``writer`` (or ``fail``, a test hook) names
+   ids left unprocessed; persisted items are appended as the batch's own delta
    (merge on read: a batch costs its own size, never a table rewrite);
 4. persisted = read group minus failed ids; nothing persisted → the batch is
    ``failed`` and nothing is acknowledged;
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from ..operators import buffer as buf
 from ..operators import envelope as env
 from ..operators import persist as per
-from ..session import checkpoint_root, fs_children, fs_exists
+from ..session import checkpoint_root, fs_children, fs_delete, fs_exists
 
 log = logging.getLogger(__name__)
 
@@ -59,12 +60,18 @@ class PersistFlow:
     """State and per-batch logic of the persist flow."""
 
     def __init__(self, spark: SparkSession, root: str, read_count: int | None = None,
-                 fail: Callable[[DataFrame], DataFrame] | None = None):
-        """``fail(items) -> failed ids`` injects write failures (tests, chaos runs)."""
+                 fail: Callable[[DataFrame], DataFrame] | None = None,
+                 writer: Callable[[list[dict]], list[str]] | None = None, **writer_options):
+        """``writer(items) -> unprocessed ids`` puts a chunk into an external store
+        (chunks, retries and back-off: ``persist.chunked_writer``, which takes
+        ``writer_options``); the items then live there instead of in
+        ``target/``.  ``fail(items) -> failed ids`` injects write failures
+        (tests, chaos runs)."""
         self.spark = spark
         self.root = root
         self.read_count = read_count
         self.fail = fail
+        self.writer, self.writer_options = writer, writer_options
         self.target = os.path.join(root, "target")
         self.pending = os.path.join(root, "pending")
         self.outcomes = os.path.join(root, "outcomes")
@@ -108,7 +115,7 @@ class PersistFlow:
         if group.isEmpty():
             return
         items = env.item(group, keep=["seq"])
-        if self.fail is None:
+        if self.fail is None and self.writer is None:
             failed = group.limit(0).select("id")
         else:
             # The store's answer is taken once and recorded (writes have side
@@ -117,13 +124,15 @@ class PersistFlow:
             # carries on (failure isolation).
             fpath = os.path.join(self.root, "failed", f"batch={batch_id}")
             try:
-                self.fail(group).select("id").write.mode("overwrite").parquet(fpath)
+                left = self.fail(group) if self.fail is not None else per.write_external(
+                    items, self.writer, **self.writer_options)
+                left.select("id").write.mode("overwrite").parquet(fpath)
             except Exception as exc:  # noqa: BLE001 - any store failure fails the batch, not the stream
                 log.warning("persist batch %s: store write failed, nothing persisted: %s", batch_id, exc)
                 group.select("id").write.mode("overwrite").parquet(fpath)
             failed = self.spark.read.parquet(fpath)
         persisted, unpersisted = per.split_by_failures(group, failed)
-        if not persisted.isEmpty():
+        if self.writer is None and not persisted.isEmpty():
             per.append_items(items.join(persisted.select("id"), "id", "left_semi"), self.target, batch_id)
         next_pending = unpersisted.withColumn("attempts", F.col("attempts") + 1)
         if self.read_count is not None:
@@ -135,6 +144,9 @@ class PersistFlow:
         outcome = per.batch_outcome(group.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"),
                                     failed.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "id"))
         outcome.write.mode("overwrite").parquet(os.path.join(self.outcomes, f"batch={batch_id}"))
+        # A batch's own version and the one before it are all a re-run needs.
+        for _, _, name in _versions(self.spark, self.pending)[:-2]:
+            fs_delete(self.spark, os.path.join(self.pending, name))
 
     DRAIN_BASE = 1 << 40  # drain rounds get ids far above any stream batch id
 

@@ -20,7 +20,7 @@ def _entries(spark, ids_seqs):
 
 def test_append_read_ack_delete_sequence(spark):
     path = new_run_dir(spark, "buffer")
-    buf.append(_entries(spark, [("1234567890-0", 1)]), path)
+    buf.append(_entries(spark, [("b-17-3", 1)]), path)
     stored = spark.read.parquet(path)
     empty = stored.limit(0)
     got = buf.read_group(stored, empty).collect()

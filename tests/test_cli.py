@@ -52,3 +52,30 @@ def test_register_refuses_a_bad_corpus(spark, tmp_path, capsys):
     (d / "bad-1.0.0.json").write_text('{"$id":"http://r/schemas/bad/1.0.0","type":"objekt"}')
     assert main(["register", "--registry", str(d)]) == 1
     assert "bad-1.0.0.json" in capsys.readouterr().err
+
+
+def test_durable_registry_log(spark, tmp_path, capsys):
+    log, docs = str(tmp_path / "log"), tmp_path / "docs"
+    docs.mkdir()
+    (docs / "a.json").write_text('{"$id":"/schemas/lamp/1.0.0","type":"object","required":["on"]}')
+    args = ["--registry", str(docs), "--base", "https://own.example.org/r", "--log", log]
+    assert main(["register", *args]) == 0
+    assert "https://own.example.org/r/schemas/lamp/1.0.0" in capsys.readouterr().out
+    (docs / "a.json").write_text('{"$id":"/schemas/lamp/1.0.0","type":"array"}')
+    assert main(["register", *args]) == 0  # a second run appends, the last writer wins
+    capsys.readouterr()
+    assert main(["get", "--log", log, "lamp", "1"]) == 0 and '"array"' in capsys.readouterr().out
+    assert main(["delete", "--log", log, "lamp", "1.0"]) == 0
+    assert main(["delete", "--log", log, "lamp", "1.0"]) == 1 and main(["get", "--log", log, "lamp", "1.0.0"]) == 1
+    assert main(["register", *args]) == 0 and main(["get", "--log", log, "lamp", "1.0.0"]) == 0
+
+
+def test_produce_then_ingest(spark, tmp_path):
+    out, buffer = str(tmp_path / "records"), str(tmp_path / "buffer")
+    assert main(["produce", "--out", out, "--rows-per-second", "40", "--seconds", "6",
+                 "--checkpoint", str(tmp_path / "ck0")]) == 0
+    n = spark.read.parquet(out).count()
+    assert n > 9
+    assert main(["ingest", "--replay", out, "--out", buffer, "--once", "--checkpoint", str(tmp_path / "ck1")]) == 0
+    got = spark.read.parquet(buffer)
+    assert got.count() == n and got.where("status = 'valid'").count() == n

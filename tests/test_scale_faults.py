@@ -85,3 +85,30 @@ def test_registry_keeps_the_documents_own_host_and_path_order(spark):
     assert row.schemaURI == "https://schemas.example.com/schemas/x/1.0.0" and "second" in row.schema
     out = val.validate(envelopes(spark, [("m", row.schemaURI, "{}")]), reg.registry_of(corpus)).first()
     assert out.reason == "ok"
+
+
+def test_pending_state_stays_small_over_many_batches(spark):
+    from sluice.session import fs_children
+    flow = PersistFlow(spark, new_run_dir(spark, "t-many"), fail=lambda g: g.where("seq % 2 = 0 AND attempts = 1"))
+    for i in range(12):
+        flow.run_batch(entries_of(spark, 4).withColumn("id", F.concat(F.lit(f"b{i}-"), "id")), i)
+        assert len(fs_children(spark, flow.pending)) <= 2
+    flow.drain()
+    assert flow.pending_frame().isEmpty() and flow.target_frame().count() == 48
+
+
+def test_every_corpus_document_projects_to_its_type(spark):
+    from sluice.operators.compile import struct_type_of
+    kinds = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
+    rows = reg.load_corpus(spark).collect()
+    assert len(rows) == 9
+    for r in rows:
+        doc = json.loads(r.schema)
+        got = {f.name: (f.dataType.simpleString(), f.nullable) for f in struct_type_of(doc).fields}
+        want = {k: (kinds.get(p["type"]) or f"array<{kinds[p['items']['type']]}>", k not in doc["required"])
+                for k, p in doc["properties"].items()}
+        assert got == want, r.path
+        text = json.dumps({k: {"string": "s", "integer": 7, "number": 1.5, "boolean": True}.get(p["type"], [])
+                           for k, p in doc["properties"].items()})
+        one = spark.createDataFrame([(text,)], "t string").select(F.from_json("t", struct_type_of(doc)).alias("x")).first().x
+        assert one.asDict() == json.loads(text)
