@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, which bound a task's Python memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def words(data: bytes) -> list[bytes]:
     """ASCII-lower-cased words of UTF-8 text; ``bytes.split`` cuts at exactly the
     white space ``WORD`` leaves out."""

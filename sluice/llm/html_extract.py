@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut
+from sluice.llm.common import cut, slices
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:"[^"]*"|'[^']*'|[^>"'])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""",
@@ -285,7 +285,7 @@ def main_text(page: str, levels: list[frozenset[str]]) -> str:
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One wrapper per host of the task's pages."""
     wrappers: dict[str, Wrapper] = {}
-    for batch in batches:
+    for batch in slices(batches):
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html")):
             folded = fold(page.as_py() or "")
             old = wrappers.get(host)
@@ -330,7 +330,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str | None, list[frozenset[str]]] = {}
-    for batch in batches:
+    for batch in slices(batches):
         texts = []
         for page, main in zip(batch.column("html"), batch.column("main")):
             key = main.as_py()
@@ -344,7 +344,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         main = [json.dumps(main_paths(json.loads(w))) for w in batch.column("wrapper").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(main, pa.string())], names=["host", "main"])
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import components, cut, shingle_set
+from sluice.llm.common import components, cut, shingle_set, slices
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -58,7 +58,7 @@ def _lists(columns: list[np.ndarray]) -> pa.ListArray:
 
 def _sets(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
     """Size and digest of every row's set."""
-    for batch in batches:
+    for batch in slices(batches):
         sets = [shingle_set(x or b"", n_words) for x in batch.column("data").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(map(_digest, sets), pa.binary())],
@@ -67,7 +67,7 @@ def _sets(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.Record
 
 def _leads(batches: Iterator[pa.RecordBatch], n_words: int, percent: int, depth: float) -> Iterator[pa.RecordBatch]:
     """Digest and leading stretch (smallest hashes) of every row's set."""
-    for batch in batches:
+    for batch in slices(batches):
         sets = [shingle_set(x or b"", n_words) for x in batch.column("data").to_pylist()]
         sets = [s for s in sets if len(s)]
         yield pa.RecordBatch.from_arrays(
@@ -77,7 +77,7 @@ def _leads(batches: Iterator[pa.RecordBatch], n_words: int, percent: int, depth:
 
 def _matching(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
     """Shingles of the rows whose set has the digest asked for."""
-    for batch in batches:
+    for batch in slices(batches):
         nodes, sets = [], []
         for node, key, data in zip(*(batch.column(c).to_pylist() for c in ("node", "key", "data"))):
             s = shingle_set(data or b"", n_words)
@@ -250,3 +250,27 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = joined.where("rows > 1").dropDuplicates([id_col, text_col]) if odd.where("rows > 1").limit(1).count() else None
     kept = joined.where("rows is null or rows = 1").select(*names)
     return kept if again is None else kept.unionByName(again.select(*names))
+
+
+def components_sql(n_words: int = 5, percent: int = 80) -> str:
+    """The same components of ``documents(doc_id, text)`` in DuckDB SQL."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= {n_words} THEN list_transform(range(1, len(w) - {n_words - 2}),
+                                                 lambda i: array_to_string(w[i:i + {n_words - 1}], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+items AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""

@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import slices
+
 
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -178,7 +180,7 @@ def _pack(batches: Iterator[pa.RecordBatch], schema: pa.Schema, path: str, end_i
             [pa.array(x, t) for x, t in zip(zip(*done), schema.types)], schema=schema)
 
     last = array("I", [end_id]).tobytes()
-    for batch in batches:
+    for batch in slices(batches):
         for doc, data in zip(batch.column("id").to_pylist(), batch.column("data")):
             packer.add(doc, memoryview(encoder.encode(data.as_py() or b"") + last).cast("I"))
             if len(packer.done) >= 20_000:

@@ -25,12 +25,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import cut, mix, ngram_hashes, word_hashes
+from sluice.llm.common import cut, mix, ngram_hashes, slices, word_hashes
 
 
 def buckets(data: bytes, bits: int) -> np.ndarray:
@@ -42,17 +43,13 @@ def buckets(data: bytes, bits: int) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Per task: bucket, count over all rows, labelled rows, clean labelled rows."""
     total = np.zeros((3, 1 << bits), np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         many: list[list[np.ndarray]] = [[], [], []]
-        size = 0
         for data, good in zip(batch.column("data"), batch.column("good").to_pylist()):
-            b = buckets(data.as_py() or b"", bits)
-            many[0 if good is None else 2 if good else 1].append(b)
-            size += len(b)
-            if size > 2_000_000:
-                _add(total, many)
-                size = 0
-        _add(total, many)
+            many[0 if good is None else 2 if good else 1].append(buckets(data.as_py() or b"", bits))
+        for row, found in zip(total, many):
+            if found:
+                row += np.bincount(np.concatenate(found), minlength=len(row))
     seen = np.flatnonzero(total.any(axis=0))
     unlabelled, bad, good = total[:, seen]
     yield pa.RecordBatch.from_arrays(
@@ -60,13 +57,6 @@ def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
         names=["bucket", "raw", "labelled", "target"])
 
 
-def _add(total: np.ndarray, many: list[list[np.ndarray]]) -> None:
-    for row, found in zip(total, many):
-        if found:
-            row += np.bincount(np.concatenate(found), minlength=len(row))
-            found.clear()
-
-
 def log_ratio(raw: np.ndarray, labelled: np.ndarray, target: np.ndarray, pseudo: float, least_z: float) -> np.ndarray:
     """Log weight per bucket; both halves are models of their own."""
     expected = np.empty(len(raw))
@@ -78,24 +68,14 @@ def log_ratio(raw: np.ndarray, labelled: np.ndarray, target: np.ndarray, pseudo:
     return out
 
 
-def _weigh(batches: Iterator[pa.RecordBatch], column: str, schema: pa.Schema, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
-    bits = int(len(weights)).bit_length() - 1
-    for batch in batches:
-        at = batch.schema.get_field_index(column)
-        w = [float(weights[buckets(x.as_py() or b"", bits)].sum()) for x in batch.column(at)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1:], pa.array(w, pa.float64())],
-                                         schema=schema)
+def weigh(text: Column, weights: np.ndarray) -> Column:
+    """Log weight of a text.  Only the text goes to Python, and a number comes back."""
+    bits = len(weights).bit_length() - 1
 
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([float(weights[buckets(t or b"", bits)].sum()) for t in texts], dtype="float64")
 
-def weigh(docs: DataFrame, text_col: str, weights: np.ndarray, out: str) -> DataFrame:
-    """``docs`` with the log weight of each row's text in ``out``."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    kept = docs.drop(out)
-    schema = T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())])
-    arrow = to_arrow_schema(schema)
-    column = "data of the classifier"
-    return kept.withColumn(column, F.col(text_col).cast("binary")).mapInArrow(
-        lambda it: _weigh(it, column, arrow, weights), schema)
+    return F.pandas_udf(of, T.DoubleType())(text.cast("binary"))
 
 
 def gumbel(seed: int, *of: Column) -> Column:
@@ -160,9 +140,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
     def keyed(rows: DataFrame) -> DataFrame:
-        return weigh(rows, text_col, weights, out).select(*[F.col(f"`{c}`") for c in rows.columns if c != out], F.struct(
+        weighed = rows.withColumn(out, weigh(F.col(text_col), weights))
+        return weighed.withColumn(out, F.struct(
             F.col(out).alias("log_weight"),
-            (F.col(out) + temperature * gumbel(seed, F.col(id_col), text)).alias("key")).alias(out))
+            (F.col(out) + temperature * gumbel(seed, F.col(id_col), text)).alias("key")))
 
     bar = float("-inf")
     if usable and k is None:

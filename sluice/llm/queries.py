@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.llm import pii
 from sluice.llm.common import table
 from sluice.llm.html_extract import extract
-from sluice.llm.jaccard_join import similar_components
+from sluice.llm.jaccard_join import components_sql, similar_components
 from sluice.llm.licenses import scan, scan_sql
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
@@ -93,5 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard_join": components_sql(),
     "op6_license_scan": scan_sql(),
 }
