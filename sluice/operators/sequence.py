@@ -22,13 +22,15 @@ from pyspark.sql import functions as F
 
 
 def last_before(df: DataFrame, keys: list[str], order: str, value: Column | str,
-                out: str, bucket_width: int = 1 << 16) -> DataFrame:
+                out: str, bucket_width: int = 1 << 16, levels: int = 1) -> DataFrame:
     """Add column ``out``: the last non-null ``value`` among rows with the
     same ``keys`` and a strictly smaller ``order`` (ties: none counted).
 
     ``order`` is an integral column (a sequence number) or a timestamp (taken
     as epoch microseconds); ``bucket_width`` bounds the rows any one window
-    group holds for a key with unique order values.
+    group holds for a key with unique order values.  ``levels`` above 1 carries
+    the bucket summaries in buckets of their own, for orders whose buckets are
+    so narrow that a hot key has very many (time, three levels).
     """
     val = F.col(value) if isinstance(value, str) else value
     b = "__bucket"
@@ -36,7 +38,7 @@ def last_before(df: DataFrame, keys: list[str], order: str, value: Column | str,
     if dict(df.dtypes).get(order, "").startswith("timestamp"):
         # time order: bucket and compare on epoch microseconds
         df = df.withColumn("__order", F.unix_micros(F.col(order).cast("timestamp")))
-        out_df = last_before(df, keys, "__order", val, out, bucket_width)
+        out_df = last_before(df, keys, "__order", val, out, bucket_width, levels=3)
         return out_df.drop("__order")
     d = df.withColumn(b, F.floor(F.col(order) / F.lit(bucket_width))).withColumn(v, val)
 
@@ -48,10 +50,15 @@ def last_before(df: DataFrame, keys: list[str], order: str, value: Column | str,
     w_in = (Window.partitionBy(*keys, b).orderBy(order)
             .rangeBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("__prev_in", F.last(v, ignorenulls=True).over(w_in))
-    w_b = (Window.partitionBy(*keys).orderBy(b)
-           .rowsBetween(Window.unboundedPreceding, -1))
-    summary = summary.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col(b).alias("__s_b"),
-                             F.last("__last", ignorenulls=True).over(w_b).alias("__carry"))
+    if levels > 1:
+        named = summary.select(*keys, F.col(b).alias("__at"), "__last")
+        summary = last_before(named, keys, "__at", "__last", "__above", 1 << 12, levels - 1) \
+            .select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col("__at").alias("__s_b"), F.col("__above").alias("__carry"))
+    else:
+        w_b = (Window.partitionBy(*keys).orderBy(b)
+               .rowsBetween(Window.unboundedPreceding, -1))
+        summary = summary.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col(b).alias("__s_b"),
+                                 F.last("__last", ignorenulls=True).over(w_b).alias("__carry"))
 
     # Null-safe equality: NULL keys form one group, as in a window.
     cond = [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys] + [F.col(b) == F.col("__s_b")]

@@ -489,7 +489,12 @@ m AS (SELECT * FROM (VALUES (0, 'user', '1.0.0'), (1, 'address', '1.0.0'), (2, '
         (3, 'payment', '1.0.0'), (4, 'product', '1.0.0'), (5, 'address', '2.0.0'), (6, 'order', '2.0.0'),
         (7, 'payment', '2.0.0'), (8, 'product', '2.0.0')) AS t(slot, name, version))
 SELECT name || '-topic' AS origin, '{BASE}/' || name || '/' || version AS schemaURI,
-  count(*) AS n, CASE WHEN m.slot = 6 THEN 0 ELSE count(*) END AS n_valid
+  count(*) AS n, CASE WHEN m.slot = 6 THEN 0 ELSE count(*) END AS n_valid,
+  CASE m.slot WHEN 6 THEN '{{"orderId":0,"userId":0,"productIds":null,"total":0}}'
+              WHEN 7 THEN '{{"paymentId":0,"orderId":0,"amount":0,"method":""}}'
+              WHEN 8 THEN '{{"id":0,"name":"","price":0}}' ELSE '' END AS only_text,
+  CASE WHEN name = 'user' THEN count(*) ELSE 0 END AS n_email,
+  CASE WHEN name = 'payment' THEN count(*) ELSE 0 END AS n_amount
 FROM s JOIN m USING (slot) GROUP BY m.slot, name, version"""
 
 ORACLE["q29_rules_as_rows"] = validated_orders_sql()

@@ -423,14 +423,19 @@ def q25_schema_admission(spark, sf_dir):
 
 
 def q26_generator(spark, sf_dir):
-    """Typed records generated from ``events`` seeds, validated; faithful mode."""
+    """Typed records generated from ``events`` seeds, validated; faithful mode.
+    Field values: the one text of a zeroed document, generated e-mails, and
+    amounts within their range."""
     from ..sources.generator import generate
     configure(spark)
     seeds = td.table(spark, sf_dir, "events").select(F.col("event_id").alias("seed"))
     recs = generate(seeds, zero_values=True)
     out = val.validate(recs, corpus_registry(spark))
     return (out.groupBy("origin", "schemaURI")
-            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "valid").alias("n_valid")))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "valid").alias("n_valid"),
+                 F.when(F.min("data") == F.max("data"), F.min("data")).otherwise("").alias("only_text"),
+                 F.count_if(F.get_json_object("data", "$.email").rlike("^[0-9a-f]{8}@example[.]com$")).alias("n_email"),
+                 F.count_if(F.get_json_object("data", "$.amount").cast("double").between(0.0, 99999.99)).alias("n_amount")))
 
 
 def q29_rules_as_rows(spark, sf_dir):

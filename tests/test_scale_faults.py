@@ -112,3 +112,17 @@ def test_every_corpus_document_projects_to_its_type(spark):
                            for k, p in doc["properties"].items()})
         one = spark.createDataFrame([(text,)], "t string").select(F.from_json("t", struct_type_of(doc)).alias("x")).first().x
         assert one.asDict() == json.loads(text)
+
+
+def test_last_before_on_times_carries_across_narrow_buckets(spark):
+    import random
+    from sluice.operators.sequence import last_before
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["hot", "hot", "cold", None]), base + dt.timedelta(seconds=rnd.randrange(10**6), microseconds=i),
+             rnd.choice([None, i])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v int")
+    got = {(r.k, r.t): r.p for r in last_before(df, ["k"], "t", "v", "p").collect()}
+    for k, t, _ in rows:
+        before = [(u, w) for j, u, w in rows if j == k and u < t and w is not None]
+        assert got[k, t] == (max(before)[1] if before else None)
