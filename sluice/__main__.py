@@ -146,7 +146,7 @@ def cmd_register(args) -> int:
     except RegistrationError as e:
         print(str(e), file=sys.stderr)
         return 1
-    for r in reg.select("key", "schemaURI").orderBy("key").collect():  # one row per schema
+    for r in reg.select("key", "schemaURI").orderBy("key").toLocalIterator():
         print(r["key"], r["schemaURI"])
     return 0
 

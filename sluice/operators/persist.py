@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fs_exists
+from ..session import checkpoint_root, fs_exists
 
 ITEM_COLUMNS = ["id", "timestamp", "origin", "schemaURI", "data"]
 KEY = ["id", "timestamp"]
@@ -77,7 +77,7 @@ def upsert_table(spark: SparkSession, items: DataFrame, path: str, staging_root:
     if fs_exists(spark, path):
         old = spark.read.parquet(path)
         touched = b.select(*PARTITIONS).distinct()
-        old = old.join(F.broadcast(touched), PARTITIONS, "left_semi")  # days x buckets of one batch
+        old = old.join(touched, PARTITIONS, "left_semi")  # the optimizer broadcasts it by its size
         merged = latest_per_key(old.unionByName(b), key=KEY + PARTITIONS)
     else:
         merged = latest_per_key(b, key=KEY + PARTITIONS)
@@ -232,5 +232,9 @@ def chunked_writer(write_chunk: Callable[[list[dict]], list[str]], chunk_size: i
 
 
 def write_external(items: DataFrame, write_chunk, **kw) -> DataFrame:
-    """Items -> frame of ids the store left unprocessed after retries."""
-    return items.mapInPandas(chunked_writer(write_chunk, **kw), "id string")
+    """Items -> frame of ids the store left unprocessed after retries.
+
+    The writes happen here, once: the answer is checkpointed in the shared
+    folder, so using the frame again does not write again."""
+    checkpoint_root(items.sparkSession)
+    return items.mapInPandas(chunked_writer(write_chunk, **kw), "id string").checkpoint(eager=True)

@@ -7,8 +7,8 @@ One ``foreachBatch`` per micro-batch:
 * the batch is validated once and written once, partitioned by ``status``:
   ``status=valid`` is the buffer, the other partitions are the reject
   output.  Each batch writes its own ``run=<stream id>/batch=<id>`` folder
-  with overwrite, so a batch Spark re-runs after a failure replaces its own
-  files instead of appending duplicates, and a fresh checkpoint starts a new
+  once: a batch Spark re-runs after a failure replaces what it left unfinished
+  and leaves a committed folder as it is, and a fresh checkpoint starts a new
   run folder;
 * the stream's offsets are committed only after this function returns
   (at-least-once delivery, exactly-once effect on the output).
@@ -26,6 +26,7 @@ from ..operators import buffer as buf
 from ..operators import envelope as env
 from ..operators import validate as val
 from ..operators.rules import rules_by_uri, validate_rules
+from ..session import fs_exists
 
 
 class RegistryCache:
@@ -63,14 +64,20 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
 
 def ingest_batch(records: DataFrame, batch_id: int, registry: RegistryCache, out: str) -> None:
     """Validate one micro-batch of Kafka records and write it under ``out``
-    (``out`` already names the run: ``<root>/run=<stream id>``)."""
+    (``out`` already names the run: ``<root>/run=<stream id>``).
+
+    A batch whose folder is committed is not written again: a stream that tails
+    the folder may have listed its files already."""
+    folder = os.path.join(out, f"batch={batch_id}")
+    if fs_exists(records.sparkSession, os.path.join(folder, "_SUCCESS")):
+        return
     envelopes = env.to_envelope(env.skip_tombstones(records))
     checked = registry.validate(envelopes)
     entries = buf.assign_ids(checked).select(
         "id", "seq", "origin", "partition", "offset", "schemaURI", "timestamp", "data",
         "status", "reason", "errors")
     (entries.write.mode("overwrite").partitionBy("status")
-     .parquet(os.path.join(out, f"batch={batch_id}")))
+     .parquet(folder))
 
 
 def start_ingest(records: DataFrame, registry_loader: Callable[[], DataFrame], out: str,
