@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,9 +45,7 @@ def words(data: bytes) -> list[bytes]:
 
 def word_hashes(data: bytes) -> np.ndarray:
     ws = words(data)
-    if not ws:
-        return np.empty(0, np.uint64)
-    return pd.util.hash_array(np.array(ws, dtype=object), categorize=False)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -41,7 +41,7 @@ class WordEncoder(dict):
     once and looked up after that; about ``limit`` words are kept.
     """
 
-    def __init__(self, path: str, limit: int = 900_000):
+    def __init__(self, path: str, limit: int = 500_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all there is
         from tokenizers import Tokenizer

@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,10 +71,10 @@ def weigh(text: Column, weights: np.ndarray) -> Column:
     """Log weight of a text.  Only the text goes to Python, and a number comes back."""
     bits = len(weights).bit_length() - 1
 
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([float(weights[buckets(t or b"", bits)].sum()) for t in texts], dtype="float64")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([float(weights[buckets(t.as_py() or b"", bits)].sum()) for t in texts], pa.float64())
 
-    return F.pandas_udf(of, T.DoubleType())(text.cast("binary"))
+    return F.arrow_udf(of, T.DoubleType())(text.cast("binary"))
 
 
 def gumbel(seed: int, *of: Column) -> Column:
