@@ -30,6 +30,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of 1,000 rows in its session unless the session
+    names a size: texts are long, and a batch is held on both sides at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key, None) is None:
+        df.sparkSession.conf.set(key, "1000")
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, which bound a task's Python memory."""
     for batch in batches:

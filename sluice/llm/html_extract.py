@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, slices
+from sluice.llm.common import cut, slices, small_batches
 
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:"[^"]*"|'[^']*'|[^>"'])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""",
@@ -359,7 +359,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ``broadcast_rows``: slot lists (one short row per host) up to this many are
     broadcast, more are joined by a shuffle.
     """
-    src = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
+    src = small_batches(pages).select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                        F.col(html_col).cast("string").alias("html"))
     slots = cut(infer_wrappers(src).mapInArrow(_classify, "host string, main string"))
     if slots.count() <= broadcast_rows:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import components, cut, shingle_set, slices
+from sluice.llm.common import components, cut, shingle_set, slices, small_batches
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -151,7 +151,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``broadcast_rows``: lists of candidate ids (40 bytes a row) up to this
     length are broadcast; longer ones are joined by a shuffle.
     """
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"))
+    src = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"))
     sets = cut(src.mapInArrow(lambda it: _sets(it, n_words),
                               f"id {src.schema['id'].dataType.simpleString()}, n bigint, key binary"))
     full = sets.where("n > 0 and id is not null")

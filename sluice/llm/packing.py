@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import slices
+from sluice.llm.common import slices, small_batches
 
 
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -200,7 +200,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     rows are packed as they come; other columns are ignored.  An empty table
     gives an empty result.  Sequence ids are unique; each task numbers its own.
     """
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"))
+    src = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"))
     kind = src.schema["id"].dataType.simpleString()
     names = (id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     from pyspark.sql.pandas.types import to_arrow_type

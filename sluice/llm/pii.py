@@ -206,18 +206,19 @@ def masked(text: Column, spans: Column) -> Column:
     return _let(folded, lambda a: F.concat(a["done"], F.substring(text, a["at"] + 1, F.char_length(text))))
 
 
-def mask(docs: DataFrame, text_col: str = "text", broadcast_rows: int = 250_000, **how) -> DataFrame:
+def mask(docs: DataFrame, text_col: str = "text", broadcast_spans: int = 500_000, **how) -> DataFrame:
     """``docs`` with the spans found in each text masked; all columns stay.
 
     Null texts stay null.  Spans depend on the text alone, so they are joined
-    by its digest: broadcast up to ``broadcast_rows`` texts that have any,
-    by a shuffle beyond.
+    by its digest: broadcast while texts and spans number ``broadcast_spans`` at
+    most, by a shuffle beyond.
     """
     digest = F.sha2(F.col(text_col).cast("binary"), 256)
     found = find(docs.select(F.col(text_col), digest.alias("d")), id_col="d", text_col=text_col, **how)
     some = cut(found.where((F.size("spans") > 0) & F.col("d").isNotNull())
                .groupBy(F.col("d").alias("digest of the text")).agg(F.first("spans").alias("spans of the text")))
-    if some.count() <= broadcast_rows:
+    size = some.agg(F.count("*") + F.coalesce(F.sum(F.size("spans of the text")), F.lit(0))).first()[0]
+    if size <= broadcast_spans:
         some = F.broadcast(some)
     new = F.when(F.col("spans of the text").isNull(), F.col(text_col)).otherwise(
         masked(F.col(text_col), F.col("spans of the text")))

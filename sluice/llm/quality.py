@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import cut, mix, ngram_hashes, slices, word_hashes
+from sluice.llm.common import cut, mix, ngram_hashes, slices, small_batches, word_hashes
 
 
 def buckets(data: bytes, bits: int) -> np.ndarray:
@@ -126,7 +126,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         .orderBy(F.xxhash64(F.lit(seed), "label of"), "label of").limit(label_rows)
         .withColumn("fit", F.pmod(F.xxhash64(F.lit(seed + 1), "label of"), F.lit(10)) < 7))
     data = F.col(text_col).cast("binary").alias("data")
-    marked = docs.select(F.col(id_col).alias("id"), data).join(
+    marked = small_batches(docs).select(F.col(id_col).alias("id"), data).join(
         F.broadcast(sample.where("fit")), F.col("id") == F.col("label of"), "left").select("data", "good")
     counts = (marked.mapInArrow(lambda it: _count(it, bits), "bucket bigint, raw bigint, labelled bigint, target bigint")
               .groupBy("bucket").agg(F.sum("raw"), F.sum("labelled"), F.sum("target")).toPandas().to_numpy(np.int64))
