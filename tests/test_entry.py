@@ -38,3 +38,18 @@ def test_query_matches_oracle_at_smallest_scale(spark, name):
     idx = [rel.columns.index(c) for c in cols]
     d_rows = sorted(tuple(str(r[i]) for i in idx) for r in rel.fetchall())
     assert s_rows == d_rows
+
+
+def test_entry_runs_where_executors_cannot_import_the_package(tmp_path):
+    """Another working directory, default settings, the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {root!r}); import __spark_entry__ as e\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "print('rows', e.entry(s).count())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 1500" in out.stdout, out.stderr[-2000:]
