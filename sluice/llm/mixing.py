@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,10 +89,12 @@ def fit(lengths: Sequence[int], counts: Sequence[int], target: float, small: int
     return full, [a + b for a, b in zip(extra, more)]
 
 
-def _fit(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("size", ascending=False)
-    full, extra = fit(rows["size"].tolist(), rows["count"].tolist(), float(rows["target"].iloc[0]))
-    return rows.assign(full=full, extra=extra)[["key", "size", "count", "source_size", "target", "full", "extra"]]
+def _fit(rows: pa.Table) -> pa.Table:
+    rows = rows.sort_by([("size", "descending")])
+    full, extra = fit(rows["size"].to_pylist(), rows["count"].to_pylist(), rows["target"][0].as_py())
+    return (rows.append_column("full", pa.array([full] * len(extra), pa.int64()))
+            .append_column("extra", pa.array(extra, pa.int64()))
+            .select(["key", "size", "count", "source_size", "target", "full", "extra"]))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -123,7 +125,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goal = targets([(r.source, r.n) for r in per_source], weights, share, cap)
     goals = docs.sparkSession.createDataFrame(
         [(r.key, r.n, float(goal[r.source])) for r in per_source], "key string, source_size bigint, target double")
-    quota = cut(lengths.select("key", "size", "count").join(goals, "key").groupBy("key").applyInPandas(
+    quota = cut(lengths.select("key", "size", "count").join(goals, "key").groupBy("key").applyInArrow(
         _fit, "key string, size bigint, count bigint, source_size bigint, target double, full bigint, extra bigint"))
 
     # The hash of the last document taken of each (source, length).
