@@ -240,16 +240,20 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``broadcast_rows``, joined by a shuffle beyond.
     """
     found = cut(similar_components(docs, id_col, text_col, **how).where(F.col(id_col).isNotNull()))
-    per_id = found.groupBy(F.col(id_col).alias("id to judge")).agg(
-        F.max(F.col("component_id") == F.col(id_col)).alias("stays"), F.count("*").alias("rows"))
-    odd = cut(per_id.where("not stays or rows > 1"))
+    judged, stays, rows = "id to judge", "id stays", "rows of the id"
+    odd = cut(found.groupBy(F.col(id_col).alias(judged)).agg(
+        F.max(F.col("component_id") == F.col(id_col)).alias(stays), F.count("*").alias(rows))
+        .where(~F.col(stays) | (F.col(rows) > 1)))
+    repeated = not odd.where(F.col(rows) > 1).isEmpty()
     if odd.count() <= broadcast_rows:
         odd = F.broadcast(odd)
-    joined = docs.join(odd, F.col(id_col) == F.col("id to judge"), "left").where("stays is null or stays")
+    joined = docs.join(odd, F.col(id_col) == F.col(judged), "left").where(F.col(stays).isNull() | F.col(stays))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    again = joined.where("rows > 1").dropDuplicates([id_col, text_col]) if odd.where("rows > 1").limit(1).count() else None
-    kept = joined.where("rows is null or rows = 1").select(*names)
-    return kept if again is None else kept.unionByName(again.select(*names))
+    if not repeated:
+        return joined.select(*names)
+    once = F.coalesce(F.col(rows), F.lit(1)) == 1
+    return joined.where(once).select(*names).unionByName(
+        joined.where(~once).dropDuplicates([id_col, text_col]).select(*names))
 
 
 def components_sql(n_words: int = 5, percent: int = 80) -> str:

@@ -118,7 +118,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     marked = docs.withColumn(out, F.struct(
         key.alias("key"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col), text).alias("h")))
-    slim = cut(marked.select(f"{out}.*", F.col(source_col).cast("string").alias("source")))
+    slim = cut(marked.select(F.col(out)["key"].alias("key"), F.col(out)["size"].alias("size"), F.col(out)["h"].alias("h"),
+                             F.col(source_col).cast("string").alias("source")))
 
     lengths = cut(slim.groupBy("key", "source", "size").count())
     per_source = lengths.groupBy("key", "source").agg(F.sum(F.col("size") * F.col("count")).alias("n")).collect()
@@ -139,14 +140,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     last = (rows.drop("extra").join(edge, ["key", "size", "bucket"]).withColumn("n", nth).where("n = nth")
             .select("key", "size", F.col("h").alias("last")))
     plan = cut(quota.join(last, ["key", "size"], "left").select(
-        F.col("key").alias("k_"), F.col("size").alias("s_"),
+        F.col("key").alias("key of the plan"), F.col("size").alias("size of the plan"),
         F.struct("source_size", "target", "full",
                  F.when(F.col("extra") == F.col("count"), F.lit((1 << 63) - 1)).otherwise(F.col("last")).alias("last"))
-        .alias("p_")))
+        .alias("plan of the mix")))
     if plan.count() <= broadcast_rows:
         plan = F.broadcast(plan)
-    taken = F.col("p_.full") + F.when(F.col(f"{out}.h") <= F.col("p_.last"), 1).otherwise(0)
+    given = F.col("plan of the mix")
+    taken = given["full"] + F.when(F.col(out)["h"] <= given["last"], 1).otherwise(0)
     names = [c for c in docs.columns if c != out]
-    return (marked.join(plan, (F.col(f"{out}.key") == F.col("k_")) & (F.col(f"{out}.size") == F.col("s_")))
-            .select(*[F.col(f"`{c}`") for c in names], F.struct(
-                f"{out}.size", "p_.source_size", "p_.target", taken.alias("copies")).alias(out)))
+    same = (F.col(out)["key"] == F.col("key of the plan")) & (F.col(out)["size"] == F.col("size of the plan"))
+    return marked.join(plan, same).select(*[F.col(f"`{c}`") for c in names], F.struct(
+        F.col(out)["size"].alias("size"), given["source_size"].alias("source_size"), given["target"].alias("target"),
+        taken.alias("copies")).alias(out))

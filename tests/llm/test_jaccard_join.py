@@ -3,7 +3,7 @@
 import random
 import re
 
-from sluice.llm.jaccard_join import similar_components
+from sluice.llm.jaccard_join import one_of_each, similar_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,3 +75,16 @@ def test_shared_documents_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
     assert run(spark, rows) == brute(rows)
+
+
+def test_one_document_of_each_keeps_all_columns(spark):
+    rows = [(1, "a b c d e f"), (2, "A b c d e f"), (3, None), (3, None), (4, ""), (None, "a b c d e f"), (5, "x y"), (5, "z w"),
+            (6, "q " * 9), (6, "q " * 9)]
+    df = spark.createDataFrame([(d, t, True, 7, "k") for d, t in rows],
+                               "doc_id bigint, text string, stays boolean, rows int, component_id string")
+    for n in (0, 10**6):
+        out = one_of_each(df, broadcast_rows=n)
+        assert out.columns == df.columns
+        got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+        assert got == sorted([(1, rows[0][1]), (3, None), (4, ""), (None, rows[5][1]), (5, "x y"), (5, "z w"), rows[8]], key=str)
+    assert one_of_each(df.limit(0)).collect() == []

@@ -87,3 +87,11 @@ def test_groups_of_one_length_are_cut_exactly(spark):
         taken = sum(r.mix.size * r.mix.copies for r in got if r.source == s)
         target = next(r.mix.target for r in got if r.source == s)
         assert abs(taken - target) < {"hot": 3, "other": 100}[s]
+
+
+def test_clashing_column_names(spark):
+    df = spark.createDataFrame([(i, "w " * (i % 5), "s", 1, 2, 3, 4, 5, 6) for i in range(30)],
+                               "doc_id bigint, text string, source string, key int, size int, target int, plan int, full int, mix int")
+    out = mix(df)
+    assert out.columns == df.columns
+    assert sum(r.mix.size * r.mix.copies for r in out.collect()) == 90 and {r.plan for r in out.collect()} == {4}
