@@ -500,7 +500,8 @@ def _replay_files(df: DataFrame, path: str, files: int, order: str) -> None:
 
 
 def q27_stream_ingest(spark, sf_dir):
-    """Order records replayed as a stream (4 micro-batches) through the ingest flow."""
+    """Order records replayed as a stream (4 micro-batches of 8 files, as 8 topic
+    partitions would come) through the ingest flow."""
     import os
     from ..session import new_run_dir
     from ..sources.kafka import read_replay_stream
@@ -508,8 +509,8 @@ def q27_stream_ingest(spark, sf_dir):
     configure(spark)
     run = new_run_dir(spark, "ingest")
     src = os.path.join(run, "source")
-    _replay_files(td.order_records(spark, sf_dir), src, 4, "offset")
-    q = start_ingest(read_replay_stream(spark, src, max_files_per_trigger=1),
+    _replay_files(td.order_records(spark, sf_dir), src, 32, "offset")
+    q = start_ingest(read_replay_stream(spark, src, max_files_per_trigger=8),
                      lambda: corpus_registry(spark), os.path.join(run, "out"),
                      os.path.join(run, "checkpoint"), trigger={"availableNow": True})
     q.awaitTermination()
@@ -559,8 +560,8 @@ def q32_ingest_to_target(spark, sf_dir):
     configure(spark)
     run = new_run_dir(spark, "e2e")
     src, out = os.path.join(run, "source"), os.path.join(run, "buffer")
-    _replay_files(td.order_records(spark, sf_dir), src, 2, "offset")
-    q = start_ingest(read_replay_stream(spark, src, max_files_per_trigger=1),
+    _replay_files(td.order_records(spark, sf_dir), src, 16, "offset")
+    q = start_ingest(read_replay_stream(spark, src, max_files_per_trigger=8),
                      lambda: corpus_registry(spark), out, os.path.join(run, "ck-ingest"),
                      trigger={"availableNow": True})
     q.awaitTermination()
