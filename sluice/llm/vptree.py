@@ -17,8 +17,6 @@ vectors score equally wherever they are stored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
