@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sluice.llm.common import cut, mix, ngram_hashes, slices, small_batches, word_hashes
 
@@ -67,14 +68,26 @@ def log_ratio(raw: np.ndarray, labelled: np.ndarray, target: np.ndarray, pseudo:
     return out
 
 
-def weigh(text: Column, weights: np.ndarray) -> Column:
-    """Log weight of a text.  Only the text goes to Python, and a number comes back."""
+def _weigh(batches: Iterator[pa.RecordBatch], column: str, schema: pa.Schema, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
     bits = len(weights).bit_length() - 1
+    for batch in slices(batches):
+        at = batch.schema.get_field_index(column)
+        w = [float(weights[buckets(x.as_py() or b"", bits)].sum()) for x in batch.column(at)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1:], pa.array(w, pa.float64())],
+                                         schema=schema)
+
 
-    def of(texts: pa.Array) -> pa.Array:
-        return pa.array([float(weights[buckets(t.as_py() or b"", bits)].sum()) for t in texts], pa.float64())
+def weigh(docs: DataFrame, text_col: str, weights: np.ndarray, out: str) -> DataFrame:
+    """``docs`` with the log weight of each row's text in ``out``.
 
-    return F.arrow_udf(of, T.DoubleType())(text.cast("binary"))
+    Rows stream through Python in small batches.  (A scalar Arrow function, which
+    sends the text alone, keeps rows waiting in the executor and measured over
+    1 GB more there.)"""
+    kept = docs.drop(out)
+    schema = T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())])
+    arrow, column = to_arrow_schema(schema), "data of the classifier"
+    return kept.withColumn(column, F.col(text_col).cast("binary")).mapInArrow(
+        lambda it: _weigh(it, column, arrow, weights), schema)
 
 
 def gumbel(seed: int, *of: Column) -> Column:
@@ -139,8 +152,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
     def keyed(rows: DataFrame) -> DataFrame:
-        weighed = rows.withColumn(out, weigh(F.col(text_col), weights))
-        return weighed.withColumn(out, F.struct(
+        return weigh(rows, text_col, weights, out).withColumn(out, F.struct(
             F.col(out).alias("log_weight"),
             (F.col(out) + temperature * gumbel(seed, F.col(id_col), text)).alias("key")))
 
