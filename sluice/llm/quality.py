@@ -68,13 +68,12 @@ def log_ratio(raw: np.ndarray, labelled: np.ndarray, target: np.ndarray, pseudo:
     return out
 
 
-def _weigh(batches: Iterator[pa.RecordBatch], column: str, schema: pa.Schema, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _weigh(batches: Iterator[pa.RecordBatch], at: int, schema: pa.Schema, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
     bits = len(weights).bit_length() - 1
     for batch in slices(batches):
-        at = batch.schema.get_field_index(column)
-        w = [float(weights[buckets(x.as_py() or b"", bits)].sum()) for x in batch.column(at)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1:], pa.array(w, pa.float64())],
-                                         schema=schema)
+        texts = batch.column(at).cast(pa.string()).cast(pa.binary())
+        w = [float(weights[buckets(x.as_py() or b"", bits)].sum()) for x in texts]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(w, pa.float64())], schema=schema)
 
 
 def weigh(docs: DataFrame, text_col: str, weights: np.ndarray, out: str) -> DataFrame:
@@ -85,9 +84,8 @@ def weigh(docs: DataFrame, text_col: str, weights: np.ndarray, out: str) -> Data
     1 GB more there.)"""
     kept = docs.drop(out)
     schema = T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())])
-    arrow, column = to_arrow_schema(schema), "data of the classifier"
-    return kept.withColumn(column, F.col(text_col).cast("binary")).mapInArrow(
-        lambda it: _weigh(it, column, arrow, weights), schema)
+    arrow, at = to_arrow_schema(schema), kept.columns.index(text_col)
+    return kept.mapInArrow(lambda it: _weigh(it, at, arrow, weights), schema)
 
 
 def gumbel(seed: int, *of: Column) -> Column:
