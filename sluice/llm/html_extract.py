@@ -4,10 +4,12 @@ A page is a stream of tags and texts.  Repeats in the stream are folded into
 groups, and the streams of one host are aligned one after another into a
 union-free regular expression: what all pages have stays, what some lack
 becomes optional, folded groups become repeated, and texts that differ become
-slots.  Every slot knows the path of open elements around it and how much text
-and link text it holds over all pages of the host.  The wrapper's slots are
-then sorted into main text and page furniture, once per host, and each page
-gives the texts of its main slots.
+slots.  Every slot knows the path of open elements around it, how much text and
+link text it holds over all pages of the host, and on how many pages its
+blocks of text recur.  The wrapper's slots are then sorted into main text and
+page furniture, once per host: names of elements only say where to look first,
+the text that varies says whether it is there, and blocks that recur on nearly
+all pages are template.  Each page gives the other blocks of its main slots.
 
 Tasks align their own pages; the partial wrappers of a host (one per task) are
 merged in rounds of bounded fan-in, so a host with a third of all pages never
@@ -25,6 +27,7 @@ from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,22 +159,46 @@ def stream(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 # A wrapper is a list of entries [token, optional, repeated, literal, pages,
-# chars, link chars]; a text's token is "#" and its path, its literal null when
-# texts differ.
+# chars, link chars, blocks]; a text's token is "#" and its path, its literal null
+# when texts differ, its blocks the pages of each block (a hash) that starts there.
 Wrapper = list[list]
 
 
+def blocks(tokens: list[tuple[str, str, str]]) -> Iterator[list[int]]:
+    """Places of the texts (and line breaks between them) of every block."""
+    block: list[int] = []
+    for i, (token, _, _) in enumerate(tokens):
+        if token == "#":
+            block.append(i)
+        elif token == "<br>" or token.startswith("<br."):
+            if block:
+                block.append(i)
+        elif block and token.strip("</>").split(".")[0] not in _INLINE:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def hashed(tokens: list[tuple[str, str, str]], block: list[int]) -> str:
+    text = "".join(tokens[i][2] if tokens[i][0] == "#" else " " for i in block)
+    return xxhash.xxh3_64_hexdigest(" ".join(text.split()).encode("utf-8", "surrogatepass"))
+
+
 def fold(page: str, longest: int = 12) -> Wrapper:
     """A page as a wrapper: adjacent repeats of up to ``longest`` tokens become one."""
     out: Wrapper = []
     keys: list[str] = []
-    for token, path, text in stream(page):
+    tokens = list(stream(page))
+    starts_at = {b[0]: hashed(tokens, b) for b in blocks(tokens)}
+    for i, (token, path, text) in enumerate(tokens):
         if token == "#":
             text = " ".join(text.split())
             entry = [f"#{path}", 0, 0, text if len(text) <= 200 else None, 1, len(text),
-                     len(text) if "/a" in path and re.search(r"/a(/|\.|$)", path) else 0]
+                     len(text) if "/a" in path and re.search(r"/a(/|\.|$)", path) else 0,
+                     {starts_at[i]: 1} if i in starts_at else {}]
         else:
-            entry = [token, 0, 0, None, 1, 0, 0]
+            entry = [token, 0, 0, None, 1, 0, 0, {}]
         out.append(entry)
         keys.append(entry[0])
         n = len(keys)
@@ -187,12 +214,22 @@ def fold(page: str, longest: int = 12) -> Wrapper:
                     a[3] = a[3] if a[3] == b[3] else None
                     a[5] += b[5]
                     a[6] += b[6]
+                    a[7] |= b[7]
                 del out[n - size:]
                 del keys[n - size:]
                 break
     return out
 
 
+def recurring(p: list, q: list) -> dict[str, int]:
+    """Pages of the blocks of two slots, without blocks that most pages lack."""
+    if not p[7] or not q[7]:
+        both = p[7] or q[7]
+    else:
+        both = {t: p[7].get(t, 0) + q[7].get(t, 0) for t in p[7] | q[7]}
+    return {t: n for t, n in both.items() if 2 * n >= p[4] + q[4]} if both else {}
+
+
 def align(a: Wrapper, b: Wrapper) -> Wrapper:
     """One wrapper for the pages of both: tokens of one side only are optional."""
     ka, kb = [e[0] for e in a], [e[0] for e in b]
@@ -204,8 +241,8 @@ def align(a: Wrapper, b: Wrapper) -> Wrapper:
     i = j = 0
     for x, y, n in [*blocks, (len(a), len(b), 0)]:
         out += [[e[0], 1, *e[2:]] for e in (*a[i:x], *b[j:y])]
-        out += [[p[0], p[1] | q[1], p[2] | q[2], p[3] if p[3] == q[3] else None, p[4] + q[4], p[5] + q[5], p[6] + q[6]]
-                for p, q in zip(a[x:x + n], b[y:y + n])]
+        out += [[p[0], p[1] | q[1], p[2] | q[2], p[3] if p[3] == q[3] else None, p[4] + q[4], p[5] + q[5], p[6] + q[6],
+                 recurring(p, q)] for p, q in zip(a[x:x + n], b[y:y + n])]
         i, j = x + n, y + n
     return out
 
@@ -225,14 +262,20 @@ def expression(wrapper: Wrapper) -> str:
 def main_paths(wrapper: Wrapper) -> list[list[str]]:
     """Paths of the slots that hold main text, by template: those in an article,
     those in a main element, and those of the container with most varying text
-    outside links.  A page takes the first list that it has text for."""
+    outside links.  A page takes the first list that it has text for.
+
+    An article or main element counts as far as the pages bear it out: where its
+    slots vary by less than a quarter of what the container does a page, it
+    is a teaser or a frame, and the container joins it."""
     slots: dict[str, list[int]] = {}
-    for token, _, _, literal, pages, chars, links in wrapper:
+    seen: dict[str, int] = {}
+    for token, _, _, literal, pages, chars, links, _ in wrapper:
         if token.startswith("#"):
             s = slots.setdefault(token[1:], [0, 0, 0])
             s[0] += chars
             s[1] += links
             s[2] += chars if literal is not None and pages > 2 else 0
+            seen[token[1:]] = max(seen.get(token[1:], 0), pages)
     kinds = {p: _kind(p) for p in slots}
     free = [p for p in slots if not kinds[p][0]]
     levels = [sorted(p for p in free if kinds[p][1][:1] == rank) for rank in "32"]
@@ -254,32 +297,56 @@ def main_paths(wrapper: Wrapper) -> list[list[str]]:
     # The innermost container that still holds nearly all of it.
     best = max(named or {c: w for c, w in weight.items() if 10 * w >= 9 * most}, key=lambda c: (c.count("/"), weight[c], c))
     inside = [p for p in free if p == best or p.startswith(best + "/")]
-    return [*levels, sorted(p for p in inside if slots[p][0] > 2 * slots[p][1])]
+    inside = sorted(p for p in inside if slots[p][0] > 2 * slots[p][1])
+
+    def varying(paths: list[str]) -> float:
+        """Characters a page outside links and literals."""
+        return sum(max(0, slots[p][0] - slots[p][1] - slots[p][2]) for p in paths) / max([1, *(seen[p] for p in paths)])
+
+    thin = [bool(paths) and 4 * varying(paths) < varying(inside) for paths in levels]
+    return [*(sorted({*paths, *inside}) if t else paths for paths, t in zip(levels, thin)), inside]
+
+
+def template(wrapper: Wrapper, share: float = 0.9, least: int = 3, least_repeated: int = 8) -> list[list[str]]:
+    """Path and hash of the blocks that recur on ``share`` of the pages that have
+    the text body they lie in.  ``least`` such pages must bear it out, and
+    ``least_repeated`` for a block in a repeated group, whose slot varies."""
+    held: dict[str, int] = {}
+    for e in wrapper:
+        held[e[0]] = max(held.get(e[0], 0), e[4])
+    most = max(held.values(), default=0)
+    found: dict[tuple[str, str], list[int]] = {}
+    for token, _, repeated, _, _, _, _, texts in wrapper:
+        for text, n in texts.items():
+            f = found.setdefault((token[1:], text), [0, 0])
+            f[0] += n
+            f[1] |= repeated
+    out = []
+    for (path, text), (n, repeated) in sorted(found.items()):
+        body = _kind(path)[1][2:]
+        pages = held.get(f"<{body.rsplit('/', 1)[-1]}>", most) if body else most
+        if pages >= (least_repeated if repeated else least) and n >= share * pages:
+            out.append([path, text])
+    return out
+
 
+def main_text(page: str, levels: list[frozenset[str]], fixed: frozenset[tuple[str, str]] = frozenset()) -> str:
+    """Blocks of the main slots, references decoded, white space made one space.
 
-def main_text(page: str, levels: list[frozenset[str]]) -> str:
-    """Blocks of the main slots, references decoded, white space made one space."""
+    ``fixed`` blocks (path and hash) are left out, unless they are most of the
+    page's main text: then its pages are copies, which show no template."""
     tokens = list(stream(page))
     held = {path for token, path, _ in tokens if token == "#"}
     main = next((paths for paths in levels if paths & held), frozenset())
-    blocks: list[str] = []
-    block: list[str] = []
-
-    def close() -> None:
-        if block and (text := " ".join(html.unescape("".join(block)).split())):
-            blocks.append(text)
-        block.clear()
-
-    for token, path, text in tokens:
-        if token == "#":
-            if path in main:
-                block.append(text)
-        elif token == "<br>" or token.startswith("<br."):
-            block.append(" ")
-        elif token.strip("</>").split(".")[0] not in _INLINE:
-            close()
-    close()
-    return "\n".join(blocks)
+    every: list[str] = []
+    own: list[str] = []
+    for b in blocks(tokens):
+        kept = [i for i in b if tokens[i][0] != "#" or tokens[i][1] in main]
+        if text := " ".join(html.unescape("".join(tokens[i][2] if tokens[i][0] == "#" else " " for i in kept)).split()):
+            every.append(text)
+            if not fixed or (tokens[b[0]][1], hashed(tokens, b)) not in fixed:
+                own.append(text)
+    return "\n".join(own if 2 * sum(map(len, own)) >= sum(map(len, every)) else every)
 
 
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +396,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str | None, list[frozenset[str]]] = {}
+    known: dict[str | None, tuple[list[frozenset[str]], frozenset[tuple[str, str]]]] = {}
     for batch in slices(batches):
         texts = []
         for page, main in zip(batch.column("html"), batch.column("main")):
@@ -337,15 +404,17 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key not in known:
                 if len(known) > 10_000:
                     known.clear()
-                known[key] = [frozenset(paths) for paths in json.loads(key or "[]")]
-            texts.append(main_text(page.as_py() or "", known[key]))
+                levels, fixed = json.loads(key or "[[], []]")
+                known[key] = [frozenset(paths) for paths in levels], frozenset(map(tuple, fixed))
+            texts.append(main_text(page.as_py() or "", *known[key]))
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string())],
                                          names=["id", "url", "text"])
 
 
 def _classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        main = [json.dumps(main_paths(json.loads(w))) for w in batch.column("wrapper").to_pylist()]
+        wrappers = map(json.loads, batch.column("wrapper").to_pylist())
+        main = [json.dumps([main_paths(w), template(w)]) for w in wrappers]
         yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(main, pa.string())], names=["host", "main"])
 
 

@@ -88,3 +88,34 @@ def test_pages_table_against_its_article_markup(spark):
         blocks = re.split(r"</?(?:p|h1)\b[^>]*>", article)
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in blocks]
         assert r.text == "\n".join(b for b in blocks if b)
+
+
+def test_template_text_of_an_article_is_left_out(spark):
+    def page(s):
+        return (f'<article><h1>T{s}</h1><p>By {prose(2, s)} <b>staff</b></p><p>{prose(40, s)}</p><p>{prose(30, s + 50)}</p>'
+                f'<div class="more">Read <i>more</i></div><ul><li>{prose(3, s + 7)}</li><li>Follow us</li></ul></article>')
+
+    rows = [(s, "http://a.org/", page(s)) for s in range(12)] + [(20 + s, "http://copies.org/", page(1)) for s in range(12)]
+    for r in run(spark, rows):
+        s = r.page_id if r.page_id < 20 else 1
+        want = [f"T{s}", f"By {prose(2, s)} staff", prose(40, s), prose(30, s + 50)]
+        if r.page_id < 20:
+            assert r.text.split("\n") == [*want, prose(3, s + 7)]
+        else:  # copies of one page show no template
+            assert r.text.split("\n") == [*want, "Read more", prose(3, s + 7), "Follow us"]
+
+
+def test_hosts_whose_tags_say_nothing_or_mislead(spark):
+    def bare(s):
+        return (f'<div class="x1"><a href="/">Home</a> <span>Menu of the site</span></div><div class="x2"><h2>T{s}</h2>'
+                f'<div class="y">{prose(50, s)}</div><div class="y">{prose(40, s + 1)}</div><div class="z">Share this page</div></div>')
+
+    def teaser(s):
+        return (f'<article class="box"><p>Teaser {s}</p></article><div class="x2"><h2>T{s}</h2>'
+                f'<p>{prose(90, s)}</p><p>{prose(80, s + 1)}</p></div>')
+
+    got = {r.page_id: r.text for r in run(spark, [(s, "http://a.org", bare(s)) for s in range(9)] + [
+        (20 + s, "http://b.org", teaser(s)) for s in range(9)])}
+    for s in range(9):
+        assert got[s] == f"T{s}\n{prose(50, s)}\n{prose(40, s + 1)}"
+        assert got[20 + s] == f"Teaser {s}\nT{s}\n{prose(90, s)}\n{prose(80, s + 1)}"
