@@ -55,6 +55,9 @@ _WORDS = frozenset("ad ads adbox adslot advert advertisement advertising adverts
                    "sponsors subscribe subscription toolbar tooltip trending warning".split())
 _TOP = frozenset("header masthead topbar widget widgets".split())
 _BODY = frozenset("article articlebody articlecontent content entry main post postcontent story storybody text".split())
+#: Names that say what an element has or lacks, not what it is.
+_STATE = re.compile(r"(?<![a-z0-9])(?:has|no|not|non|with|without|hide)[-_][a-z0-9_-]+")
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 _CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}),
            "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}),
            "option": ("option", {"select"})}
@@ -77,14 +80,16 @@ def _kind(path: str) -> tuple[bool, str]:
     for label in path.split("/"):
         at.append(label)
         tag, *named = label.split(".")
-        words = {w for n in named for w in re.split("[^a-z0-9]+", n)}
+        words = {w for n in named for w in re.split("[^a-z0-9]+", _STATE.sub(" ", n))}
         in_article = rank >= 2
         if tag in _HIDDEN or tag in _FURNITURE or (tag == "header" and not in_article):
             return True, ""
-        if words & _WORDS and tag not in ("html", "body", "main") or words & _TOP and not in_article:
-            return True, ""
         mine = (3 if tag == "article" or "articlebody" in words else 2 if tag == "main" or "main" in words else
                 1 if words & _BODY and tag not in ("html", "body") else 0)
+        # Names do not make furniture of a page, of its text body, of headings and paragraphs.
+        is_body = tag in ("html", "body", "main") or tag == "article" and rank < 3 or "articlebody" in words
+        if not is_body and tag not in _PROSE and (words & _WORDS or words & _TOP and not in_article):
+            return True, ""
         if mine > rank:
             body, rank = "/".join(at), mine
     return False, f"{rank}:{body}" if rank else ""
@@ -259,6 +264,14 @@ def expression(wrapper: Wrapper) -> str:
     return "".join(out)
 
 
+def block_path(path: str) -> str:
+    """The path up to the block element that a text stands in."""
+    parts = path.split("/")
+    while len(parts) > 1 and parts[-1].split(".")[0] in _INLINE:
+        parts.pop()
+    return "/".join(parts)
+
+
 def main_paths(wrapper: Wrapper) -> list[list[str]]:
     """Paths of the slots that hold main text, by template: those in an article,
     those in a main element, and those of the container with most varying text
@@ -282,22 +295,25 @@ def main_paths(wrapper: Wrapper) -> list[list[str]]:
     free = [p for p in free if kinds[p][1][:1] not in ("3", "2")]
     rank = "1" if any(kinds[p][1] for p in free) else ""
     weight: dict[str, int] = {}
+    block: dict[str, list[int]] = {}  # a link's text counts with the block around it
     for p in free:
-        chars, links, fixed = slots[p]
+        b = block.setdefault(block_path(p), [0, 0, 0])
+        b[:] = map(sum, zip(b, slots[p]))
+    prose = [p for p in free if block[block_path(p)][0] > 2 * block[block_path(p)][1]]
+    for p, (chars, links, fixed) in block.items():
         parts = p.split("/")
         for i in range(1, len(parts)):
             if parts[i - 1].split(".")[0] not in _INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol"}:
                 c = "/".join(parts[:i])
                 weight[c] = weight.get(c, 0) + max(0, chars - 2 * links - fixed)
     if not weight:
-        return [*levels, sorted(p for p in free if slots[p][0] > 2 * slots[p][1])]
+        return [*levels, sorted(prose)]
     named = {c: w for c, w in weight.items() if rank and any(kinds[p][1] == f"{rank}:{c}" for p in free)}
     most = max(weight.values())
     named = {c: w for c, w in named.items() if 2 * w >= most}
     # The innermost container that still holds nearly all of it.
     best = max(named or {c: w for c, w in weight.items() if 10 * w >= 9 * most}, key=lambda c: (c.count("/"), weight[c], c))
-    inside = [p for p in free if p == best or p.startswith(best + "/")]
-    inside = sorted(p for p in inside if slots[p][0] > 2 * slots[p][1])
+    inside = sorted(p for p in prose if p == best or p.startswith(best + "/"))
 
     def varying(paths: list[str]) -> float:
         """Characters a page outside links and literals."""

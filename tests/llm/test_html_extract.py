@@ -119,3 +119,26 @@ def test_hosts_whose_tags_say_nothing_or_mislead(spark):
     for s in range(9):
         assert got[s] == f"T{s}\n{prose(50, s)}\n{prose(40, s + 1)}"
         assert got[20 + s] == f"Teaser {s}\nT{s}\n{prose(90, s)}\n{prose(80, s + 1)}"
+
+
+def test_names_of_bodies_headings_and_paragraphs_do_not_drop_text(spark):
+    def page(s, name):
+        return (f'<body class="no-sidebar"><div class="page with-banner"><article class="{name}"><h2 id="search-results">T{s}</h2>'
+                f'<p class="warning">{prose(30, s)}</p><div class="share">tell {prose(3, s)}</div></article></div></body>')
+
+    names = ["post has-sidebar", "no-comments", "post related", "entry social"]
+    rows = [(i, f"http://h{i}.org/", page(i, n)) for i, n in enumerate(names)]
+    rows += [(10, "http://c.org/", '<article><p>in</p><article class="comment"><p>reply</p></article></article>')]
+    got = {r.page_id: r.text for r in run(spark, rows)}
+    assert all(got[i] == f"T{i}\n{prose(30, i)}" for i in range(4)) and got[10] == "in"
+
+
+def test_links_in_sentences_stay(spark):
+    def page(s):
+        return (f'<div class="x"><ul><li><a href="/">Home {s}</a></li><li><a href="/n">News {s}</a></li></ul></div>'
+                f'<div class="y"><h2>T{s}</h2><p>see <a href="/r">the report {s}</a> for {prose(30, s)}</p>'
+                f'<p>{prose(20, s + 1)} <a class="r" href="/q">and <b>more</b> {s}</a></p></div>')
+
+    for r in run(spark, [(s, "http://a.org", page(s)) for s in range(6)] + [(50 + s, f"http://b{s}.org", page(s)) for s in range(2)]):
+        s = r.page_id % 50
+        assert r.text == f"T{s}\nsee the report {s} for {prose(30, s)}\n{prose(20, s + 1)} and more {s}"
