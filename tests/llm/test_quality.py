@@ -99,3 +99,43 @@ def test_gumbel_numbers(spark):
     g = np.array([r[0] for r in spark.range(4000).select(gumbel(1, F.col("id"))).collect()])
     assert abs(g.mean() - 0.5772) < 0.1 and abs(g.std() - 1.2825) < 0.1
     assert len(word_hashes(b"A a b")) == 3 and len(buckets(b"", 12)) == 0
+
+
+def test_rare_toxic_words_of_several_languages_are_not_outvoted(spark):
+    rnd = random.Random(5)
+    docs, labels = [], []
+    for i in range(2400):
+        lang = rnd.choice(["en", "en", "en", "de", "fr"])
+        kind = "toxic" if rnd.random() < 0.15 else "low" if rnd.random() < 0.15 else "clean"
+        words = [f"{lang}{min(rnd.randrange(300), rnd.randrange(300))}" for _ in range(rnd.randint(60, 200))]
+        if kind == "low":
+            words[::3] = [rnd.choice(BAD) for _ in words[::3]]
+        if kind == "toxic":  # few words, each of them rare
+            for at in rnd.sample(range(len(words)), 4):
+                words[at] = f"slur-{lang}-{rnd.randrange(12)}"
+        docs.append((i, " ".join(words), f"{lang} {kind}"))
+        if i % 2:
+            labels.append((i, int(kind != "low"), int(kind == "toxic")))
+    rows = classify(*frames(spark, docs, labels)).collect()
+    kept = {}
+    for r in rows:
+        if r.doc_id % 2 == 0:
+            kept.setdefault(r.kind, []).append(r.quality_key.kept)
+    for lang in ("en", "de", "fr"):
+        assert np.mean(kept[f"{lang} toxic"]) < 0.15 and np.mean(kept[f"{lang} clean"]) > 0.97, (lang, kept[f"{lang} toxic"])
+
+
+def test_toxic_recall_per_language_on_the_documents_table(spark):
+    base = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{base}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{base}/labels.parquet")
+    fit = F.pmod(F.xxhash64(F.lit(43), "doc_id"), F.lit(10)) < 7
+    got = classify(docs, labels).join(labels.where(~fit), "doc_id")
+    n = {tuple(r)[:3]: r[3:] for r in got.groupBy("lang", "quality", "toxic").agg(
+        F.count("*"), F.count_if("quality_key.kept")).collect()}
+    # Of the 10 rows of Spanish, 2 are found: few toxic rows of it are there to fit.
+    for lang, least in (("en", 0.9), ("de", 0.75), ("fr", 0.75), ("es", 0.1)):
+        rows, kept = n[lang, 1, 1]
+        assert 1 - kept / rows >= least, (lang, rows, kept)
+    clean = [v for (_, q, t), v in n.items() if q and not t]
+    assert sum(k for _, k in clean) >= 0.99 * sum(a for a, _ in clean)
