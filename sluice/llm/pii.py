@@ -4,13 +4,15 @@
 leftmost and non-overlapping per kind; matches that fail their check (part
 size, digit count, Luhn) are dropped.
 
-**Bootstrapping.**  Base matches are seeds.  Every word that holds a digit or
-an ``@`` is an instance, and its neighbours give lexical patterns (the two words
-before it; the word before and the word after).  The bipartite graph of
-patterns and instances is scored in rounds: a pattern's confidence in a kind is
-the mean score of its distinct instances, an instance's score is that of a seed
-(1) or the noisy-or of its confident patterns.  Instances that end at or above
-``accept`` are new identifiers wherever they occur; base spans stay.
+**Bootstrapping.**  Base matches are seeds.  Words that hold a digit or an ``@``
+are instances, a run of adjoining words with digits one instance, and the words
+around it give lexical patterns (the two words before it; the word before and
+the word after).  The bipartite graph of patterns and instances is scored in
+rounds: a pattern's confidence in a kind is the mean score of its distinct
+instances, an instance's score is that of a seed (1) or the noisy-or of its
+confident patterns.  Instances at or above ``accept`` join the seeds, so the next
+round finds patterns through them; those of the last round are new identifiers
+wherever they occur; base spans stay.
 
 Texts are read once; everything after that works on the identifier-like words.
 All of it is built-in expressions, joins and partial aggregates.
@@ -35,7 +37,10 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-WORDS = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Words with an @ or an IP address stand alone; a + or punctuation ends a run.
+_ALONE = r"\S*@|\S*[0-9]\.[0-9]++\.[0-9]++\.[0-9]"
+WORDS = (rf"(?<!\S)(?:(?={_ALONE})[^\s0-9@]*+[0-9@]\S*+|[^\s0-9@]*+[0-9]\S*+"
+         rf"(?:(?<![,;:!?.])\x20(?!\+|{_ALONE})[^\s0-9@]*+[0-9]\S*+)*+)")
 _IP_PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
 
@@ -108,22 +113,27 @@ def base_spans(text: Column) -> Column:
 
 
 def identifier_words(text: Column) -> Column:
-    """Words that hold a digit or ``@``, without edge punctuation, with their
-    neighbours: ``array<struct<start, end, word, two, around>>``."""
+    """Words that hold a digit or ``@``, runs of adjoining ones as one, without
+    edge punctuation, with the words around them (digits as 9):
+    ``array<struct<start, end, word, two, around>>``."""
     def last(s: Column, n: int) -> Column:
         return F.trim(F.regexp_extract(s, rf"((?:\S+\s+){{{n - 1}}}\S+)\s*$", 1))
 
-    def core(m: Column) -> Column:
+    def core(all_: Column, m: Column, i: Column) -> Column:
         left = F.char_length(F.regexp_extract(m["found"], r"^[^\p{L}\p{N}]*", 0))
         word = F.regexp_replace(m["found"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
-        tail = F.lower(F.substring(m["before"], -80, 80))
+        last_one = F.get(all_, i - 1)
+        before = F.concat(F.coalesce(F.concat(F.substring(last_one["before"], -80, 80), last_one["found"]), F.lit("")), m["before"])
+        behind = F.concat(F.substring(m["after"], 1, 40), F.substring(F.coalesce(F.get(all_, i + 1)["found"], F.lit("")), 1, 40))
+        tail = F.regexp_replace(F.lower(F.substring(before, -80, 80)), "[0-9]+", "9")
         nearest, two = last(tail, 1), last(tail, 2)
-        after = F.regexp_extract(F.lower(F.substring(m["after"], 1, 40)), r"^\s+(\S+)", 1)
+        after = F.regexp_replace(F.regexp_extract(F.lower(F.substring(behind, 1, 40)), r"^\s+(\S+)", 1), "[0-9]+", "9")
         return F.struct((m["start"] + left).alias("start"),
                         (m["start"] + left + F.char_length(word)).alias("end"), word.alias("word"),
                         F.when(two != "", F.concat(F.lit("< "), F.regexp_replace(two, r"\s+", " "))).alias("two"),
                         F.when((nearest != "") & (after != ""), F.concat(nearest, F.lit(" _ "), after)).alias("around"))
-    words = F.filter(F.transform(matches(text, WORDS), core), lambda w: w["word"].rlike("[0-9@]"))
+    words = _let(matches(text, WORDS), lambda found: F.filter(
+        F.transform(found, lambda m, i: core(found, m, i)), lambda w: w["word"].rlike("[0-9@]")))
     return F.when(text.rlike("[0-9@]"), words).otherwise(
         F.array().cast("array<struct<start:int,end:int,word:string,two:string,around:string>>"))
 
@@ -133,8 +143,9 @@ def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, trust: float
     """Instances accepted beyond the seeds: ``(word, kind)``.
 
     ``found`` has ``spans`` and ``words`` as made above.  A pattern counts when
-    at least ``support`` distinct seeds of the kind stand in it and its
-    confidence reaches ``trust``.
+    at least ``support`` distinct seeds or accepted instances of the kind stand in
+    it and its confidence reaches ``trust``.  Rounds end early when they accept
+    what the round before did.
     """
     one = found.select(F.explode("words").alias("w"), "spans").select(
         "w.word", F.explode(F.array_compact(F.array("w.two", "w.around"))).alias("pattern"),
@@ -142,22 +153,24 @@ def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, trust: float
                                 lambda s: s["kind"])).alias("kind"))
     edges = cut(one.groupBy("pattern", "word").agg(F.min("kind").alias("kind")))
     seeds = cut(edges.where("kind is not null").groupBy("word").agg(F.min("kind").alias("kind")))
-    tied = edges.select("pattern", "word").join(seeds, "word")
-    strong = tied.groupBy("pattern", "kind").agg(F.count("*").alias("n")).where(F.col("n") >= support)
-    graph = cut(edges.select("pattern", "word").join(strong.select("pattern", F.col("kind").alias("of")), "pattern"))
-    size = graph.groupBy("pattern", "of").agg(F.count("*").alias("size"))
-    score = seeds.select("word", F.col("kind").alias("of"), F.lit(1.0).alias("score"))
-    new = None
+    score = first = seeds.select("word", F.col("kind").alias("of"), F.lit(1.0).alias("score"))
+    new, before = None, (0, 0.0)
     for _ in range(rounds):
-        sure = (graph.join(score, ["word", "of"]).groupBy("pattern", "of").agg(F.sum("score").alias("s"))
-                .join(size, ["pattern", "of"]).select("pattern", "of", (F.col("s") / F.col("size")).alias("sure"))
+        strong = (edges.select("pattern", "word").join(score, "word").groupBy("pattern", "of")
+                  .agg(F.count("*").alias("n"), F.sum("score").alias("s")).where(F.col("n") >= support))
+        graph = cut(edges.select("pattern", "word").join(strong, "pattern"))
+        sure = (graph.groupBy("pattern", "of").agg((F.first("s") / F.count("*")).alias("sure"))
                 .where(F.col("sure") >= trust))
-        new = cut(graph.join(sure, ["pattern", "of"]).join(seeds.select("word"), "word", "left_anti")
-                  .groupBy("word", "of")
-                  .agg((1 - F.exp(F.sum(F.log(1.0 - F.least("sure", F.lit(1 - 1e-9)))))).alias("score")))
-        score = seeds.select("word", F.col("kind").alias("of"), F.lit(1.0).alias("score")).unionByName(new)
-    return (new.where(F.col("score") >= accept).groupBy("word")
-            .agg(F.max_by("of", F.struct("score", -F.col("of"))).alias("kind")))
+        new = cut(graph.select("pattern", "word", "of").join(sure, ["pattern", "of"])
+                  .join(seeds.select("word"), "word", "left_anti").groupBy("word", "of")
+                  .agg((1 - F.exp(F.sum(F.log(1.0 - F.least("sure", F.lit(1 - 1e-9)))))).alias("score"))
+                  .where(F.col("score") >= accept))
+        now = new.agg(F.count("*"), F.coalesce(F.round(F.sum("score"), 6), F.lit(0.0))).first()
+        if tuple(now) == before:
+            break
+        before = tuple(now)
+        score = first.unionByName(new)
+    return new.groupBy("word").agg(F.max_by("of", F.struct("score", -F.col("of"))).alias("kind"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),

@@ -74,3 +74,36 @@ def test_running_sum_and_empty_table(spark):
         want.append(at)
     assert got == want
     assert run(spark, []) == []
+
+
+def test_new_instances_induce_new_patterns(spark):
+    rows = [(i, f"Please write to user{i}@mail.example.org for news") for i in range(40)]
+    rows += [(100 + i, f"Please write to user#at#home{i} for news") for i in range(8)]
+    rows += [(200 + i, f"our desk answers user#at#home{i} every morning") for i in range(8)]
+    rows += [(300, "our desk answers other#at#work9 every morning"), (301, "other#at#work9 again"), (302, "desk 7 answers"),
+             (303, "we see 77 every morning")]
+    got = {r.doc_id: r.s for r in run(spark, rows)}
+    assert got[107] == "email:16:29" and got[207] == "email:17:30"
+    assert got[300] == "email:17:31" and got[301] == "email:0:14" and got[302] == got[303] == ""
+
+
+def test_adjoining_words_are_one_instance(spark):
+    rows = [(i, f"call me at +1 (743) 555-38{i} after lunch") for i in range(20, 60)]
+    rows += [(100, "call me at 0743 555 3824 after lunch"), (101, "or 0743 555 3824, please"), (102, "room 0743 is open")]
+    got = {r.doc_id: r for r in run(spark, rows)}
+    assert got[100].b == "" and got[100].s == "phone:11:24"
+    assert got[101].s == "phone:3:16" and got[102].s == ""
+    # 40 numbers of one country are 40 seeds; one number 40 times is one.
+    one = [(i, "call me at +1 (743) 555-3824 after lunch") for i in range(40)]
+    assert {r.doc_id: r.s for r in run(spark, [*one, rows[40]])}[100] == ""
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in pii.mask(df).collect()}[100] == "call me at <phone> after lunch"
+
+
+def test_runs_end_where_identifiers_do(spark):
+    text = "pay 12 +1 743 555 3824 from 1.2.3.4 8080 or a1@b.c 44 55, 66 77. end"
+    df = spark.createDataFrame([(text,)], "t string").select(pii.identifier_words(F.col("t")).alias("w"))
+    words = df.first().w
+    assert [w.word for w in words] == ["12", "1 743 555 3824", "1.2.3.4", "8080", "a1@b.c", "44 55", "66 77"]
+    assert all(text[w.start:w.end] == w.word for w in words)
+    assert words[1].two == "< pay 9" and words[6].around == "9, _ end"
