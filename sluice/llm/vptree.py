@@ -9,6 +9,8 @@ shard and answers one block of queries: every node stores the range of
 distances from its vantage point for each child, and a child is skipped for a
 query when ``factor * lower bound`` exceeds the distance of the query's k-th
 best so far.  Factor 1 is exact; larger factors prune more and may miss some.
+Where the search may have cut points that tie with the k-th score, a further
+walk collects all points that reach it, so ties go by id however many there are.
 The nearest of all shards are merged by rank.
 
 Scores are sums of exact products in a fixed order in double precision, so equal
@@ -107,6 +109,20 @@ class Tree:
         return rows, best
 
 
+    def reaching(self, query: np.ndarray, norm: float, floor: float, factor: float) -> np.ndarray:
+        """All rows whose inner product with one lifted query is ``floor`` at least."""
+        reach = np.sqrt(max(norm - 2 * floor, 0)) * (1 + 1e-9) + 1e-6
+        found, todo = [np.empty(0, np.int64)], [self.root]
+        while todo:
+            vantage, rest = self.nodes[todo.pop()]
+            if vantage is None:
+                found.append(rest[self.points[rest] @ query >= floor])
+                continue
+            d = np.sqrt(max(norm - 2 * query @ self.points[vantage], 0))
+            todo += [child for child, low, high in rest if factor * max(d - high, low - d, 0) <= reach]
+        return np.concatenate(found)
+
+
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=-1)
 
@@ -125,10 +141,10 @@ def _search(points: pd.DataFrame, queries: pd.DataFrame, k: int, factor: float,
     q = np.array(queries["vec"].tolist(), np.float64)
     top = float(points["top"].iloc[0])
     lifted = np.c_[unique, np.sqrt(np.maximum(top - _dot(unique, unique), 0))]
-    rows, _ = Tree(lifted).search(np.c_[q, np.zeros(len(q))], _dot(q, q) + top, k + 1 + spare, factor)
-    out: list[tuple] = []
-    for me, vec, got in zip(queries["id"].to_numpy(), q, rows):
-        got = got[got >= 0]
+    tree, raised, norms = Tree(lifted), np.c_[q, np.zeros(len(q))], _dot(q, q) + top
+    rows, best = tree.search(raised, norms, k + 1 + spare, factor)
+
+    def ranked(me: int, vec: np.ndarray, got: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         score = _dot(unique[got], vec)
         members = [ids[order[first[r]:min(first[r + 1], first[r] + k + 1)]] for r in got]
         found = np.concatenate(members) if members else np.empty(0, np.int64)
@@ -136,7 +152,16 @@ def _search(points: pd.DataFrame, queries: pd.DataFrame, k: int, factor: float,
         other = found != me
         found, score = found[other], score[other]
         pick = np.lexsort((found, -score))[:k]
-        out += zip([me] * len(pick), found[pick], score[pick])
+        return found[pick], score[pick]
+
+    out: list[tuple] = []
+    for i, (me, vec, got) in enumerate(zip(queries["id"].to_numpy(), q, rows)):
+        found, score = ranked(me, vec, got[got >= 0])
+        if len(score) == k and got.min() >= 0:
+            floor = score[-1] - 1e-10 * np.sqrt(_dot(vec, vec) * top)
+            if best[i].min() >= floor:  # points beyond the kept ones may tie
+                found, score = ranked(me, vec, tree.reaching(raised[i], norms[i], floor, factor))
+        out += zip([me] * len(found), found, score)
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 

@@ -71,3 +71,12 @@ def test_recall_on_the_embeddings_table(spark):
             s = mat @ np.array(v)
             want = {j for _, j in sorted((-x, j) for x, (j, _) in zip(s, rows) if j != i)[:20]}
             assert {r.vec_id for r in got if r.query_id == i} == want
+
+
+def test_ties_of_many_distinct_vectors_go_by_id(spark):
+    rnd = random.Random(8)
+    bits = [[float(n >> b & 1) for b in range(8)] for n in range(1, 256)]
+    rows = list(zip(rnd.sample(range(5000), 500), bits + [rnd.choice(bits) for _ in range(245)]))
+    for size in (1000, 150):
+        assert run(spark, rows, shard_rows=size) == brute(rows, 5, 4)
+    assert run(spark, rows, k=1) == brute(rows, 1, 4)
