@@ -11,7 +11,9 @@ from sluice.llm import pii
 from sluice.llm.common import table
 from sluice.llm.html_extract import extract
 from sluice.llm.jaccard_join import components_sql, similar_components
+from sluice.llm.lexical import build, search, search_sql
 from sluice.llm.licenses import scan, scan_sql
+from sluice.llm.merkle import manifest_of_documents, manifest_sql
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
 from sluice.llm.quality import classify
@@ -79,6 +81,15 @@ def op10_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_of_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return search(build(docs), docs, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
@@ -90,9 +101,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_wrapper_extraction": op8_wrapper_extraction,
     "op9_url_rules": op9_url_rules,
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": components_sql(),
     "op6_license_scan": scan_sql(),
+    "op11_merkle_manifest": manifest_sql(),
+    "op12_ranked_lexical_search": search_sql(),
 }
