@@ -17,6 +17,7 @@ from sluice.llm.merkle import manifest_of_documents, manifest_sql
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
 from sluice.llm.quality import classify
+from sluice.llm.suffix_dedup import remove_repeats, remove_repeats_sql
 from sluice.llm.syncmers import edit_fingerprints
 from sluice.llm.url_rules import judge, mine
 from sluice.llm.vptree import nearest
@@ -90,6 +91,10 @@ def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(build(docs), docs, table(spark, sf_dir, "benchmark"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_subset_sum_mixing": op10_subset_sum_mixing,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -110,4 +116,5 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": scan_sql(),
     "op11_merkle_manifest": manifest_sql(),
     "op12_ranked_lexical_search": search_sql(),
+    "op13_suffix_array_dedup": remove_repeats_sql(),
 }
