@@ -58,6 +58,12 @@ def ranked(df: DataFrame, order: list[str]) -> DataFrame:
             .withColumn("rank", within + F.col("before")).drop("part", "before"))
 
 
+def kept(df: DataFrame, place: str) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    df.write.parquet(place)
+    return df.sparkSession.read.parquet(place)
+
+
 def store(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Records of all trees of ``nodes`` and their tops.
 
@@ -65,19 +71,16 @@ def store(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     Returns the levels from the bottom, each (tree, pos, digest, children, size
     of that level), and (tree, height, digest) of the top node of each tree.
     """
-    spark, folder = nodes.sparkSession, new_run_dir(nodes.sparkSession, "merkle-store")
+    folder = new_run_dir(nodes.sparkSession, "merkle-store")
     most = nodes.agg(F.max("size")).first()[0] or 0
     levels, tops = [], nodes.where("size = 1").select("tree", F.lit(0).alias("height"), "digest")
     while most > 1:
         most = -(-most // ARITY)
-        place = f"{folder}/{len(levels) + 1}"
-        (nodes.where("size > 1")
-              .groupBy("tree", F.expr(f"pos div {ARITY}").alias("pos"),
-                       F.expr(f"(size + {ARITY - 1}) div {ARITY}").alias("size"))
-              .agg(F.sort_array(F.collect_list(F.struct("pos", "digest")))["digest"].alias("children"))
-              .withColumn("digest", digest(F.array_join("children", "")))
-              .write.parquet(place))
-        nodes = spark.read.parquet(place)
+        runs = (nodes.where("size > 1")
+                .groupBy("tree", F.expr(f"pos div {ARITY}").alias("pos"),
+                         F.expr(f"(size + {ARITY - 1}) div {ARITY}").alias("size"))
+                .agg(F.sort_array(F.collect_list(F.struct("pos", "digest")))["digest"].alias("children")))
+        nodes = kept(runs.withColumn("digest", digest(F.array_join("children", ""))), f"{folder}/{len(levels) + 1}")
         levels.append(nodes)
         tops = tops.union(nodes.where("size = 1").select("tree", F.lit(len(levels)), "digest"))
     return levels, tops
@@ -91,10 +94,11 @@ def descend(levels: list[DataFrame], tops: DataFrame, requests: DataFrame) -> Da
     left and right of the selected one.  ``wanted[k]`` has one row per node of level
     ``k`` on the way to any request.
     """
-    wanted = [requests.withColumn("digit", (F.col("pos") % ARITY).cast("int"))]
-    for _ in levels:
+    folder = new_run_dir(requests.sparkSession, "merkle-requests")
+    wanted = [requests]
+    for k, _ in enumerate(levels[1:], 1):
         w = wanted[-1].select("tree", F.expr(f"pos div {ARITY}").alias("pos")).distinct()
-        wanted.append(w.withColumn("digit", (F.col("pos") % ARITY).cast("int")))
+        wanted.append(kept(w, f"{folder}/{k}"))
 
     def arrive(k: int) -> DataFrame:
         return tops.where(F.col("height") == k).select("tree", F.lit(0).cast("long").alias("pos"), "digest", "path")
@@ -103,7 +107,7 @@ def descend(levels: list[DataFrame], tops: DataFrame, requests: DataFrame) -> Da
     for k in range(len(levels), 0, -1):
         records = levels[k - 1].groupBy("digest").agg(F.any_value("children").alias("children"))
         found = at.join(records, "digest").select("tree", F.col("pos").alias("parent"), "children", "path")
-        below = wanted[k - 1].withColumn("parent", F.expr(f"pos div {ARITY}"))
+        below = wanted[k - 1].withColumns({"parent": F.expr(f"pos div {ARITY}"), "digit": (F.col("pos") % ARITY).cast("int")})
         i, c = F.col("digit"), F.col("children")
         step = F.struct(F.array_join(F.slice(c, F.lit(1), i), "").alias("left"),
                         F.array_join(F.slice(c, i + 2, F.lit(ARITY)), "").alias("right"))
@@ -136,29 +140,26 @@ def manifest(docs: DataFrame, tampered: Column, changed: dict[str, Column]) -> D
     source and id go by their digest; equal rows are leaves of their own; an empty
     text is not a null one.  An empty table has no rows.  Other columns are ignored.
     """
-    spark = docs.sparkSession
     own = {c: F.col(c) for c in COLUMNS}
-    folder = new_run_dir(spark, "merkle-leaves")
-    leaf = row_digest(own)
-    (docs.select("doc_id", "source", leaf.alias("leaf"),
-                 F.when(tampered, row_digest({**own, **changed})).alias("other"))
-         .write.parquet(folder))
-    leaves = spark.read.parquet(folder).withColumn("row", F.monotonically_increasing_id())
-    leaves = ranked(leaves, ["source", "doc_id", "leaf", "row"])
+    folder = new_run_dir(docs.sparkSession, "merkle-leaves")
+    leaves = kept(docs.select("doc_id", "source", row_digest(own).alias("leaf"),
+                              F.when(tampered, row_digest({**own, **changed})).alias("other")), f"{folder}/leaves")
+    leaves = ranked(leaves.withColumn("row", F.monotonically_increasing_id()), ["source", "doc_id", "leaf", "row"])
 
     per_source = leaves.groupBy("source").agg(F.min("rank").alias("first"), F.count("*").alias("size"))
     sources = ranked(per_source, ["first"]).withColumnRenamed("rank", "tree").withColumnRenamed("source", "name")
-    requests = leaves.join(sources, F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "leaf", "other", "tree", (F.col("rank") - F.col("first")).alias("pos"), "size")
+    requests = kept(leaves.join(sources, F.col("source").eqNullSafe(F.col("name"))).select(
+        "doc_id", "leaf", "other", "tree", (F.col("rank") - F.col("first")).alias("pos"), "size"), f"{folder}/requests")
 
     none = F.array().cast("array<struct<left:string,right:string>>")
     levels, tops = store(requests.select("tree", "pos", F.col("leaf").alias("digest"), "size"))
-    n = sources.count()
+    tops = kept(tops, f"{folder}/subroots")
+    n = tops.count()
     over, top = store(tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), "digest",
                                   F.lit(n).cast("long").alias("size")))
     root = top.withColumn("path", none)
     to_sources = descend(over, root, tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), "height"))
-    starts = to_sources.select(F.col("pos").alias("tree"), "height", "digest", "path")
+    starts = kept(to_sources.select(F.col("pos").alias("tree"), "height", "digest", "path"), f"{folder}/starts")
     found = descend(levels, starts, requests.drop("size"))
     subroots = starts.select("tree", F.col("digest").alias("subroot"))
     top_digest = top.select(F.col("digest").alias("root"))
