@@ -18,9 +18,9 @@ forms, ``multipleOf``, ``minLength``/``maxLength``, ``pattern``,
 ``format: email``.  Schemas with anything further (element schemas of any depth,
 ``contains``, ``prefixItems``, ``patternProperties``, ``propertyNames``,
 ``dependentSchemas``, local and recursive references, ``enum``/``const`` of arrays
-and objects, exact decimals) go to ``sluice.functions.jsonschema`` whole.  Annotations (``title``, ``description``, ``$schema``,
-``$id``, ``format`` when not asserted) and unknown keywords are ignored, as
-the draft prescribes for unknown keywords.
+and objects, exact decimals) are validated as rows, see ``nodes``.  Annotations
+(``title``, ``description``, ``$schema``, ``$id``, ``format`` when not asserted) and
+unknown keywords are ignored, as the draft prescribes for unknown keywords.
 
 Each check is a pair ``(label, ok_sql)``; ``label`` is ``keyword:path`` with
 the dotted property path (``$`` for the root, ``[]`` for array elements).
@@ -35,9 +35,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import jsonschema as js
+from .nodes import EMAIL_SHAPE, SUBSCHEMA, SUBSCHEMA_LISTS, SUBSCHEMA_MAPS
 
-EMAIL_SHAPE = js.EMAIL_SHAPE  # opt-in email assertion (a plain local@domain shape)
 # A JSON text whose first non-blank character is '{' and that parses is an object.
 OBJECT_TEXT = r"^[ \t\n\r]*\{"
 
@@ -124,7 +123,7 @@ def _literal_sql(t: str, x: str, value) -> str:
         return f"({type_sql(t, x, 'number')} AND {get(x, 'double')} = double({float(value)!r}))"
     if isinstance(value, str):
         return f"({t} = 'STRING' AND {get(x, 'string')} = {sql_str(value)})"
-    raise ValueError("arrays and objects are compared by the evaluator")
+    raise ValueError("arrays and objects are compared as rows")
 
 
 def _enum_sql(t: str, x: str, values: list) -> str:
@@ -157,8 +156,8 @@ class CompiledSchema:
     uri: str
     checks: list[tuple[str, str]] = field(default_factory=list)
     unresolved: list[str] = field(default_factory=list)
-    # Beyond SQL checks: the document and those it refers to, for the evaluator.
-    bundle: dict | None = None
+    # More than SQL checks cover: validated as rows.
+    beyond: bool = False
     broken: bool = False
 
     def errors_sql(self) -> str:
@@ -182,34 +181,11 @@ class SchemaCompiler:
         self.assert_email = assert_email
 
     def compile(self, uri: str, doc) -> CompiledSchema:
-        """SQL checks of ``doc`` where they cover it exactly; otherwise the
-        bundle for the evaluator.  A document that is no schema is ``broken``."""
+        """SQL checks of a document that they cover exactly."""
         out = CompiledSchema(uri=uri)
-        try:
-            if not js.well_formed(doc):
-                out.broken = True
-            elif self._in_sql(doc, ()):
-                self._node(doc, [], out, ())
-            else:
-                out.bundle = bundle_of(doc, self.resolve)
-                out.unresolved = [uri] if js.Evaluator(doc, out.bundle["refs"].get).unresolved else []
-        except RecursionError:
-            out.broken = True
+        self._node(doc, [], out, ())
         return out
 
-    def _in_sql(self, doc, chain: tuple[str, ...]) -> bool:
-        """SQL covers the document and, without a cycle, all it refers to.
-        References that lead nowhere are reported by the compilation itself."""
-        if not js.expressible(doc):
-            return False
-        for ref in js.references(doc):
-            if "#" in ref or ref in chain:
-                return False
-            target = self.resolve(ref)
-            if target is not None and not self._in_sql(target, (*chain, ref)):
-                return False
-        return True
-
     # -- node compilation ------------------------------------------------
     def _node(self, node, parts: list[str], out: CompiledSchema, chain: tuple[str, ...]) -> None:
         lbl = label_path(parts)
@@ -361,17 +337,19 @@ class SchemaCompiler:
             out.checks.append((label, f"coalesce(forall({arr}, e -> {check}), true)"))
 
 
-def bundle_of(doc, resolve: Callable[[str], object | None]) -> dict:
-    """``{"doc": ..., "refs": {uri: document}}``: a schema and all it refers to."""
-    refs: dict[str, object] = {}
-    todo = [doc]
+def references(doc) -> list[str]:
+    """Every ``$ref`` of a schema document, at any depth."""
+    out, todo = [], [doc]
     while todo:
-        for ref in js.references(todo.pop()):
-            uri = ref.partition("#")[0]
-            if uri and uri not in refs and (target := resolve(uri)) is not None:
-                refs[uri] = target
-                todo.append(target)
-    return {"doc": doc, "refs": refs}
+        node = todo.pop()
+        if not isinstance(node, dict):
+            continue
+        if isinstance(node.get("$ref"), str):
+            out.append(node["$ref"])
+        todo += [node[k] for k in SUBSCHEMA if k in node]
+        todo += [s for k in SUBSCHEMA_LISTS for s in (node[k] if isinstance(node.get(k), list) else ())]
+        todo += [s for k in SUBSCHEMA_MAPS for s in (node[k].values() if isinstance(node.get(k), dict) else ())]
+    return out
 
 
 # -- schema document -> Spark type (PRJ-12) -------------------------------

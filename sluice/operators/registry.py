@@ -14,22 +14,16 @@ from __future__ import annotations
 
 from importlib import resources
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.routes import (DEFAULT_REGISTRY_BASE, URI_SEGMENT, URI_TAIL,
+from ..functions.routes import (DEFAULT_REGISTRY_BASE, URI_SEGMENT, URI_TAIL, normalise_uri,
                                 uri_name, uri_version)
 from ..functions.semver import DEFAULT_KEY_PREFIX, parse_semver, registry_key, semver_text
-from ..functions import jsonschema as js
 from ..session import fs_exists
+from .nodes import with_admission
 from .sequence import last_before
 
-_PART = r"(0|[1-9][0-9]{0,2}|10[01][0-9]|102[0-3])"
-CANONICAL_TAIL = rf"/schemas/[^/]+/{_PART}\.{_PART}\.{_PART}$"
-
-
 def corpus_dir() -> str:
     """Folder of the bundled schema documents."""
     return str(resources.files("sluice") / "schemas")
@@ -67,21 +61,6 @@ def _with_ids(raw: DataFrame, base: str | None = None) -> DataFrame:
 
 # -- admission ---------------------------------------------------------
 
-@F.pandas_udf(T.BooleanType())
-def _admissible(schemas: pd.Series) -> pd.Series:
-    return pd.Series([js.admissible_text(t) for t in schemas], dtype=bool)
-
-
-def schema_admissible(schema: Column | str) -> Column:
-    """Does the text compile as a JSON Schema (well-formedness, PRD-3/PRD-7).
-
-    The whole document is walked: every subschema is an object or a boolean,
-    every keyword has a value of its kind, patterns compile, and keywords that
-    would change validity but are evaluated nowhere are refused.
-    """
-    return _admissible(F.col(schema) if isinstance(schema, str) else schema)
-
-
 def request_ok(name: Column | str, version: Column | str) -> Column:
     """Request key check (PRD-4): name present and version parses."""
     n = F.col(name) if isinstance(name, str) else name
@@ -91,8 +70,13 @@ def request_ok(name: Column | str, version: Column | str) -> Column:
 
 def reject_documents(corpus: DataFrame) -> DataFrame:
     """Rows of a corpus that bulk registration would refuse (SNK-5)."""
-    return corpus.where(~schema_admissible("schema")
-                        | ~request_ok(F.coalesce("name", F.lit("")), F.coalesce("version", F.lit(""))))
+    return _admitted(corpus).where(~F.col("__ok")).drop("__ok")
+
+
+def _admitted(corpus: DataFrame) -> DataFrame:
+    """``corpus`` with ``__ok``: the document is a schema and its key is usable."""
+    key_ok = request_ok(F.coalesce("name", F.lit("")), F.coalesce("version", F.lit("")))
+    return with_admission(corpus, "schema", "__ok").withColumn("__ok", F.col("__ok") & key_ok)
 
 
 # -- change log --------------------------------------------------------
@@ -103,22 +87,6 @@ def canonical_uri(name: Column, version: Column, base: str | Column = DEFAULT_RE
     return F.concat(head, F.lit(URI_SEGMENT), name, F.lit("/"), semver_text(version))
 
 
-def normalise_uri(uri: Column | str) -> Column:
-    """Rewrite a URI's version tail to ``M.m.p`` (``…/order/2`` → ``…/order/2.0.0``).
-
-    URIs without a parsable ``/schemas/<name>/<version>`` tail are returned
-    unchanged, so they simply find no schema.
-    """
-    u = F.col(uri) if isinstance(uri, str) else uri
-    ver = parse_semver(uri_version(u))
-    head = F.regexp_replace(u, URI_TAIL, "")
-    slow = F.when(ver.isNotNull(),
-                  F.concat(head, F.lit(URI_SEGMENT), uri_name(u), F.lit("/"), semver_text(ver))
-                  ).otherwise(u)
-    # fast path: a tail that is already M.m.p without leading zeros, each part <= 1023
-    return F.when(u.rlike(CANONICAL_TAIL), u).otherwise(slow)
-
-
 def corpus_to_log(corpus: DataFrame) -> DataFrame:
     """Bulk registration (SNK-5) as a change log of ``set`` ops, in path order.
 
@@ -213,9 +181,7 @@ def delete_entry(spark: SparkSession, path: str, name: str, version: str) -> boo
 
 def registry_of(corpus: DataFrame) -> DataFrame:
     """Registry state after registering every admissible document of a corpus frame."""
-    ok = corpus.where(schema_admissible("schema") & request_ok(
-        F.coalesce("name", F.lit("")), F.coalesce("version", F.lit(""))))
-    return fold_log(corpus_to_log(ok))
+    return fold_log(corpus_to_log(_admitted(corpus).where("__ok").drop("__ok")))
 
 
 def corpus_from_texts(spark: SparkSession, docs: list[tuple[str, str]], base: str | None = None) -> DataFrame:
@@ -242,8 +208,9 @@ def answer_requests(requests: DataFrame, prefix: str = DEFAULT_KEY_PREFIX,
     ver = parse_semver("version")
     key_ok = request_ok("name", "version")
     # only what an add brings is walked
-    good_add = (F.col("op") == "add") & key_ok & schema_admissible(F.when(F.col("op") == "add", F.col("schema")))
-    r = (requests
+    good_add = F.col("_good_add")
+    r = with_admission(requests.withColumn("_text", F.when((F.col("op") == "add") & key_ok, F.col("schema"))), "_text", "_good_add").drop("_text")
+    r = (r
          .withColumn("key", F.when(key_ok, registry_key("name", ver, prefix)))
          .withColumn("_good", F.when(key_ok, F.lit(True)).otherwise(F.lit(False)))
          # state-changing ops: admitted adds and any delete of a valid key

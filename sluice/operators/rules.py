@@ -8,10 +8,9 @@ Each document becomes its rule array in one projection of higher-order functions
 (no union, no explode/regroup).
 
 Documents that rules do not express (references, combinators, deeper nesting
-and so on) keep no rules but a *bundle*: the document and, found by joins of the
-registry with itself until nothing is added, all it refers to.  Their messages
-are checked by the Arrow-batched evaluator, so there is no bound on the number,
-size or depth of schemas and the outcome never depends on the registry's size.
+and so on) keep no rules; their messages are validated as rows (``nodes``), so
+there is no bound on the number, size or depth of schemas and the outcome never
+depends on the registry's size.
 
 The arrays are joined to the messages on the normalised URI.  When the table is
 under ``BROADCAST_MAX_BYTES`` it is broadcast (a map-side join: no shuffle of
@@ -24,13 +23,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-import pandas as pd
-
-from ..functions import jsonschema as js
-from .registry import normalise_uri
-from .validate import _normalise_text, _status, emit_outcome, evaluate_udf
+from ..functions.routes import normalise_uri
+from .nodes import SchemaTable, schema_table
+from .validate import _status, emit_outcome, walked_documents, with_violations
 
 BROADCAST_MAX_BYTES = 64 << 20
 SALT_BUCKETS = 64
@@ -100,7 +96,7 @@ def _required_rules(x: str) -> str:
             f"nm -> {_rule(label, path, 'required', types=f'array({parent})')})")
 
 
-# Keywords the rule arrays do not evaluate; the evaluator takes schemas using any.
+# Keywords the rule arrays do not evaluate; schemas using any are validated as rows.
 _UNSUPPORTED = ("allOf", "anyOf", "oneOf", "not", "if", "dependentRequired", "prefixItems",
                 "contains", "patternProperties", "propertyNames", "dependentSchemas",
                 "unevaluatedProperties", "unevaluatedItems")
@@ -141,69 +137,13 @@ def _rules_sql(assert_email: bool) -> tuple[str, str, str]:
     return root, lvl1, lvl2
 
 
-@F.pandas_udf(T.BooleanType())
-def _beyond_rules(schemas: pd.Series) -> pd.Series:
-    """Whether a document needs the evaluator (null: not a schema)."""
-    def beyond(text: str | None) -> bool | None:
-        if not js.admissible_text(text):
-            return None
-        doc = js.loads(text)
-        return isinstance(doc, bool) or not js.expressible(doc) or any(True for _ in js.references(doc))
-    return pd.Series([beyond(t) for t in schemas], dtype=object)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _references(schemas: pd.Series) -> pd.Series:
-    """Normalised URIs a document refers to."""
-    def refs(text: str | None) -> list[str]:
-        if not js.admissible_text(text):
-            return []
-        found = (ref.partition("#")[0] for ref in js.references(js.loads(text)))
-        return sorted({_normalise_text(u) for u in found if u})
-    return pd.Series([refs(t) for t in schemas], dtype=object)
-
-
-@F.pandas_udf(T.BooleanType())
-def _is_unresolved(bundles: pd.Series) -> pd.Series:
-    def unresolved(text: str) -> bool:
-        b = js.loads(text)
-        return js.Evaluator(b["doc"], lambda u: b["refs"].get(_normalise_text(u))).unresolved
-    return pd.Series([unresolved(t) for t in bundles], dtype=bool)
-
-
-def bundles_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(__uri, __bundle)``: each wanted document with all it refers to, as JSON.
-
-    ``docs`` is ``(__uri, schema)``.  References are followed by joins until no
-    pair is added; the number of rounds is the longest chain of references."""
-    from ..session import checkpoint_root
-    checkpoint_root(docs.sparkSession)
-    edges = docs.select("__uri", F.explode(_references("schema")).alias("__ref")).distinct().checkpoint()
-    pairs = wanted.select("__uri").join(edges, "__uri").distinct().checkpoint()
-    while True:
-        step = pairs.join(edges.select(F.col("__uri").alias("__ref"), F.col("__ref").alias("__next")), "__ref") \
-                    .select("__uri", F.col("__next").alias("__ref"))
-        grown = pairs.union(step).distinct().checkpoint()
-        if grown.count() == pairs.count():
-            break
-        pairs = grown
-    refs = (pairs.join(docs.select(F.col("__uri").alias("__ref"), F.col("schema").alias("__text")), "__ref")
-            .groupBy("__uri").agg(F.array_join(F.array_sort(F.collect_list(F.concat(
-                F.to_json(F.array("__ref")).substr(F.lit(2), F.length(F.to_json(F.array("__ref"))) - 2),
-                F.lit(":"), F.col("__text")))), ",").alias("__refs")))
-    return (docs.join(wanted.select("__uri"), "__uri", "left_semi").join(refs, "__uri", "left")
-            .select("__uri", F.concat(F.lit('{"doc":'), F.col("schema"), F.lit(',"refs":{'),
-                                      F.coalesce("__refs", F.lit("")), F.lit("}}")).alias("__bundle")))
-
-
-def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFrame:
-    """Registry ``(schemaURI, schema)`` -> one row per normalised URI:
-    ``__uri, __rules, __bundle, __unresolved, __broken`` (rules or a bundle)."""
-    # one row per URI: a duplicated registry row must not duplicate messages
-    docs = (registry.select(normalise_uri("schemaURI").alias("__uri"), "schema")
-            .groupBy("__uri").agg(F.max("schema").alias("schema")))
-    staged = docs.select("__uri", "schema", _beyond_rules("schema").alias("__beyond"),
-                         F.try_parse_json("schema").alias("doc"))
+def flatten_registry(registry: DataFrame, assert_email: bool = False) -> tuple[DataFrame, SchemaTable | None]:
+    """Registry ``(schemaURI, schema)`` -> one row per normalised URI,
+    ``__uri, __rules, __beyond, __unresolved, __broken``, and the schema table if
+    some document has no rules."""
+    docs, flags, folder = walked_documents(registry)
+    staged = docs.join(flags.withColumnRenamed("doc", "uri"), "uri").select(
+        F.col("uri").alias("__uri"), "broken", (F.col("beyond") | F.col("refs")).alias("beyond"), F.col("node").alias("doc"))
     root, lvl1, lvl2 = _rules_sql(assert_email)
     staged = staged.select("*", F.expr(root).alias("__root"))
     staged = staged.select("*", F.expr(lvl1).alias("__lvl1"))
@@ -211,16 +151,18 @@ def flatten_registry(registry: DataFrame, assert_email: bool = False) -> DataFra
     rules = F.expr(
         f"concat(flatten(transform(concat(array(__root), __lvl1, __lvl2), x -> {_node_rules('x', assert_email)})), "
         f"flatten(transform(concat(array(__root), __lvl1), x -> {_required_rules('x')})))")
-    native = F.expr(f"exists(concat(array(__root), __lvl1, __lvl2), x -> {_unsupported('x')}) "
-                    f"OR exists(__lvl2, x -> {_too_deep('x')})")
-    broken = F.col("__beyond").isNull() | F.col("doc").isNull()
-    flat = staged.select("__uri", "schema", broken.alias("__broken"),
-                         (~broken & (F.col("__beyond") | F.coalesce(native, F.lit(False)))).alias("__beyond"),
-                         F.when(F.col("doc").isNotNull(), rules).alias("__rules")).checkpoint()
-    bundles = bundles_of(flat.where("not __broken").select("__uri", "schema"), flat.where("__beyond")).select("*", _is_unresolved("__bundle").alias("__unresolved"))
-    return (flat.join(bundles, "__uri", "left")
-            .select("__uri", F.when(~F.col("__broken") & ~F.col("__beyond"), F.col("__rules")).alias("__rules"),
-                    "__bundle", F.coalesce("__unresolved", F.lit(False)).alias("__unresolved"), "__broken"))
+    unsupported = F.expr(f"schema_of_variant(doc) NOT LIKE 'OBJECT%' OR exists(concat(array(__root), __lvl1, __lvl2), x -> {_unsupported('x')}) "
+                         f"OR exists(__lvl2, x -> {_too_deep('x')})")
+    beyond = ~F.col("broken") & (F.col("beyond") | F.coalesce(unsupported, F.lit(False)))
+    flat = staged.select("__uri", F.col("broken").alias("__broken"), beyond.alias("__beyond"),
+                         F.when(~F.col("broken") & ~beyond, rules).alias("__rules")).checkpoint()
+    if flat.where("__beyond").isEmpty():
+        return flat.withColumn("__unresolved", F.lit(False)), None
+    table = schema_table(folder, flat.where("not __broken").select(F.col("__uri").alias("doc")))
+    dangling = table.unresolved.select(F.col("uri").alias("__uri"), F.lit(True).alias("__dangling"))
+    return (flat.join(dangling, "__uri", "left")
+            .select("__uri", "__rules", "__beyond", (F.col("__beyond") & F.coalesce("__dangling", F.lit(False))).alias("__unresolved"),
+                    "__broken"), table)
 
 
 # SQL for one rule against the payload ``__v``; TRUE when satisfied.  Each rule
@@ -281,8 +223,8 @@ def _errors_sql() -> str:
             "THEN s.r.label END), x -> x IS NOT NULL)")
 
 
-def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataFrame, int, bool]:
-    """(per-URI rules or bundle, its bytes, whether any URI has a bundle),
+def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataFrame, int, SchemaTable | None]:
+    """(per-URI rules, their bytes, the schema table if some URI needs it),
     materialised once.
 
     One row per schema; checkpointed into the shared checkpoint folder so the
@@ -290,22 +232,20 @@ def rules_by_uri(registry: DataFrame, assert_email: bool = False) -> tuple[DataF
     """
     from ..session import checkpoint_root
     checkpoint_root(registry.sparkSession)
-    per_uri = flatten_registry(registry, assert_email).withColumn("__known", F.lit(True)).checkpoint(eager=True)
-    size = F.length(F.to_json("__rules")) + 0
-    n, evaluated = per_uri.agg(
-        F.coalesce(F.sum(F.coalesce(size, F.lit(0)) + F.coalesce(F.length("__bundle"), F.lit(0)) + F.length("__uri")),
-                   F.lit(0)), F.coalesce(F.bool_or(F.col("__bundle").isNotNull()), F.lit(False))).first()
-    return per_uri, int(n), bool(evaluated)
+    flat, table = flatten_registry(registry, assert_email)
+    per_uri = flat.withColumn("__known", F.lit(True)).checkpoint(eager=True)
+    size = F.coalesce(F.length(F.to_json("__rules")), F.lit(0)) + F.length("__uri")
+    return per_uri, int(per_uri.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]), table
 
 
 def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool = False,
                    broadcast: bool | None = None,
-                   rules: tuple[DataFrame, int, bool] | None = None) -> DataFrame:
+                   rules: tuple[DataFrame, int, SchemaTable | None] | None = None) -> DataFrame:
     """Design B: same output as ``validate_compiled``.
 
     ``rules`` takes a ``rules_by_uri`` result to reuse across micro-batches.
     """
-    per_uri, n_bytes, evaluated = rules or rules_by_uri(registry, assert_email)
+    per_uri, n_bytes, table = rules or rules_by_uri(registry, assert_email)
     if broadcast is None:
         broadcast = n_bytes <= BROADCAST_MAX_BYTES
     cols = messages.columns
@@ -320,16 +260,19 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
         m = m.withColumn("__salt", F.pmod(F.xxhash64("data", "__uri"), F.lit(SALT_BUCKETS)))
         salted = per_uri.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
         j = m.join(salted, ["__uri", "__salt"], "left")
-    errs = F.expr(_errors_sql())
-    if evaluated:
-        errs = F.when(F.col("__bundle").isNotNull(),
-                      evaluate_udf(assert_email)(F.col("__bundle"), F.col("data"))).otherwise(errs)
 
     def flag(c: str):
         return F.coalesce(F.col(c), F.lit(False)).alias(c)
 
-    checked = j.select(*cols, "__uri", "__v", flag("__known"), flag("__unresolved"), flag("__broken"),
-                       F.when(F.col("__known") & F.col("__v").isNotNull(), errs).alias("__errors"))
+    j = j.select(*cols, "__uri", "__v", "__rules", "__root_obj", flag("__known"), flag("__unresolved"), flag("__broken"), flag("__beyond"))
+    errs = F.when(F.col("__known") & F.col("__v").isNotNull(), F.expr(_errors_sql()))
+    as_rows = F.col("__beyond") & ~F.col("__unresolved")
+    state = [*cols, "__uri", "__v", "__known", "__unresolved", "__broken"]
+    if table is None:
+        checked = j.select(*state, errs.alias("__errors"))
+    else:
+        checked = j.where(~as_rows).select(*state, errs.alias("__errors")).union(
+            with_violations(j.where(as_rows), table, assert_email).select(*state, "__errors"))
     status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unresolved"), F.col("__v"), F.col("__errors"),
                              F.col("__broken"))
     return emit_outcome(checked, cols, status, reason,

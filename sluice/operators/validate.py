@@ -10,10 +10,11 @@
 * ``errors``  — ``ARRAY<STRING>`` of violated ``keyword:path`` labels
   (NULL when ``status = 'error'``)
 
-Two physical designs with the same outcome for every schema.  Schemas that SQL
-checks cannot express exactly (recursion, nested element schemas, see
-``compile``) are checked by an Arrow-batched evaluator in either design; for
-all others there is no Python on the data path:
+Two physical designs with the same outcome for every schema, without Python on
+the data path.  Messages whose schemas SQL checks cannot express exactly
+(recursion, nested element schemas, see ``compile``) are validated as rows
+(``nodes``) in either design and joined back by a digest of their payload; the
+other messages never meet that join:
 
 * **compiled** (default for small registries): every registry document is
   compiled into Catalyst expressions and dispatched with one ``CASE`` on the
@@ -28,15 +29,15 @@ all others there is no Python on the data path:
 
 from __future__ import annotations
 
-import pandas as pd
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import jsonschema as js
-from .compile import V, SchemaCompiler, sql_str
-from .registry import normalise_uri
+from ..functions.routes import normalise_uri
+from .compile import V, CompiledSchema, SchemaCompiler, references, sql_str
+from .nodes import SchemaTable, judged, schema_table, violations, walked
 
-BROKEN = object()  # stands for a document that does not parse
 MAX_COMPILED_SCHEMAS = 64
 MAX_COMPILED_BYTES = 4 << 20
 
@@ -73,27 +74,66 @@ def registry_size(registry: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"])
 
 
+class CompiledRegistry(dict):
+    """``{uri: CompiledSchema}``, with the schema table if some document needs it."""
+
+    table: SchemaTable | None = None
+
+
+def schema_documents(registry: DataFrame) -> DataFrame:
+    """``(uri, schema, node)`` of a registry: one document per normalised URI."""
+    return (registry.select(normalise_uri("schemaURI").alias("uri"), "schema")
+            .groupBy("uri").agg(F.max("schema").alias("schema"))
+            .withColumn("node", F.try_parse_json("schema")))
+
+
+def walked_documents(registry: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """(documents, their flags, the folder of their walk) of a registry."""
+    docs = schema_documents(registry)
+    folder = walked(docs)
+    nodes = registry.sparkSession.read.parquet(f"{folder}/walk/step=0")
+    return docs, judged(docs.select(F.col("uri").alias("doc"), "node"), nodes), folder
+
+
 def compile_registry(registry: DataFrame, assert_email: bool = False,
-                     size: tuple[int, int] | None = None):
-    """Driver-side compile of a size-checked registry: {uri: CompiledSchema}."""
+                     size: tuple[int, int] | None = None) -> CompiledRegistry:
+    """Driver-side compile of a size-checked registry."""
     n, b = size or registry_size(registry)
     if n > MAX_COMPILED_SCHEMAS or b > MAX_COMPILED_BYTES:
         raise ValueError(f"registry too large to compile ({n} docs, {b} bytes); use design='rules'")
-    rows = registry.select("schemaURI", "schema").collect()
-    docs = {}
+    docs, flags, folder = walked_documents(registry)
+    rows = docs.join(flags.withColumnRenamed("doc", "uri"), "uri").select("uri", "schema", "broken", "beyond").collect()
+    plain = {r["uri"]: json.loads(r["schema"]) for r in rows if not (r["broken"] or r["beyond"])}
+    in_sql: dict[str, bool] = {}
+
+    def covered(uri: str, chain: tuple[str, ...]) -> bool:
+        """SQL covers the document and, without a cycle, all it refers to.
+        References that lead nowhere are reported by the compilation itself."""
+        for ref in references(plain[uri]):
+            target = _normalise_text(ref)
+            if "#" in ref or target in chain or target in beyond or target in in_sql and not in_sql[target]:
+                return False
+            if target in plain and target not in in_sql:
+                in_sql[target] = covered(target, (*chain, target))
+            if not in_sql.get(target, True):
+                return False
+        return True
+
+    beyond = {r["uri"] for r in rows if r["beyond"] and not r["broken"]}
+    comp = SchemaCompiler(resolve=lambda uri: plain.get(_normalise_text(uri)), assert_email=assert_email)
+    out = CompiledRegistry()
     for r in rows:
-        key = _normalise_text(r["schemaURI"])  # messages are matched on the same form
-        try:
-            docs[key] = js.loads(r["schema"])
-        except (TypeError, ValueError):
-            docs[key] = BROKEN  # refused by admission; its messages are errors
-
-    def resolve(uri: str):
-        found = docs.get(_normalise_text(uri))
-        return None if found is BROKEN else found
-
-    comp = SchemaCompiler(resolve=resolve, assert_email=assert_email)
-    return {u: comp.compile(u, d) for u, d in docs.items()}
+        uri = r["uri"]
+        if uri in plain and covered(uri, (uri,)):
+            out[uri] = comp.compile(uri, plain[uri])
+        else:
+            out[uri] = CompiledSchema(uri=uri, beyond=not r["broken"], broken=r["broken"])
+    if any(c.beyond for c in out.values()):
+        out.table = schema_table(folder, flags.where("not broken"))
+        for r in out.table.unresolved.collect():  # of at most MAX_COMPILED_SCHEMAS
+            if out[r["uri"]].beyond:
+                out[r["uri"]].unresolved = [r["uri"]]
+    return out
 
 
 def _normalise_text(uri: str) -> str:
@@ -141,34 +181,23 @@ def validate(messages: DataFrame, registry: DataFrame, design: str = "auto",
     return validate_compiled(messages, compiled, assert_email)
 
 
-def evaluate_udf(assert_email: bool = False, bundles: dict[str, dict] | None = None):
-    """UDF ``(schema, payload text) -> violated labels`` for schemas beyond SQL.
+def with_violations(staged: DataFrame, table: SchemaTable, assert_email: bool) -> DataFrame:
+    """Messages (``__uri``, ``data``, parsed ``__v``) with ``__errors``, validated as rows.
 
-    ``schema`` is a key of ``bundles`` or, without them, a bundle as JSON text;
-    where it is null the result is null and nothing is evaluated.
-    """
-    def errors_of(keys: pd.Series, texts: pd.Series) -> pd.Series:
-        known: dict = {}
-        out = []
-        for key, text in zip(keys, texts):
-            if key is None or text is None:
-                out.append(None)
-                continue
-            if key not in known:
-                bundle = bundles[key] if bundles is not None else js.loads(key)
-                refs = {_normalise_text(u): d for u, d in bundle["refs"].items()}
-                known[key] = js.Evaluator(bundle["doc"], lambda u, refs=refs: refs.get(_normalise_text(u)), assert_email)
-            try:
-                # an unresolved reference, or text that is no JSON, is the reason reported
-                out.append([] if known[key].unresolved else sorted(known[key].errors(js.loads(text))))
-            except ValueError:
-                out.append([])
-        return pd.Series(out, dtype=object)
-
-    return F.pandas_udf(errors_of, "array<string>")
-
-
-def validate_compiled(messages: DataFrame, compiled: dict, assert_email: bool = False) -> DataFrame:
+    Messages meet their labels again by a digest of URI and payload, so equal
+    messages share them; only payloads with violations are on that side."""
+    keyed = staged.withColumn("__k", F.sha2(F.concat(F.col("__uri"), F.lit(" "), F.col("data")), 256))
+    payloads = keyed.where(F.col(V).isNotNull()).select(
+        F.col("__k").alias("k"), F.concat("__uri", F.lit("#")).alias("sid"), F.col(V).alias("v"))
+    none = F.when(F.col(V).isNotNull(), F.expr("CAST(array() AS ARRAY<STRING>)"))
+    found = violations(payloads, table, assert_email)
+    if found is None:
+        return staged.withColumn("__errors", none)
+    found = found.select(F.col("k").alias("__k"), F.col("errors").alias("__errors"))
+    return keyed.join(found, "__k", "left").withColumn("__errors", F.coalesce("__errors", none)).drop("__k")
+
+
+def validate_compiled(messages: DataFrame, compiled: CompiledRegistry, assert_email: bool = False) -> DataFrame:
     cols = messages.columns
     uri = F.coalesce(F.col("schemaURI"), F.lit(""))
     # Stage 1: canonical URI and the parsed payload (parsed once per row).
@@ -181,20 +210,20 @@ def validate_compiled(messages: DataFrame, compiled: dict, assert_email: bool =
     def named(uris: list[str]) -> Column:
         return u.isin(uris) if uris else F.lit(False)
 
-    in_sql = {k: c for k, c in compiled.items() if c.bundle is None and not c.broken}
-    bundles = {k: c.bundle for k, c in compiled.items() if c.bundle is not None}
+    in_sql = {k: c for k, c in compiled.items() if not (c.beyond or c.broken)}
+    beyond = [k for k, c in compiled.items() if c.beyond and not c.unresolved]
     case = F.lit(None).cast("array<string>")
     if in_sql:
         # one CASE over the registry, emitted as SQL text and parsed once
         branches = " ".join(f"WHEN __uri = {sql_str(k)} THEN {c.errors_sql()}" for k, c in in_sql.items())
         case = F.expr(f"CASE {branches} END")
-    if bundles:
-        evaluated = named(list(bundles))
-        case = F.when(evaluated, evaluate_udf(assert_email, bundles)(F.when(evaluated, u), F.col("data"))).otherwise(case)
     known, broken = named(exact), named([k for k, c in compiled.items() if c.broken])
     unresolved = named([k for k, c in compiled.items() if c.unresolved])
     # Stage 2: violated checks of the message's own schema.
-    checked = staged.select(*cols, u, v, F.when(known & ~unresolved & ~broken & v.isNotNull(), case).alias("__errors"))
+    errors = F.when(known & ~unresolved & ~broken & v.isNotNull(), case)
+    checked = staged.where(~named(beyond)).select(*cols, u, v, errors.alias("__errors"))
+    if beyond:
+        checked = checked.union(with_violations(staged.where(named(beyond)), compiled.table, assert_email).select(*checked.columns))
     errors = F.col("__errors")
     status, reason = _status(F.col("__uri"), known, unresolved, v, errors, broken)
     return emit_outcome(checked, cols, status, reason,

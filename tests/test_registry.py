@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ def test_admission(spark):
              ('{"required":"name"}', False), ('{"properties":[]}', False), ('{"items":1}', False),
              ('{"enum":"a"}', False), ("[1]", False), (USER_V1, True)]
     df = spark.createDataFrame(cases, "s string, want boolean")
-    bad = df.where(reg.schema_admissible("s") != F.col("want")).collect()
+    bad = reg.with_admission(df, "s", "ok").where("ok != want").collect()
     assert bad == []
 
 
@@ -109,12 +111,34 @@ def test_register_corpus_all_or_nothing(spark, tmp_path):
 
 
 def test_named_checks(spark):
-    from sluice.functions.checks import check, register_check, registered
-    assert "json_schema" in registered()
+    from sluice.functions.checks import check, install, passes, register_check, registered
+    assert {"json_schema", "email", "version"} <= set(registered())
     df = spark.createDataFrame([('{"type":"string"}',), ("{invalid}",), (None,)], "s string")
-    assert [r[0] for r in df.select(check("json_schema", "s")).collect()] == [True, False, False]
-    register_check("short", lambda c: F.length(c) < 10, replace=True)
-    assert [r[0] for r in df.select(check("short", "s")).collect()] == [False, True, False]
+    assert {r.s: r.ok for r in passes(df, "json_schema", "s", "ok").collect()} == {'{"type":"string"}': True, "{invalid}": False, None: False}
+    register_check("short", "length(x) < 10", replace=True)
+    assert [r.ok for r in passes(df, "short", "s", "ok").collect()] == [False, True, False]
+    register_check("braces", lambda d, c, out: d.withColumn(out, F.col(c).startswith("{")), replace=True)
+    assert [r.ok for r in passes(df, "braces", "s", "ok").collect()] == [True, True, False]
+    with pytest.raises(ValueError):
+        register_check("short", "true")
+    with pytest.raises(ValueError):
+        register_check("x; DROP", "true")
+    assert "check_short" in install(spark)
+    df.createOrReplaceTempView("named_checks_t")
+    got = spark.sql("SELECT count_if(check_short(s)) AS a, count_if(check_json(s)) AS b, count_if(check_required(s)) AS c FROM named_checks_t")
+    assert tuple(got.first()) == (1, 1, 2)
+    plan = df.select(check("short", "s"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_sql_checks_agree_with_the_functions(spark):
+    from sluice.functions.checks import install
+    from sluice.functions.semver import parse_semver
+    install(spark)
+    texts = ["1", "1.2", "1.2.3", "01.0", "1023.1023.1023", "1024", "1.2.3.4", "", "1..2", "-1", "9" * 41, "0" * 41, "a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    rows = df.select("s", F.expr("check_version(s)").alias("sql"), parse_semver("s").isNotNull().alias("fn")).collect()
+    assert [r for r in rows if r["sql"] != r["fn"]] == []
 
 
 def test_last_before_with_timestamp_order(spark):
