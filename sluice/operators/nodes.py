@@ -308,7 +308,8 @@ SELECT DISTINCT substring_index(sid, '#', 1) AS uri FROM up WHERE sid LIKE '%#'"
     listed = followed.groupBy("sid").agg(F.collect_list(F.struct("kw", "name", "child")).alias("edges"))
     branches = F.expr(f"{_get('node', 'if')} IS NOT NULL AND ({_get('node', 'then')} IS NOT NULL OR {_get('node', 'else')} IS NOT NULL)")
     (schemas.join(listed, "sid", "left").select(
-        "sid", "node", keys("properties").alias("names"), keys("patternProperties").alias("patterns"),
+        "sid", "node", F.expr("coalesce(map_keys(try_variant_get(node, '$', 'map<string,variant>')), CAST(array() AS ARRAY<STRING>))").alias("has"),
+        keys("properties").alias("names"), keys("patternProperties").alias("patterns"),
         F.expr(f"coalesce(size({_get('node', 'prefixItems', 'array<variant>')}), 0)").alias("prefix"),
         F.expr(f"transform({_get('node', 'enum', 'array<variant>')}, e -> {canonical('e')})").alias("enum"),
         F.expr(f"CASE WHEN {_get('node', 'const')} IS NOT NULL THEN {canonical(_get('node', 'const'))} END").alias("const"),
@@ -384,7 +385,7 @@ def _own_errors(assert_email: bool) -> str:
         return f"concat('{kw}:', shown)"
 
     def when(kw: str, bad: str, at: str | None = None) -> str:
-        return f"CASE WHEN {bad} THEN {at or label(kw)} END"
+        return f"CASE WHEN array_contains(has, '{kw}') AND {bad} THEN {at or label(kw)} END"
 
     def bound(k: str, test: str) -> str:
         exact, rough = _get("node", k, "decimal(38,18)"), _get("node", k, "double")
@@ -404,9 +405,8 @@ def _own_errors(assert_email: bool) -> str:
     holder = {"L": "str", "I": "arr", "P": "obj"}
     never = "{0} IS NOT NULL AND schema_of_variant({0}) = 'BOOLEAN' AND NOT try_variant_get({0}, '$', 'boolean')".format
     checks = [
-        when("false", never("node")), when("type", f"NOT exists({kinds}, n -> {match})"),
-        when("enum", f"enum IS NOT NULL AND NOT array_contains(enum, {canonical('v')})"),
-        when("const", f"const IS NOT NULL AND const <> {canonical('v')}"),
+        f"CASE WHEN {never('node')} THEN {label('false')} END", when("type", f"NOT exists({kinds}, n -> {match})"),
+        when("enum", f"NOT array_contains(enum, {canonical('v')})"), when("const", f"const <> {canonical('v')}"),
         *[when(k, bound(k, t)) for k, t in zip(NUMBERS, (">=", "<=", ">", "<"))],
         when("multipleOf", f"is_num AND CASE WHEN dec IS NOT NULL AND {exact} > 0 THEN dec % {exact} <> 0 ELSE dbl % {rough} <> 0 END"),
         *[when(k, f"{holder[k[3]]} IS NOT NULL AND NOT {s} {'>=' if k[:3] == 'min' else '<='} {_get('node', k, 'double')}") for k, s in size.items()],
@@ -414,21 +414,21 @@ def _own_errors(assert_email: bool) -> str:
         *([when("format", f"{_get('node', 'format', 'string')} = 'email' AND str IS NOT NULL AND NOT str RLIKE {literal(EMAIL_SHAPE)}")]
           if assert_email else []),
         when("uniqueItems", f"{_get('node', 'uniqueItems', 'boolean')} AND size(array_distinct(transform(arr, u -> {canonical('u')}))) < size(arr)"),
-        when("items", f"{never(_get('node', 'items'))} AND size(arr) > prefix", "concat('items:', shown, '[]')"),
+        when("items", f"size(arr) > prefix AND {never(_get('node', 'items'))}", "concat('items:', shown, '[]')"),
         when("contains", f"{_get('node', 'contains')} IS NOT NULL AND size(arr) = 0 AND coalesce({_get('node', 'minContains', 'double')}, 1.0D) > 0"),
         when("additionalProperties", f"{never(_get('node', 'additionalProperties'))} AND exists(map_keys(obj), "
                                      "x -> NOT array_contains(names, x) AND NOT exists(patterns, q -> x RLIKE q))")]
-    required = (f"transform(filter({_get('node', 'required', 'array<string>')}, r -> NOT map_contains_key(obj, r)), "
-                f"r -> concat('required:', {inside('r')}))")
-    depend = (f"transform(filter(flatten(map_values(map_filter({_get('node', 'dependentRequired', 'map<string,array<string>>')}, "
-              f"(t, n) -> map_contains_key(obj, t)))), r -> NOT map_contains_key(obj, r)), r -> concat('dependentRequired:', {inside('r')}))")
+    required = (f"CASE WHEN array_contains(has, 'required') THEN transform(filter({_get('node', 'required', 'array<string>')}, r -> NOT map_contains_key(obj, r)), "
+                f"r -> concat('required:', {inside('r')})) END")
+    depend = (f"CASE WHEN array_contains(has, 'dependentRequired') THEN transform(filter(flatten(map_values(map_filter({_get('node', 'dependentRequired', 'map<string,array<string>>')}, "
+              f"(t, n) -> map_contains_key(obj, t)))), r -> NOT map_contains_key(obj, r)), r -> concat('dependentRequired:', {inside('r')})) END")
     empty = "CAST(array() AS ARRAY<STRING>)"
     return f"concat(array_compact(array({', '.join(checks)})), coalesce({required}, {empty}), coalesce({depend}, {empty}))"
 
 
 def _tested(pairs: DataFrame, nodes: DataFrame, assert_email: bool) -> DataFrame:
     """``(k, scope, depth, judge, errors)``: every pair with the labels of its own keywords."""
-    typed = pairs.join(nodes.select("sid", "node", "names", "patterns", "prefix", "enum", "const"), "sid").select(
+    typed = pairs.join(nodes.select("sid", "node", "has", "names", "patterns", "prefix", "enum", "const"), "sid").select(
         "*", F.expr("CASE WHEN label = '' THEN '$' ELSE label END AS shown"),
         F.expr("try_variant_get(v, '$', 'map<string,variant>') AS obj"), F.expr("try_variant_get(v, '$', 'array<variant>') AS arr"))
     typed = typed.withColumn("kind", F.expr("CASE WHEN obj IS NOT NULL THEN 'OBJECT' WHEN arr IS NOT NULL THEN 'ARRAY' ELSE schema_of_variant(v) END"))
