@@ -36,8 +36,6 @@ HASHES = 3
 #: Signature bits for every key the size class may have, and bits of a block.
 BITS_PER_KEY = 8
 BLOCK_BITS = 1 << 19
-#: Terms whose document counts a task holds before it passes them on.
-HELD_TERMS = 200_000
 #: Text of the items that are searched for at once, in bytes.
 QUERY_BYTES = 1 << 20
 #: Documents to score exactly, and their links to items, that are broadcast.
@@ -49,9 +47,8 @@ _TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or c in _KEEP else 3
 
 _INDEX = pa.schema([
     ("bits", pa.int64()), ("doc", pa.list_(pa.int64())), ("same", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())),
-    ("top", pa.list_(pa.int64())), ("slices", pa.binary()), ("terms", pa.int64()), ("term", pa.binary()), ("df", pa.int64())])
-INDEX_DDL = ("bits long, doc array<long>, same array<long>, n array<long>, top array<long>, slices binary, "
-             "terms long, term binary, df long")
+    ("top", pa.list_(pa.int64())), ("slices", pa.binary()), ("terms", pa.int64())])
+INDEX_DDL = "bits long, doc array<long>, same array<long>, n array<long>, top array<long>, slices binary, terms long"
 
 
 def terms_of(data: bytes) -> list[bytes]:
@@ -77,16 +74,10 @@ def _block(bits: int, rows: list[tuple]) -> pa.RecordBatch:
     one = lambda x: pa.array([list(x)], pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays(
         [pa.array([bits], pa.int64()), one(ids), one(same), one(n), one(top), pa.array([np.packbits(grid, axis=1).tobytes()], pa.binary()),
-         pa.array([sum(n)], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], schema=_INDEX)
-
-
-def _counted(df: Counter) -> pa.RecordBatch:
-    n, none = len(df), [pa.nulls(len(df), f.type) for f in _INDEX][:-2]
-    return pa.RecordBatch.from_arrays([*none, pa.array(list(df.keys()), pa.binary()), pa.array(list(df.values()), pa.int64())], schema=_INDEX)
+         pa.array([sum(n)], pa.int64())], schema=_INDEX)
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    df: Counter = Counter()
     open_blocks: dict[int, list] = {}
     for batch in slices(batches):
         ids, same = batch.column("doc_id").to_pylist(), batch.column("same").to_pylist()
@@ -94,7 +85,6 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c = Counter(terms_of(text.as_buffer().to_pybytes()))
             if not c:
                 continue
-            df.update(c.keys())
             counts = np.fromiter(c.values(), np.int64, len(c))
             keys = keys_of(np.fromiter(map(xxhash.xxh3_64_intdigest, c), np.uint64, len(c)), counts)
             bits = BITS_PER_KEY << max(4, (len(keys) - 1).bit_length())
@@ -102,24 +92,31 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((ids[i], same[i], int(counts.sum()), int(counts.max()), keys))
             if len(rows) >= max(8, BLOCK_BITS // bits):
                 yield _block(bits, open_blocks.pop(bits))
-        if len(df) > HELD_TERMS:
-            yield _counted(df)
-            df = Counter()
     for bits, rows in open_blocks.items():
         yield _block(bits, rows)
-    if df:
-        yield _counted(df)
+
+
+def _counts(asked: frozenset[bytes]):
+    """Documents of a task that hold each of the terms asked for."""
+    schema = pa.schema([("term", pa.binary()), ("df", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df: Counter = Counter()
+        for batch in slices(batches):
+            for text in batch.column("text"):
+                df.update(asked.intersection(terms_of(text.as_buffer().to_pybytes())))
+        yield pa.RecordBatch.from_arrays([pa.array(list(df.keys()), pa.binary()), pa.array(list(df.values()), pa.int64())], schema=schema)
+    return run
 
 
 def build(docs: DataFrame) -> DataFrame:
     """The index of ``docs`` (doc_id, text), written to the shared folder.
 
-    Rows with ``slices`` are blocks, rows with ``term`` count documents of one
-    task.  Documents without terms have no entry.
+    One row per block of documents; documents without terms are in none.
     """
     spark, folder = docs.sparkSession, new_run_dir(docs.sparkSession, "lexical-index")
     rows = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("same"))
-    small_batches(rows).mapInArrow(_index, INDEX_DDL).write.parquet(folder)
+    small_batches(rows).mapInArrow(_index, INDEX_DDL).write.option("parquet.block.size", 16 << 20).parquet(folder)
     return spark.read.schema(INDEX_DDL).parquet(folder)
 
 
@@ -167,7 +164,7 @@ class Query:
             has = np.unpackbits(held[alive], axis=1, count=docs)
             used = alive[term]
             at_item, at_term, at_share = item[used], number[term[used]], share[used]
-            step = max(1, (1 << 22) // docs)
+            step = max(1, (1 << 20) // docs)
             for lo in range(0, len(at_item), step):
                 part = at_item[lo:lo + step]
                 starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
@@ -278,7 +275,7 @@ def search(index: DataFrame, docs: DataFrame, items: DataFrame, k: int = 20) ->
     spark = docs.sparkSession
     texts = items.select("item_id", "text").where("text IS NOT NULL").distinct()
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_docs, n_terms = index.where("slices IS NOT NULL").agg(F.sum(F.size("n")), F.sum("terms")).first()
+    n_docs, n_terms = index.agg(F.sum(F.size("n")), F.sum("terms")).first()
     out = spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     if not n_docs or not size:
         return out
@@ -286,12 +283,13 @@ def search(index: DataFrame, docs: DataFrame, items: DataFrame, k: int = 20) ->
     for b in range(blocks):
         part = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         rows = [(r.item_id, r.text.encode()) for r in part.collect()]  # about QUERY_BYTES
-        asked = spark.createDataFrame([(bytearray(t),) for t in sorted({t for _, x in rows for t in terms_of(x)})], "term binary")
-        counts = index.where("term IS NOT NULL").join(F.broadcast(asked), "term").groupBy("term").agg(F.sum("df").alias("df"))
-        query = Query(rows, {bytes(r.term): r.df for r in counts.collect()}, n_docs, n_terms)
+        asked = frozenset(t for _, x in rows for t in terms_of(x))
+        counts = (small_batches(docs.where("text IS NOT NULL").select("text")).mapInArrow(_counts(asked), "term binary, df long")
+                  .groupBy("term").agg(F.sum("df").alias("df")))
+        query = Query(rows, {bytes(r.term): r.df for r in counts.collect()}, n_docs, n_terms)  # terms of the items
         if not query.terms:
             continue
-        signatures = small_batches(index.where("slices IS NOT NULL").select("bits", "doc", "same", "n", "top", "slices"))
+        signatures = small_batches(index.select("bits", "doc", "same", "n", "top", "slices"))
         best = signatures.mapInArrow(_best_bounds(query, k), FOUND_DDL)
         order = Window.partitionBy("item").orderBy(F.desc("bound"), "doc_id")
         best = best.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
