@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from importlib import resources
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.routes import (DEFAULT_REGISTRY_BASE, URI_SEGMENT, URI_TAIL, normalise_uri,
@@ -22,7 +22,7 @@ from ..functions.routes import (DEFAULT_REGISTRY_BASE, URI_SEGMENT, URI_TAIL, no
 from ..functions.semver import DEFAULT_KEY_PREFIX, parse_semver, registry_key, semver_text
 from ..session import fs_exists
 from .nodes import with_admission
-from .sequence import last_before
+from .sequence import last_before, numbered
 
 def corpus_dir() -> str:
     """Folder of the bundled schema documents."""
@@ -90,12 +90,10 @@ def canonical_uri(name: Column, version: Column, base: str | Column = DEFAULT_RE
 def corpus_to_log(corpus: DataFrame) -> DataFrame:
     """Bulk registration (SNK-5) as a change log of ``set`` ops, in path order.
 
-    Each op carries the base of the document's own ``$id``.  The window ranks
-    the documents of one bulk load, not messages."""
-    return corpus.select(
-        (F.row_number().over(Window.orderBy("path", "schema")) - 1).cast("bigint").alias("seq"),
-        F.lit("set").alias("op"), "name", "version", "schema",
-        F.regexp_replace("schemaURI", URI_TAIL, "").alias("base"))
+    Each op carries the base of the document's own ``$id``.  Documents are numbered
+    within range partitions, so no task sorts the corpus."""
+    docs = corpus.select("path", "name", "version", "schema", F.regexp_replace("schemaURI", URI_TAIL, "").alias("base"))
+    return numbered(docs, ["path", "schema"], "seq").select("seq", F.lit("set").alias("op"), "name", "version", "schema", "base")
 
 
 def fold_log(log: DataFrame, prefix: str = DEFAULT_KEY_PREFIX,

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import new_run_dir
+
 
 def last_before(df: DataFrame, keys: list[str], order: str, value: Column | str,
                 out: str, bucket_width: int = 1 << 16, levels: int = 1) -> DataFrame:
@@ -65,3 +67,23 @@ def last_before(df: DataFrame, keys: list[str], order: str, value: Column | str,
     return (d.join(summary, on=cond, how="left")
             .withColumn(out, F.coalesce(F.col("__prev_in"), F.col("__carry")))
             .drop(b, v, "__prev_in", "__carry", "__s_b", *[f"__s_{k}" for k in keys]))
+
+
+def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``df`` with ``out``, the 0-based place of each row in the order of ``order``.
+
+    Rows are sorted within range partitions and written once with their place in
+    the partition; one count per partition, a few rows however many there are,
+    turns that into the place in the whole order.  No task sees more than its
+    range, unlike a window without keys.
+    """
+    spark, folder = df.sparkSession, new_run_dir(df.sparkSession, "numbered")
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+       .withColumn(out, F.monotonically_increasing_id()).write.parquet(folder))
+    rows = spark.read.parquet(folder)
+    part, within = F.shiftright(out, 33), F.col(out).bitwiseAND(F.lit((1 << 33) - 1))
+    counts = rows.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    # as many rows as there are range partitions
+    return (rows.withColumn("__part", part).join(F.broadcast(before), "__part")
+            .withColumn(out, within + F.col("__before")).drop("__part", "__before"))

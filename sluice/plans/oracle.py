@@ -630,3 +630,31 @@ SELECT batch_id, n, n - unpersisted_count AS persisted_count, unpersisted_count,
 UNION ALL SELECT -1, count(*), 0, count(*), 'pending' FROM events WHERE event_id % 11 = 0"""
 
 ORACLE["q40_registry_log"] = ORACLE["q04_registry_fold"]
+
+
+ORACLE["q41_stream_unique"] = f"""
+SELECT id, seq, origin, schemaURI, {_ts('ts')} AS "timestamp", data FROM ({BUFFER_ENTRIES})"""
+
+ORACLE["q42_redelivery"] = ORACLE["q28_stream_persist_replay"]
+
+ORACLE["q43_registry_stream"] = ORACLE["q05_registry_requests"]
+
+ORACLE["q44_external_store"] = f"""
+SELECT id, CASE WHEN seq % 11 = 0 THEN -1 ELSE seq % 2 END AS batch,
+  CASE WHEN seq % 11 = 0 THEN 'unprocessed' ELSE 'stored' END AS state FROM ({BUFFER_ENTRIES})"""
+
+ORACLE["q45_sql_checks"] = r"""
+WITH t AS (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN c_custkey || '@example.com' WHEN 1 THEN (c_custkey % 1100) || '.2.3'
+  WHEN 2 THEN 'http://h/schemas/user/' || c_custkey WHEN 3 THEN '{"n":' || c_custkey || '}' WHEN 4 THEN ''
+  WHEN 5 THEN '^[a-z]{' || (c_custkey % 9) || ',5}$' END AS x FROM customer)
+SELECT c_custkey, coalesce(x, '') AS x, (c_custkey % 7 = 0)::INTEGER AS email,
+  (c_custkey % 7 = 1 AND c_custkey % 1100 <= 1023)::INTEGER AS version, (c_custkey % 7 = 2)::INTEGER AS schema_uri,
+  (c_custkey % 7 = 3)::INTEGER AS json, (x IS NOT NULL AND x <> '')::INTEGER AS required,
+  (x IS NOT NULL AND (c_custkey % 7 IN (0, 1, 2, 4) OR c_custkey % 7 = 5 AND c_custkey % 9 <= 5))::INTEGER AS pattern FROM t"""
+
+ORACLE["q46_partition_outcomes"] = f"""
+SELECT 'order-topic' AS topic, ("offset" % 10)::INTEGER AS partition, status, count(*) AS n
+FROM ({validated_orders_sql()}) GROUP BY ALL"""
+
+ORACLE["q47_cursor_read"] = f"""
+SELECT id, seq, (row_number() OVER (ORDER BY seq, id) - 1) // 1500 AS batch_id FROM ({BUFFER_ENTRIES})"""

@@ -573,29 +573,26 @@ def q32_ingest_to_target(spark, sf_dir):
     return flow.target_frame().select(*per.ITEM_COLUMNS)
 
 
-def _flaky_store():
-    """Deterministic stand-in for an external key/value store: ids with
-    ``seq % 5 = 0`` are left unprocessed on their first put, ids with
-    ``seq % 11 = 0`` are never accepted."""
-    seen: set = set()
-
-    def write_chunk(items):
-        left = []
-        for r in items:
-            s = int(r["seq"])
-            if s % 11 == 0 or (s % 5 == 0 and r["id"] not in seen):
-                left.append(r["id"])
-            seen.add(r["id"])
-        return left
-    return write_chunk
+def _store(spark, path: str):
+    """``write(items, batch)`` of an external item store kept in ``path``: ids with
+    ``seq % 5 = 0`` are refused on their first put, ids with ``seq % 11 = 0`` for good.
+    What it answers depends on the put alone, so any task may retry any item."""
+    from ..sources.store import put_batch, register_store
+
+    def put(items, attempt):
+        return [i["id"] for i in items if i["seq"] % 11 == 0 or i["seq"] % 5 == 0 and attempt == 1]
+
+    name = register_store(spark, put, "query_store")
+    return lambda items, batch: put_batch(items, path, batch, name, chunkSize=25, attempts=3, baseBackoff=0.0)
 
 
 def q33_external_write_outcome(spark, sf_dir):
     """Items written in chunks of 25 with retries; per-batch outcome of what
     the store still left unprocessed (batches of 1000 entries)."""
+    from ..session import new_run_dir
     configure(spark)
     items = env.item(td.buffer_entries(spark, sf_dir), keep=["seq"])
-    failed = per.write_external(items, _flaky_store(), chunk_size=25, attempts=3, base_backoff=0.0)
+    failed = _store(spark, new_run_dir(spark, "store"))(items, 0)
     batch = items.select((F.col("seq") / 1000).cast("bigint").alias("batch_id"), "id")
     f = failed.join(batch, "id")
     return per.batch_outcome(batch, f)
@@ -748,8 +745,8 @@ def q39_external_flow(spark, sf_dir):
     from ..session import new_run_dir
     from ..streaming.persist import PersistFlow
     configure(spark)
-    flow = PersistFlow(spark, os.path.join(new_run_dir(spark, "external"), "state"), writer=_flaky_store(),
-                       chunk_size=25, attempts=3, base_backoff=0.0)
+    run = new_run_dir(spark, "external")
+    flow = PersistFlow(spark, os.path.join(run, "state"), write=_store(spark, os.path.join(run, "store")))
     entries = td.buffer_entries(spark, sf_dir)
     for i in range(3):
         flow.run_batch(entries.where(F.col("seq") % 3 == i), i)
@@ -775,3 +772,7 @@ def q40_registry_log(spark, sf_dir):
 
 QUERIES["q39_external_flow"] = q39_external_flow
 QUERIES["q40_registry_log"] = q40_registry_log
+
+from .streamed import STREAMED  # noqa: E402 - its queries use the helpers above
+
+QUERIES.update(STREAMED)

@@ -27,6 +27,7 @@ from ..operators import envelope as env
 from ..operators import validate as val
 from ..operators.rules import rules_by_uri, validate_rules
 from ..session import fs_exists
+from .progress import PartitionLog, watched
 
 
 class RegistryCache:
@@ -62,7 +63,8 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.json(os.path.join(checkpoint, "metadata")).first()["id"]
 
 
-def ingest_batch(records: DataFrame, batch_id: int, registry: RegistryCache, out: str) -> None:
+def ingest_batch(records: DataFrame, batch_id: int, registry: RegistryCache, out: str,
+                 partitions: PartitionLog | None = None) -> None:
     """Validate one micro-batch of Kafka records and write it under ``out``
     (``out`` already names the run: ``<root>/run=<stream id>``).
 
@@ -76,13 +78,18 @@ def ingest_batch(records: DataFrame, batch_id: int, registry: RegistryCache, out
     entries = buf.assign_ids(checked).select(
         "id", "seq", "origin", "partition", "offset", "schemaURI", "timestamp", "data",
         "status", "reason", "errors")
-    (entries.write.mode("overwrite").partitionBy("status")
-     .parquet(folder))
+    if partitions is not None:
+        entries, seen = watched(entries)
+    entries.write.mode("overwrite").partitionBy("status").parquet(folder)
+    if partitions is not None:
+        partitions.add(batch_id, seen)
 
 
 def start_ingest(records: DataFrame, registry_loader: Callable[[], DataFrame], out: str,
-                 checkpoint: str, trigger: dict | None = None, design: str = "auto"):
-    """Start the ingest stream; ``trigger`` defaults to a 1 s processing interval."""
+                 checkpoint: str, trigger: dict | None = None, design: str = "auto",
+                 partitions: PartitionLog | None = None):
+    """Start the ingest stream; ``trigger`` defaults to a 1 s processing interval.
+    ``partitions`` receives the counts of every topic partition."""
     cache = RegistryCache(registry_loader, design)
     run: dict = {}
 
@@ -92,7 +99,7 @@ def start_ingest(records: DataFrame, registry_loader: Callable[[], DataFrame], o
         # starts a new run instead of overwriting earlier batches.
         if "dir" not in run:
             run["dir"] = os.path.join(out, f"run={_run_id(df.sparkSession, checkpoint)}")
-        ingest_batch(df, bid, cache, run["dir"])
+        ingest_batch(df, bid, cache, run["dir"], partitions)
 
     w = (records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
     w = w.trigger(**(trigger or {"processingTime": "1 second"}))

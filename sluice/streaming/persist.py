@@ -61,17 +61,21 @@ class PersistFlow:
 
     def __init__(self, spark: SparkSession, root: str, read_count: int | None = None,
                  fail: Callable[[DataFrame], DataFrame] | None = None,
-                 writer: Callable[[list[dict]], list[str]] | None = None, **writer_options):
-        """``writer(items) -> unprocessed ids`` puts a chunk into an external store
-        (chunks, retries and back-off: ``persist.chunked_writer``, which takes
-        ``writer_options``); the items then live there instead of in
-        ``target/``.  ``fail(items) -> failed ids`` injects write failures
+                 writer: Callable[[list[dict]], list[str]] | None = None,
+                 write: Callable[[DataFrame, int], DataFrame] | None = None, **writer_options):
+        """``write(items, batch id) -> frame of unprocessed ids`` puts a batch into an
+        external store (``sources.store.put_batch``: a batch counts once), and
+        ``writer(items) -> unprocessed ids`` a chunk (chunks, retries and back-off:
+        ``persist.chunked_writer``, which takes ``writer_options``); the items then
+        live there instead of in ``target/``.  ``fail(items) -> failed ids`` injects write failures
         (tests, chaos runs)."""
         self.spark = spark
         self.root = root
         self.read_count = read_count
         self.fail = fail
         self.writer, self.writer_options = writer, writer_options
+        self.write = write
+        self.external = writer is not None or write is not None
         self.target = os.path.join(root, "target")
         self.pending = os.path.join(root, "pending")
         self.outcomes = os.path.join(root, "outcomes")
@@ -115,7 +119,7 @@ class PersistFlow:
         if group.isEmpty():
             return
         items = env.item(group, keep=["seq"])
-        if self.fail is None and self.writer is None:
+        if self.fail is None and not self.external:
             failed = group.limit(0).select("id")
         else:
             # The store's answer is taken once and recorded (writes have side
@@ -124,15 +128,15 @@ class PersistFlow:
             # carries on (failure isolation).
             fpath = os.path.join(self.root, "failed", f"batch={batch_id}")
             try:
-                left = self.fail(group) if self.fail is not None else per.write_external(
-                    items, self.writer, **self.writer_options)
+                left = (self.fail(group) if self.fail is not None else self.write(items, batch_id) if self.write is not None
+                        else per.write_external(items, self.writer, **self.writer_options))
                 left.select("id").write.mode("overwrite").parquet(fpath)
             except Exception as exc:  # noqa: BLE001 - any store failure fails the batch, not the stream
                 log.warning("persist batch %s: store write failed, nothing persisted: %s", batch_id, exc)
                 group.select("id").write.mode("overwrite").parquet(fpath)
             failed = self.spark.read.parquet(fpath)
         persisted, unpersisted = per.split_by_failures(group, failed)
-        if self.writer is None and not persisted.isEmpty():
+        if not self.external and not persisted.isEmpty():
             per.append_items(items.join(persisted.select("id"), "id", "left_semi"), self.target, batch_id)
         next_pending = unpersisted.withColumn("attempts", F.col("attempts") + 1)
         if self.read_count is not None:
