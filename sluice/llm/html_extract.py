@@ -55,6 +55,10 @@ _WORDS = frozenset("ad ads adbox adslot advert advertisement advertising adverts
                    "sponsors subscribe subscription toolbar tooltip trending warning".split())
 _TOP = frozenset("header masthead topbar widget widgets".split())
 _BODY = frozenset("article articlebody articlecontent content entry main post postcontent story storybody text".split())
+#: Parts of names that add nothing to a word of ``_WORDS``.
+_FILLER = frozenset("area bar block bottom box button buttons count container cta footer form group head header icon "
+                    "icons inner item items left link links list module outer panel post posts right row section "
+                    "side stories story title tools top user widget wrap wrapper".split())
 #: Names that say what an element has or lacks, not what it is.
 _STATE = re.compile(r"(?<![a-z0-9])(?:has|no|not|non|with|without|hide)[-_][a-z0-9_-]+")
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
@@ -72,6 +76,13 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *(n.replace("/", "-").replace(".", "-") for n in named if n)])
 
 
+def _furniture_in_article(named: list[str]) -> bool:
+    """Inside an article a name makes furniture only if all of it does:
+    ``share-buttons``, and not ``share-price-table``."""
+    parts = [set(filter(None, re.split("[^a-z0-9]+", token))) for n in named for token in _STATE.sub(" ", n).split()]
+    return any(p & _WORDS and p <= _WORDS | _FILLER for p in parts)
+
+
 @lru_cache(maxsize=100_000)
 def _kind(path: str) -> tuple[bool, str]:
     """Whether the path lies in page furniture, and its innermost text body
@@ -88,7 +99,7 @@ def _kind(path: str) -> tuple[bool, str]:
                 1 if words & _BODY and tag not in ("html", "body") else 0)
         # Names do not make furniture of a page, of its text body, of headings and paragraphs.
         is_body = tag in ("html", "body", "main") or tag == "article" and rank < 3 or "articlebody" in words
-        if not is_body and tag not in _PROSE and (words & _WORDS or words & _TOP and not in_article):
+        if not is_body and tag not in _PROSE and (_furniture_in_article(named) if in_article else words & (_WORDS | _TOP)):
             return True, ""
         if mine > rank:
             body, rank = "/".join(at), mine
@@ -96,10 +107,12 @@ def _kind(path: str) -> tuple[bool, str]:
 
 
 def stream(page: str) -> Iterator[tuple[str, str, str]]:
-    """``(token, path, text)``: an element's start or end (path ""), or a text."""
+    """``(token, path, text)``: an element's start or end (path ""), or a text.
+
+    White space between inline elements goes to the text that follows in the block."""
     stack: list[tuple[str, str]] = []
     paths = [""]
-    at, size = 0, len(page)
+    at, size, gap = 0, len(page), False
 
     def pop_to(i: int) -> None:
         del stack[i:]
@@ -108,14 +121,21 @@ def stream(page: str) -> Iterator[tuple[str, str, str]]:
     while at < size:
         m = _MARKUP.search(page, at)
         start = m.start() if m else size
-        if start > at and not (text := page[at:start]).isspace():
-            yield "#", paths[-1], text
+        if start > at:
+            text = page[at:start]
+            if text.isspace():
+                gap = True
+            else:
+                yield "#", paths[-1], " " + text if gap else text
+                gap = False
         if not m:
             return
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if tag not in _INLINE and tag not in _RAW:
+            gap = False
         if m[1]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:

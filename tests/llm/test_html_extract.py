@@ -142,3 +142,20 @@ def test_links_in_sentences_stay(spark):
     for r in run(spark, [(s, "http://a.org", page(s)) for s in range(6)] + [(50 + s, f"http://b{s}.org", page(s)) for s in range(2)]):
         s = r.page_id % 50
         assert r.text == f"T{s}\nsee the report {s} for {prose(30, s)}\n{prose(20, s + 1)} and more {s}"
+
+
+def test_white_space_between_inline_elements():
+    page = "<html><body><article><p><b>Hello</b> <i>world</i> and <a>one</a> <a>two</a> end</p>\n<p> <b>x</b>y</p></article></body></html>"
+    tokens = list(H.stream(page))
+    texts = [" ".join("".join(tokens[i][2] if tokens[i][0] == "#" else " " for i in b).split()) for b in H.blocks(tokens)]
+    assert texts == ["Hello world and one two end", "xy"]
+
+
+def test_names_inside_an_article(spark):
+    """A name drops a part of an article only if all of it names furniture."""
+    page = ("<html><body><article><h1>Head line of this page</h1><p>First paragraph of the text, long enough.</p>"
+            "<div class='share-price-table'><p>Prices rose.</p></div><section class='search-engines'><p>Engines differ.</p></section>"
+            "<div class='share-buttons'>Tweet this</div><div class='comment-list'>Nice post</div><div class='related'>More</div></article></body></html>")
+    df = spark.createDataFrame([(1, "http://h.example/1", page)], "page_id bigint, url string, html string")
+    assert H.extract(df).first().text == (
+        "Head line of this page\nFirst paragraph of the text, long enough.\nPrices rose.\nEngines differ.")
