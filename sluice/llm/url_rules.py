@@ -52,22 +52,24 @@ def tokens(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", least_support: float = 0.002,
-         least_confidence: float = 0.6, longest: int = 3) -> DataFrame:
+         least_confidence: float = 0.6, least_rows: int = 5) -> DataFrame:
     """Rules ``(items, support, confidence)`` that imply a bad URL.
 
     ``labelled`` has a URL and a boolean; rows with a null in either take no
-    part.  A rule is dropped when a kept rule over some of its tokens is at
+    part.  A rule holds for ``least_support`` of the rows and for ``least_rows`` of
+    them, so a small table gives no rules that rest on a row or two.  A rule is dropped when a kept rule over some of its tokens is at
     least as confident.  No labelled rows give no rules.
     """
     rows = cut(labelled.where(F.col(url_col).isNotNull() & F.col(bad_col).isNotNull()).select(
         F.concat(tokens(F.col(url_col)), F.when(F.col(bad_col), F.array(F.lit(BAD)))
                  .otherwise(F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0))
     empty = labelled.sparkSession.createDataFrame([], "items array<string>, support double, confidence double")
-    if rows.isEmpty():
+    n = rows.count()
+    if n < least_rows:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=least_support, minConfidence=least_confidence).fit(rows)
+    support = max(least_support, (least_rows - 0.5) / n)
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=least_confidence).fit(rows)
     rules = (model.associationRules.where(F.size("consequent") == 1).where(F.col("consequent")[0] == BAD)
-             .where(F.size("antecedent") <= longest)
              .select(F.array_sort("antecedent").alias("items"), "support", "confidence"))
     rules = cut(rules)
     # A longer rule must gain on every rule inside it; candidates share a token.

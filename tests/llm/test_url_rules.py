@@ -65,3 +65,30 @@ def test_longest_rule_wins(spark):
     df = spark.createDataFrame([(u,) for u in URLS if u], "u string")
     got = df.select("u", listed(F.lit("a.example.net"), F.lit("/en/b"), RULES).alias("r")).first().r
     assert (got.rule, got.verdict) == ("example.net/en/", "allow")
+
+
+def test_no_rule_rests_on_a_few_rows(spark):
+    rows = [(f"https://w{i}.example.org/a{i}/", i % 3 == 0) for i in range(90)]
+    rows += [("https://four.example.org/x/", True)] * 4
+    assert "label=four" not in {t for r in mine(spark.createDataFrame(rows, "url string, bad boolean")).collect() for t in r["items"]}
+    rows += [("https://four.example.org/x/", True)]
+    assert "label=four" in {t for r in mine(spark.createDataFrame(rows, "url string, bad boolean")).collect() for t in r["items"]}
+
+
+def test_mined_rules_match_a_plain_miner(spark):
+    """Every token set in its rows, on a small table."""
+    from itertools import combinations
+    from sluice.llm.url_rules import tokens
+    rnd = random.Random(4)
+    rows = [(f"https://{rnd.choice('abc')}.example.org/{rnd.choice('xy')}{'' if i % 2 else '/z'}?k={i}", rnd.random() < 0.6) for i in range(120)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    sets = [(frozenset(r.t), r.bad) for r in df.select(tokens(F.col("url")).alias("t"), "bad").collect()]
+    n, count = len(sets), {}
+    for held, bad in sets:
+        for k in range(1, len(held) + 1):
+            for c in combinations(sorted(held), k):
+                a, b = count.get(c, (0, 0))
+                count[c] = (a + 1, b + bad)
+    good = {c: b / a for c, (a, b) in count.items() if b >= 5 and b / n >= 0.002 and b / a >= 0.6}
+    want = {c for c in good if not any(set(d) < set(c) and good[d] >= good[c] for d in good)}
+    assert {tuple(sorted(r["items"])) for r in mine(df).collect()} == want
