@@ -116,36 +116,38 @@ def identifier_words(text: Column) -> Column:
     """Words that hold a digit or ``@``, runs of adjoining ones as one, without
     edge punctuation, with the words around them (digits as 9):
     ``array<struct<start, end, word, two, around>>``."""
-    def last(s: Column, n: int) -> Column:
-        return F.trim(F.regexp_extract(s, rf"((?:\S+\s+){{{n - 1}}}\S+)\s*$", 1))
+    def spaced(s: Column) -> Column:
+        return F.regexp_replace(s, r"\s+", " ")
+
+    def nines(s: Column) -> Column:
+        return F.regexp_replace(F.lower(s), "[0-9]+", "9")
 
     def core(all_: Column, m: Column, i: Column) -> Column:
         left = F.char_length(F.regexp_extract(m["found"], r"^[^\p{L}\p{N}]*", 0))
         word = F.regexp_replace(m["found"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
         last_one = F.get(all_, i - 1)
-        before = F.concat(F.coalesce(F.concat(F.substring(last_one["before"], -80, 80), last_one["found"]), F.lit("")), m["before"])
-        behind = F.concat(F.substring(m["after"], 1, 40), F.substring(F.coalesce(F.get(all_, i + 1)["found"], F.lit("")), 1, 40))
-        tail = F.regexp_replace(F.lower(F.substring(before, -80, 80)), "[0-9]+", "9")
-        nearest, two = last(tail, 1), last(tail, 2)
-        after = F.regexp_replace(F.regexp_extract(F.lower(F.substring(behind, 1, 40)), r"^\s+(\S+)", 1), "[0-9]+", "9")
-        return F.struct((m["start"] + left).alias("start"),
-                        (m["start"] + left + F.char_length(word)).alias("end"), word.alias("word"),
-                        F.when(two != "", F.concat(F.lit("< "), F.regexp_replace(two, r"\s+", " "))).alias("two"),
-                        F.when((nearest != "") & (after != ""), F.concat(nearest, F.lit(" _ "), after)).alias("around"))
+        lead = F.concat(F.substring_index(spaced(last_one["before"]), " ", -3), last_one["found"])
+        before = F.trim(spaced(F.concat(F.coalesce(lead, F.lit("")), m["before"])))
+        behind = F.concat(m["after"], F.coalesce(F.get(all_, i + 1)["found"], F.lit("")))
+        after = nines(F.regexp_extract(behind, r"^\s+(\S+)", 1))
+        return _let(F.struct(before.alias("b"), after.alias("a")), lambda x: F.struct(
+            (m["start"] + left).alias("start"), (m["start"] + left + F.char_length(word)).alias("end"), word.alias("word"),
+            F.when(x["b"].contains(" "), F.concat(F.lit("< "), nines(F.substring_index(x["b"], " ", -2)))).alias("two"),
+            F.when((x["b"] != "") & (x["a"] != ""), F.concat(nines(F.substring_index(x["b"], " ", -1)), F.lit(" _ "), x["a"])).alias("around")))
     words = _let(matches(text, WORDS), lambda found: F.filter(
         F.transform(found, lambda m, i: core(found, m, i)), lambda w: w["word"].rlike("[0-9@]")))
     return F.when(text.rlike("[0-9@]"), words).otherwise(
         F.array().cast("array<struct<start:int,end:int,word:string,two:string,around:string>>"))
 
 
-def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, trust: float = 0.8,
-              accept: float = 0.9) -> DataFrame:
+def bootstrap(found: DataFrame, support: int = 3, trust: float = 0.8, accept: float = 0.9) -> DataFrame:
     """Instances accepted beyond the seeds: ``(word, kind)``.
 
     ``found`` has ``spans`` and ``words`` as made above.  A pattern counts when
     at least ``support`` distinct seeds or accepted instances of the kind stand in
-    it and its confidence reaches ``trust``.  Rounds end early when they accept
-    what the round before did.
+    it and its confidence reaches ``trust``.  Rounds go on until one accepts what
+    the round before did: confidence and scores only grow from round to round, so
+    what is accepted does, and it is bounded by the words there are.
     """
     one = found.select(F.explode("words").alias("w"), "spans").select(
         "w.word", F.explode(F.array_compact(F.array("w.two", "w.around"))).alias("pattern"),
@@ -154,8 +156,8 @@ def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, trust: float
     edges = cut(one.groupBy("pattern", "word").agg(F.min("kind").alias("kind")))
     seeds = cut(edges.where("kind is not null").groupBy("word").agg(F.min("kind").alias("kind")))
     score = first = seeds.select("word", F.col("kind").alias("of"), F.lit(1.0).alias("score"))
-    new, before = None, (0, 0.0)
-    for _ in range(rounds):
+    before = (0, 0.0)
+    while True:
         strong = (edges.select("pattern", "word").join(score, "word").groupBy("pattern", "of")
                   .agg(F.count("*").alias("n"), F.sum("score").alias("s")).where(F.col("n") >= support))
         graph = cut(edges.select("pattern", "word").join(strong, "pattern"))
@@ -166,7 +168,7 @@ def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, trust: float
                   .agg((1 - F.exp(F.sum(F.log(1.0 - F.least("sure", F.lit(1 - 1e-9)))))).alias("score"))
                   .where(F.col("score") >= accept))
         now = new.agg(F.count("*"), F.coalesce(F.round(F.sum("score"), 6), F.lit(0.0))).first()
-        if tuple(now) == before:
+        if now[0] == before[0] and abs(now[1] - before[1]) <= 1e-6 * max(1, now[0]):
             break
         before = tuple(now)
         score = first.unionByName(new)

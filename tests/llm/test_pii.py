@@ -107,3 +107,73 @@ def test_runs_end_where_identifiers_do(spark):
     assert [w.word for w in words] == ["12", "1 743 555 3824", "1.2.3.4", "8080", "a1@b.c", "44 55", "66 77"]
     assert all(text[w.start:w.end] == w.word for w in words)
     assert words[1].two == "< pay 9" and words[6].around == "9, _ end"
+
+
+def plain_bootstrap(docs, support=3, trust=0.8, accept=0.9):
+    """The bootstrap on the driver: docs of (words, spans)."""
+    import math
+    from collections import defaultdict
+    edges, seeds = defaultdict(set), {}
+    for words, spans in docs:
+        for w in words:
+            kind = min((s.kind for s in spans if s.start < w.end and s.end > w.start), default=None)
+            for pattern in filter(None, (w.two, w.around)):
+                edges[pattern].add(w.word)
+                if kind is not None:
+                    seeds[w.word] = min(kind, seeds.get(w.word, kind))
+    new = {}
+    while True:
+        score = defaultdict(float, {(w, k): 1.0 for w, k in seeds.items()})
+        score.update(new)
+        sure = {}
+        for pattern, words in edges.items():
+            for kind in range(4):
+                held = [score[w, kind] for w in words if (w, kind) in score]
+                if len(held) >= support and sum(held) / len(words) >= trust:
+                    sure[pattern, kind] = sum(held) / len(words)
+        logs = defaultdict(float)
+        for (pattern, kind), c in sure.items():
+            for w in edges[pattern] - seeds.keys():
+                logs[w, kind] += math.log(1 - min(c, 1 - 1e-9))
+        now = {k: 1 - math.exp(v) for k, v in logs.items() if 1 - math.exp(v) >= accept}
+        if now.keys() == new.keys() and abs(sum(now.values()) - sum(new.values())) <= 1e-6 * max(1, len(now)):
+            break
+        new = now
+    best = {}
+    for (w, k), s in now.items():
+        best[w] = max(best.get(w, (0, 0)), (s, -k))
+    return {(w, -k) for w, (_, k) in best.items()}
+
+
+def chain(steps):
+    """Identifiers of each step stand with those of the steps before, and only the first with base matches."""
+    rows = [f"please mail to u{i}@mail.example.org now" for i in range(40)] + [f"please mail to id#a{i} now" for i in range(8)]
+    known = [f"id#a{i}" for i in range(8)]
+    for step in "bcdefgh"[:steps]:
+        new = [f"id#{step}0"]
+        rows += [f"our desk{step} has{step} {x} open" for x in known + new]
+        known += new
+    return list(enumerate(rows)), known
+
+
+def test_bootstrap_runs_to_its_fixpoint(spark):
+    rows, known = chain(6)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = df.select(pii.base_spans(F.col("text")).alias("spans"), pii.identifier_words(F.col("text")).alias("words")).where("size(words) > 0")
+    want = plain_bootstrap([(r.words, r.spans) for r in found.collect()])
+    assert {(r.word, r.kind) for r in pii.bootstrap(found).collect()} == want
+    assert set(known) <= {w for w, _ in want}
+
+
+def test_bootstrap_against_the_plain_version_on_the_corpus(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = df.select(pii.base_spans(F.col("text")).alias("spans"), pii.identifier_words(F.col("text")).alias("words")).where("size(words) > 0")
+    docs = [(r.words, r.spans) for r in found.collect()]
+    for how in ({}, {"support": 2, "trust": 0.3, "accept": 0.3}):
+        assert {(r.word, r.kind) for r in pii.bootstrap(found, **how).collect()} == plain_bootstrap(docs, **how)
+
+
+def test_long_words_keep_their_patterns(spark):
+    word = "Geschäftsführerunterlagen" * 12
+    rows = [(i, f"{word} {word} u{i}@mail.example.org {word}") for i in range(20)] + [(100, f"{word}\t{word}\n user#at#home5 {word}")]
+    assert {r.doc_id: r.s for r in run(spark, rows)}[100].startswith("email:")
