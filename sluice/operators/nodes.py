@@ -13,7 +13,8 @@ payload.
 Each pair tests its own keywords.  What a keyword only *judges* (``anyOf``,
 ``oneOf``, ``not``, ``if``, ``contains``, ``propertyNames``) lies in a scope of its
 own; scopes form a tree that grouped aggregates fold from the deepest level: a
-scope is valid if no pair of it and no judgement in it failed.
+scope is valid if no pair of it and no judgement in it failed.  Places and scopes
+are told apart, within one payload, by 64-bit hashes of the way to them.
 
 Numbers compare as DECIMAL(38, 18) where they fit and as doubles beyond.
 """
@@ -357,19 +358,18 @@ def _pairs_sql(hint: str) -> str:
     shown = "CASE WHEN p.label = '' THEN '$' ELSE p.label END"
     judging, same = f"e.kw IN {_in(_JUDGING)}", f"e.kw IN {_in(_SAME_VALUE)}"
     group = "CASE WHEN e.kw IN ('then', 'else') THEN 'if' ELSE e.kw END"
-    place = "p.scope, '>', p.at, '#', p.sid, ' '"
     return f"""
 WITH RECURSIVE pair(k, sid, v, at, label, scope, depth, judge, seen) MAX RECURSION LEVEL {MAX_LEVELS} AS (
-  SELECT k, sid, v, '', '', '', 0, CAST(NULL AS STRUCT<parent: STRING, grp: STRING, kw: STRING, label: STRING, lo: DOUBLE, hi: DOUBLE>),
+  SELECT k, sid, v, 0L, '', 0L, 0, CAST(NULL AS STRUCT<parent: BIGINT, grp: BIGINT, kw: STRING, label: STRING, lo: DOUBLE, hi: DOUBLE>),
     array(sid) FROM {{payloads}}
   UNION ALL
-  SELECT {hint} p.k, e.child, c.v, concat(p.at, c.step),
+  SELECT {hint} p.k, e.child, c.v, CASE WHEN c.step = '' THEN p.at ELSE xxhash64(p.at, c.step) END,
     CASE WHEN e.kw = 'properties' THEN {inside('e.name')} WHEN e.kw IN ('patternProperties', 'additionalProperties') THEN {inside("'*'")}
          WHEN e.kw IN ('items', 'contains') THEN concat({shown}, '[]')
          WHEN e.kw = 'prefixItems' THEN concat({shown}, '[', e.name, ']') ELSE p.label END,
-    CASE WHEN {judging} THEN concat({place}, e.kw, ' ', coalesce(e.name, ''), ' ', c.step) ELSE p.scope END,
+    CASE WHEN {judging} THEN xxhash64(p.scope, p.at, p.sid, e.kw, coalesce(e.name, ''), c.step) ELSE p.scope END,
     p.depth + CASE WHEN {judging} THEN 1 ELSE 0 END,
-    CASE WHEN {judging} THEN named_struct('parent', p.scope, 'grp', concat({place}, {group}), 'kw', e.kw,
+    CASE WHEN {judging} THEN named_struct('parent', p.scope, 'grp', xxhash64(p.scope, p.at, p.sid, {group}), 'kw', e.kw,
          'label', concat({group}, ':', {shown}), 'lo', coalesce({_get('s.node', 'minContains', 'double')}, 1.0D),
          'hi', {_get('s.node', 'maxContains', 'double')}) ELSE p.judge END,
     CASE WHEN {same} THEN array_append(p.seen, e.child) ELSE array(e.child) END

@@ -200,6 +200,20 @@ def batch_outcome(batch: DataFrame, failed_ids: DataFrame,
     return out.withColumn("verdict", verdict)
 
 
+def outcome_ids(batch: DataFrame, failed_ids: DataFrame, digits: int = 1) -> DataFrame:
+    """Persisted and unpersisted ids of every batch as lists (AGG-2).
+
+    One row per ``batch_id``, ``state`` and ``bucket``: the first ``digits`` digits of the
+    id's MD5 deal a batch's ids to 16 ** digits lists of about equal length, so a list
+    stays as short as wanted however large the batch.  Ids are sorted and distinct.
+    """
+    f = failed_ids.select("batch_id", "id").dropDuplicates().withColumn("__failed", F.lit(True))
+    marked = batch.select("batch_id", "id").dropDuplicates().join(f, ["batch_id", "id"], "left")
+    state = F.when(F.col("__failed"), "unpersisted").otherwise("persisted")
+    return (marked.groupBy("batch_id", state.alias("state"), F.substring(F.md5("id"), 1, digits).alias("bucket"))
+            .agg(F.array_sort(F.collect_list("id")).alias("ids")))
+
+
 # -- chunked writes to an external store -------------------------------------
 
 def chunked_writer(write_chunk: Callable[[list[dict]], list[str]], chunk_size: int = 25,

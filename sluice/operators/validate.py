@@ -186,7 +186,7 @@ def with_violations(staged: DataFrame, table: SchemaTable, assert_email: bool) -
 
     Messages meet their labels again by a digest of URI and payload, so equal
     messages share them; only payloads with violations are on that side."""
-    keyed = staged.withColumn("__k", F.sha2(F.concat(F.col("__uri"), F.lit(" "), F.col("data")), 256))
+    keyed = staged.withColumn("__k", F.unhex(F.sha2(F.concat(F.col("__uri"), F.lit(" "), F.col("data")), 256)))
     payloads = keyed.where(F.col(V).isNotNull()).select(
         F.col("__k").alias("k"), F.concat("__uri", F.lit("#")).alias("sid"), F.col(V).alias("v"))
     none = F.when(F.col(V).isNotNull(), F.expr("CAST(array() AS ARRAY<STRING>)"))

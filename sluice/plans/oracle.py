@@ -658,3 +658,24 @@ FROM ({validated_orders_sql()}) GROUP BY ALL"""
 
 ORACLE["q47_cursor_read"] = f"""
 SELECT id, seq, (row_number() OVER (ORDER BY seq, id) - 1) // 1500 AS batch_id FROM ({BUFFER_ENTRIES})"""
+
+ORACLE["q48_tombstones"] = """
+SELECT 'order-topic' AS topic, (o_orderkey % 10)::INTEGER AS partition, o_orderkey AS "offset" FROM orders WHERE o_orderkey % 6 <> 0"""
+
+ORACLE["q49_split_csv"] = """
+WITH t AS (SELECT c_custkey, string_split(c_custkey || ',' || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END
+  || CASE WHEN c_custkey % 5 = 0 THEN ',' ELSE '' END, ',') AS p FROM customer)
+SELECT c_custkey, (i - 1)::INTEGER AS pos, p[i] AS part FROM t, range(1, len(p) + 1) AS r(i)"""
+
+ORACLE["q50_bulk_register"] = """
+SELECT 'schema:' || n || ':1.' || v || '.0' AS key, n AS name, 'https://schemas.example.com/schemas/' || n || '/1.' || v || '.0' AS schemaURI,
+  s_name AS required FROM (SELECT 'supplier' || (s_suppkey % 50) AS n, s_suppkey // 50 AS v, s_name FROM supplier)"""
+
+ORACLE["q51_failure_isolation"] = """
+WITH b AS (SELECT count(*) FILTER (event_id % 3 = 0) AS n0, count(*) FILTER (event_id % 3 = 1) AS n1, count(*) FILTER (event_id % 3 = 2) AS n2 FROM events)
+SELECT 0 AS batch_id, n0 AS n, n0 AS persisted_count, 0 AS unpersisted_count, 'ok' AS verdict FROM b
+UNION ALL SELECT 1, n1, 0, n1, 'failed' FROM b UNION ALL SELECT 2, n1 + n2, n1 + n2, 0, 'ok' FROM b"""
+
+ORACLE["q52_outcome_ids"] = f"""
+SELECT seq // 1000 AS batch_id, CASE WHEN seq % 7 = 0 THEN 'unpersisted' ELSE 'persisted' END AS state, substr(md5(id), 1, 1) AS bucket,
+  string_agg(id, ',' ORDER BY id) AS ids FROM ({BUFFER_ENTRIES}) GROUP BY ALL"""

@@ -148,5 +148,69 @@ def q47_cursor_read(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{run}/out").select("id", "seq", F.col("batch_id").cast("bigint").alias("batch_id"))
 
 
+def q48_tombstones(spark, sf_dir) -> DataFrame:
+    """Order records, every sixth without a value: those that pass on."""
+    from ..operators import envelope as env
+    records = td.order_records(spark, sf_dir).withColumn("value", F.when(F.col("offset") % 6 != 0, F.col("value")))
+    return env.skip_tombstones(records).select("topic", "partition", "offset")
+
+
+def q49_split_csv(spark, sf_dir) -> DataFrame:
+    """Comma-separated lists with empty parts, split: one row per part."""
+    from ..functions.jsontext import split_csv
+    c = td.table(spark, sf_dir, "customer")
+    text = F.concat_ws(",", F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 3 == 0, F.lit("")).otherwise(F.col("c_name")),
+                       F.when(F.col("c_custkey") % 5 == 0, F.lit("")))
+    return c.select("c_custkey", F.posexplode(split_csv(text)).alias("pos", "part"))
+
+
+def q50_bulk_register(spark, sf_dir) -> DataFrame:
+    """A folder of documents, one per supplier, registered into a log of its own, then
+    a folder with a refused document, which registers nothing."""
+    configure(spark)
+    run = new_run_dir(spark, "bulk")
+    s = td.table(spark, sf_dir, "supplier")
+    uri = F.concat(F.lit("https://schemas.example.com/schemas/supplier"), (F.col("s_suppkey") % 50).cast("string"),
+                   F.lit("/1."), F.floor(F.col("s_suppkey") / 50).cast("string"))
+    docs = s.select(uri.alias("$id"), F.lit("object").alias("type"), F.array("s_name").alias("required"))
+    docs.write.option("maxRecordsPerFile", 1).json(f"{run}/good")
+    docs.limit(1).withColumn("type", F.lit("objekt")).write.json(f"{run}/bad")
+    state = reg.register_corpus(spark, f"{run}/good", log=f"{run}/log")
+    try:
+        reg.register_corpus(spark, f"{run}/bad", log=f"{run}/log")
+    except reg.RegistrationError:
+        state = reg.fold_log(reg.read_log(spark, f"{run}/log"))
+    return state.select("key", "name", "schemaURI", F.get_json_object("schema", "$.required[0]").alias("required"))
+
+
+def q51_failure_isolation(spark, sf_dir) -> DataFrame:
+    """Three batches through the persist flow; the store is down for the second:
+    it fails whole, the others go on, and its entries come with the third."""
+    from ..streaming.persist import PersistFlow
+    configure(spark)
+    calls = []
+
+    def store(group):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("store down")
+        return group.limit(0)
+
+    flow = PersistFlow(spark, f"{new_run_dir(spark, 'isolation')}/state", fail=store)
+    entries = td.buffer_entries(spark, sf_dir)
+    for i in range(3):
+        flow.run_batch(entries.where(F.col("seq") % 3 == i), i)
+    return flow.outcome_frame().select("batch_id", "n", "persisted_count", "unpersisted_count", "verdict")
+
+
+def q52_outcome_ids(spark, sf_dir) -> DataFrame:
+    """Persisted and unpersisted ids of batches of 1,000 events, in 16 lists each."""
+    from ..operators import persist as per
+    b = td.buffer_entries(spark, sf_dir).select((F.col("seq") / 1000).cast("bigint").alias("batch_id"), "id", "seq")
+    out = per.outcome_ids(b, b.where("seq % 7 = 0"))
+    return out.select("batch_id", "state", "bucket", F.array_join("ids", ",").alias("ids"))
+
+
 STREAMED = {f.__name__: f for f in (q41_stream_unique, q42_redelivery, q43_registry_stream, q44_external_store,
-                                    q45_sql_checks, q46_partition_outcomes, q47_cursor_read)}
+                                    q45_sql_checks, q46_partition_outcomes, q47_cursor_read, q48_tombstones,
+                                    q49_split_csv, q50_bulk_register, q51_failure_isolation, q52_outcome_ids)}
