@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.sequence import numbered
 from sluice.session import new_run_dir
 
 ARITY = 16
@@ -39,25 +40,6 @@ def row_digest(columns: dict[str, Column]) -> Column:
     return digest(F.concat(*[part(c) for c in columns.values()]))
 
 
-def ranked(df: DataFrame, order: list[str]) -> DataFrame:
-    """``df`` with ``rank``, the 0-based place of the row in the whole order.
-
-    Rows are sorted within range partitions and written once, numbered; only
-    one row per partition is summed up to turn the numbers into places.
-    """
-    spark, folder = df.sparkSession, new_run_dir(df.sparkSession, "ranked")
-    (df.repartitionByRange(*order).sortWithinPartitions(*order)
-       .withColumn("rank", F.monotonically_increasing_id()).write.parquet(folder))
-    rows = spark.read.parquet(folder)
-    part = F.shiftright("rank", 33)
-    counts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    within = F.col("rank").bitwiseAND(F.lit((1 << 33) - 1))
-    # as many rows as there are range partitions
-    return (rows.withColumn("part", part).join(F.broadcast(before), "part")
-            .withColumn("rank", within + F.col("before")).drop("part", "before"))
-
-
 def kept(df: DataFrame, place: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     df.write.parquet(place)
@@ -144,10 +126,10 @@ def manifest(docs: DataFrame, tampered: Column, changed: dict[str, Column]) -> D
     folder = new_run_dir(docs.sparkSession, "merkle-leaves")
     leaves = kept(docs.select("doc_id", "source", row_digest(own).alias("leaf"),
                               F.when(tampered, row_digest({**own, **changed})).alias("other")), f"{folder}/leaves")
-    leaves = ranked(leaves.withColumn("row", F.monotonically_increasing_id()), ["source", "doc_id", "leaf", "row"])
+    leaves = numbered(leaves.withColumn("row", F.monotonically_increasing_id()), ["source", "doc_id", "leaf", "row"], "rank")
 
     per_source = leaves.groupBy("source").agg(F.min("rank").alias("first"), F.count("*").alias("size"))
-    sources = ranked(per_source, ["first"]).withColumnRenamed("rank", "tree").withColumnRenamed("source", "name")
+    sources = numbered(per_source, ["first"], "tree").withColumnRenamed("source", "name")
     requests = kept(leaves.join(sources, F.col("source").eqNullSafe(F.col("name"))).select(
         "doc_id", "leaf", "other", "tree", (F.col("rank") - F.col("first")).alias("pos"), "size"), f"{folder}/requests")
 
