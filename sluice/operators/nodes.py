@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import new_run_dir
+from ..session import configure, new_run_dir
 from ..functions.routes import normalise_uri
 
 # Keywords of draft 2020-12 by what they hold.
@@ -117,7 +117,7 @@ def walk(docs: DataFrame) -> DataFrame:
     hangs below the schema around it.
     """
     all_of = SUBSCHEMA + SUBSCHEMA_LISTS + SUBSCHEMA_MAPS
-    return docs.sparkSession.sql(f"""
+    return configure(docs.sparkSession).sql(f"""
 WITH RECURSIVE walk(doc, at, role, owner, kw, name, node) MAX RECURSION LEVEL {MAX_LEVELS} AS (
   SELECT doc, at, 'schema', CAST(NULL AS STRING), CAST(NULL AS STRING), CAST(NULL AS STRING), node FROM {{docs}}
   UNION ALL
@@ -265,7 +265,7 @@ def schema_table(folder: str, good: DataFrame) -> SchemaTable:
     of a document: positions that hold no schema by their keyword are walked as one
     when they are referred to.
     """
-    spark = good.sparkSession
+    spark = configure(good.sparkSession)
     step = 0
     while True:
         found = spark.read.parquet(f"{folder}/walk").join(good.select("doc"), "doc", "left_semi")
@@ -454,7 +454,7 @@ def violations(payloads: DataFrame, table: SchemaTable, assert_email: bool = Fal
     Payloads of equal ``k`` must be equal.  Labels are sorted and distinct.  The pairs
     are worked out when this is called, as the fold needs the depth of the scopes.
     """
-    spark = payloads.sparkSession
+    spark = configure(payloads.sparkSession)
     nodes = F.broadcast(table.nodes) if table.small else table.nodes
     pairs = spark.sql(_pairs_sql("/*+ BROADCAST(s) */" if table.small else ""), payloads=payloads, nodes=table.nodes)
     folder = new_run_dir(spark, "pairs")

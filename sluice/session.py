@@ -18,6 +18,9 @@ REQUIRED_CONF = {
     # Duplicate JSON keys: the last one wins (as encoding/json decoders do),
     # instead of the whole document failing to parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Recursive queries over documents and payloads have as many rows as these
+    # have nodes: no bound on their number (the depth is bounded).
+    "spark.sql.cteRecursionRowLimit": "-1",
 }
 
 # Settings that only tune execution; applied when unset.

@@ -206,3 +206,13 @@ def test_reference_chain_of_200_to_nothing(spark):
     _, flags, folder = val.walked_documents(spark.createDataFrame(docs, "schemaURI string, schema string"))
     table = nodes.schema_table(folder, flags)
     assert {r.uri for r in table.unresolved.collect()} == {f"{BASE}/r{i}/1.0.0" for i in range(200)}
+
+
+def test_more_nodes_than_the_default_bound_of_recursive_queries(spark):
+    """A million pairs and more, in one payload table."""
+    reg = spark.createDataFrame([(f"{BASE}/tree/1.0.0", json.dumps(TREE))], "schemaURI string, schema string")
+    text = '{"v":1,"kids":[' + ",".join(['{"v":0}'] * 400 + ['{"v":"x"}']) + "]}"
+    rows = spark.range(700).select(F.col("id").cast("string").alias("k"), F.lit("t").alias("origin"), F.lit(f"{BASE}/tree/1").alias("schemaURI"),
+                                   F.current_timestamp().alias("timestamp"), F.concat(F.lit(text[:-1] + ',"n":'), F.col("id"), F.lit("}")).alias("data"))
+    out = val.validate(rows, reg)
+    assert out.where("errors = array('type:kids[].v')").count() == 700
