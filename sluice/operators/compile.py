@@ -8,15 +8,14 @@ assembled from thousands of ``Column`` objects, so building the plan costs a
 parse, not thousands of driver round trips — this matters per micro-batch.
 
 Keywords as SQL checks (draft 2020-12): ``type`` (single or list),
-``properties``, ``required``, ``items`` (schema form, scalar keywords per
-element), ``enum``, ``const``, ``minimum``/``maximum`` and their exclusive
+``properties``, ``required``, ``items`` (any of these keywords per element,
+nested), ``enum``, ``const``, ``minimum``/``maximum`` and their exclusive
 forms, ``multipleOf``, ``minLength``/``maxLength``, ``pattern``,
 ``minItems``/``maxItems``, ``uniqueItems``, ``minProperties``/
 ``maxProperties``, ``additionalProperties: false``, ``dependentRequired``,
 ``allOf``/``anyOf``/``oneOf``/``not``, ``if``/``then``/``else``, ``$ref``
 (resolved through the registry at compile time), boolean schemas and, opt-in,
-``format: email``.  Schemas with anything further (element schemas of any depth,
-``contains``, ``prefixItems``, ``patternProperties``, ``propertyNames``,
+``format: email``.  Schemas with anything further (``contains``, ``prefixItems``, ``patternProperties``, ``propertyNames``,
 ``dependentSchemas``, local and recursive references, ``enum``/``const`` of arrays
 and objects, exact decimals) are validated as rows, see ``nodes``.  Annotations
 (``title``, ``description``, ``$schema``, ``$id``, ``format`` when not asserted) and
@@ -61,8 +60,8 @@ def variant_path(parts: list[str]) -> str:
     return out
 
 
-def label_path(parts: list[str]) -> str:
-    return ".".join(parts) if parts else "$"
+def label_path(parts: list[str], prefix: str = "") -> str:
+    return ".".join([prefix, *parts] if prefix else parts) or "$"
 
 
 # -- type tests (SQL text) ---------------------------------------------------
@@ -187,15 +186,17 @@ class SchemaCompiler:
         return out
 
     # -- node compilation ------------------------------------------------
-    def _node(self, node, parts: list[str], out: CompiledSchema, chain: tuple[str, ...]) -> None:
-        lbl = label_path(parts)
-        root = not parts
-        x = V if root else f"try_variant_get({V}, {sql_str(variant_path(parts))}, 'variant')"
+    def _node(self, node, parts: list[str], out: CompiledSchema, chain: tuple[str, ...], base: str = V, prefix: str = "") -> None:
+        """Checks of ``node`` at the property path ``parts`` below the variant ``base``:
+        the payload, or an array element (a lambda variable) with its label ``prefix``."""
+        lbl = label_path(parts, prefix)
+        root = not parts and not prefix
+        x = f"try_variant_get({base}, {sql_str(variant_path(parts))}, 'variant')" if parts else base
         t = vtype_sql(x)
 
         def add(kw: str, ok: str) -> None:
             # keyword checks on a property apply only when it is present
-            out.checks.append((f"{kw}:{lbl}", ok if root else f"({x} IS NULL OR {ok})"))
+            out.checks.append((f"{kw}:{lbl}", f"({x} IS NULL OR {ok})" if parts else ok))
 
         if node is True or node == {}:
             return
@@ -211,7 +212,7 @@ class SchemaCompiler:
             if target is None:
                 out.unresolved.append(ref)
             else:
-                self._node(target, parts, out, (*chain, ref))
+                self._node(target, parts, out, (*chain, ref), base, prefix)
 
         types = node.get("type")
         if types is not None:
@@ -266,75 +267,68 @@ class SchemaCompiler:
                 for name in needed if isinstance(needed, list) else []:
                     tp = sql_str(variant_path(parts + [trig]))
                     np_ = sql_str(variant_path(parts + [name]))
-                    out.checks.append((f"dependentRequired:{label_path(parts + [name])}",
-                                       f"(try_variant_get({V}, {tp}, 'variant') IS NULL "
-                                       f"OR try_variant_get({V}, {np_}, 'variant') IS NOT NULL)"))
+                    out.checks.append((f"dependentRequired:{label_path(parts + [name], prefix)}",
+                                       f"(try_variant_get({base}, {tp}, 'variant') IS NULL "
+                                       f"OR try_variant_get({base}, {np_}, 'variant') IS NOT NULL)"))
 
         # combinators: each subschema is compiled at the same path into one
         # validity flag; allOf simply adds the subschemas' own checks
         all_of = node.get("allOf")
         for sub in all_of if isinstance(all_of, list) else []:
-            self._node(sub, parts, out, chain)
+            self._node(sub, parts, out, chain, base, prefix)
+
+        def flag(sub) -> str:
+            return self._valid_flag(sub, parts, out, chain, base, prefix)
+
         if isinstance(node.get("anyOf"), list) and node["anyOf"]:
-            flags = [self._valid_flag(s, parts, out, chain) for s in node["anyOf"]]
+            flags = [flag(s) for s in node["anyOf"]]
             add("anyOf", "(" + " OR ".join(flags) + ")")
         if isinstance(node.get("oneOf"), list) and node["oneOf"]:
-            flags = [self._valid_flag(s, parts, out, chain) for s in node["oneOf"]]
+            flags = [flag(s) for s in node["oneOf"]]
             add("oneOf", "((" + " + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in flags) + ") = 1)")
         if "not" in node:
-            add("not", f"(NOT {self._valid_flag(node['not'], parts, out, chain)})")
+            add("not", f"(NOT {flag(node['not'])})")
         if "if" in node and ("then" in node or "else" in node):
-            c = self._valid_flag(node["if"], parts, out, chain)
-            th = self._valid_flag(node.get("then", True), parts, out, chain)
-            el = self._valid_flag(node.get("else", True), parts, out, chain)
+            c, th, el = flag(node["if"]), flag(node.get("then", True)), flag(node.get("else", True))
             add("if", f"(CASE WHEN {c} THEN {th} ELSE {el} END)")
 
         items = node.get("items")
         if isinstance(items, dict) or items is False:
-            self._items(items, parts, x, out)
+            self._items(items, lbl, x, out, chain)
 
         req = node.get("required")
         if (isinstance(req, list) and req) or props:
             is_obj = f"({D} RLIKE {sql_str(OBJECT_TEXT)})" if root else f"({t} LIKE 'OBJECT%')"
             for name in req if isinstance(req, list) else []:
                 child = sql_str(variant_path(parts + [name]))
-                out.checks.append((f"required:{label_path(parts + [name])}",
-                                   f"(NOT {is_obj} OR try_variant_get({V}, {child}, 'variant') IS NOT NULL)"))
+                out.checks.append((f"required:{label_path(parts + [name], prefix)}",
+                                   f"(NOT {is_obj} OR try_variant_get({base}, {child}, 'variant') IS NOT NULL)"))
             # A property path only resolves inside an object parent, so the
             # child's own presence guard covers the non-object case.
             for name, sub in props.items():
-                self._node(sub, parts + [name], out, chain)
+                self._node(sub, parts + [name], out, chain, base, prefix)
 
-    def _valid_flag(self, sub, parts, out: CompiledSchema, chain: tuple[str, ...]) -> str:
+    def _valid_flag(self, sub, parts, out: CompiledSchema, chain: tuple[str, ...], base: str, prefix: str) -> str:
         """Compile ``sub`` at ``parts`` into one flag: TRUE when all its checks pass."""
         tmp = CompiledSchema(uri=out.uri)
-        self._node(sub, parts, tmp, chain)
+        self._node(sub, parts, tmp, chain, base, prefix)
         out.unresolved.extend(tmp.unresolved)
         if not tmp.checks:
             return "true"
         return "(" + " AND ".join(f"coalesce({ok}, true)" for _, ok in tmp.checks) + ")"
 
-    def _items(self, items, parts, x: str, out: CompiledSchema) -> None:
-        """``items`` with scalar keywords, evaluated per element with forall."""
-        lbl = label_path(parts) + "[]"
-        arr = get(x, "array<variant>")
+    def _items(self, items, label: str, x: str, out: CompiledSchema, chain: tuple[str, ...]) -> None:
+        """An element schema: its checks over a lambda variable, each for all elements."""
+        each, arr = label + "[]", get(x, "array<variant>")
         if items is False:
-            out.checks.append((f"items:{lbl}", f"coalesce(size({arr}) = 0, true)"))
+            out.checks.append((f"items:{each}", f"coalesce(size({arr}) = 0, true)"))
             return
-        e, te = "e", "schema_of_variant(e)"
-        elem: list[tuple[str, str]] = []
-        types = items.get("type")
-        if types is not None:
-            names = [types] if isinstance(types, str) else list(types)
-            elem.append((f"type:{lbl}", types_sql(te, e, names)))
-        if isinstance(items.get("enum"), list):
-            elem.append((f"enum:{lbl}", _enum_sql(te, e, items["enum"])))
-        for kw, op in BOUNDS:
-            if _num(items, kw) is not None:
-                elem.append((f"{kw}:{lbl}", f"(NOT {type_sql(te, e, 'number')} OR "
-                                            f"{_cmp(get(e, 'double'), _num(items, kw), op)})"))
-        for label, check in elem:
-            out.checks.append((label, f"coalesce(forall({arr}, e -> {check}), true)"))
+        element = f"e{label.count('[]')}"
+        tmp = CompiledSchema(uri=out.uri)
+        self._node(items, [], tmp, chain, element, each)
+        out.unresolved.extend(tmp.unresolved)
+        for name, check in tmp.checks:
+            out.checks.append((name, f"coalesce(forall({arr}, {element} -> coalesce({check}, true)), true)"))
 
 
 def references(doc) -> list[str]:

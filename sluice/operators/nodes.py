@@ -185,8 +185,6 @@ def _beyond_expressions() -> str:
 
     has = [f"{_get('node', k)} IS NOT NULL" for k in
            ("contains", "prefixItems", "patternProperties", "propertyNames", "dependentSchemas", "$defs", "definitions")]
-    item_keys = f"map_keys({_get('node', 'items', 'map<string,variant>')})"
-    known = ", ".join(f"'{k}'" for k in ("type", "enum", "title", "description", "$comment", *NUMBERS))
     more = f"{_get('node', 'multipleOf')}"
     return "(" + " OR ".join([
         *has, f"coalesce({_get('node', 'uniqueItems', 'boolean')}, false)",
@@ -195,7 +193,6 @@ def _beyond_expressions() -> str:
         f"({more} IS NOT NULL AND NOT ({_kind(more)} = 'BIGINT' AND {_get('node', 'multipleOf', 'bigint')} < {1 << 31}))",
         *[f"coalesce(abs({_get('node', k, 'double')}) >= {float(1 << 53)!r}D, false)" for k in NUMBERS],
         f"coalesce(size({_get('node', 'additionalProperties', 'map<string,variant>')}) > 0, false)",
-        f"coalesce(size(array_except({item_keys}, array({known}))) > 0, false)",
         f"size(split(at, '/')) > {EXPRESSION_DEPTH}"]) + ")"
 
 

@@ -73,3 +73,19 @@ def test_single_file_tables_are_dealt_out_and_larger_ones_left(spark, tmp_path):
     spark.range(10).repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
     assert "Exchange" not in _plan(td.table(spark, str(tmp_path), "orders"))
     assert "RoundRobin" in _plan(td.table(spark, SF, "orders"))
+
+
+def test_element_schemas_stay_map_only(spark):
+    import json
+    line = {"type": "object", "required": ["qty"], "properties": {"qty": {"type": "integer", "minimum": 1}, "tags": {"items": {"minLength": 2}}},
+            "anyOf": [{"required": ["a"]}, {"properties": {"qty": {"maximum": 9}}}]}
+    doc = {"type": "object", "properties": {"lines": {"type": "array", "items": line}}}
+    reg = spark.createDataFrame([("http://t/schemas/l/1.0.0", json.dumps(doc))], "schemaURI string, schema string")
+    texts = ['{"lines":[{"qty":1,"tags":["ab"]},{"qty":10,"a":1}]}', '{"lines":[{"qty":10},{"tags":["a","bc"]}]}', '{"lines":[3]}', '{"lines":{}}', "{}"]
+    msgs = spark.createDataFrame([(str(i), "http://t/schemas/l/1", t) for i, t in enumerate(texts)], "k string, schemaURI string, data string")
+    out = val.validate(msgs, reg, design="compiled")
+    plan = _plan(out)
+    assert "Exchange" not in plan and "Python" not in plan and "Join" not in plan
+    assert {r.k: sorted(r.errors) for r in out.collect()} == {
+        "0": [], "1": ["anyOf:lines[]", "minLength:lines[].tags[]", "required:lines[].qty"], "2": ["type:lines[]"],
+        "3": ["type:lines"], "4": []}
