@@ -224,7 +224,9 @@ def with_admission(df: DataFrame, schema: str = "schema", out: str = "admissible
     key = f"__digest_of_{schema}"
     keyed = df.withColumn(key, F.sha2(schema, 256))
     texts = keyed.where(F.col(key).isNotNull()).groupBy(key).agg(F.any_value(schema).alias("text"))
-    flags = judged(texts.select(F.col(key).alias("doc"), F.try_parse_json("text").alias("node")))
+    folder = new_run_dir(df.sparkSession, "admission")
+    judged(texts.select(F.col(key).alias("doc"), F.try_parse_json("text").alias("node"))).write.parquet(folder)
+    flags = df.sparkSession.read.schema("doc string, broken boolean, beyond boolean, refs boolean").parquet(folder)
     return (keyed.join(flags.select(F.col("doc").alias(key), (~F.col("broken")).alias(out)), key, "left")
             .withColumn(out, F.coalesce(out, F.lit(False))).select(*df.columns, out))
 
