@@ -70,4 +70,5 @@ def normalise_uri(uri: Column | str) -> Column:
             lambda n: F.when(F.forall(n, lambda x: x <= PART_MAX), text(u, n)).otherwise(u))).otherwise(u))
 
     # fast path: a tail that is already M.m.p without leading zeros, each part <= 1023
-    return bound(_col(uri), lambda u: F.when(u.rlike(CANONICAL_TAIL), u).otherwise(slow(u)))
+    u = _col(uri)
+    return F.when(u.rlike(CANONICAL_TAIL), u).otherwise(bound(u, slow))
