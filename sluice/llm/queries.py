@@ -20,7 +20,7 @@ from sluice.llm.quality import classify
 from sluice.llm.suffix_dedup import remove_repeats, remove_repeats_sql
 from sluice.llm.syncmers import edit_fingerprints
 from sluice.llm.url_rules import judge, mine
-from sluice.llm.vptree import nearest
+from sluice.llm.vptree import nearest, nearest_sql
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
              ("allow", "org", "/fr/")]
@@ -113,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": components_sql(),
+    "op4_vantage_point_trees": nearest_sql(),
     "op6_license_scan": scan_sql(),
     "op11_merkle_manifest": manifest_sql(),
     "op12_ranked_lexical_search": search_sql(),

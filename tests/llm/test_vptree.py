@@ -2,10 +2,11 @@
 
 import random
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from sluice.llm.vptree import Tree, nearest
+from sluice.llm.vptree import Regions, Tree, _lift, nearest, nearest_sql
 
 
 def brute(rows, k, step):
@@ -80,3 +81,40 @@ def test_ties_of_many_distinct_vectors_go_by_id(spark):
     for size in (1000, 150):
         assert run(spark, rows, shard_rows=size) == brute(rows, 5, 4)
     assert run(spark, rows, k=1) == brute(rows, 1, 4)
+
+
+def test_regions_shards_and_query_blocks(spark):
+    rnd = random.Random(5)
+    heart = [[rnd.gauss(0, 4) for _ in range(8)] for _ in range(6)]
+    rows = [(i, [float(np.float32(c + rnd.gauss(0, 0.2))) for c in heart[i % 6]]) for i in range(600)]
+    rows += [(1000 + i, rows[9][1]) for i in range(300)]  # a third of all rows are one vector
+    want = brute(rows, 5, 4)
+    for shard_rows, query_rows in ((120, 10_000), (40, 25), (900, 7)):
+        assert run(spark, rows, shard_rows=shard_rows, query_rows=query_rows) == want
+
+
+def test_regions_are_ruled_out_and_never_wrongly():
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(size=(8, 16))[rnd.integers(0, 8, 4000)] * 3 + rnd.normal(size=(4000, 16)) * 0.05
+    top = float((x * x).sum(1).max())
+    regions = Regions(_lift(x[:500], top), 16)
+    leaf, dist = regions.place(_lift(x, top))
+    low, high = np.zeros((len(regions.above), regions.depth)), np.zeros((len(regions.above), regions.depth))
+    for r in range(len(regions.above)):
+        low[r], high[r] = dist[leaf == r].min(0), dist[leaf == r].max(0)
+    q = x[:100]
+    score = q @ x.T
+    floor = np.sort(score, axis=1)[:, -5]
+    who, where = regions.admitted(np.c_[q, np.zeros(100)], (q * q).sum(1) + top, floor, low, high, 1.0)
+    kept = set(zip(who.tolist(), where.tolist()))
+    assert {(i, leaf[j]) for i, j in zip(*np.nonzero(score >= floor[:, None]))} <= kept
+    assert len(kept) < 0.5 * 100 * len(regions.above)
+
+
+def test_sql_twin(spark):
+    path = "/root/testdata/sf0.01/embeddings.parquet"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}'")
+    want = con.execute(nearest_sql()).fetchall()
+    got = nearest(spark.read.parquet(path), F.col("id") % 20 == 0).collect()
+    assert {(r[0], r[1], r[2], round(r[3], 9)) for r in got} == {(*r[:3], round(r[3], 9)) for r in want}
