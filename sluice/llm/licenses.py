@@ -1,32 +1,69 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-Every line of a text and the whole text are units.  A unit is normalised to
-lower-case runs of ASCII letters and digits; it matches a template when
-``2 |x & y| / (|x| + |y|)`` of their bigram sets reaches ``least``.  A template
-can only match sets of ``|y| * least / (2 - least)`` to
-``|y| * (2 - least) / least`` bigrams, so a unit is compared with the templates
-its size admits and most units with none.  All of it is built-in expressions
-within one row: no shuffle, no Python on the executors.
+A text is normalised to its lower-case runs of ASCII letters and digits, line
+ends included, so a notice is found in the middle of a line or across lines.  A
+window of words matches a template when ``2 |x & y| / (|x| + |y|)`` of their
+bags of bigrams reaches ``least``.  A matching window then has ``|y| * least /
+(2 - least)`` to ``|y| * (2 - least) / least`` bigrams and shares at least the
+smaller number with the template.  So every match holds one of the template's
+*anchors*, its least common bigrams that together are one more than a match may
+lack; a text without them is compared with no template, and other windows start
+and end at bigrams of the template, within those sizes.  All of it is built-in
+expressions within one row: no shuffle, no Python on the executors.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Notices by which works name their licence, by SPDX-like identifier.
+# The public wording of licences and of the notices that name them.
+_AS_IS = ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+          "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. ")
+_BSD_HEAD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+             "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+             "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+             "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+             "documentation and/or other materials provided with the distribution. ")
+_BSD_THIRD = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission. ")
+_BSD_TAIL = ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+             "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+             "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR "
+             "ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+             "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+             "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+             "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF "
+             "ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as "
+        "published by the Free Software Foundation, either version {1} of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more "
+        "details.")
+
+#: Licence texts and notices by which works name their licence, by SPDX-like identifier.
 TEMPLATES: Mapping[str, Sequence[str]] = {
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.",
+                 _GNU.format("Affero General Public License", 3)],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
-                   "Released under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0"],
-    "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
-    "BSD-3-Clause": ["Released under the BSD 3-Clause License.",
+                   "Released under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0",
+                   'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+                   "compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+                   'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT '
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                   "language governing permissions and limitations under the License."],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License.", _BSD_HEAD + _BSD_TAIL],
+    "BSD-3-Clause": ["Released under the BSD 3-Clause License.", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL,
                      "Redistribution and use in source and binary forms, with or without modification, are "
                      "permitted provided that the following conditions are met:"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.",
                   "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
@@ -36,104 +73,212 @@ TEMPLATES: Mapping[str, Sequence[str]] = {
                      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
                      "International License."],
     "CC0-1.0": ["Released under CC0 1.0 Universal.", "This work is dedicated to the public domain."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.",
+                _GNU.format("General Public License", 2)],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
-                "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
+                "SPDX-License-Identifier: GPL-3.0-or-later", _GNU.format("General Public License", 3)],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+            'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+            "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE "
+            "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+            "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+            "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.",
+                 _GNU.format("Lesser General Public License", 3)],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+            'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and '
+            'associated documentation files (the "Software"), to deal in the Software without restriction, including '
+            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+            "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+            "following conditions: The above copyright notice and this permission notice shall be included in all "
+            "copies or substantial portions of the Software. " + _AS_IS +
+            "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+            "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+            "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+                "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+             "be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+             "use this software for any purpose, including commercial applications, and to alter it and redistribute "
+             "it freely, subject to the following restrictions: 1. The origin of this software must not be "
+             "misrepresented; you must not claim that you wrote the original software. If you use this software in a "
+             "product, an acknowledgment in the product documentation would be appreciated but is not required. 2. "
+             "Altered source versions must be plainly marked as such, and must not be misrepresented as being the "
+             "original software. 3. This notice may not be removed or altered from any source distribution."],
     "reserved": ["All rights reserved."],
 }
 
+#: Words that make a bigram a poor anchor.
+_COMMON = set("a all an and any are as at be by can for from if in is it may no not of on or that the this to use was "
+              "which will with you".split())
+
 
-def _bigrams(text: str) -> list[str]:
-    w = [x.lower() for x in re.findall("[A-Za-z0-9]+", text)]
-    return [f"{a} {b}" for a, b in zip(w, w[1:])]
+class Template(NamedTuple):
+    name: str
+    grams: list[str]    # distinct bigrams
+    counts: list[int]   # times each occurs
+    anchors: list[str]  # one of them is in every match
+    size: int           # bigrams, repeats included
+    least: int          # fewest bigrams of a matching window, and fewest shared ones
+    most: int           # most bigrams of a matching window
 
 
-def admitted(templates: Mapping[str, Sequence[str]], least: float) -> list[tuple[str, list[str], int, int]]:
-    """(name, bigrams, fewest and most bigrams of a unit that can match)."""
+def compiled(templates: Mapping[str, Sequence[str]], least: float) -> list[Template]:
     out = []
     for name, texts in sorted(templates.items()):
-        for grams in map(_bigrams, texts):
-            if len(set(grams)) < len(grams):
-                raise ValueError(f"a template of {name} repeats a bigram")
-            if grams:
-                out.append((name, grams, math.ceil(len(grams) * least / (2 - least) - 1e-9),
-                            math.floor(len(grams) * (2 - least) / least + 1e-9)))
+        for text in texts:
+            w = [x.lower() for x in re.findall("[A-Za-z0-9]+", text)]
+            bag = Counter(f"{a} {b}" for a, b in zip(w, w[1:]))
+            size = sum(bag.values())
+            if not size:
+                continue
+            lo = math.ceil(size * least / (2 - least) - 1e-9)
+            anchors, held = [], 0
+            for gram in sorted(bag, key=lambda g: (len(_COMMON & set(g.split())), -len(g), g)):
+                if held > size - lo:
+                    break
+                anchors.append(gram)
+                held += bag[gram]
+            out.append(Template(name, list(bag), list(bag.values()), anchors, size, lo,
+                                math.floor(size * (2 - least) / least + 1e-9)))
     return out
 
 
+def _windows(g: Column, t: Column, least: float) -> Column:
+    """Windows of the bigrams ``g`` that match template ``t``, best first:
+    struct(less, start, n, shared), ``less`` the negative coefficient."""
+    at = F.filter(F.sequence(F.lit(1), F.size(g)), lambda p: F.array_contains(t["grams"], F.get(g, p - 1)))
+
+    def of(at: Column) -> Column:
+        def place(i: Column) -> Column:
+            return F.get(at, i - 1)
+
+        def length(i: Column, j: Column) -> Column:
+            return place(j) - place(i) + 1
+
+        def ends(i: Column) -> Column:
+            fits = F.filter(
+                F.sequence(i + t["least"] - 1, F.least(F.size(at), i + t["most"] - 1)),
+                lambda j: length(i, j).between(t["least"], t["most"])
+                & (2.0 * (j - i + 1) >= least * (length(i, j) + t["size"])))
+            return F.transform(fits, lambda j: scored(i, j))
+
+        def scored(i: Column, j: Column) -> Column:
+            mine = F.transform(F.slice(at, i, j - i + 1), lambda p: F.get(g, p - 1))
+            again = F.aggregate(t["repeated"], F.lit(0), lambda n, r: n + F.greatest(F.lit(0), F.least(
+                r["times"], F.size(F.filter(mine, lambda x: x == r["gram"]))) - 1))
+            shared = F.size(F.array_distinct(mine)) + again
+            return F.struct((F.lit(-2.0) * shared / (length(i, j) + t["size"])).alias("less"),
+                            place(i).alias("start"), length(i, j).alias("n"), shared.alias("shared"))
+
+        starts = F.when(F.size(at) >= t["least"], F.filter(
+            F.sequence(F.lit(1), F.size(at) - t["least"] + 1),
+            lambda i: length(i, i + t["least"] - 1) <= t["most"]))
+        return F.flatten(F.transform(starts, ends))
+
+    # An array of one, so that the positions are worked out once
+    return F.flatten(F.transform(F.array(at), of))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: Mapping[str, Sequence[str]] = TEMPLATES, least: float = 0.8) -> DataFrame:
-    """One row per row of ``docs``: id, ``license`` (name of the best template,
-    null if none), ``dice`` (its coefficient, null if none) and ``n_lines``
-    (lines that match a template).  The whole text counts where no line matches.
-
-    Of equal coefficients the smallest name wins.  Null and empty texts match
-    nothing; null ids and repeated rows are kept; other columns are ignored; an
-    empty table gives an empty result.  A template repeats no bigram, so the
-    coefficient of the two bags counts each shared bigram once; templates of
-    one word match nothing.
+    """One row per row of ``docs``: id and ``found``, the licences of the text in
+    text order: ``license``, ``start`` (its first word, from 0), ``n_words``,
+    ``shared`` (bigrams shared with the template) and ``dice``.
+
+    A template's window is the one of the highest coefficient, then the first,
+    then the shortest.  Of windows that overlap and of windows of one licence
+    the one that shares most bigrams stays (then the higher coefficient, the
+    earlier, the shorter, the smaller name), so each licence is named once, where
+    the text is closest to it.  Null and empty texts hold none; null ids and
+    repeated rows are kept; other columns are ignored; an empty table gives an
+    empty result; templates of one word match nothing.
     """
-    sets = admitted(templates, least)
-    fewest, most = min(x[2] for x in sets), max(x[3] for x in sets)
-    known = F.array(*[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, grams)).alias("grams"),
-                               F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for name, grams, lo, hi in sets])
-
-    def words(text: Column) -> Column:
-        return F.transform(F.regexp_extract_all(text, F.lit("[A-Za-z0-9]+"), F.lit(0)), lambda w: F.lower(w))
-
-    def best(w: Column) -> Column:
-        """Best match of a unit's words: struct(less, name), null if none."""
-        n = F.size(w) - 1
-        grams = F.array_distinct(F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat_ws(" ", a, b)))
-        scored = F.transform(grams_in(n), lambda k: F.struct(
-            (F.lit(-2.0) * F.size(F.array_intersect(grams, k["grams"])) / (n + F.size(k["grams"]))).alias("less"),
-            k["name"].alias("name")))
-        return F.when((n >= fewest) & (n <= most),
-                      F.array_min(F.filter(scored, lambda s: s["less"] <= -least)))
-
-    def grams_in(n: Column) -> Column:
-        return F.filter(F.col("known"), lambda k: (k["lo"] <= n) & (n <= k["hi"]))
+    known = compiled(templates, least)
+    texts = F.array(*[F.struct(
+        F.lit(t.name).alias("name"), F.array(*map(F.lit, t.grams)).alias("grams"),
+        F.array(*map(F.lit, t.anchors)).alias("anchors"),
+        (F.array(*[F.struct(F.lit(g).alias("gram"), F.lit(c).alias("times")) for g, c in zip(t.grams, t.counts) if c > 1])
+         if len(t.grams) < t.size else F.array().cast("array<struct<gram: string, times: int>>")).alias("repeated"),
+        F.lit(t.size).alias("size"), F.lit(t.least).alias("least"), F.lit(t.most).alias("most"),
+        F.lit(t.least - t.size + len(t.grams)).alias("distinct")) for t in known])
+    anchors = F.array(*map(F.lit, sorted({a for t in known for a in t.anchors})))
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    units = docs.select(F.col(id_col).alias("id"), known.alias("known"),
-                        F.transform(F.split(text, "\n", -1), words).alias("lines"))
-    short = F.filter("lines", lambda w: (F.size(w) > fewest) & (F.size(w) <= most + 1))
-    total = F.aggregate("lines", F.lit(0), lambda n, w: n + F.size(w))
-    whole = F.when((total <= most + 1) & (total > fewest), F.flatten("lines"))
-    found = units.select("id", "known", whole.alias("whole"),
-                         F.array_compact(F.transform(short, best)).alias("hits"))
-    chosen = found.select("id", F.size("hits").alias("n_lines"),
-                          F.coalesce(F.array_min("hits"), best(F.col("whole"))).alias("hit"))
-    return chosen.select(F.col("id").alias(id_col), F.col("hit.name").alias("license"),
-                         (-F.col("hit.less")).alias("dice"), F.col("n_lines").cast("bigint").alias("n_lines"))
+    words = docs.select(F.col(id_col).alias("id"), F.transform(
+        F.regexp_extract_all(text, F.lit("[A-Za-z0-9]+"), F.lit(0)), lambda w: F.lower(w)).alias("w"))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    grams = words.select("id", F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n),
+                                          lambda a, b: F.concat(a, F.lit(" "), b)).alias("g"))
+    held = grams.select("id", "g", F.array_intersect("g", anchors).alias("held"))
+    near = held.select("id", "g", F.when(F.size("held") > 0, F.filter(
+        texts, lambda t: F.arrays_overlap(t["anchors"], F.col("held"))
+        & (F.size(F.array_intersect(F.col("g"), t["grams"])) >= t["distinct"]))).alias("near"))
+    best = near.select("id", F.array_distinct(F.array_compact(F.transform("near", lambda t: F.transform(
+        F.array(F.array_min(F.filter(_windows(F.col("g"), t, least), lambda m: m["less"] <= -least))),
+        lambda m: F.when(m.isNotNull(), F.struct(
+            (-m["shared"]).alias("less_shared"), m["less"].alias("less"), m["start"].alias("start"), m["n"].alias("n"),
+            t["name"].alias("name"))))[0]))).alias("hits"))
+
+    def beaten(x: Column) -> Column:
+        return F.exists("hits", lambda y: (y < x) & (
+            (y["name"] == x["name"]) | ((y["start"] <= x["start"] + x["n"]) & (x["start"] <= y["start"] + y["n"]))))
+
+    found = F.array_sort(F.transform(F.filter("hits", lambda x: ~beaten(x)), lambda x: F.struct(
+        (x["start"] - 1).alias("start"), (x["n"] + 1).alias("n_words"), x["name"].alias("license"),
+        (-x["less_shared"]).alias("shared"), (-x["less"]).alias("dice"))))
+    return best.select(F.col("id").alias(id_col), F.coalesce(found, F.array().cast(
+        "array<struct<start: int, n_words: int, license: string, shared: int, dice: double>>")).alias("found"))
+
+
+def summary(found: Column) -> list[Column]:
+    """``n_licenses``, ``licenses`` (``name:start:n_words`` joined by commas) and the highest ``dice`` (null if none)."""
+    each = F.transform(found, lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["n_words"].cast("string")))
+    return [F.size(found).cast("bigint").alias("n_licenses"), F.array_join(each, ",").alias("licenses"),
+            F.array_max(F.transform(found, lambda x: x["dice"])).alias("dice")]
 
 
 def scan_sql(templates: Mapping[str, Sequence[str]] = TEMPLATES, least: float = 0.8) -> str:
-    """The same scan of ``documents(doc_id, text)`` in DuckDB SQL."""
-    rows = ", ".join(f"('{name}', {grams!r}, {lo}, {hi})" for name, grams, lo, hi in admitted(templates, least))
+    """The summary of the same scan of ``documents(doc_id, text)`` in DuckDB SQL."""
+    known = compiled(templates, least)
+    sizes = ", ".join(f"({i}, '{t.name}', {t.size}, {t.least}, {t.most})" for i, t in enumerate(known))
+    grams = ", ".join(f"({i}, '{g}', {c})" for i, t in enumerate(known) for g, c in zip(t.grams, t.counts))
     return f"""
-WITH known(name, grams, lo, hi) AS (VALUES {rows}),
-units AS (
-  SELECT doc_id, true AS line, unnest(string_split(coalesce(text, ''), chr(10))) AS unit FROM documents
-  UNION ALL SELECT doc_id, false, coalesce(text, '') FROM documents),
-words AS (SELECT doc_id, line, list_transform(regexp_extract_all(unit, '[A-Za-z0-9]+'), lambda x: lower(x)) AS w
-          FROM units),
-grams AS (SELECT row_number() OVER () AS u, doc_id, line,
-                 list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g
-          FROM words WHERE len(w) > 1),
-scored AS (SELECT u, doc_id, line, name,
-                  2.0::DOUBLE * len(list_intersect(list_distinct(g), grams)) / (len(g) + len(grams)) AS dice
-           FROM grams JOIN known ON len(g) BETWEEN lo AND hi),
-hits AS (SELECT * FROM scored WHERE dice >= {least}::DOUBLE),
-per_doc AS (SELECT doc_id, count(DISTINCT u) FILTER (line) AS n_lines,
-                   min(struct_pack(less := -dice, name := name)) FILTER (line) AS by_line,
-                   min(struct_pack(less := -dice, name := name)) FILTER (NOT line) AS by_text
-            FROM hits GROUP BY doc_id)
-SELECT d.doc_id, coalesce(by_line, by_text).name AS license, -coalesce(by_line, by_text).less AS dice,
-       coalesce(n_lines, 0) AS n_lines
-FROM documents d LEFT JOIN per_doc USING (doc_id)
+WITH known(t, name, size, lo, hi) AS (VALUES {sizes}),
+bag(t, gram, times) AS (VALUES {grams}),
+rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS u, doc_id,
+         list_transform(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+'), lambda x: lower(x)) AS w FROM documents),
+places AS (SELECT u, w, unnest(range(1, len(w))) AS p FROM rows),
+hits AS (SELECT u, t, p, gram, times FROM (SELECT u, p, w[p] || ' ' || w[p + 1] AS gram FROM places) JOIN bag USING (gram)),
+enough AS (SELECT u, t FROM hits JOIN known USING (t) GROUP BY u, t, lo HAVING count(*) >= lo),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY u, t ORDER BY p) AS i FROM hits SEMI JOIN enough USING (u, t)),
+windows AS (
+  SELECT a.u, a.t, a.p AS s, b.p AS e, name, size FROM numbered a JOIN known k ON k.t = a.t
+  JOIN numbered b ON b.u = a.u AND b.t = a.t AND b.i >= a.i + lo - 1 AND b.p BETWEEN a.p + lo - 1 AND a.p + hi - 1
+   AND 2 * (b.i - a.i + 1) >= {least}::DOUBLE * (b.p - a.p + 1 + size)),
+shares AS (
+  SELECT x.u, x.t, s, e, name, size, least(count(*), any_value(times)) AS c
+  FROM windows x JOIN numbered n ON n.u = x.u AND n.t = x.t AND n.p BETWEEN s AND e
+  GROUP BY x.u, x.t, s, e, name, size, gram),
+scored AS (
+  SELECT u, t, name, s, e - s + 1 AS n, sum(c)::BIGINT AS shared, 2.0::DOUBLE * sum(c) / (e - s + 1 + size) AS dice
+  FROM shares GROUP BY u, t, name, s, e, size),
+best AS (
+  SELECT * FROM scored WHERE dice >= {least}::DOUBLE
+  QUALIFY row_number() OVER (PARTITION BY u, t ORDER BY dice DESC, s, n) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY shared DESC, dice DESC, s, n, name) AS r FROM best),
+kept AS (
+  SELECT x.* FROM ranked x ANTI JOIN ranked y
+  ON y.u = x.u AND y.r < x.r AND (y.name = x.name OR (y.s <= x.s + x.n AND x.s <= y.s + y.n))),
+per_row AS (
+  SELECT u, count(*) AS n_licenses, string_agg(name || ':' || (s - 1) || ':' || (n + 1), ',' ORDER BY s, n) AS licenses,
+         max(dice) AS dice FROM kept GROUP BY u)
+SELECT doc_id, coalesce(n_licenses, 0) AS n_licenses, coalesce(licenses, '') AS licenses, dice
+FROM rows LEFT JOIN per_row USING (u)
 """

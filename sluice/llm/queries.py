@@ -12,7 +12,7 @@ from sluice.llm.common import table
 from sluice.llm.html_extract import extract
 from sluice.llm.jaccard_join import components_sql, similar_components
 from sluice.llm.lexical import build, search, search_sql
-from sluice.llm.licenses import scan, scan_sql
+from sluice.llm.licenses import scan, scan_sql, summary
 from sluice.llm.merkle import manifest_of_documents, manifest_sql
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
@@ -55,7 +55,7 @@ def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents")).select("doc_id", *summary(F.col("found")))
 
 
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
