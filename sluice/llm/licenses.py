@@ -14,6 +14,7 @@ expressions within one row: no shuffle, no Python on the executors.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -120,7 +121,7 @@ _COMMON = set("a all an and any are as at be by can for from if in is it may no
 class Template(NamedTuple):
     name: str
     grams: list[str]    # distinct bigrams
-    counts: list[int]   # times each occurs
+    times: list[int]    # how often each occurs
     anchors: list[str]  # one of them is in every match
     size: int           # bigrams, repeats included
     least: int          # fewest bigrams of a matching window, and fewest shared ones
@@ -148,40 +149,49 @@ def compiled(templates: Mapping[str, Sequence[str]], least: float) -> list[Templ
     return out
 
 
-def _windows(g: Column, t: Column, least: float) -> Column:
-    """Windows of the bigrams ``g`` that match template ``t``, best first:
-    struct(less, start, n, shared), ``less`` the negative coefficient."""
+def _best_window(g: Column, t: Column, least: float) -> Column:
+    """The best window of the bigrams ``g`` that matches template ``t``:
+    struct(less, start, n, shared), ``less`` the negative coefficient (0: none).
+
+    A bigram counts in a window unless as many equal ones as the template holds
+    lie between the window's start and it; ``prior`` is the place of the first
+    of these, so one pass per start scores all its windows.
+    """
     at = F.filter(F.sequence(F.lit(1), F.size(g)), lambda p: F.array_contains(t["grams"], F.get(g, p - 1)))
 
-    def of(at: Column) -> Column:
-        def place(i: Column) -> Column:
-            return F.get(at, i - 1)
+    def with_prior(at: Column) -> Column:
+        def prior(x: Column) -> Column:
+            gram = F.get(g, F.get(at, x - 1) - 1)
+            back = F.least(x - 1, t["most"])
+            same = F.filter(F.slice(at, x - back, back), lambda p: F.get(g, p - 1) == gram)
+            times = F.get(t["times"], (F.array_position(t["grams"], gram) - 1).cast("int"))
+            return F.coalesce(F.get(same, F.size(same) - times), F.lit(0))
+
+        return F.transform(at, lambda p, x: F.struct(p.alias("p"), prior(x + 1).alias("prior")))
+
+    def best(k: Column) -> Column:
+        starts = F.when(F.size(k) >= t["least"], F.filter(
+            F.sequence(F.lit(1), F.size(k) - t["least"] + 1),
+            lambda i: F.get(k, i + t["least"] - 2)["p"] - F.get(k, i - 1)["p"] < t["most"]))
 
-        def length(i: Column, j: Column) -> Column:
-            return place(j) - place(i) + 1
+        def from_start(i: Column) -> Column:
+            start = F.get(k, i - 1)["p"]
 
-        def ends(i: Column) -> Column:
-            fits = F.filter(
-                F.sequence(i + t["least"] - 1, F.least(F.size(at), i + t["most"] - 1)),
-                lambda j: length(i, j).between(t["least"], t["most"])
-                & (2.0 * (j - i + 1) >= least * (length(i, j) + t["size"])))
-            return F.transform(fits, lambda j: scored(i, j))
+            def step(acc: Column, e: Column) -> Column:
+                shared, n = acc["shared"] + (e["prior"] < start).cast("int"), e["p"] - start + 1
+                less = F.lit(-2.0) * shared / (n + t["size"])
+                return F.struct(shared.alias("shared"), F.least(acc["best"], F.when(
+                    n.between(t["least"], t["most"]) & (less <= -least),
+                    F.struct(less.alias("less"), start.alias("start"), n.alias("n"), shared.alias("shared")))).alias("best"))
 
-        def scored(i: Column, j: Column) -> Column:
-            mine = F.transform(F.slice(at, i, j - i + 1), lambda p: F.get(g, p - 1))
-            again = F.aggregate(t["repeated"], F.lit(0), lambda n, r: n + F.greatest(F.lit(0), F.least(
-                r["times"], F.size(F.filter(mine, lambda x: x == r["gram"]))) - 1))
-            shared = F.size(F.array_distinct(mine)) + again
-            return F.struct((F.lit(-2.0) * shared / (length(i, j) + t["size"])).alias("less"),
-                            place(i).alias("start"), length(i, j).alias("n"), shared.alias("shared"))
+            none = F.struct(F.lit(0.0).alias("less"), F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit(0).alias("shared"))
+            return F.aggregate(F.slice(k, i, t["most"]), F.struct(F.lit(0).alias("shared"), none.alias("best")),
+                               step, lambda acc: acc["best"])
 
-        starts = F.when(F.size(at) >= t["least"], F.filter(
-            F.sequence(F.lit(1), F.size(at) - t["least"] + 1),
-            lambda i: length(i, i + t["least"] - 1) <= t["most"]))
-        return F.flatten(F.transform(starts, ends))
+        return F.array_min(F.transform(starts, from_start))
 
-    # An array of one, so that the positions are worked out once
-    return F.flatten(F.transform(F.array(at), of))
+    # Arrays of one, so that places and priors are worked out once
+    return F.transform(F.transform(F.array(at), with_prior), best)[0]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -199,14 +209,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty result; templates of one word match nothing.
     """
     known = compiled(templates, least)
-    texts = F.array(*[F.struct(
-        F.lit(t.name).alias("name"), F.array(*map(F.lit, t.grams)).alias("grams"),
-        F.array(*map(F.lit, t.anchors)).alias("anchors"),
-        (F.array(*[F.struct(F.lit(g).alias("gram"), F.lit(c).alias("times")) for g, c in zip(t.grams, t.counts) if c > 1])
-         if len(t.grams) < t.size else F.array().cast("array<struct<gram: string, times: int>>")).alias("repeated"),
-        F.lit(t.size).alias("size"), F.lit(t.least).alias("least"), F.lit(t.most).alias("most"),
-        F.lit(t.least - t.size + len(t.grams)).alias("distinct")) for t in known])
-    anchors = F.array(*map(F.lit, sorted({a for t in known for a in t.anchors})))
+    texts = F.from_json(F.lit(json.dumps([t._asdict() | {"distinct": t.least - t.size + len(t.grams)} for t in known])),
+                        "array<struct<name: string, grams: array<string>, times: array<int>, anchors: array<string>, "
+                        "size: int, least: int, most: int, distinct: int>>")
+    anchors = F.from_json(F.lit(json.dumps(sorted({a for t in known for a in t.anchors}))), "array<string>")
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = docs.select(F.col(id_col).alias("id"), F.transform(
@@ -218,11 +224,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = held.select("id", "g", F.when(F.size("held") > 0, F.filter(
         texts, lambda t: F.arrays_overlap(t["anchors"], F.col("held"))
         & (F.size(F.array_intersect(F.col("g"), t["grams"])) >= t["distinct"]))).alias("near"))
-    best = near.select("id", F.array_distinct(F.array_compact(F.transform("near", lambda t: F.transform(
-        F.array(F.array_min(F.filter(_windows(F.col("g"), t, least), lambda m: m["less"] <= -least))),
-        lambda m: F.when(m.isNotNull(), F.struct(
-            (-m["shared"]).alias("less_shared"), m["less"].alias("less"), m["start"].alias("start"), m["n"].alias("n"),
-            t["name"].alias("name"))))[0]))).alias("hits"))
+    best = near.select("id", F.transform("near", lambda t: F.struct(
+        _best_window(F.col("g"), t, least).alias("m"), t["name"].alias("name"))).alias("best"))
+    best = best.select("id", F.array_distinct(F.transform(
+        F.filter("best", lambda b: b["m"]["n"] > 0), lambda b: F.struct(
+            (-b["m"]["shared"]).alias("less_shared"), b["m"]["less"].alias("less"), b["m"]["start"].alias("start"),
+            b["m"]["n"].alias("n"), b["name"].alias("name")))).alias("hits"))
 
     def beaten(x: Column) -> Column:
         return F.exists("hits", lambda y: (y < x) & (
@@ -246,7 +253,7 @@ def scan_sql(templates: Mapping[str, Sequence[str]] = TEMPLATES, least: float =
     """The summary of the same scan of ``documents(doc_id, text)`` in DuckDB SQL."""
     known = compiled(templates, least)
     sizes = ", ".join(f"({i}, '{t.name}', {t.size}, {t.least}, {t.most})" for i, t in enumerate(known))
-    grams = ", ".join(f"({i}, '{g}', {c})" for i, t in enumerate(known) for g, c in zip(t.grams, t.counts))
+    grams = ", ".join(f"({i}, '{g}', {c})" for i, t in enumerate(known) for g, c in zip(t.grams, t.times))
     return f"""
 WITH known(t, name, size, lo, hi) AS (VALUES {sizes}),
 bag(t, gram, times) AS (VALUES {grams}),
