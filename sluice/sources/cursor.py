@@ -5,6 +5,11 @@ takes the next ``count`` records after the cursor, so a cap moves the cursor and
 nothing that is left is rewritten; records and row counts are read for the files of
 the batch only.  Files are read in the order of their paths, so appends must name
 them in order of time (``append_in_order``), and a file never changes.
+
+A trigger of Spark costs the same whatever it reads.  With ``reads`` above 1 a trigger
+that finds a backlog takes so many reads of ``count`` records at once, and ``number``
+names a column that tells them apart: reads are numbered from 0 over the whole stream,
+and none holds more than ``count`` records.
 """
 
 from __future__ import annotations
@@ -19,25 +24,28 @@ from pyspark.sql.types import StructType
 from .files import exists, open_path
 
 FORMAT = "buffer_cursor"
+TASK_ROWS = 100_000
 
 
 class Slice(InputPartition):
-    """Rows [first, last) of one file."""
+    """Rows [first, last) of one file; ``at`` is the place of the first one in its trigger,
+    whose reads are numbered from ``read``."""
 
-    def __init__(self, file: str, first: int, last: int):
-        self.file, self.first, self.last = file, first, last
+    def __init__(self, file: str, first: int, last: int, at: int = 0, read: int = 0):
+        self.file, self.first, self.last, self.at, self.read = file, first, last, at, read
 
 
 class CursorReader(DataSourceStreamReader):
     def __init__(self, options: dict, schema: StructType):
         self.path, self.count, self.schema = options["path"], int(options.get("count", 25)), schema
         self.cursor = options["cursor"]
+        self.reads, self.number = int(options.get("reads", 1)), options.get("number")
         self.at: dict | None = None
         self.rows: dict[str, int] = {}
 
     # -- on the driver --------------------------------------------------
     def initialOffset(self) -> dict:  # noqa: N802 - Spark's name
-        return {"file": "", "row": 0}
+        return {"file": "", "row": 0, "read": 0}
 
     def _files(self, first: str) -> list[str]:
         from pyarrow import fs
@@ -57,7 +65,7 @@ class CursorReader(DataSourceStreamReader):
         return self.rows[name]
 
     def _slices(self, start: dict, count: int | None = None, end: dict | None = None) -> Iterator[Slice]:
-        left = count
+        left, at, read = count, 0, start.get("read", 0)
         for name in self._files(start["file"]):
             first = start["row"] if name == start["file"] else 0
             last = self._count(name)
@@ -67,18 +75,22 @@ class CursorReader(DataSourceStreamReader):
                 last = min(last, end["row"]) if name == end["file"] else last
             if left is not None:
                 last = min(last, first + left)
-            if first < last:
-                yield Slice(name, first, last)
+            taken = max(0, last - first)
+            # a task takes whole reads, and of a file no more than TASK_ROWS, or one read
+            while first < last:
+                rows = min(last - first, max(TASK_ROWS, self.count) // self.count * self.count - at % self.count)
+                yield Slice(name, first, first + rows, at, read)
+                first, at = first + rows, at + rows
             if left is not None:
-                left -= max(0, last - first)
+                left -= taken
                 if left <= 0:
                     return
 
     def latestOffset(self) -> dict:  # noqa: N802
         start = self.at or self._saved() or self.initialOffset()
         end = start
-        for s in self._slices(start, count=self.count):
-            end = {"file": s.file, "row": s.last}
+        for s in self._slices(start, count=self.count * self.reads):
+            end = {"file": s.file, "row": s.last, "read": s.read - (-(s.at + s.last - s.first) // self.count)}
         return end
 
     def partitions(self, start: dict, end: dict) -> list[Slice]:
@@ -109,14 +121,19 @@ class CursorReader(DataSourceStreamReader):
         from pyspark.sql.pandas.types import to_arrow_schema
         system, path = open_path(self.path)
         schema = to_arrow_schema(self.schema)
+        stored = pa.schema([f for f in schema if f.name != self.number])
         with system.open_input_file(f"{path}/{partition.file}") as f:
             file, at = pq.ParquetFile(f), 0
             for g in range(file.num_row_groups):
                 n = file.metadata.row_group(g).num_rows
                 lo, hi = max(partition.first - at, 0), min(partition.last - at, n)
                 if lo < hi:
-                    table = file.read_row_group(g, columns=schema.names).slice(lo, hi - lo)
-                    yield from pa.table([table[c].cast(t) for c, t in zip(schema.names, schema.types)], schema=schema).to_batches()
+                    table = file.read_row_group(g, columns=stored.names).slice(lo, hi - lo)
+                    columns = {c: table[c].cast(t) for c, t in zip(stored.names, stored.types)}
+                    if self.number:
+                        place = partition.at - partition.first + at
+                        columns[self.number] = pa.array((partition.read + (place + i) // self.count for i in range(lo, hi)), schema.field(self.number).type)
+                    yield from pa.table([columns[c] for c in schema.names], schema=schema).to_batches()
                 at += n
 
 
@@ -129,13 +146,18 @@ class BufferCursor(DataSource):
         return CursorReader(self.options, schema)
 
 
-def read_capped(spark: SparkSession, path: str, schema, checkpoint: str, count: int = 25) -> DataFrame:
-    """Streaming frame over the buffer at ``path``, ``count`` records a batch.
+def read_capped(spark: SparkSession, path: str, schema, checkpoint: str, count: int = 25, reads: int = 1,
+                number: str | None = None) -> DataFrame:
+    """Streaming frame over the buffer at ``path``, reads of ``count`` records, up to
+    ``reads`` of them a trigger, with the number of the read in the column ``number``.
 
     ``checkpoint`` is the folder of the stream that reads it; the cursor is kept there."""
     spark.dataSource.register(BufferCursor)
-    return (spark.readStream.format(FORMAT).schema(schema)
-            .options(path=path, cursor=f"{checkpoint}/cursor.json", count=str(count)).load())
+    options = {"path": path, "cursor": f"{checkpoint}/cursor.json", "count": str(count), "reads": str(reads)}
+    if number:
+        schema = (StructType.fromDDL(schema) if isinstance(schema, str) else StructType(list(schema.fields))).add(number, "long")
+        options["number"] = number
+    return spark.readStream.format(FORMAT).schema(schema).options(**options).load()
 
 
 def append_in_order(entries: DataFrame, path: str, number: int) -> None:

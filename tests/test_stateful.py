@@ -194,3 +194,28 @@ def test_numbered_places_every_row(spark):
     out = numbered(df, ["x"], "n")
     assert out.where("n != x").isEmpty() and out.count() == 5000
     assert numbered(df.limit(0), ["x"], "n").count() == 0
+
+
+def test_a_trigger_takes_many_numbered_reads(spark):
+    """A backlog costs a few triggers, not one for every read; no read is above its cap."""
+    run = new_run_dir(spark, "t-reads")
+    for i, ids in enumerate((range(0, 23), range(23, 24), range(24, 70))):
+        append_in_order(entries(spark, ids), f"{run}/buf", i)
+    triggers = []
+
+    def keep(df, trigger):
+        df.write.mode("overwrite").parquet(f"{run}/out/t={trigger}")
+        triggers.append(trigger)
+
+    def run_once():
+        q = (read_capped(spark, f"{run}/buf", ENTRY, f"{run}/ck", count=5, reads=6, number="read").writeStream.foreachBatch(keep)
+             .option("checkpointLocation", f"{run}/ck").trigger(processingTime="0 seconds").start())
+        q.processAllAvailable()
+        q.stop()
+
+    run_once()
+    assert len(triggers) == 3
+    append_in_order(entries(spark, range(70, 72)), f"{run}/buf", 3)
+    run_once()
+    got = {r.seq: r.read for r in spark.read.parquet(f"{run}/out").collect()}
+    assert got == {i: i // 5 for i in range(72)}
