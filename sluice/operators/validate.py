@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..functions.routes import normalise_uri
 from .compile import V, CompiledSchema, SchemaCompiler, references, sql_str
-from .nodes import SchemaTable, judged, schema_table, violations, walked
+from .nodes import SchemaTable, errors_inside, judged, schema_table, violations, walked
 
 MAX_COMPILED_SCHEMAS = 64
 MAX_COMPILED_BYTES = 4 << 20
@@ -182,10 +182,22 @@ def validate(messages: DataFrame, registry: DataFrame, design: str = "auto",
 
 
 def with_violations(staged: DataFrame, table: SchemaTable, assert_email: bool) -> DataFrame:
-    """Messages (``__uri``, ``data``, parsed ``__v``) with ``__errors``, validated as rows.
-
-    Messages meet their labels again by a digest of URI and payload, so equal
-    messages share them; only payloads with violations are on that side."""
+    """Messages (``__uri``, ``data``, parsed ``__v``) with ``__errors``.
+
+    Messages of documents that end by themselves meet their document and are
+    validated inside their row.  The others are validated as rows and meet their
+    labels again by a digest of URI and payload, so equal messages share them; only
+    payloads with violations are on that side."""
+    documents = table.whole.select(F.col("uri").alias("__uri"), F.col("root").alias("__root"), F.col("schemas").alias("__schemas"))
+    documents = documents.hint("broadcast" if table.whole_small else "shuffle_hash")
+    inside = errors_inside(staged.join(documents, "__uri"), V, table, assert_email, "__errors").select(*staged.columns, "__errors")
+    if not table.rest:
+        return inside
+    uris = table.whole.select(F.col("uri").alias("__uri"))
+    return inside.union(_with_row_violations(staged.join(uris, "__uri", "left_anti"), table, assert_email).select(*inside.columns))
+
+
+def _with_row_violations(staged: DataFrame, table: SchemaTable, assert_email: bool) -> DataFrame:
     keyed = staged.withColumn("__k", F.unhex(F.sha2(F.concat(F.col("__uri"), F.lit(" "), F.col("data")), 256)))
     payloads = keyed.where(F.col(V).isNotNull()).select(
         F.col("__k").alias("k"), F.concat("__uri", F.lit("#")).alias("sid"), F.col(V).alias("v"))

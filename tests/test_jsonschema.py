@@ -216,3 +216,37 @@ def test_more_nodes_than_the_default_bound_of_recursive_queries(spark):
                                    F.current_timestamp().alias("timestamp"), F.concat(F.lit(text[:-1] + ',"n":'), F.col("id"), F.lit("}")).alias("data"))
     out = val.validate(rows, reg)
     assert out.where("errors = array('type:kids[].v')").count() == 700
+
+
+def test_payloads_are_validated_inside_their_rows(spark, monkeypatch):
+    """Documents that end by themselves need no table of pairs; nested judgements fold as in ``violations``."""
+    docs = {"a": {"properties": {"x": {"anyOf": [{"type": "string"}, {"not": {"oneOf": [{"minimum": 5}, {"multipleOf": 2}]}}]},
+                                 "l": {"contains": {"required": ["q"]}, "maxContains": 1, "items": {"if": {"required": ["q"]}, "then": {"maxProperties": 1}, "else": {"minProperties": 1}}}},
+                  "propertyNames": {"maxLength": 2}},
+            "b": {"$defs": {"n": {"enum": [1, "1", None]}}, "items": {"$ref": "#/$defs/n"}, "minItems": 1, "contains": False}}
+    reg = spark.createDataFrame([(f"{BASE}/{k}/1.0.0", json.dumps(d)) for k, d in docs.items()], "schemaURI string, schema string")
+    texts = {"a": ['{"x":6}', '{"x":7}', '{"x":4}', '{"x":"s","long":1}', '{"l":[]}', '{"l":[{"q":1,"r":2},{}]}', '{"l":[{"q":1},{"q":2}]}', "null", "{", '{"l":[{"q":1},{"r":1}]}'],
+             "b": ["[1, 1.0, null]", "[]", "[2]", '"x"']}
+    rows = [(f"{k}{i}", f"{BASE}/{k}/1", t) for k, ts in texts.items() for i, t in enumerate(ts)]
+    msgs = envelopes(spark, rows)
+
+    def outcome():
+        val._MEMO.clear()
+        return {r.k: (r.status, r.errors) for d in ("compiled", "rules") for r in val.validate(msgs, reg, design=d).collect()}
+
+    monkeypatch.setattr(nodes, "WHOLE_NODES", 0)  # all as rows
+    want = outcome()
+    monkeypatch.undo()
+    monkeypatch.setattr(val, "violations", None)  # none as rows
+    assert outcome() == want and {s for s, _ in want.values()} == {"valid", "invalid", "error"}
+
+
+def test_deep_documents_are_judged_whole(spark):
+    def nested(n, inner):
+        return inner if n == 0 else '{"items":' + nested(n - 1, inner) + "}"
+
+    rows = [(i, nested(n, t), ok) for i, (n, t, ok) in enumerate(
+        (n, t, ok) for n in (0, 3, 23, 24, 25, 60) for t, ok in (('{"type":"string"}', True), ('{"type":"x"}', False)))]
+    df = spark.createDataFrame([*rows, (99, None, False), (98, "{", False)], "i int, s string, want boolean")
+    assert nodes.with_admission(df, "s", "ok").where("ok IS NULL OR ok != want").isEmpty()
+    assert nodes.with_admission(df.where("i < 4"), "s", "ok").where("ok IS NULL OR ok != want").isEmpty()
