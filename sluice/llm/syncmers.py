@@ -7,13 +7,14 @@ spaces, so an edit moves the cuts of a piece or two and no others.  A run of
 its first or last place.  The test looks at the run alone, so what two texts share
 gives the same anchors in both, wherever it stands.
 
-A fingerprint holds the digest of the text and the anchors (40 bits of hash, place
-among the pieces) whose hash is below a bound that falls with the square root of
-the text's length: ``DENSITY`` times that root at most are expected, all of them in
-short texts, so the count grows with the text.  Likeness matches anchors by
-position: of the common anchors under the lower of both bounds, those whose places
-differ by about the median difference count, against all anchors of both.  The
-digests count as one anchor more, so only equal texts are alike by 1.
+A fingerprint holds the digest of the text and its anchors (40 bits of hash, place
+among the pieces): all of them with ``density=None``, as ``edit_fingerprints`` takes
+them, else a sketch of those whose hash is below a bound that falls with the square
+root of the text's length (``density`` times that root at most are expected, all of
+them in short texts).  Likeness matches anchors by position: of the common anchors
+(of sketches: under the lower of both bounds), those whose places differ by about
+the median difference count, against all anchors of both.  The digests count as one
+anchor more, so only equal texts are alike by 1.
 
 Everything is built-in expressions over whole texts; no Python runs on the
 executors.
@@ -43,12 +44,14 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def bound(n: Column) -> Column:
-    """Anchors of a text of ``n`` pieces are kept below this hash."""
-    return (F.least(F.lit(1.0), F.lit(DENSITY) / F.sqrt(F.greatest(n, F.lit(1)))) * float(1 << BITS)).cast("bigint")
+def bound(n: Column, density: float | None = DENSITY) -> Column:
+    """Anchors of a text of ``n`` pieces are kept below this hash; without a density all are."""
+    if density is None:
+        return F.lit(1 << BITS)
+    return (F.least(F.lit(1.0), F.lit(density) / F.sqrt(F.greatest(n, F.lit(1)))) * float(1 << BITS)).cast("bigint")
 
 
-def anchors(hashes: Column) -> Column:
+def anchors(hashes: Column, density: float | None = DENSITY) -> Column:
     """Anchors of the pieces' hashes in order: ``array<struct<hash, pos>>``, below the bound.
 
     A text of fewer than K pieces has one anchor, its whole piece sequence; a
@@ -63,16 +66,16 @@ def anchors(hashes: Column) -> Column:
             return F.when(edge <= inner, F.struct(F.shiftrightunsigned(F.xxhash64(*run), 64 - BITS).alias("hash"), i.alias("pos")))
         whole = F.when(n > 0, F.array(F.struct(F.shiftrightunsigned(F.xxhash64(h), 64 - BITS).alias("hash"), F.lit(0).alias("pos")))) \
                  .otherwise(F.array().cast(_MARKS))
-        below = _let(bound(n), lambda b: F.filter(F.transform(F.sequence(F.lit(0), n - K), at), lambda m: m["hash"] < b))
+        below = _let(bound(n, density), lambda b: F.filter(F.transform(F.sequence(F.lit(0), n - K), at), lambda m: m["hash"] < b))
         return F.when(n < K, whole).otherwise(below)
 
     return closed(hashes)
 
 
-def fingerprint(text: Column) -> Column:
+def fingerprint(text: Column, density: float | None = DENSITY) -> Column:
     """``struct<whole, n, hash, pos>``: digest, pieces, and the anchors in order."""
     pieces = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
-    return _let(F.transform(pieces, lambda p: F.xxhash64(p)), lambda h: _let(anchors(h), lambda m: F.struct(
+    return _let(F.transform(pieces, lambda p: F.xxhash64(p)), lambda h: _let(anchors(h, density), lambda m: F.struct(
         F.xxhash64(text).alias("whole"), F.size(h).alias("n"), m["hash"].alias("hash"), m["pos"].alias("pos"))))
 
 
@@ -84,21 +87,27 @@ def as_string(fp: Column) -> Column:
     return F.array_join(F.concat(F.array(F.lpad(F.lower(F.hex(fp["whole"])), 16, "0")), F.transform(fp["hash"], mark)), ".")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1; 1 for equal texts only."""
-    def place(fp: Column, h: Column) -> Column:
-        return F.get(fp["pos"], F.array_position(fp["hash"], h).cast("int") - 1)
+def likeness(a: Column, b: Column, density: float | None = DENSITY) -> Column:
+    """0 to 1; 1 for equal texts only.  ``density`` is that of both fingerprints.
 
-    def share(x: Column) -> Column:
-        kept = [F.array_distinct(F.filter(fp["hash"], lambda h: h < x["limit"])) for fp in (a, b)]
-        moved = F.array_sort(F.transform(F.array_intersect(*kept), lambda h: place(a, h) - place(b, h)))
+    Anchors meet by sorting, so long texts cost little more than their length."""
+    def marks(fp: Column, side: int, limit: Column) -> Column:
+        all_of = F.zip_with(fp["hash"], fp["pos"], lambda h, p: F.struct(h.alias("hash"), F.lit(side).alias("side"), p.alias("pos")))
+        return F.filter(all_of, lambda m: m["hash"] < limit)
+
+    def firsts(m: Column) -> Column:
+        return F.filter(m, lambda x, i: (i == 0) | (F.get(m, i - 1)["hash"] != x["hash"]) | (F.get(m, i - 1)["side"] != x["side"]))
+
+    def share(d: Column) -> Column:
+        met = F.transform(d, lambda x, i: F.when((x["side"] == 0) & (F.get(d, i + 1)["hash"] == x["hash"]), x["pos"] - F.get(d, i + 1)["pos"]))
         middle = F.lit(SLACK) + F.lit(SLACK_SHARE) * F.greatest(a["n"], b["n"])
-        near = _let(moved, lambda d: F.size(F.filter(d, lambda o: F.abs(o - F.get(d, F.floor(F.size(d) / 2).cast("int"))) <= middle)))
-        return (near + F.when(a["whole"] == b["whole"], 1).otherwise(0)) / (F.size(F.array_union(*kept)) + 1)
+        near = lambda o: F.size(F.filter(o, lambda q: F.abs(q - F.get(o, F.floor(F.size(o) / 2).cast("int"))) <= middle))
+        return _let(F.sort_array(F.array_compact(met)), lambda o: (near(o) + F.when(a["whole"] == b["whole"], 1).otherwise(0)) / (F.size(d) - F.size(o) + 1))
 
     # a short text's one anchor is always kept
-    limit = F.greatest(F.least(bound(a["n"]), bound(b["n"])), F.when(F.least(a["n"], b["n"]) < K, F.lit(1 << BITS)).otherwise(F.lit(0)))
-    return F.when(a["whole"] == b["whole"], 1.0).otherwise(_let(F.struct(limit.alias("limit")), share)).cast("double")
+    limit = F.greatest(F.least(bound(a["n"], density), bound(b["n"], density)), F.when(F.least(a["n"], b["n"]) < K, F.lit(1 << BITS)).otherwise(F.lit(0)))
+    sorted_marks = _let(limit, lambda x: F.sort_array(F.concat(marks(a, 0, x), marks(b, 1, x))))
+    return F.when(a["whole"] == b["whole"], 1.0).otherwise(_let(sorted_marks, lambda m: _let(firsts(m), share))).cast("double")
 
 
 def _order_buckets(rows: DataFrame, bucket_rows: int) -> Column:
@@ -146,7 +155,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, carry: dict[str, Colu
              .select("bucket", "text", *[c.alias(k) for k, c in carry.items()])
              .join(after, "bucket").select(F.col("before").alias("bucket"), F.struct(*names).alias("head")))
     w = Window.partitionBy("bucket").orderBy(F.col("id").desc_nulls_last(), F.desc("text"))
-    full = rows.select("*", number.alias("bucket"), *[c.alias(k) for k, c in carry.items()])
+    # texts are moved, and what is worked out from them is not
+    full = rows.select("*", number.alias("bucket")).repartition("bucket").select("*", *[c.alias(k) for k, c in carry.items()])
     led = full.withColumn("follow", F.lead(F.struct(*names)).over(w)).join(first, "bucket")
     return led.select("id", *names, *[F.coalesce(f"follow.{n}", f"head.{n}").alias(f"next_{n}") for n in names])
 
@@ -162,15 +172,15 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     result.  Returns id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next.
     """
-    rows = with_next(docs, id_col, text_col, {"fp": fingerprint(F.col("text"))})
+    rows = with_next(docs, id_col, text_col, {"fp": fingerprint(F.col("text"), None)})
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     edited = rows.select("id", "fp", "next_fp", n.cast("bigint").alias("n_chars"), F.concat(
         F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)).alias("edited"))
     made = edited.select("id", "fp", "next_fp", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                         fingerprint(F.col("edited")).alias("efp"))
+                         fingerprint(F.col("edited"), None).alias("efp"))
     return made.select(F.col("id").alias(id_col), "n_chars", "edited_sha256",
                        as_string(F.col("fp")).alias("fingerprint"),
                        as_string(F.col("efp")).alias("edited_fingerprint"),
-                       likeness(F.col("fp"), F.col("efp")).alias("near_edited"),
-                       likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+                       likeness(F.col("fp"), F.col("efp"), None).alias("near_edited"),
+                       likeness(F.col("fp"), F.col("next_fp"), None).alias("near_next"))

@@ -138,3 +138,16 @@ def test_likeness_follows_the_definition(spark):
         slack = 8 + 0.2 * max(a.n, b.n)
         good = sum(abs(o - moved[len(moved) // 2]) <= slack for o in moved)
         assert abs(near(spark, " ".join(base), " ".join(other)) - good / (len({*ha, *hb}) + 1)) < 1e-9
+
+
+def test_fingerprints_of_documents_hold_every_anchor(spark):
+    text = " ".join(prose(3000, 7))
+    pieces = [p for w in text.split() for p in re.findall(r"\S{0,15}?[aouAOU05]|\S{1,16}", w)]
+    h = [r.h for r in spark.createDataFrame(list(enumerate(pieces)), "i int, p string").orderBy("i").select(F.xxhash64("p").alias("h")).collect()]
+    places = [i for i in range(len(h) - 3) if min(h[i], h[i + 3]) <= min(h[i + 1], h[i + 2])]
+    (marks,) = [r.fingerprint.split(".")[1:] for r in run(spark, [(1, text), (2, "")]) if r.doc_id == 1]
+    at, got = 0, []
+    for m in marks:
+        at += int(m.split("+")[1], 16)
+        got.append(at)
+    assert got == places
