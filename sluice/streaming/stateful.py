@@ -13,6 +13,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -59,47 +60,61 @@ def back_off_ms(key: str, attempts: int, base: int, most: int) -> int:
     return wait // 2 + zlib.crc32(f"{key} {attempts}".encode()) % (wait // 2 + 1)
 
 
-class Redelivery(StatefulProcessor):
-    """Delivers entries until they are acknowledged, one state row per open entry.
+#: Ids are dealt to so many groups.  A group keeps its open entries as one row of state
+#: and is worked through as columns: a Python call for a group, not for an entry.
+BUCKETS = 4096
+#: ``seq`` goes as text, as pandas would make it a float next to nulls.
+OPEN = pa.schema([("id", pa.string()), ("seq", pa.string()), ("origin", pa.string()), ("schemaURI", pa.string()),
+                  ("timestamp", pa.timestamp("us")), ("data", pa.string()), ("attempts", pa.int32()), ("due", pa.int64())])
 
-    Rows ``(kind, id, seq, origin, schemaURI, timestamp, data)``: an ``entry`` is
-    delivered at once and again whenever its timer ends; an ``ack`` ends it.  An
-    acknowledgement beats entries of its id in the same batch.
-    """
 
-    def __init__(self, base_ms: int, most_ms: int):
-        self.base_ms, self.most_ms = base_ms, most_ms
+def _packed(entries: pd.DataFrame) -> bytes:
+    out = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(entries, schema=OPEN, preserve_index=False)
+    with pa.ipc.new_stream(out, OPEN) as w:
+        w.write_table(table)
+    return out.getvalue().to_pybytes()
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", f"{_BODY}, attempts int, due long")
-
-    def _deliver(self, key: str, body: tuple, attempts: int, now: int) -> pd.DataFrame:
-        due = now + back_off_ms(key, attempts, self.base_ms, self.most_ms)
-        self.open.update((*body, attempts, due))
-        self.handle.registerTimer(due)
-        return pd.DataFrame([(key, *body, attempts)], columns=["id", "seq", "origin", "schemaURI", "timestamp", "data", "attempts"])
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803 - Spark's names
-        first, acked = None, False
-        for batch in rows:
-            acked = acked or bool((batch["kind"] == "ack").any())
-            if first is None and len(batch):
-                first = tuple(batch.iloc[0][["seq", "origin", "schemaURI", "timestamp", "data"]])
-        if acked:
-            if self.open.exists():
-                self.handle.deleteTimer(self.open.get()[-1])
-                self.open.clear()
-        elif first is not None and not self.open.exists():
-            yield self._deliver(key[0], (int(first[0]), *first[1:]), 1, timerValues.getCurrentProcessingTimeInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
-        if self.open.exists():
-            *body, attempts, _ = self.open.get()
-            yield self._deliver(key[0], tuple(body), attempts + 1, timerValues.getCurrentProcessingTimeInMs())
 
-    def close(self) -> None:
-        pass
+def _unpacked(held: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(held).read_all().to_pandas()
+
+
+def _with_numbers(entries: pd.DataFrame) -> pd.DataFrame:
+    return entries.assign(seq=pd.array([None if pd.isna(x) else int(x) for x in entries["seq"]], dtype="Int64"))
+
+
+def redelivery(base_ms: int, most_ms: int):
+    """Delivers the entries of a bucket until they are acknowledged.
+
+    Rows ``(kind, id, seq, origin, schemaURI, timestamp, data)``: an ``entry`` is
+    delivered at once and again whenever it is due; an ``ack`` ends it.  An
+    acknowledgement beats entries of its id in the same batch.  The bucket's timer
+    is that of its first entry due.
+    """
+    def deliver(key, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        held = _unpacked(state.get[0]) if state.exists else OPEN.empty_table().to_pandas()
+        fresh = held.iloc[:0]
+        if not state.hasTimedOut:
+            new = pd.concat(list(rows))
+            acked = new.loc[new["kind"] == "ack", "id"]
+            held = held[~held["id"].isin(acked)]
+            fresh = new[(new["kind"] == "entry") & ~new["id"].isin(acked) & ~new["id"].isin(held["id"])].drop_duplicates("id")
+            fresh = fresh.assign(attempts=0, due=now)[OPEN.names]
+        late = held["due"] <= now
+        out = pd.concat([held[late], fresh]) if len(fresh) else held[late]
+        out = out.assign(attempts=out["attempts"] + 1)
+        out = out.assign(due=[now + back_off_ms(i, int(n), base_ms, most_ms) for i, n in zip(out["id"], out["attempts"])])
+        held = pd.concat([held[~late], out]) if len(out) else held[~late]
+        if len(held):
+            state.update((_packed(held),))
+            state.setTimeoutDuration(max(1, int(held["due"].min()) - now))
+        elif state.exists:
+            state.remove()
+        yield _with_numbers(out).drop(columns="due")
+
+    return deliver
 
 
 class RedeliveryFlow:
@@ -128,8 +143,9 @@ class RedeliveryFlow:
     def _input(self, entries: DataFrame) -> DataFrame:
         acks = self.spark.readStream.schema("id string").parquet(f"{self.acks}/*").select(
             F.lit("ack").alias("kind"), "id", *[F.lit(None).cast(t).alias(c) for c, t in (
-                ("seq", "long"), ("origin", "string"), ("schemaURI", "string"), ("timestamp", "timestamp"), ("data", "string"))])
-        return entries.select(F.lit("entry").alias("kind"), *buf.ENTRY_COLUMNS).unionByName(acks)
+                ("seq", "string"), ("origin", "string"), ("schemaURI", "string"), ("timestamp", "timestamp"), ("data", "string"))])
+        own = entries.withColumn("seq", F.col("seq").cast("string")).select(F.lit("entry").alias("kind"), *buf.ENTRY_COLUMNS)
+        return own.unionByName(acks).withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)))
 
     def run_batch(self, deliveries: DataFrame, batch_id: int) -> None:
         if fs_exists(self.spark, f"{self.outcomes}/batch={batch_id}/_SUCCESS"):
@@ -160,26 +176,34 @@ class RedeliveryFlow:
             deliveries.unpersist()
 
     def start(self, entries: DataFrame, checkpoint: str, trigger: dict | None = None):
-        deliveries = self._input(entries).groupBy("id").transformWithStateInPandas(
-            Redelivery(self.base_ms, self.most_ms), DELIVERY, "Append", "ProcessingTime")
+        deliveries = self._input(entries).groupBy("bucket").applyInPandasWithState(
+            redelivery(self.base_ms, self.most_ms), DELIVERY, "open binary", "append", "ProcessingTimeTimeout")
         w = deliveries.writeStream.foreachBatch(self.run_batch).option("checkpointLocation", checkpoint)
         return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
     def open_frame(self, checkpoint: str) -> DataFrame:
         """Entries delivered and not yet acknowledged, read from the state store."""
-        state = self.spark.read.format("statestore").option("stateVarName", "open").load(checkpoint)
-        return state.select(F.col("key.id").alias("id"), "value.*")
+        state = self.spark.read.format("statestore").load(checkpoint).select(F.col("value.groupState.open").alias("open"))
+
+        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for held in batches:
+                yield from (_with_numbers(_unpacked(x)) for x in held["open"])
+
+        return state.mapInPandas(rows, f"{DELIVERY}, due long")
 
     def run_until_acknowledged(self, entries: DataFrame, checkpoint: str, timeout: float = 600.0,
                                trigger: dict | None = None) -> None:
         """Run the stream until its input is read and every entry is acknowledged."""
         import time
         query, deadline = self.start(entries, checkpoint, trigger or {"processingTime": "0 seconds"}), time.time() + timeout
+        first = None
         try:
             while query.isActive and time.time() < deadline:
                 time.sleep(0.2)
                 p = query.lastProgress
-                if p and p.batchId > 0 and p.numInputRows == 0 and not query.status["isDataAvailable"] \
+                # the first batch may be one planned before a restart, without what came since
+                first = p.batchId if p and first is None else first
+                if p and p.batchId > max(0, first) and p.numInputRows == 0 and not query.status["isDataAvailable"] \
                         and sum(s.numRowsTotal for s in p.stateOperators) == 0:
                     break
             else:

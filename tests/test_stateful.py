@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from sluice.operators.sequence import numbered
 from sluice.session import new_run_dir
 from sluice.sources.cursor import append_in_order, read_capped
 from sluice.sources.store import put_batch, register_store, stored
-from sluice.streaming.progress import PartitionLog, watched
+from sluice.streaming.progress import PartitionLog, stop_after_current_batch, watched
 from sluice.streaming.stateful import (RedeliveryFlow, answer_request_stream, back_off_ms, unique_stream, use_state_store)
 
 NOW = {"availableNow": True}
@@ -219,3 +220,25 @@ def test_a_trigger_takes_many_numbered_reads(spark):
     run_once()
     got = {r.seq: r.read for r in spark.read.parquet(f"{run}/out").collect()}
     assert got == {i: i // 5 for i in range(72)}
+
+
+def test_open_entries_of_a_bucket_are_one_row_of_state(spark, monkeypatch):
+    """Many ids share a group and a timer; every one is delivered and acknowledged by itself."""
+    from sluice.streaming import stateful
+    monkeypatch.setattr(stateful, "BUCKETS", 2)
+    run = new_run_dir(spark, "t-buckets")
+    big = 2**60
+    append(entries(spark, range(30)).withColumn("seq", F.col("seq") + F.lit(big)), f"{run}/src")
+    flow = RedeliveryFlow(spark, f"{run}/state", fail=lambda g: g.where("seq % 3 = 0"), base_ms=50, most_ms=100)
+    q = flow.start(one_by_one(spark, f"{run}/src", ENTRY), f"{run}/ck", {"processingTime": "0 seconds"})
+    end = time.time() + 60
+    while time.time() < end and (q.lastProgress is None or q.lastProgress.batchId < 2):
+        time.sleep(0.1)
+    stop_after_current_batch(q)
+    held = flow.open_frame(f"{run}/ck").collect()
+    assert {r.seq for r in held} == {big + i for i in range(30) if (big + i) % 3 == 0} and min(r.attempts for r in held) >= 1
+    assert q.lastProgress.stateOperators[0].numRowsTotal <= 2
+    flow = RedeliveryFlow(spark, f"{run}/state", base_ms=50, most_ms=100)
+    flow.run_until_acknowledged(one_by_one(spark, f"{run}/src", ENTRY), f"{run}/ck", timeout=60)
+    assert sorted(r.seq for r in flow.target_frame().collect()) == [big + i for i in range(30)]
+    assert flow.open_frame(f"{run}/ck").isEmpty()
