@@ -126,3 +126,11 @@ def test_last_before_on_times_carries_across_narrow_buckets(spark):
     for k, t, _ in rows:
         before = [(u, w) for j, u, w in rows if j == k and u < t and w is not None]
         assert got[k, t] == (max(before)[1] if before else None)
+
+
+def test_bulk_registration_of_versions_past_one_part(spark, tmp_path):
+    keys = [0, 49, 51_199, 51_200, 60_000]
+    spark.createDataFrame([(k, f"s{k}") for k in keys], "s_suppkey bigint, s_name string").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {r.required: r.key for r in E.queries()["q50_bulk_register"](spark, str(tmp_path)).collect()}
+    assert got == {"s0": "schema:supplier0:1.0.0", "s49": "schema:supplier49:1.0.0", "s51199": "schema:supplier49:1.1023.0",
+                   "s51200": "schema:supplier0:1.0.1", "s60000": "schema:supplier0:1.176.1"}
