@@ -34,9 +34,14 @@ DENSITY = 6.0
 SLACK = 8
 SLACK_SHARE = 0.2
 _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}"
-#: A piece ends after one of these characters, or after 16.
-PIECE = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]{{0,15}}?[aouAOU05]|[^\s{_UNSPACED}]{{1,16}}"
-_MARKS = "array<struct<hash:bigint,pos:int>>"
+_ENDS = "aouAOU05"
+#: ASCII is told by one look-up, before the slow tests for scripts.
+_INNER = "".join(rf"\x{c:02x}" for c in range(0x21, 0x7F) if chr(c) not in _ENDS)
+_OTHER = rf"[^\s!-~{_UNSPACED}]"
+#: A piece ends after one of ``_ENDS``, or after 16 characters; a character of unspaced scripts is a piece.
+PIECE = rf"[[{_INNER}]{_OTHER}]{{1,15}}+[[{_INNER}{_ENDS}]{_OTHER}]?|[{_ENDS}]|[[^\x00-\x7f]&&[{_UNSPACED}]]"
+#: Sort keys hold the hash and so many bits of place and side; longer texts take structs.
+LOW = 64 - BITS
 
 
 def _let(value: Column, body) -> Column:
@@ -52,7 +57,7 @@ def bound(n: Column, density: float | None = DENSITY) -> Column:
 
 
 def anchors(hashes: Column, density: float | None = DENSITY) -> Column:
-    """Anchors of the pieces' hashes in order: ``array<struct<hash, pos>>``, below the bound.
+    """Anchors of the pieces' hashes in order, below the bound: ``struct<hash, pos>`` of arrays.
 
     A text of fewer than K pieces has one anchor, its whole piece sequence; a
     text without pieces has none.
@@ -60,14 +65,22 @@ def anchors(hashes: Column, density: float | None = DENSITY) -> Column:
     def closed(h: Column) -> Column:
         n = F.size(h)
 
-        def at(i: Column) -> Column:
-            run = [F.get(h, i + j) for j in range(K)]
-            edge, inner = F.least(run[0], run[-1]), F.least(*run[1:-1])
-            return F.when(edge <= inner, F.struct(F.shiftrightunsigned(F.xxhash64(*run), 64 - BITS).alias("hash"), i.alias("pos")))
-        whole = F.when(n > 0, F.array(F.struct(F.shiftrightunsigned(F.xxhash64(h), 64 - BITS).alias("hash"), F.lit(0).alias("pos")))) \
-                 .otherwise(F.array().cast(_MARKS))
-        below = _let(bound(n, density), lambda b: F.filter(F.transform(F.sequence(F.lit(0), n - K), at), lambda m: m["hash"] < b))
-        return F.when(n < K, whole).otherwise(below)
+        def run(i: Column) -> list[Column]:
+            return [F.get(h, i + j if j else i) for j in range(K)]
+
+        def edge(i: Column) -> Column:
+            first, *inner, last = run(i)
+            return F.least(first, last) <= F.least(*inner)
+
+        def mark(i: Column) -> Column:
+            return F.shiftrightunsigned(F.xxhash64(*run(i)), 64 - BITS)
+
+        places = F.filter(F.sequence(F.lit(0), n - K), edge)
+        if density is not None:
+            places = _let(bound(n, density), lambda b: F.filter(places, lambda i: mark(i) < b))
+        whole = F.filter(F.array(F.lit(0)), lambda _: n > 0)
+        return F.when(n < K, F.struct(F.transform(whole, lambda _: F.shiftrightunsigned(F.xxhash64(h), 64 - BITS)).alias("hash"), whole.alias("pos"))) \
+                .otherwise(_let(places, lambda at: F.struct(F.transform(at, mark).alias("hash"), at.alias("pos"))))
 
     return closed(hashes)
 
@@ -81,33 +94,72 @@ def fingerprint(text: Column, density: float | None = DENSITY) -> Column:
 
 def as_string(fp: Column) -> Column:
     """Digest, then every anchor with the distance to the one before."""
-    def mark(h: Column, i: Column) -> Column:
-        gap = F.get(fp["pos"], i) - F.when(i > 0, F.get(fp["pos"], i - 1)).otherwise(F.lit(0))
-        return F.concat(F.lpad(F.lower(F.hex(h)), BITS // 4, "0"), F.lit("+"), F.lower(F.hex(gap)))
-    return F.array_join(F.concat(F.array(F.lpad(F.lower(F.hex(fp["whole"])), 16, "0")), F.transform(fp["hash"], mark)), ".")
+    gaps = _let(fp["pos"], lambda pos: F.transform(pos, lambda p, i: p - F.coalesce(F.get(pos, i - 1), F.lit(0))))
+    marks = F.zip_with(fp["hash"], gaps, lambda h, g: F.concat(F.lpad(F.hex(h), BITS // 4, "0"), F.lit("+"), F.hex(g)))
+    return F.lower(F.concat_ws(".", F.lpad(F.hex(fp["whole"]), 16, "0"), marks))
 
 
-def likeness(a: Column, b: Column, density: float | None = DENSITY) -> Column:
-    """0 to 1; 1 for equal texts only.  ``density`` is that of both fingerprints.
+#: The last anchor of ``a`` and the first of ``b`` with a hash stand side by side.
+_LOWS = (lambda p: -1 - p, lambda p: p)
 
-    Anchors meet by sorting, so long texts cost little more than their length."""
-    def marks(fp: Column, side: int, limit: Column) -> Column:
-        all_of = F.zip_with(fp["hash"], fp["pos"], lambda h, p: F.struct(h.alias("hash"), F.lit(side).alias("side"), p.alias("pos")))
-        return F.filter(all_of, lambda m: m["hash"] < limit)
 
-    def firsts(m: Column) -> Column:
-        return F.filter(m, lambda x, i: (i == 0) | (F.get(m, i - 1)["hash"] != x["hash"]) | (F.get(m, i - 1)["side"] != x["side"]))
+def meeting(a: Column, b: Column, density: float | None = DENSITY) -> Column:
+    """Anchors of both, sorted by hash, those of ``a`` first and from its end: ``hash`` and
+    ``low`` packed in numbers, which sort fast.  Null if a place does not fit."""
+    def keys(fp: Column, low) -> Column:
+        return F.zip_with(fp["hash"], fp["pos"], lambda h, p: F.coalesce(F.shiftleft(h, LOW) + (low(p) + (1 << LOW - 1)), F.lit(0)))
+    return F.when(F.greatest(a["n"], b["n"]) <= 1 << LOW - 1, F.sort_array(F.concat(
+        *[keys(_below(fp, a, b, density), low) for fp, low in zip((a, b), _LOWS)])))
 
-    def share(d: Column) -> Column:
-        met = F.transform(d, lambda x, i: F.when((x["side"] == 0) & (F.get(d, i + 1)["hash"] == x["hash"]), x["pos"] - F.get(d, i + 1)["pos"]))
-        middle = F.lit(SLACK) + F.lit(SLACK_SHARE) * F.greatest(a["n"], b["n"])
-        near = lambda o: F.size(F.filter(o, lambda q: F.abs(q - F.get(o, F.floor(F.size(o) / 2).cast("int"))) <= middle))
-        return _let(F.sort_array(F.array_compact(met)), lambda o: (near(o) + F.when(a["whole"] == b["whole"], 1).otherwise(0)) / (F.size(d) - F.size(o) + 1))
 
+def _below(fp: Column, a: Column, b: Column, density: float | None) -> Column:
+    """The anchors of ``fp`` that the bounds of both ``a`` and ``b`` keep."""
+    if density is None:
+        return fp
     # a short text's one anchor is always kept
     limit = F.greatest(F.least(bound(a["n"], density), bound(b["n"], density)), F.when(F.least(a["n"], b["n"]) < K, F.lit(1 << BITS)).otherwise(F.lit(0)))
-    sorted_marks = _let(limit, lambda x: F.sort_array(F.concat(marks(a, 0, x), marks(b, 1, x))))
-    return F.when(a["whole"] == b["whole"], 1.0).otherwise(_let(sorted_marks, lambda m: _let(firsts(m), share))).cast("double")
+    return _let(F.struct(limit.alias("limit"), fp["hash"].alias("hash"), fp["pos"].alias("pos")), lambda m: F.struct(
+        F.filter(m["hash"], lambda h: h < m["limit"]).alias("hash"),
+        F.filter(m["pos"], lambda _, i: F.get(m["hash"], i) < m["limit"]).alias("pos")))
+
+
+def likeness(a: Column, b: Column, density: float | None = DENSITY, met: Column | None = None) -> Column:
+    """0 to 1; 1 for equal texts only.  ``density`` is that of both fingerprints, ``met`` their
+    ``meeting``, which sorts fastest as a column of its own.
+
+    Anchors meet by sorting, so long texts cost little more than their length."""
+    again = F.lit(-1 << 62)
+
+    def moves(s: Column, of, low) -> Column:
+        """By anchor: null for a new hash, the distance of a common one, ``again`` for others."""
+        def move(x: Column, y: Column) -> Column:
+            return F.when(of(x) == of(y), F.when((low(x) < 0) & (low(y) >= 0), -1 - low(x) - low(y)).otherwise(again))
+        return F.transform(s, lambda y, i: move(F.get(s, i - 1), y))
+
+    def packed(s: Column) -> Column:
+        return moves(s, lambda v: F.shiftright(v, LOW), lambda v: v.bitwiseAND((1 << LOW) - 1) - (1 << LOW - 1))
+
+    def wide(s: Column) -> Column:
+        return moves(s, lambda v: v["hash"], lambda v: v["low"])
+
+    def near(o: Column) -> Column:
+        middle = F.lit(SLACK) + F.lit(SLACK_SHARE) * F.greatest(a["n"], b["n"])
+        return _let(F.struct(F.get(o, F.floor(F.size(o) / 2).cast("int")).alias("at"), middle.alias("off")),
+                    lambda m: F.size(F.filter(o, lambda q: F.abs(q - m["at"]) <= m["off"])))
+
+    def share(d: Column) -> Column:
+        old = F.array_compact(d)
+        return _let(old, lambda e: _let(F.sort_array(F.array_remove(e, again)), lambda o: near(o) / (F.size(d) - F.size(e) + 1)))
+
+    def structs(fp: Column, low) -> Column:
+        return F.zip_with(fp["hash"], fp["pos"], lambda h, p: F.struct(h.alias("hash"), low(p).cast("bigint").alias("low")))
+
+    def moved(s: Column) -> Column:
+        slow = F.sort_array(F.concat(*[structs(_below(fp, a, b, density), low) for fp, low in zip((a, b), _LOWS)]))
+        return F.when(s.isNotNull(), _let(s, packed)).otherwise(_let(slow, wide))
+
+    all_moves = _let(meeting(a, b, density), moved) if met is None else moved(met)
+    return F.when(a["whole"] == b["whole"], 1.0).otherwise(_let(all_moves, share)).cast("double")
 
 
 def _order_buckets(rows: DataFrame, bucket_rows: int) -> Column:
@@ -179,8 +231,9 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)).alias("edited"))
     made = edited.select("id", "fp", "next_fp", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                          fingerprint(F.col("edited"), None).alias("efp"))
-    return made.select(F.col("id").alias(id_col), "n_chars", "edited_sha256",
-                       as_string(F.col("fp")).alias("fingerprint"),
-                       as_string(F.col("efp")).alias("edited_fingerprint"),
-                       likeness(F.col("fp"), F.col("efp"), None).alias("near_edited"),
-                       likeness(F.col("fp"), F.col("next_fp"), None).alias("near_next"))
+    fp, efp, after = (F.col(c) for c in ("fp", "efp", "next_fp"))
+    met = made.select("*", meeting(fp, efp, None).alias("met_edited"), meeting(fp, after, None).alias("met_next"))
+    return met.select(F.col("id").alias(id_col), "n_chars", "edited_sha256",
+                      as_string(fp).alias("fingerprint"), as_string(efp).alias("edited_fingerprint"),
+                      likeness(fp, efp, None, F.col("met_edited")).alias("near_edited"),
+                      likeness(fp, after, None, F.col("met_next")).alias("near_next"))

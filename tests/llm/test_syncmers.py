@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -151,3 +152,54 @@ def test_fingerprints_of_documents_hold_every_anchor(spark):
         at += int(m.split("+")[1], 16)
         got.append(at)
     assert got == places
+
+
+PLAIN_PIECE = (r"[{0}]|[^\s{0}]{{0,15}}?[aouAOU05]|[^\s{0}]{{1,16}}").format(
+    r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}")
+
+
+def test_pieces_follow_the_plain_pattern(spark):
+    rng = random.Random(11)
+    alphabets = ["bcdfgh", "bcdfgha", "aou05AOU", "xyz \t\n\x0b\f\r", "b漢ひカกກក", "жяé😀aβ", "b~!-[]^&\\.`@/1469\x00\x1f\x7f\x85\xa0　a",
+                 "".join(map(chr, range(1, 256)))]
+    texts = ["", "b" * 15 + "a", "b" * 16 + "a", "b" * 14 + "a", "b" * 33, "b" * 15 + "é" + "a", "é" * 15 + "0é", "漢a", "a漢", "b漢"]
+    texts += ["".join(rng.choices(a, k=rng.randrange(60))) for a in [*alphabets, "".join(alphabets)] for _ in range(80)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    cut_at = [F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in (PLAIN_PIECE, syncmers.PIECE)]
+    assert df.where(~cut_at[0].eqNullSafe(cut_at[1])).collect() == []
+
+
+def test_pieces_take_less_time_than_the_plain_pattern(spark):
+    df = spark.createDataFrame([(" ".join(prose(30_000, i)),) for i in range(16)], "t string").cache()
+    df.count()
+
+    def seconds(pattern):
+        begun = time.perf_counter()
+        df.select(F.size(F.regexp_extract_all("t", F.lit(pattern), F.lit(0)))).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - begun
+
+    plain, ours = (min(seconds(p) for _ in range(4)) for p in (PLAIN_PIECE, syncmers.PIECE))
+    assert 1.3 * ours < plain
+
+
+def test_anchors_meet_as_numbers_in_a_column_of_their_own(spark):
+    df = spark.createDataFrame([(i, " ".join(prose(40, i))) for i in range(6)], "doc_id bigint, text string")
+    plan = edit_fingerprints(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS met_edited" in plan and "AS met_next" in plan
+    a, b = (syncmers.fingerprint(F.lit(t), None) for t in ("one two three four", "five six"))
+    assert spark.range(1).select(syncmers.meeting(a, b, None).alias("m")).schema["m"].dataType.simpleString() == "array<bigint>"
+
+
+def test_anchors_meet_alike_as_structs(spark):
+    rng = random.Random(4)
+    some = prose(300, 2)
+    pairs = [(some, some[:200] + prose(90, 3)), (some * 3, some * 2 + prose(10, 5)), (some, some[150:] + some[:150]), (some, []), (["b"], ["b", "c"])]
+    pairs += [(rng.choices(some[:8], k=90), rng.choices(some[:8], k=70)) for _ in range(8)]
+    df = spark.createDataFrame([(" ".join(a), " ".join(b)) for a, b in pairs], "a string, b string")
+    for density in (None, 6.0):
+        fps = df.select(*[syncmers.fingerprint(F.col(c), density).alias(c) for c in "ab"])
+        a, b = F.col("a"), F.col("b")
+        got = fps.withColumn("m", syncmers.meeting(a, b, density)).select(
+            syncmers.likeness(a, b, density), syncmers.likeness(a, b, density, F.col("m")),
+            syncmers.likeness(a, b, density, F.lit(None).cast("array<bigint>"))).collect()
+        assert all(x == y == z for x, y, z in got) and 0 < got[0][0] < 1
