@@ -246,6 +246,7 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
     ``rules`` takes a ``rules_by_uri`` result to reuse across micro-batches.
     """
     per_uri, n_bytes, table = rules or rules_by_uri(registry, assert_email)
+    barred = broadcast is False
     if broadcast is None:
         broadcast = n_bytes <= BROADCAST_MAX_BYTES
     cols = messages.columns
@@ -272,7 +273,7 @@ def validate_rules(messages: DataFrame, registry: DataFrame, assert_email: bool
         checked = j.select(*state, errs.alias("__errors"))
     else:
         checked = j.where(~as_rows).select(*state, errs.alias("__errors")).union(
-            with_violations(j.where(as_rows), table, assert_email).select(*state, "__errors"))
+            with_violations(j.where(as_rows), table, assert_email, not barred).select(*state, "__errors"))
     status, reason = _status(F.col("__uri"), F.col("__known"), F.col("__unresolved"), F.col("__v"), F.col("__errors"),
                              F.col("__broken"))
     return emit_outcome(checked, cols, status, reason,

@@ -181,15 +181,15 @@ def validate(messages: DataFrame, registry: DataFrame, design: str = "auto",
     return validate_compiled(messages, compiled, assert_email)
 
 
-def with_violations(staged: DataFrame, table: SchemaTable, assert_email: bool) -> DataFrame:
+def with_violations(staged: DataFrame, table: SchemaTable, assert_email: bool, broadcast: bool = True) -> DataFrame:
     """Messages (``__uri``, ``data``, parsed ``__v``) with ``__errors``.
 
     Messages of documents that end by themselves meet their document and are
     validated inside their row.  The others are validated as rows and meet their
     labels again by a digest of URI and payload, so equal messages share them; only
-    payloads with violations are on that side."""
+    payloads with violations are on that side.  Small documents are broadcast unless ``broadcast`` is false."""
     documents = table.whole.select(F.col("uri").alias("__uri"), F.col("root").alias("__root"), F.col("schemas").alias("__schemas"))
-    documents = documents.hint("broadcast" if table.whole_small else "shuffle_hash")
+    documents = documents.hint("broadcast" if broadcast and table.whole_small else "shuffle_hash")
     inside = errors_inside(staged.join(documents, "__uri"), V, table, assert_email, "__errors").select(*staged.columns, "__errors")
     if not table.rest:
         return inside
